@@ -1,0 +1,18 @@
+"""Broadcast only behind a size check."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+DEFAULT_MAX_ROWS = 100_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
+    """Mark ``df`` for broadcast when it has at most ``max_rows`` rows; otherwise return it unchanged so the
+    planner (and AQE at run time) picks a shuffled join.
+
+    The check is a bounded job: it reads at most ``max_rows + 1`` rows.
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
