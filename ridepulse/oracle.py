@@ -179,15 +179,19 @@ CTES["delays"] = """SELECT t.trip_id AS route_id, t.trip_id, t.avg_delay_minutes
     p.gps_timestamp AS last_seen, t.loaded_at
   FROM trend t LEFT JOIN lpos p ON t.trip_id = p.trip_id
   ORDER BY t.loaded_at DESC NULLS FIRST, t.trip_id LIMIT 5000"""
+CTES["alld"] = """SELECT t.trip_id AS route_id, t.trip_id, t.avg_delay_minutes, t.delay_category, t.trend,
+    t.trend_change_minutes, t.prev_delay_minutes, p.latitude AS last_lat, p.longitude AS last_lon,
+    p.gps_timestamp AS last_seen, t.loaded_at
+  FROM trend t LEFT JOIN lpos p ON t.trip_id = p.trip_id"""
 CTES["veh"] = ("SELECT vehicle_id, trip_id, latitude, longitude, route_id, gps_timestamp FROM "
                + latest("svp", "vehicle_id", VEH_ORDER) + " AS x")
 CTES["vkeys"] = """SELECT DISTINCT k AS match_key FROM (SELECT route_id AS k FROM veh UNION ALL SELECT trip_id FROM veh)
   WHERE k IS NOT NULL"""
-CTES["ghosts"] = "SELECT * FROM delays d WHERE NOT EXISTS (SELECT 1 FROM veh v WHERE v.route_id = d.route_id OR v.trip_id = d.route_id)"
-CTES["lives"] = "SELECT * FROM delays d WHERE EXISTS (SELECT 1 FROM veh v WHERE v.route_id = d.route_id OR v.trip_id = d.route_id)"
+CTES["ghosts"] = "SELECT * FROM alld d WHERE NOT EXISTS (SELECT 1 FROM veh v WHERE v.route_id = d.route_id OR v.trip_id = d.route_id)"
+CTES["lives"] = "SELECT * FROM alld d WHERE EXISTS (SELECT 1 FROM veh v WHERE v.route_id = d.route_id OR v.trip_id = d.route_id)"
 CTES["worstclean"] = (f"SELECT clean_route, route_id, avg_delay_minutes, delay_category, trend, trend_change_minutes, "
                       f"loaded_at FROM " + latest(
-                          f"(SELECT {clean('route_id')} AS clean_route, * FROM delays)", "clean_route",
+                          f"(SELECT {clean('route_id')} AS clean_route, * FROM alld)", "clean_route",
                           "abs(avg_delay_minutes) DESC NULLS LAST, loaded_at DESC NULLS FIRST, route_id") + " AS x")
 CTES["vinfo"] = f"""SELECT v.vehicle_id, v.trip_id, v.route_id, v.latitude, v.longitude, v.gps_timestamp,
     {clean('v.route_id')} AS clean_route,
@@ -200,8 +204,8 @@ CTES["vinfo"] = f"""SELECT v.vehicle_id, v.trip_id, v.route_id, v.latitude, v.lo
          WHEN w.clean_route IS NOT NULL THEN w.trend_change_minutes END AS trend_change_minutes,
     CASE WHEN d1.route_id IS NOT NULL THEN 'trip' WHEN d2.route_id IS NOT NULL THEN 'route'
          WHEN w.clean_route IS NOT NULL THEN 'clean_route' ELSE 'default' END AS matched_by
-  FROM veh v LEFT JOIN delays d1 ON d1.route_id = v.trip_id
-             LEFT JOIN delays d2 ON d2.route_id = v.route_id
+  FROM veh v LEFT JOIN alld d1 ON d1.route_id = v.trip_id
+             LEFT JOIN alld d2 ON d2.route_id = v.route_id
              LEFT JOIN worstclean w ON w.clean_route = {clean('v.route_id')}"""
 CTES["rdesc"] = """SELECT 'R' || CAST(i AS VARCHAR) AS route_code,
     'Stop ' || CAST(i AS VARCHAR) || ' - Stop ' || CAST(i + 40 AS VARCHAR) AS description
@@ -385,7 +389,7 @@ BODIES: dict[str, str] = {
          FROM (SELECT DISTINCT {clean('route_id')} AS route FROM veh)) m
       LEFT JOIN rdesc r ON r.route_code = m.route""",
     "trend_counts": """SELECT l.trend, CAST(count(d.trip_id) AS BIGINT) AS n
-      FROM (VALUES ('worsening'), ('improving'), ('stable'), ('new')) l(trend) LEFT JOIN delays d ON d.trend = l.trend
+      FROM (VALUES ('worsening'), ('improving'), ('stable'), ('new')) l(trend) LEFT JOIN alld d ON d.trend = l.trend
       GROUP BY l.trend""",
     "selection_bounds": """SELECT d.route_id AS selection, CAST(count(v.vehicle_id) AS BIGINT) AS n_matches,
         CASE WHEN count(v.vehicle_id) > 1 THEN 'bounds' WHEN count(v.vehicle_id) = 1 THEN 'center'
@@ -399,7 +403,7 @@ BODIES: dict[str, str] = {
         CASE WHEN count(v.vehicle_id) > 1 THEN min(v.longitude) END AS min_lon,
         CASE WHEN count(v.vehicle_id) > 1 THEN max(v.latitude) END AS max_lat,
         CASE WHEN count(v.vehicle_id) > 1 THEN max(v.longitude) END AS max_lon
-      FROM delays d LEFT JOIN veh v ON v.route_id = d.route_id OR v.trip_id = d.route_id
+      FROM alld d LEFT JOIN veh v ON v.route_id = d.route_id OR v.trip_id = d.route_id
       GROUP BY d.route_id""",
     "live_dots": "SELECT * FROM vinfo WHERE delay_category = 'on_time'",
     "live_dots_selected": """SELECT * FROM vinfo WHERE clean_route = 'R3' AND (

@@ -82,8 +82,14 @@ class Tables:
 
     @cached_property
     def delays(self) -> DataFrame:
+        """The delays report (newest 5,000 trips)."""
         return reports.delays(self.silver_trip_updates, self.silver_vehicle_positions, AS_OF)
 
+    @cached_property
+    def all_delays(self) -> DataFrame:
+        """Every trip's delay row, uncapped: what the live-map operators work on."""
+        return reports.delays(self.silver_trip_updates, self.silver_vehicle_positions, AS_OF, limit=None)
+
 
 def _t(fn: Callable[[Tables], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -215,19 +221,19 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "gps_delay_coverage": _t(lambda t: reports.gps_delay_coverage(t.bronze_vehicle_positions,
                                                                   t.bronze_trip_updates)),
     # live map
-    "ghost_trips": _t(lambda t: live.ghost_trips(t.delays, t.vehicles)),
-    "live_trips": _t(lambda t: live.live_trips(t.delays, t.vehicles)),
-    "ghost_count": _t(lambda t: live.ghost_count(t.delays, t.vehicles)),
-    "worst_delay_by_route": _t(lambda t: live.worst_delay_by_route(t.delays)),
-    "vehicle_delay_info": _t(lambda t: live.vehicle_delay_info(t.vehicles, t.delays)),
-    "incident_list": _t(lambda t: live.incident_list(t.delays, t.vehicles)),
+    "ghost_trips": _t(lambda t: live.ghost_trips(t.all_delays, t.vehicles)),
+    "live_trips": _t(lambda t: live.live_trips(t.all_delays, t.vehicles)),
+    "ghost_count": _t(lambda t: live.ghost_count(t.all_delays, t.vehicles)),
+    "worst_delay_by_route": _t(lambda t: live.worst_delay_by_route(t.all_delays)),
+    "vehicle_delay_info": _t(lambda t: live.vehicle_delay_info(t.vehicles, t.all_delays)),
+    "incident_list": _t(lambda t: live.incident_list(t.all_delays, t.vehicles)),
     "route_descriptions": _t(lambda t: live.with_route_description(
         t.vehicles, dims.fixture_route_descriptions(t.spark))),
     "route_menu": _t(lambda t: live.route_menu(t.vehicles, dims.fixture_route_descriptions(t.spark))),
-    "trend_counts": _t(lambda t: live.trend_counts(t.delays)),
-    "selection_bounds": _t(lambda t: live.selection_bounds(t.delays, t.vehicles)),
-    "live_dots": _t(lambda t: live.live_dots(t.vehicles, t.delays, category="ON_TIME")),
-    "live_dots_selected": _t(lambda t: live.live_dots(t.vehicles, t.delays, route=LIVE_ROUTE,
+    "trend_counts": _t(lambda t: live.trend_counts(t.all_delays)),
+    "selection_bounds": _t(lambda t: live.selection_bounds(t.all_delays, t.vehicles)),
+    "live_dots": _t(lambda t: live.live_dots(t.vehicles, t.all_delays, category="ON_TIME")),
+    "live_dots_selected": _t(lambda t: live.live_dots(t.vehicles, t.all_delays, route=LIVE_ROUTE,
                                                       selected=SELECTED)),
-    "ghost_dots": _t(lambda t: live.ghost_dots(t.delays, t.vehicles)),
+    "ghost_dots": _t(lambda t: live.ghost_dots(t.all_delays, t.vehicles)),
 }

@@ -51,9 +51,11 @@ def gold_route_performance_hourly(fact: DataFrame) -> DataFrame:
     a value->count map whose size is bounded by the number of distinct delays, not by rows, so a hot route
     hour still aggregates map-side.
     """
-    cents = delay_cents("delay_seconds")
+    cents = F.col("_cents")
     cat = F.col("delay_category")
-    g = (fact.groupBy(*HOURLY_KEYS)
+    g = (fact.select(*HOURLY_KEYS, "trip_id", "delay_category", "recorded_at",
+                     delay_cents("delay_seconds").alias("_cents"))
+         .groupBy(*HOURLY_KEYS)
          .agg(F.count(F.lit(1)).alias("n"),
               F.count_distinct("trip_id").alias("unique_trips"),
               F.sum(cents).alias("sum_cents"),

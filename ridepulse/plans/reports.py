@@ -111,16 +111,18 @@ def delay_trend(updates: DataFrame, as_of, lookback_minutes: int = 25, route: st
 
 
 def delays(updates: DataFrame, positions: DataFrame, as_of, category: str | None = None,
-           route: str | None = None, limit: int = 5000, lookback_minutes: int = 25) -> DataFrame:
+           route: str | None = None, limit: int | None = 5000, lookback_minutes: int = 25) -> DataFrame:
     """Trips with their latest delay, band and trend, and their last position; newest first.
 
     ``category`` is matched lower-cased; an unknown category filters nothing. ``route`` is a literal route
     prefix. ``limit`` is the report size (at most 10,000); the order is ``loaded_at`` desc, then trip id.
+    ``limit=None`` returns every trip unordered (the input of the live-map operators at full scale).
     As in the published report, ``route_id`` carries the trip id; ``trip_id`` is the same value.
     """
-    limit = int(limit)
-    if limit < 0 or limit > MAX_DELAYS_LIMIT:
-        raise ValueError(f"limit must be between 0 and {MAX_DELAYS_LIMIT}")
+    if limit is not None:
+        limit = int(limit)
+        if limit < 0 or limit > MAX_DELAYS_LIMIT:
+            raise ValueError(f"limit must be between 0 and {MAX_DELAYS_LIMIT}")
     t = delay_trend(updates, as_of, lookback_minutes, route)
     if category and category.lower() in CATEGORIES:
         t = t.where(F.col("delay_category") == F.lit(category.lower()))
@@ -131,6 +133,8 @@ def delays(updates: DataFrame, positions: DataFrame, as_of, category: str | None
         "trend_change_minutes", "prev_delay_minutes",
         F.col("latitude").alias("last_lat"), F.col("longitude").alias("last_lon"),
         F.col("gps_timestamp").alias("last_seen"), "loaded_at")
+    if limit is None:
+        return out
     return out.orderBy(F.col("loaded_at").desc_nulls_first(), F.col("trip_id")).limit(limit)
 
 

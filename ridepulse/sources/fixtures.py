@@ -23,8 +23,23 @@ STOP_MOD = 97
 ROUTE_MOD, PATTERN_MOD = 40, 3
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
+    """Read one of the driver's tables; see ``spread_small_input`` for ``spread``."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread_small_input(df) if spread else df
+
+
+def spread_small_input(df: DataFrame) -> DataFrame:
+    """Give a scan that yields fewer splits than the cluster has cores a round-robin spread to all cores.
+
+    A single unsplittable file (one parquet row group) would otherwise run every narrow step of the feed
+    pipeline (struct building, JSON encoding and parsing) in one task. Large inputs already yield many more
+    splits than cores and are returned untouched, so this never adds a shuffle at scale.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
 
 
 def events_base(events: DataFrame) -> DataFrame:
@@ -69,8 +84,8 @@ def feed_snapshots(events: DataFrame) -> DataFrame:
         .otherwise(F.array(stop))
     trip_update = F.struct(trip.alias("trip"), stops.alias("stop_time_update"))
     entity = F.struct(eid.cast("string").alias("id"), vehicle.alias("vehicle"), trip_update.alias("trip_update"))
-    feed = b.select("event_id", "obs_ts", F.array(entity).alias("entity"))
-    return feed.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.FEED.fields])
+    # Every leaf is built with its declared type (schemas.FEED), so no cast of the nested value is needed.
+    return b.select("event_id", "obs_ts", F.array(entity).alias("entity"))
 
 
 def feed_from_dir(spark: SparkSession, sf_dir: str) -> DataFrame:
