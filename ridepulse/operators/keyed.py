@@ -38,10 +38,12 @@ def previous_before(df: DataFrame, keys: Sequence[str], ts_col: str, cutoff, ord
 
 
 def upsert(current: DataFrame, batch: DataFrame, keys: Sequence[str], order_by: Sequence,
-           keep_first: Sequence[str] = ("route_id",)) -> DataFrame:
+           keep_first: Sequence[str] = ("route_id",), batch_wins: bool = True) -> DataFrame:
     """``INSERT ... ON CONFLICT (keys) DO UPDATE``: one row per key; batch rows replace current rows.
 
-    Within the batch the last row in ``order_by`` wins (feed order). Columns in ``keep_first`` keep the value
+    Within the batch the last row in ``order_by`` wins (feed order). With ``batch_wins=False`` the latest
+    row under ``order_by`` wins across stored and batch rows (a replayed or late batch cannot move a key
+    back in time; ties go to the batch). Columns in ``keep_first`` keep the value
     of the earliest row (the stored row when there was one), as an upsert that does not update them.
     Both sides are unioned and reduced by one aggregate on the key (``max_by`` / ``min_by`` over the
     sequence): partial aggregation combines map-side, so a key updated millions of times still ships one row
@@ -49,7 +51,8 @@ def upsert(current: DataFrame, batch: DataFrame, keys: Sequence[str], order_by:
     """
     both = (current.withColumn("_src", F.lit(0))
             .unionByName(batch.withColumn("_src", F.lit(1)), allowMissingColumns=True))
-    seq = F.struct(F.col("_src"), *_order(order_by))
+    seq = (F.struct(F.col("_src"), *_order(order_by)) if batch_wins
+           else F.struct(*_order(order_by), F.col("_src")))
     values = [c for c in both.columns if c not in keys and c != "_src"]
     aggs = [F.max_by(F.struct(*values), seq).alias("_last")]
     aggs += [F.min_by(F.col(c), seq).alias(f"_first_{c}") for c in keep_first]

@@ -16,7 +16,9 @@ from pyspark.sql import functions as F
 from ridepulse.functions.columns import clean_route_name, nonfinite_to_null, route_code
 from ridepulse.operators import ingest, keyed, silver
 from ridepulse.plans import gold, live, reports
+from ridepulse.session import scratch_path
 from ridepulse.sources import dims, fixtures
+from ridepulse.streaming import stream
 
 # Parameters of the registered queries (fixed, documented; the data spans 2024-01-01 .. 2024-01-30).
 AS_OF = "2024-01-10 00:00:00"          # "now" for trends, GPS fallback and retention
@@ -163,6 +165,71 @@ def _route_names(t: Tables) -> DataFrame:
                     clean_route_name("route_id").alias("clean_route"))
 
 
+# --- streaming (each run lands the feed derived from events in a fresh folder of the shared checkpoint dir)
+
+STREAM_LATENESS = "2 hours"
+
+
+def _landed(t: Tables, name: str, n_files: int = 8) -> tuple[str, str]:
+    base = scratch_path(t.spark, name)
+    landing = f"{base}/landing"
+    stream.land_feed(t.feed, landing, n_files)
+    return base, landing
+
+
+def _stream_bronze(t: Tables, entity: str) -> DataFrame:
+    base, landing = _landed(t, f"stream-bronze-{entity}")
+    stream.stream_bronze(t.spark, landing, f"{base}/bronze", f"{base}/ckpt", entity=entity)
+    return t.spark.read.parquet(f"{base}/bronze")
+
+
+def _stream_fact_dedup(t: Tables) -> DataFrame:
+    base, landing = _landed(t, "stream-dedup")
+    fact = stream.silver_fact_stream(stream.read_feed_stream(t.spark, landing))
+    deduped = stream.stream_dedup(fact.unionByName(fact), STREAM_LATENESS)   # every observation delivered twice
+    stream._run(deduped.writeStream.format("parquet").option("path", f"{base}/fact"), f"{base}/ckpt")
+    return t.spark.read.parquet(f"{base}/fact")
+
+
+def _stream_hourly(t: Tables) -> DataFrame:
+    base, landing = _landed(t, "stream-hourly")
+    fact = stream.silver_fact_stream(stream.read_feed_stream(t.spark, landing))
+    hourly = stream.stream_hourly(fact, STREAM_LATENESS)
+    stream._run(hourly.writeStream.format("parquet").option("path", f"{base}/hourly").outputMode("append"),
+                f"{base}/ckpt")
+    return t.spark.read.parquet(f"{base}/hourly").select(*stream.STREAM_HOURLY_COLUMNS)
+
+
+def _refresh_hourly(t: Tables) -> DataFrame:
+    base, landing = _landed(t, "refresh-hourly")
+    # A second delivery of the first five days overlaps the first files (replay / duplicate delivery).
+    stream.land_feed(t.feed.where(F.col("obs_ts") < silver.ntz_literal("2024-01-05 00:00:00")), landing, 2)
+    updates = silver.silver_trip_updates(ingest.flatten_trip_feed(
+        stream.read_feed_stream(t.spark, landing, max_files_per_trigger=2)))
+    stream.run_foreach_batch(updates, stream.hourly_refresher(f"{base}/fact", f"{base}/hourly"), f"{base}/ckpt")
+    return t.spark.read.parquet(f"{base}/hourly").select(*gold.HOURLY_COLUMNS)
+
+
+def _current_state_run(t: Tables, name: str) -> str:
+    base, landing = _landed(t, name)
+    updates = silver.silver_trip_updates(ingest.flatten_trip_feed(
+        stream.read_feed_stream(t.spark, landing, max_files_per_trigger=3)))
+    stream.run_foreach_batch(updates, stream.current_state_refresher(f"{base}/history", f"{base}/current"),
+                             f"{base}/ckpt")
+    return base
+
+
+def _refresh_current(t: Tables) -> DataFrame:
+    base = _current_state_run(t, "refresh-current")
+    return t.spark.read.parquet(f"{base}/current")
+
+
+def _stream_trend(t: Tables) -> DataFrame:
+    base = _current_state_run(t, "stream-trend")
+    history = t.spark.read.parquet(f"{base}/history").drop("batch_id")
+    return reports.delay_trend(history, AS_OF, LOOKBACK_MINUTES)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # sources / bronze
     "flatten_vehicle_feed": _t(lambda t: t.bronze_vehicle_positions),
@@ -236,4 +303,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "live_dots_selected": _t(lambda t: live.live_dots(t.vehicles, t.all_delays, route=LIVE_ROUTE,
                                                       selected=SELECTED)),
     "ghost_dots": _t(lambda t: live.ghost_dots(t.all_delays, t.vehicles)),
+    # streaming
+    "stream_bronze_trips": _t(lambda t: _stream_bronze(t, "trip_update")),
+    "stream_bronze_vehicles": _t(lambda t: _stream_bronze(t, "vehicle")),
+    "stream_fact_dedup": _t(_stream_fact_dedup),
+    "stream_hourly_windows": _t(_stream_hourly),
+    "refresh_hourly_incremental": _t(_refresh_hourly),
+    "refresh_current_state": _t(_refresh_current),
+    "stream_delay_trend": _t(_stream_trend),
 }

@@ -20,6 +20,11 @@ FACT_COLUMNS = ("delay_record_id", "trip_id", "route_id", "route_code", "delay_s
 
 HOURLY_KEYS = ("route_code", "record_date", "record_hour", "day_of_week", "day_name", "time_period")
 
+HOURLY_COLUMNS = ("performance_id", *HOURLY_KEYS, "total_observations", "unique_trips", "avg_delay_minutes",
+                  "median_delay_minutes", "max_delay_minutes", "min_delay_minutes", "stddev_delay_minutes",
+                  "early_count", "on_time_count", "minor_count", "moderate_count", "severe_count",
+                  "critical_count", "on_time_percentage", "last_updated")
+
 
 def fact_historical_delays(silver_updates: DataFrame) -> DataFrame:
     """One row per delay observation with its surrogate key, route code, band and time dimensions.
