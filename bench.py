@@ -24,7 +24,8 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", os.cpu_count() or 4))
     only = [q for q in sys.argv[1:] if q in QUERIES]
     spark = get_session(f"local[{cpus}]", shuffle_partitions=2 * cpus,
-                        extra={"spark.driver.memory": os.environ.get("BENCH_MEM", "6g")})
+                        extra={"spark.driver.memory": os.environ.get("BENCH_MEM", "6g"),
+                               "ridepulse.spreadSmallInput": os.environ.get("BENCH_SPREAD", "false")})
     QUERIES["gold_route_performance_hourly"](spark, sf_dir).write.format("noop").mode("overwrite").save()
     times: dict[str, float] = {}
     for name in (only or list(QUERIES)):

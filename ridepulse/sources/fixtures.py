@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ridepulse import schemas
-from ridepulse.functions.columns import epoch_seconds, truncate_to_second
+from ridepulse.functions.columns import EPOCH_NTZ
 
 # Fixed values of the fixture mapping (FIXTURES.md §1-2).
 VEHICLE_EVENT_TYPES = ("click", "view", "purchase")
@@ -36,56 +36,58 @@ def spread_small_input(df: DataFrame) -> DataFrame:
     pipeline (struct building, JSON encoding and parsing) in one task. Large inputs already yield many more
     splits than cores and are returned untouched, so this never adds a shuffle at scale.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
+    spark = df.sparkSession
+    if spark.conf.get("ridepulse.spreadSmallInput", "false").lower() != "true":
+        return df
+    cores = spark.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < cores:
         return df.repartition(cores)
     return df
 
 
 def events_base(events: DataFrame) -> DataFrame:
-    """Common base: ids, route, the k value and weekday, the observation second and the delay ``d``."""
-    k = F.get_json_object("props", "$.k").try_cast("int")
-    dow = (F.dayofweek("ts") - 1).cast("int")
-    uid = F.col("user_id")
-    d = (F.call_function("div", k * k * (dow + 2), F.lit(100)) - 60
-         + F.greatest(k - 89, F.lit(0)) * 120).cast("int")
-    return events.select(
+    """Common base: ids, route, the k value and weekday, the observation second and the delay ``d``.
+
+    Written as SQL expressions so that the whole projection is built with a handful of calls.
+    """
+    return events.selectExpr(
         "event_id", "ts", "event_type",
-        uid.cast("string").alias("vehicle_id"),
-        F.concat(uid.cast("string"), F.lit("_"), F.col("event_type")).alias("trip_id"),
-        F.concat(F.lit("R"), (uid % ROUTE_MOD).cast("string"), F.lit("_"),
-                 (uid % PATTERN_MOD).cast("string")).alias("route_id"),
-        k.alias("k"), dow.alias("dow"),
-        truncate_to_second(F.col("ts")).alias("obs_ts"),
-        d.alias("d"),
-    )
+        "CAST(user_id AS STRING) AS vehicle_id",
+        "concat(CAST(user_id AS STRING), '_', event_type) AS trip_id",
+        f"concat('R', CAST(user_id % {ROUTE_MOD} AS STRING), '_', CAST(user_id % {PATTERN_MOD} AS STRING)) AS route_id",
+        "try_cast(get_json_object(props, '$.k') AS INT) AS k",
+        "CAST(dayofweek(ts) - 1 AS INT) AS dow",
+        f"timestampadd(SECOND, timestampdiff(SECOND, {EPOCH_NTZ}, ts), {EPOCH_NTZ}) AS obs_ts",
+    ).selectExpr("*", "CAST((k * k * (dow + 2)) div 100 - 60 + greatest(k - 89, 0) * 120 AS INT) AS d")
 
 
 def feed_snapshots(events: DataFrame) -> DataFrame:
-    """Nested GTFS-realtime-like snapshots (schema ``schemas.FEED``) built from ``events``."""
-    b = events_base(events)
-    eid = F.col("event_id")
-    trip = F.struct(F.col("trip_id"), F.col("route_id"))
-    position = F.when(eid % NO_POSITION_MOD != 0, F.struct(
-        (F.lit(53.2) + (eid % 400) / F.lit(1000.0)).alias("latitude"),
-        (F.lit(-6.45) + (eid % 500) / F.lit(1000.0)).alias("longitude")))
-    vehicle = F.when(F.col("event_type").isin(*VEHICLE_EVENT_TYPES), F.struct(
-        F.struct(F.col("vehicle_id").alias("id")).alias("vehicle"),
-        trip.alias("trip"),
-        position.alias("position"),
-        epoch_seconds(F.col("obs_ts")).alias("timestamp")))
-    delay = F.struct(F.col("d").alias("delay"))
-    has_times = eid % NO_TIMES_MOD != 0
-    stop = F.struct(
-        F.when(has_times & (eid % DEPARTURE_ONLY_MOD != 0), delay).alias("arrival"),
-        F.when(has_times, delay).alias("departure"),
-        F.concat(F.lit("S"), (eid % STOP_MOD).cast("string")).alias("stop_id"))
-    stops = F.when(eid % EMPTY_STOPS_MOD == 0, F.array().cast(f"array<{schemas.STOP_TIME_UPDATE.simpleString()}>")) \
-        .otherwise(F.array(stop))
-    trip_update = F.struct(trip.alias("trip"), stops.alias("stop_time_update"))
-    entity = F.struct(eid.cast("string").alias("id"), vehicle.alias("vehicle"), trip_update.alias("trip_update"))
-    # Every leaf is built with its declared type (schemas.FEED), so no cast of the nested value is needed.
-    return b.select("event_id", "obs_ts", F.array(entity).alias("entity"))
+    """Nested GTFS-realtime-like snapshots (schema ``schemas.FEED``) built from ``events``.
+
+    Every leaf is built with its declared type, so the nested value needs no cast.
+    """
+    types = "', '".join(VEHICLE_EVENT_TYPES)
+    trip = "named_struct('trip_id', trip_id, 'route_id', route_id)"
+    delay = "named_struct('delay', d)"
+    entity = f"""array(named_struct(
+        'id', CAST(event_id AS STRING),
+        'vehicle', CASE WHEN event_type IN ('{types}') THEN named_struct(
+            'vehicle', named_struct('id', vehicle_id),
+            'trip', {trip},
+            'position', CASE WHEN event_id % {NO_POSITION_MOD} <> 0 THEN named_struct(
+                'latitude', 53.2D + (event_id % 400) / 1000.0D,
+                'longitude', -6.45D + (event_id % 500) / 1000.0D) END,
+            'timestamp', timestampdiff(SECOND, {EPOCH_NTZ}, obs_ts)) END,
+        'trip_update', named_struct(
+            'trip', {trip},
+            'stop_time_update', CASE WHEN event_id % {EMPTY_STOPS_MOD} = 0
+                THEN CAST(array() AS array<{schemas.STOP_TIME_UPDATE.simpleString()}>)
+                ELSE array(named_struct(
+                    'arrival', CASE WHEN event_id % {NO_TIMES_MOD} <> 0 AND event_id % {DEPARTURE_ONLY_MOD} <> 0
+                                    THEN {delay} END,
+                    'departure', CASE WHEN event_id % {NO_TIMES_MOD} <> 0 THEN {delay} END,
+                    'stop_id', concat('S', CAST(event_id % {STOP_MOD} AS STRING)))) END))) AS entity"""
+    return events_base(events).selectExpr("event_id", "obs_ts", entity)
 
 
 def feed_from_dir(spark: SparkSession, sf_dir: str) -> DataFrame:
