@@ -424,6 +424,9 @@ BODIES: dict[str, str] = {
     "refresh_current_state": "SELECT trip_id, route_id, delay_seconds, stop_id, loaded_at FROM " + latest(
         "stu", "trip_id", "loaded_at DESC, delay_seconds DESC, stop_id DESC") + " AS x",
     "stream_delay_trend": "SELECT * FROM trend",
+    "warehouse_network_summary": """SELECT day_of_week, day_name, time_period, active_routes, total_observations,
+        total_trips, network_avg_delay, network_on_time_pct, network_critical_count, network_severe_count,
+        worst_delay_in_network, network_health_score, network_health_status FROM network""",
 }
 
 

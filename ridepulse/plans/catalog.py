@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ridepulse.functions.columns import clean_route_name, nonfinite_to_null, route_code
 from ridepulse.operators import ingest, keyed, silver
-from ridepulse.plans import gold, live, reports
+from ridepulse.plans import gold, jobs, live, reports
 from ridepulse.session import scratch_path
 from ridepulse.sources import dims, fixtures
 from ridepulse.streaming import stream
@@ -230,6 +230,22 @@ def _stream_trend(t: Tables) -> DataFrame:
     return reports.delay_trend(history, AS_OF, LOOKBACK_MINUTES)
 
 
+def _warehouse_runs(t: Tables) -> str:
+    """Three scheduled runs over the events-derived feed: before the split, a replay of the day before it,
+    and everything after it. Returns the warehouse root."""
+    root = scratch_path(t.spark, "warehouse")
+    f = t.feed
+    jobs.refresh_warehouse(_before(f, "obs_ts"), root)
+    jobs.refresh_warehouse(f.where((F.col("obs_ts") >= silver.ntz_literal("2024-01-14 00:00:00"))
+                                   & (F.col("obs_ts") < silver.ntz_literal(SPLIT))), root)
+    jobs.refresh_warehouse(_from(f, "obs_ts"), root)
+    return root
+
+
+def _warehouse_network(t: Tables) -> DataFrame:
+    return t.spark.read.parquet(jobs.Warehouse(_warehouse_runs(t)).network)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # sources / bronze
     "flatten_vehicle_feed": _t(lambda t: t.bronze_vehicle_positions),
@@ -311,4 +327,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "refresh_hourly_incremental": _t(_refresh_hourly),
     "refresh_current_state": _t(_refresh_current),
     "stream_delay_trend": _t(_stream_trend),
+    # scheduled batch refresh on disk
+    "warehouse_network_summary": _t(_warehouse_network),
 }

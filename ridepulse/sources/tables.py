@@ -12,6 +12,7 @@ so the write never reads the files it replaces and a lost executor recomputes fr
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +24,8 @@ from ridepulse.plans.gold import FACT_COLUMNS, fact_historical_delays, gold_rout
 from ridepulse.operators.silver import ntz_literal
 from ridepulse.session import shared_dir
 
+_EPOCH_DATE = _dt.date(1970, 1, 1)
+
 
 def table_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
@@ -107,11 +110,9 @@ def dedup_observations(fact: DataFrame) -> DataFrame:
 
 
 def _hours_filter(touched: list):
-    cond = None
-    for d, h in touched:
-        c = (F.col("record_date") == F.lit(d)) & (F.col("record_hour") == F.lit(h))
-        cond = c if cond is None else cond | c
-    return cond
+    """Rows of the touched (date, hour) pairs, as one flat IN list over an hour number (no deep OR chain)."""
+    keys = sorted({(d - _EPOCH_DATE).days * 24 + int(h) for d, h in touched})
+    return (F.unix_date(F.col("record_date")) * 24 + F.col("record_hour")).isin(keys)
 
 
 def refresh_hourly(fact_path: str, hourly_path: str, touched: list, spark: SparkSession) -> None:
