@@ -180,7 +180,7 @@ def _landed(t: Tables, name: str, n_files: int = 8) -> tuple[str, str]:
 def _stream_bronze(t: Tables, entity: str) -> DataFrame:
     base, landing = _landed(t, f"stream-bronze-{entity}")
     stream.stream_bronze(t.spark, landing, f"{base}/bronze", f"{base}/ckpt", entity=entity)
-    return t.spark.read.parquet(f"{base}/bronze")
+    return t.spark.read.parquet(f"{base}/bronze").drop("ingest_date")
 
 
 def _stream_fact_dedup(t: Tables) -> DataFrame:

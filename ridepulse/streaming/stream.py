@@ -58,11 +58,14 @@ def _run(writer, checkpoint: str) -> None:
 
 def stream_bronze(spark: SparkSession, landing: str, out_dir: str, checkpoint: str,
                   entity: str = "trip_update", **flatten_options) -> None:
-    """Flatten every landed snapshot not yet processed into the bronze table at ``out_dir``."""
+    """Flatten every landed snapshot not yet processed into the bronze table at ``out_dir`` (partitioned by
+    ``ingest_date``)."""
     feed = read_feed_stream(spark, landing)
     rows = (flatten_trip_feed(feed, **flatten_options) if entity == "trip_update"
             else flatten_vehicle_feed(feed, **flatten_options))
-    _run(rows.writeStream.format("parquet").option("path", out_dir).outputMode("append"), checkpoint)
+    rows = rows.withColumn("ingest_date", F.to_date("ingestion_timestamp"))
+    _run(rows.writeStream.format("parquet").option("path", out_dir).partitionBy("ingest_date")
+         .outputMode("append"), checkpoint)
 
 
 def stream_dedup(fact_stream: DataFrame, lateness: str = "2 hours") -> DataFrame:
