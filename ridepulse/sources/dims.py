@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import csv
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,11 +33,24 @@ def fixture_route_descriptions(spark: SparkSession, n_codes: int = 40, skip_mod:
                              (k + n_codes).cast("string")).alias("description")))
 
 
+# The published route descriptions (route code -> "origin - destination", 119 rows), kept
+# verbatim and in their published order in route_descriptions.csv next to this module.
+PUBLISHED_ROUTE_DESCRIPTIONS = os.path.join(os.path.dirname(os.path.abspath(__file__)), "route_descriptions.csv")
+
+
+def published_route_descriptions(spark: SparkSession) -> DataFrame:
+    """The published 119-row route description table (a fixed dimension read on the driver: it is bundled
+    with the package, not stored on the cluster's file system)."""
+    with open(PUBLISHED_ROUTE_DESCRIPTIONS, encoding="utf-8", newline="") as fh:
+        rows = [(r["route_code"], r["description"]) for r in csv.DictReader(fh)]
+    return spark.createDataFrame(rows, "route_code string, description string")
+
+
 def route_descriptions(spark: SparkSession, path: str | None = None) -> DataFrame:
-    """Route descriptions (``route_code``, ``description``) from a CSV/parquet file; without a path, the
-    rule-built fixture table."""
+    """Route descriptions (``route_code``, ``description``) from a CSV/parquet table on the cluster's file
+    system; without a path, the published table."""
     if path is None:
-        return fixture_route_descriptions(spark)
+        return published_route_descriptions(spark)
     if path.endswith(".csv"):
         return spark.read.csv(path, header=True, schema="route_code string, description string")
     return spark.read.parquet(path).select("route_code", "description")

@@ -121,3 +121,13 @@ def test_severity_and_display_order(spark):
     cats = ["critical", "severe", "moderate", "minor", "on_time", "early", "other"]
     assert _one(spark, [(c,) for c in cats], "c string", C.severity_rank("c")) == [0, 1, 2, 3, 4, 5, 6]
     assert _one(spark, [(c,) for c in cats], "c string", C.display_order("c")) == [6, 5, 4, 3, 2, 1, 7]
+
+
+def test_published_route_descriptions(spark):
+    from ridepulse.plans import live
+    from ridepulse.sources import dims
+    d = dims.route_descriptions(spark)
+    assert d.count() == 119
+    v = spark.createDataFrame([("1 27A c a",), ("60-39a-b12",), ("X32_1",), ("zz",)], "route_id string")
+    out = [r.route_description for r in live.with_route_description(v, d).orderBy("route_id").collect()]
+    assert out == ["Blunden Drive - Eden Quay", "Ongar - UCD Belfield", "Leixlip - UCD", ""]
