@@ -104,7 +104,8 @@ def route_menu(vehicles: DataFrame, descriptions: DataFrame | None = None) -> Da
     if descriptions is not None:
         d = broadcast_if_small(descriptions.select(F.col("route_code").alias("route"), "description"))
         r = r.join(d, "route", "left").withColumn("description", F.coalesce("description", F.lit("")))
-    return r.orderBy(F.col("route_num").asc_nulls_last(), "route")
+    # Text labels in case-insensitive order (as a locale comparison would), exact text as the tie-break.
+    return r.orderBy(F.col("route_num").asc_nulls_last(), F.lower("route"), "route")
 
 
 def trend_counts(delays: DataFrame) -> DataFrame:

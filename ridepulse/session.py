@@ -18,6 +18,9 @@ BASE_CONF = {
     # Partition overwrite replaces only the partitions a write touches (incremental gold refresh).
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",
+    # Streaming state (dedup keys, open hourly windows) lives in RocksDB, off the JVM heap.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 

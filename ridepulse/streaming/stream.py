@@ -16,7 +16,6 @@ instant with the same UTC reading, independent of the session time zone.
 
 from __future__ import annotations
 
-import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,7 +48,8 @@ def read_feed_stream(spark: SparkSession, landing: str, max_files_per_trigger: i
     return reader.parquet(landing)
 
 
-def _run(writer, checkpoint: str) -> None:
+def run_available_now(writer, checkpoint: str) -> None:
+    """Start a query with ``trigger(availableNow=True)`` (process everything landed, then stop) and wait."""
     q = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()
     if q.exception() is not None:
@@ -64,7 +64,7 @@ def stream_bronze(spark: SparkSession, landing: str, out_dir: str, checkpoint: s
     rows = (flatten_trip_feed(feed, **flatten_options) if entity == "trip_update"
             else flatten_vehicle_feed(feed, **flatten_options))
     rows = rows.withColumn("ingest_date", F.to_date("ingestion_timestamp"))
-    _run(rows.writeStream.format("parquet").option("path", out_dir).partitionBy("ingest_date")
+    run_available_now(rows.writeStream.format("parquet").option("path", out_dir).partitionBy("ingest_date")
          .outputMode("append"), checkpoint)
 
 
@@ -144,8 +144,4 @@ def current_state_refresher(history_path: str, current_path: str):
 
 
 def run_foreach_batch(stream: DataFrame, fn, checkpoint: str) -> None:
-    _run(stream.writeStream.foreachBatch(fn), checkpoint)
-
-
-def paths(base: str, *names: str) -> list[str]:
-    return [os.path.join(base, n) for n in names]
+    run_available_now(stream.writeStream.foreachBatch(fn), checkpoint)
