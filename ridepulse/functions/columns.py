@@ -114,6 +114,11 @@ def time_period(hour) -> Column:
             .otherwise(F.lit("off_peak")))
 
 
+def time_period_of(ts) -> Column:
+    """Time period of a timestamp (``time_period`` of its hour)."""
+    return time_period(F.hour(_c(ts)))
+
+
 def period_order(period) -> Column:
     p = _c(period)
     expr = None
@@ -227,3 +232,10 @@ def performance_tier(worst_rank, best_rank, routes_in_period) -> Column:
 def nonfinite_to_null(col) -> Column:
     c = _c(col)
     return F.when(F.isnan(c) | (F.abs(c) == F.lit(float("inf"))), F.lit(None)).otherwise(c)
+
+
+def clean_nonfinite(df):
+    """Replace NaN and +/-infinity by null in every float/double column of ``df`` (before writing or
+    returning records); other columns pass through."""
+    floats = {f.name for f in df.schema.fields if f.dataType.typeName() in ("double", "float")}
+    return df.select(*[nonfinite_to_null(c).alias(c) if c in floats else F.col(c) for c in df.columns])

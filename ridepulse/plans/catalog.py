@@ -13,7 +13,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridepulse.functions.columns import clean_route_name, nonfinite_to_null, route_code
+from ridepulse.functions.columns import clean_nonfinite, clean_route_name, route_code
 from ridepulse.operators import ingest, keyed, silver
 from ridepulse.plans import gold, jobs, live, reports
 from ridepulse.session import scratch_path
@@ -154,9 +154,7 @@ def _silver_gps(t: Tables) -> DataFrame:
 
 
 def _clean_nonfinite(t: Tables) -> DataFrame:
-    d = t.delays
-    doubles = {f.name for f in d.schema.fields if f.dataType.typeName() in ("double", "float")}
-    return d.select(*[nonfinite_to_null(c).alias(c) if c in doubles else F.col(c) for c in d.columns])
+    return clean_nonfinite(t.delays)
 
 
 def _route_names(t: Tables) -> DataFrame:

@@ -131,3 +131,17 @@ def test_published_route_descriptions(spark):
     v = spark.createDataFrame([("1 27A c a",), ("60-39a-b12",), ("X32_1",), ("zz",)], "route_id string")
     out = [r.route_description for r in live.with_route_description(v, d).orderBy("route_id").collect()]
     assert out == ["Blunden Drive - Eden Quay", "Ongar - UCD Belfield", "Leixlip - UCD", ""]
+
+
+def test_clean_nonfinite_frame(spark):
+    df = spark.createDataFrame([("a", float("nan"), 1), ("b", float("inf"), 2), ("c", 2.5, 3)],
+                               "k string, x double, n int")
+    out = [tuple(r) for r in C.clean_nonfinite(df).orderBy("k").collect()]
+    assert out == [("a", None, 1), ("b", None, 2), ("c", 2.5, 3)]
+
+
+def test_time_period_of_timestamp(spark):
+    import datetime as dt
+    got = _one(spark, [(dt.datetime(2024, 1, 1, 7, 59),), (dt.datetime(2024, 1, 1, 22, 0),)], "t timestamp_ntz",
+               C.time_period_of("t"))
+    assert got == ["morning_rush", "night"]
