@@ -295,6 +295,7 @@ BODIES: dict[str, str] = {
     "clean_nonfinite": f"SELECT {DELAY_COLS} FROM delays",
     "silver_vehicle_positions": "SELECT * FROM svp",
     "silver_trip_updates": "SELECT * FROM stu",
+    "silver_vehicle_positions_gps": "SELECT vehicle_id, trip_id, latitude, longitude, route_id, gps_timestamp, gps_timestamp AS loaded_at FROM svp",
     "silver_trip_updates_gps": f"""SELECT s.trip_id, s.route_id, s.delay_seconds, s.stop_id,
         coalesce(g.last_gps, {AS_OF}) AS loaded_at
       FROM stu s LEFT JOIN (SELECT trip_id, max(ingestion_timestamp) AS last_gps FROM bvp GROUP BY trip_id) g
@@ -331,10 +332,14 @@ BODIES: dict[str, str] = {
       FROM stu GROUP BY route_id""",
     "latest_vehicles": "SELECT * FROM veh",
     "latest_delay": "SELECT * FROM lat",
+    "latest_delay_route": "SELECT trip_id, route_id, delay_seconds, loaded_at FROM " + latest(
+        "(SELECT * FROM stu WHERE delay_seconds IS NOT NULL AND starts_with(route_id, 'R1'))", "trip_id", UPD_ORDER)
+        + " AS x",
     "previous_delay": "SELECT * FROM prv",
     "latest_positions": "SELECT * FROM lpos",
     "delay_trend": "SELECT * FROM trend",
     "delays": f"SELECT {DELAY_COLS} FROM delays",
+    "delays_limit_100": f"SELECT {DELAY_COLS} FROM alld ORDER BY loaded_at DESC NULLS FIRST, trip_id LIMIT 100",
     "delays_route": _delays_variant(where_src="AND starts_with(route_id, 'R1')"),
     "delays_category": _delays_variant(where_out=f"AND {band('l.delay_seconds')} = 'severe'"),
     "delays_summary": "SELECT * FROM summ",
@@ -361,6 +366,9 @@ BODIES: dict[str, str] = {
         total_critical_delays, total_severe_delays, performance_tier, worst_rank
       FROM worst WHERE day_of_week = 1 AND time_period = 'morning_rush'
       ORDER BY worst_rank, day_of_week, time_period, route_code LIMIT 20""",
+    "worst_routes_day": """SELECT route_code, day_name, time_period, avg_delay, avg_on_time_pct,
+        total_critical_delays, total_severe_delays, performance_tier, worst_rank
+      FROM worst WHERE day_of_week = 0 ORDER BY worst_rank, day_of_week, time_period, route_code LIMIT 10""",
     "network_health": """SELECT day_name, time_period, active_routes, total_trips, network_avg_delay, network_on_time_pct,
         network_health_score, network_health_status FROM network""",
     "delay_distribution": """SELECT CAST(count(*) AS BIGINT) AS total_records,
@@ -381,6 +389,9 @@ BODIES: dict[str, str] = {
     "incident_list": f"""SELECT {DELAY_COLS},
         CASE delay_category WHEN 'critical' THEN 0 WHEN 'severe' THEN 1 WHEN 'moderate' THEN 2 WHEN 'minor' THEN 3
              WHEN 'on_time' THEN 4 WHEN 'early' THEN 5 ELSE 6 END AS severity_rank FROM lives""",
+    "incident_list_all": f"""SELECT {DELAY_COLS},
+        CASE delay_category WHEN 'critical' THEN 0 WHEN 'severe' THEN 1 WHEN 'moderate' THEN 2 WHEN 'minor' THEN 3
+             WHEN 'on_time' THEN 4 WHEN 'early' THEN 5 ELSE 6 END AS severity_rank FROM alld""",
     "route_descriptions": f"""SELECT v.*, coalesce(r.description, '') AS route_description
       FROM veh v LEFT JOIN rdesc r ON r.route_code = {clean('v.route_id')}""",
     "route_menu": f"""SELECT m.route, m.route_num, coalesce(r.description, '') AS description FROM

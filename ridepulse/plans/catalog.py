@@ -260,6 +260,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "silver_vehicle_positions": _t(lambda t: t.silver_vehicle_positions),
     "silver_trip_updates": _t(lambda t: t.silver_trip_updates),
     "silver_trip_updates_gps": _t(_silver_gps),
+    "silver_vehicle_positions_gps": _t(lambda t: silver.silver_vehicle_positions(t.bronze_vehicle_positions,
+                                                                                 loaded_at="gps")),
     "insert_if_absent": _t(lambda t: keyed.insert_if_absent(_before(t.silver_trip_updates, "loaded_at"),
                                                             _from(t.silver_trip_updates, "loaded_at"),
                                                             ["trip_id"])),
@@ -276,10 +278,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # latest-per-key and reports
     "latest_vehicles": _t(lambda t: t.vehicles),
     "latest_delay": _t(lambda t: reports.latest_delay(t.silver_trip_updates)),
+    "latest_delay_route": _t(lambda t: reports.latest_delay(t.silver_trip_updates, route=ROUTE_PREFIX)),
     "previous_delay": _t(lambda t: reports.previous_delay(t.silver_trip_updates, AS_OF, LOOKBACK_MINUTES)),
     "latest_positions": _t(lambda t: reports.latest_positions(t.silver_vehicle_positions)),
     "delay_trend": _t(lambda t: reports.delay_trend(t.silver_trip_updates, AS_OF, LOOKBACK_MINUTES)),
     "delays": _t(lambda t: t.delays),
+    "delays_limit_100": _t(lambda t: reports.delays(t.silver_trip_updates, t.silver_vehicle_positions, AS_OF,
+                                                    limit=100)),
     "delays_route": _t(lambda t: reports.delays(t.silver_trip_updates, t.silver_vehicle_positions, AS_OF,
                                                 route=ROUTE_PREFIX)),
     "delays_category": _t(lambda t: reports.delays(t.silver_trip_updates, t.silver_vehicle_positions, AS_OF,
@@ -296,6 +301,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "trip_history": _t(lambda t: reports.trip_history(t.silver_trip_updates, TRIP)),
     "worst_routes": _t(lambda t: reports.worst_routes(t.worst)),
     "worst_routes_filtered": _t(lambda t: reports.worst_routes(t.worst, day=DAY, period=PERIOD)),
+    "worst_routes_day": _t(lambda t: reports.worst_routes(t.worst, day=0, limit=10)),
     "network_health": _t(lambda t: reports.network_health(t.network)),
     "delay_distribution": _t(lambda t: reports.delay_distribution(
         ingest.flatten_trip_feed(t.feed, missing_delay="zero"))),
@@ -308,6 +314,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "worst_delay_by_route": _t(lambda t: live.worst_delay_by_route(t.all_delays)),
     "vehicle_delay_info": _t(lambda t: live.vehicle_delay_info(t.vehicles, t.all_delays)),
     "incident_list": _t(lambda t: live.incident_list(t.all_delays, t.vehicles)),
+    "incident_list_all": _t(lambda t: live.incident_list(t.all_delays, t.vehicles, show_ghosts=True)),
     "route_descriptions": _t(lambda t: live.with_route_description(
         t.vehicles, dims.fixture_route_descriptions(t.spark))),
     "route_menu": _t(lambda t: live.route_menu(t.vehicles, dims.fixture_route_descriptions(t.spark))),

@@ -24,6 +24,27 @@ BASE_CONF = {
 }
 
 
+def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict:
+    """Sizing for a cluster run over ``input_bytes`` of input on ``total_cores`` executor cores.
+
+    Shuffle partitions are sized so that each reducer gets about ``target_partition_bytes`` of the largest
+    shuffle (the flattened bronze/silver rows, roughly the input size) and never fewer than two waves of
+    cores; AQE then coalesces small partitions and splits skewed ones at run time. Scan splits use the same
+    target so map tasks stay well inside executor memory.
+    """
+    by_size = -(-int(input_bytes) // target_partition_bytes)
+    partitions = max(2 * int(total_cores), by_size)
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        # Broadcast only what is certainly small; larger sides take the shuffled path.
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+    }
+
+
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "ridepulse", extra: dict | None = None) -> SparkSession:
     """Build (or reuse) a session with the settings above."""

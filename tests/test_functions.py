@@ -145,3 +145,10 @@ def test_time_period_of_timestamp(spark):
     got = _one(spark, [(dt.datetime(2024, 1, 1, 7, 59),), (dt.datetime(2024, 1, 1, 22, 0),)], "t timestamp_ntz",
                C.time_period_of("t"))
     assert got == ["morning_rush", "night"]
+
+
+def test_scale_conf_for_100_tb():
+    from ridepulse.session import scale_conf
+    c = scale_conf(100 << 40, total_cores=8000)
+    assert int(c["spark.sql.shuffle.partitions"]) == 409600          # 100 TiB / 256 MiB
+    assert int(scale_conf(1 << 30, total_cores=64)["spark.sql.shuffle.partitions"]) == 128   # two waves
