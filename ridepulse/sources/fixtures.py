@@ -8,7 +8,6 @@ Everything here is a narrow projection of ``events``, so it scales with that tab
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ridepulse import schemas
 from ridepulse.functions.columns import EPOCH_NTZ

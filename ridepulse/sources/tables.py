@@ -2,8 +2,9 @@
 and hourly-gold refresh.
 
 Refresh rules (they differ from the published incremental models on purpose):
-* the fact takes rows at or after ``high-water mark - lateness`` (``incremental_fact_batch``) and adds them
-  with dedup on the surrogate key, so late and equal-time rows are neither lost nor duplicated;
+* the fact is append-only with dedup on the surrogate key, so replayed, late and equal-time rows are neither
+  lost nor duplicated; ``incremental_fact_batch`` selects the rows a scheduled run takes (at or after the
+  high-water mark minus a lateness allowance);
 * the hourly gold recomputes every *touched* hour in full from the fact and replaces the affected date
   partitions, so an hour delivered in two batches equals a full rebuild.
 Partitions that are read and rewritten in one job are first checkpointed into the shared checkpoint folder,
@@ -19,9 +20,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ridepulse.operators.keyed import incremental_since, latest_per_key, merge_by_key
-from ridepulse.plans.gold import FACT_COLUMNS, fact_historical_delays, gold_route_performance_hourly
+from ridepulse.operators.keyed import incremental_since, latest_per_key, prune_old
 from ridepulse.operators.silver import ntz_literal
+from ridepulse.plans.gold import FACT_COLUMNS, fact_historical_delays, gold_route_performance_hourly
 from ridepulse.session import shared_dir
 
 _EPOCH_DATE = _dt.date(1970, 1, 1)
@@ -151,7 +152,6 @@ def prune_table(path: str, ts_col: str, as_of, hours: int = 24, partition_col: s
     With a date ``partition_col`` only partitions that hold expired rows are rewritten (whole expired dates
     become empty and disappear). Returns ``(kept, pruned)`` for the rewritten partitions.
     """
-    from ridepulse.operators.keyed import prune_old
     df = spark.read.parquet(path)
     cutoff = ntz_literal(as_of) - F.expr(f"INTERVAL {int(hours)} HOURS")
     if partition_col:

@@ -16,7 +16,6 @@ instant with the same UTC reading, independent of the session time zone.
 
 from __future__ import annotations
 
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -64,8 +63,9 @@ def stream_bronze(spark: SparkSession, landing: str, out_dir: str, checkpoint: s
     rows = (flatten_trip_feed(feed, **flatten_options) if entity == "trip_update"
             else flatten_vehicle_feed(feed, **flatten_options))
     rows = rows.withColumn("ingest_date", F.to_date("ingestion_timestamp"))
-    run_available_now(rows.writeStream.format("parquet").option("path", out_dir).partitionBy("ingest_date")
-         .outputMode("append"), checkpoint)
+    writer = (rows.writeStream.format("parquet").option("path", out_dir).partitionBy("ingest_date")
+              .outputMode("append"))
+    run_available_now(writer, checkpoint)
 
 
 def stream_dedup(fact_stream: DataFrame, lateness: str = "2 hours") -> DataFrame:
