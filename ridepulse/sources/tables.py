@@ -88,15 +88,18 @@ def refresh_fact(silver_batch: DataFrame, fact_path: str) -> list:
     """
     spark = silver_batch.sparkSession
     new = stable(dedup_observations(fact_historical_delays(silver_batch)))
-    span = new.agg(F.min("recorded_at").alias("lo"), F.max("recorded_at").alias("hi")).first()
-    if span["lo"] is None:
+    # One small job: the touched hours (at most 24 per day in the batch) with their time range.
+    hours = (new.groupBy("record_date", "record_hour")
+             .agg(F.min("recorded_at").alias("lo"), F.max("recorded_at").alias("hi")).collect())
+    if not hours:
         return []
-    touched = [tuple(r) for r in new.select("record_date", "record_hour").distinct().collect()]
+    touched = [(r["record_date"], r["record_hour"]) for r in hours]
     dates = sorted({d for d, _ in touched})
+    lo, hi = min(r["lo"] for r in hours), max(r["hi"] for r in hours)
     if table_exists(spark, fact_path):
         seen = (spark.read.parquet(fact_path)
                 .where(F.col("record_date").isin(dates))
-                .where(F.col("recorded_at").between(ntz_literal(span["lo"]), ntz_literal(span["hi"])))
+                .where(F.col("recorded_at").between(ntz_literal(lo), ntz_literal(hi)))
                 .select("delay_record_id"))
         new = new.join(seen, "delay_record_id", "left_anti")
     append(new.select(*FACT_COLUMNS), fact_path, ["record_date"])
