@@ -185,7 +185,8 @@ def _stream_fact_dedup(t: Tables) -> DataFrame:
     base, landing = _landed(t, "stream-dedup")
     fact = stream.silver_fact_stream(stream.read_feed_stream(t.spark, landing))
     deduped = stream.stream_dedup(fact.unionByName(fact), STREAM_LATENESS)   # every observation delivered twice
-    stream.run_available_now(deduped.writeStream.format("parquet").option("path", f"{base}/fact"), f"{base}/ckpt")
+    writer = deduped.writeStream.format("parquet").option("path", f"{base}/fact")
+    stream.run_available_now(writer, f"{base}/ckpt")
     return t.spark.read.parquet(f"{base}/fact")
 
 
@@ -193,8 +194,8 @@ def _stream_hourly(t: Tables) -> DataFrame:
     base, landing = _landed(t, "stream-hourly")
     fact = stream.silver_fact_stream(stream.read_feed_stream(t.spark, landing))
     hourly = stream.stream_hourly(fact, STREAM_LATENESS)
-    stream.run_available_now(hourly.writeStream.format("parquet").option("path", f"{base}/hourly").outputMode("append"),
-                f"{base}/ckpt")
+    writer = hourly.writeStream.format("parquet").option("path", f"{base}/hourly").outputMode("append")
+    stream.run_available_now(writer, f"{base}/ckpt")
     return t.spark.read.parquet(f"{base}/hourly").select(*stream.STREAM_HOURLY_COLUMNS)
 
 
