@@ -47,6 +47,23 @@ def _route_prefix(df: DataFrame, route: str | None) -> DataFrame:
     return df if not route else df.where(F.col("route_id").startswith(F.lit(route)))
 
 
+def recent(df: DataFrame, as_of, history_hours: int | None, ts_col: str = "loaded_at",
+           date_col: str = "loaded_date") -> DataFrame:
+    """Rows of the last ``history_hours`` before ``as_of`` (all rows when None).
+
+    On stored silver (partitioned by ``loaded_date``) the date filter prunes whole partitions before the
+    scan; the time filter is pushed into the parquet reader. This is the retention window of the published
+    service (24 h) applied at read time instead of by deleting rows.
+    """
+    if history_hours is None:
+        return df
+    start = ntz_literal(as_of) - F.make_dt_interval(F.lit(0), F.lit(int(history_hours)))
+    out = df.where(F.col(ts_col) >= start)
+    if date_col in df.columns:
+        out = out.where(F.col(date_col) >= F.to_date(start))
+    return out
+
+
 def _cutoff(as_of, lookback_minutes: int) -> Column:
     return ntz_literal(as_of) - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(int(lookback_minutes)))
 
@@ -84,13 +101,15 @@ def latest_positions(positions: DataFrame) -> DataFrame:
 
 # --- trend ------------------------------------------------------------------------------------------------
 
-def delay_trend(updates: DataFrame, as_of, lookback_minutes: int = 25, route: str | None = None) -> DataFrame:
+def delay_trend(updates: DataFrame, as_of, lookback_minutes: int = 25, route: str | None = None,
+                history_hours: int | None = None) -> DataFrame:
     """Latest delay per trip against the latest one before ``as_of - lookback``: band, trend and change.
 
     One ``groupBy(trip_id)`` computes both with ``max_by`` (the previous one over a conditional ordering
     key that is null outside the window): one scan, one shuffle, map-side partial aggregation.
+    ``history_hours`` limits the scan to recent rows (see ``recent``); None reads the whole history.
     """
-    src = _route_prefix(updates.where(F.col("delay_seconds").isNotNull()), route)
+    src = _route_prefix(recent(updates, as_of, history_hours).where(F.col("delay_seconds").isNotNull()), route)
     before = F.col("loaded_at") < _cutoff(as_of, lookback_minutes)
     value = F.struct("route_id", "delay_seconds", "loaded_at")
     rank = _update_rank()
@@ -111,7 +130,8 @@ def delay_trend(updates: DataFrame, as_of, lookback_minutes: int = 25, route: st
 
 
 def delays(updates: DataFrame, positions: DataFrame, as_of, category: str | None = None,
-           route: str | None = None, limit: int | None = 5000, lookback_minutes: int = 25) -> DataFrame:
+           route: str | None = None, limit: int | None = 5000, lookback_minutes: int = 25,
+           history_hours: int | None = None) -> DataFrame:
     """Trips with their latest delay, band and trend, and their last position; newest first.
 
     ``category`` is matched lower-cased; an unknown category filters nothing. ``route`` is a literal route
@@ -123,10 +143,10 @@ def delays(updates: DataFrame, positions: DataFrame, as_of, category: str | None
         limit = int(limit)
         if limit < 0 or limit > MAX_DELAYS_LIMIT:
             raise ValueError(f"limit must be between 0 and {MAX_DELAYS_LIMIT}")
-    t = delay_trend(updates, as_of, lookback_minutes, route)
+    t = delay_trend(updates, as_of, lookback_minutes, route, history_hours)
     if category and category.lower() in CATEGORIES:
         t = t.where(F.col("delay_category") == F.lit(category.lower()))
-    lp = latest_positions(positions)
+    lp = latest_positions(recent(positions, as_of, history_hours))
     joined = t.join(lp, "trip_id", "left")
     out = joined.select(
         F.col("trip_id").alias("route_id"), "trip_id", "avg_delay_minutes", "delay_category", "trend",
@@ -139,15 +159,15 @@ def delays(updates: DataFrame, positions: DataFrame, as_of, category: str | None
 
 
 def delays_summary(updates: DataFrame, positions: DataFrame, as_of, keep_empty: bool = False,
-                   lookback_minutes: int = 25) -> DataFrame:
+                   lookback_minutes: int = 25, history_hours: int | None = None) -> DataFrame:
     """Trips per current band, how many of them have a GPS position, the count in the previous window and
     the change; in band order.
 
     ``keep_empty=False`` lists only bands present now (bands present only before are dropped, as published);
     ``keep_empty=True`` lists all six bands.
     """
-    t = delay_trend(updates, as_of, lookback_minutes)
-    gps = positions.select("trip_id").where(F.col("trip_id").isNotNull()).distinct() \
+    t = delay_trend(updates, as_of, lookback_minutes, history_hours=history_hours)
+    gps = recent(positions, as_of, history_hours).select("trip_id").where(F.col("trip_id").isNotNull()).distinct() \
         .withColumn("has_gps", F.lit(1))
     cur = (t.join(gps, "trip_id", "left")
            .groupBy("delay_category")

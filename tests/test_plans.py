@@ -72,3 +72,18 @@ def test_merge_without_broadcast_threshold_still_plans_a_hash_join(spark):
         assert "SortMergeJoin" in p and "LeftAnti" in p and "Broadcast" not in p
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_history_window_prunes_date_partitions(spark):
+    from pyspark.sql import functions as F
+    t = catalog.Tables(spark, SF_SMALL)
+    path = tempfile.mkdtemp(prefix="rp-silver-dated-") + "/silver"
+    t.silver_trip_updates.withColumn("loaded_date", F.to_date("loaded_at")).write.partitionBy("loaded_date") \
+        .parquet(path)
+    stored = spark.read.parquet(path)
+    d = reports.delay_trend(stored, "2024-01-10 00:00:00", history_hours=48)
+    p = plan(d)
+    assert "PartitionFilters: [isnotnull(loaded_date#" in p and "loaded_date#" in p.split("PartitionFilters")[1]
+    expect = reports.delay_trend(t.silver_trip_updates.where(
+        F.col("loaded_at") >= F.lit("2024-01-08 00:00:00").cast("timestamp_ntz")), "2024-01-10 00:00:00")
+    assert sorted(map(tuple, d.collect())) == sorted(map(tuple, expect.collect()))
