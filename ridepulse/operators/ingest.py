@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 
 def _entities(feed: DataFrame, ts_col: str) -> DataFrame:
-    return feed.select(F.col(ts_col).alias("ingestion_timestamp"), F.explode("entity").alias("e"))
+    # explode_outer: same rows once the null entity is filtered, but no inferred size(entity) > 0 filter that
+    # would evaluate the entity expression twice when the feed is built in the same plan.
+    return feed.select(F.col(ts_col).alias("ingestion_timestamp"), F.explode_outer("entity").alias("e"))
 
 
 def flatten_vehicle_feed(feed: DataFrame, vehicle_key: str = "vehicle.id", require_trip: bool = False,

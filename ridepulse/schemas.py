@@ -54,8 +54,8 @@ BRONZE_TRIP_UPDATES = T.StructType([
     T.StructField("ingestion_timestamp", T.TimestampNTZType()),
 ])
 
-# JSON payloads are read as text fields and cast with try_cast, so malformed values become null instead of
-# failing the job or nulling the whole record.
+# JSON payload fields (read as text with json_tuple, then cast with try_cast, so malformed values become null
+# instead of failing the job or nulling the whole record).
 VEHICLE_PAYLOAD = T.StructType([
     T.StructField("lat", T.StringType()),
     T.StructField("lon", T.StringType()),
