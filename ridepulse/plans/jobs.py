@@ -75,13 +75,15 @@ def refresh_warehouse(feed_batch: DataFrame, root: str, as_of=None, retention_ho
     """
     spark: SparkSession = feed_batch.sparkSession
     w = Warehouse(root)
+    # The landed batch is read by four writes: materialize it once in the shared checkpoint folder. The
+    # flattening and typing downstream are narrow and cheap to recompute from it.
     feed = tables.stable(feed_batch)
     append_bronze(flatten_vehicle_feed(feed), w.bronze_vehicles)
-    trips = tables.stable(flatten_trip_feed(feed))
+    trips = flatten_trip_feed(feed)
     append_bronze(trips, w.bronze_trips)
     positions = silver_vehicle_positions(flatten_vehicle_feed(feed))
     tables.append(positions.withColumn("loaded_date", F.to_date("loaded_at")), w.silver_vehicles, ["loaded_date"])
-    updates = tables.stable(silver_trip_updates(trips))
+    updates = silver_trip_updates(trips)
     tables.append(updates.withColumn("loaded_date", F.to_date("loaded_at")), w.silver_trips, ["loaded_date"])
     touched = tables.refresh_fact(updates, w.fact)
     tables.refresh_hourly(w.fact, w.hourly, touched, spark)
