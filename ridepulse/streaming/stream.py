@@ -26,7 +26,7 @@ from ridepulse.functions.columns import (
 )
 from ridepulse.operators.ingest import flatten_trip_feed, flatten_vehicle_feed
 from ridepulse.operators.keyed import upsert
-from ridepulse.operators.silver import silver_trip_updates
+from ridepulse.operators.silver import silver_trip_updates, silver_vehicle_positions
 from ridepulse.plans.gold import fact_historical_delays
 from ridepulse.sources import tables
 
@@ -68,6 +68,18 @@ def stream_bronze(spark: SparkSession, landing: str, out_dir: str, checkpoint: s
     run_available_now(writer, checkpoint)
 
 
+def stream_silver(spark: SparkSession, landing: str, out_dir: str, checkpoint: str, entity: str = "trip_update",
+                  max_files_per_trigger: int | None = None) -> None:
+    """Type every newly landed snapshot into the silver table at ``out_dir`` (partitioned by ``loaded_date``)."""
+    feed = read_feed_stream(spark, landing, max_files_per_trigger)
+    rows = (silver_trip_updates(flatten_trip_feed(feed)) if entity == "trip_update"
+            else silver_vehicle_positions(flatten_vehicle_feed(feed)))
+    rows = rows.withColumn("loaded_date", F.to_date("loaded_at"))
+    writer = (rows.writeStream.format("parquet").option("path", out_dir).partitionBy("loaded_date")
+              .outputMode("append"))
+    run_available_now(writer, checkpoint)
+
+
 def stream_dedup(fact_stream: DataFrame, lateness: str = "2 hours") -> DataFrame:
     """Drop repeated observations (same ``delay_record_id``) arriving within ``lateness`` of each other."""
     return (fact_stream.withColumn("_et", event_time("recorded_at"))
