@@ -18,6 +18,8 @@ BASE_CONF = {
     # Partition overwrite replaces only the partitions a write touches (incremental gold refresh).
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",
+    # Checkpoint files of materialized batches are removed once their DataFrames are garbage collected.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # Streaming state (dedup keys, open hourly windows) lives in RocksDB, off the JVM heap.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
@@ -65,8 +67,8 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared scratch folder (``spark.checkpoint.dir``).
 
-    On a cluster this setting names a shared file system location and is used as is. Only when it is unset
-    (local runs, tests) is a fresh local folder created and registered as the checkpoint folder.
+    On a cluster this setting names a shared file system location and is used as is (and is required). Only
+    in local mode, when it is unset (tests), is a fresh local folder created and registered.
     """
     sc = spark.sparkContext
     path = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
@@ -75,6 +77,9 @@ def shared_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current
+    if not sc.master.startswith("local"):
+        # A machine-local folder would not be readable by other executors.
+        raise RuntimeError("set spark.checkpoint.dir to a folder on a shared file system")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="ridepulse-ckpt-"))
     return sc.getCheckpointDir()
 
