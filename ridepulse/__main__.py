@@ -22,23 +22,28 @@ from ridepulse.sources import tables
 from ridepulse.streaming import stream
 
 
-def _reports(spark, root: str, as_of: str, history_hours):
-    w = jobs.Warehouse(root)
+def _reports(spark, args):
+    """Report name -> builder; the options mirror the published endpoints' query parameters."""
+    w = jobs.Warehouse(args.root)
     positions = spark.read.parquet(w.silver_vehicles)
     updates = spark.read.parquet(w.silver_trips)
-    delays = reports.delays(updates, positions, as_of, limit=None, history_hours=history_hours)
+    as_of, hours = args.as_of, args.history_hours
+    delays = reports.delays(updates, positions, as_of, limit=None, history_hours=hours)
     vehicles = reports.latest_vehicles(positions)
     return {
         "vehicles": lambda: vehicles,
-        "delays": lambda: reports.delays(updates, positions, as_of, history_hours=history_hours),
-        "delays_summary": lambda: reports.delays_summary(updates, positions, as_of, history_hours=history_hours),
+        "delays": lambda: reports.delays(updates, positions, as_of, category=args.category, route=args.route,
+                                         limit=args.limit or 5000, history_hours=hours),
+        "delays_summary": lambda: reports.delays_summary(updates, positions, as_of, history_hours=hours),
         "routes": lambda: reports.routes(updates),
-        "worst_routes": lambda: reports.worst_routes(spark.read.parquet(w.worst)),
+        "worst_routes": lambda: reports.worst_routes(spark.read.parquet(w.worst), day=args.day, period=args.period,
+                                                     limit=args.limit or 20),
         "network_health": lambda: reports.network_health(spark.read.parquet(w.network)),
+        "trip_history": lambda: reports.trip_history(updates, args.trip, limit=args.limit or 20),
         "dim_routes": lambda: gold.dim_routes(updates),
         "route_performance": lambda: gold.gold_route_performance(updates),
         "ghost_trips": lambda: live.ghost_trips(delays, vehicles),
-        "incidents": lambda: live.incident_list(delays, vehicles),
+        "incidents": lambda: live.incident_list(delays, vehicles, show_ghosts=args.show_ghosts),
         "vehicle_delay_info": lambda: live.vehicle_delay_info(vehicles, delays),
     }
 
@@ -62,6 +67,13 @@ def main(argv=None) -> None:
     p.add_argument("--as-of", required=True)
     p.add_argument("--history-hours", type=int)
     p.add_argument("--out", required=True)
+    p.add_argument("--category")
+    p.add_argument("--route", help="route id prefix (delays)")
+    p.add_argument("--limit", type=int)
+    p.add_argument("--day", type=int, help="weekday, 0 = Sunday (worst_routes)")
+    p.add_argument("--period", help="time period (worst_routes)")
+    p.add_argument("--trip", help="trip id (trip_history)")
+    p.add_argument("--show-ghosts", action="store_true")
     args = ap.parse_args(argv)
 
     spark = get_session(app_name=f"ridepulse-{args.cmd}")
@@ -85,7 +97,7 @@ def main(argv=None) -> None:
         gold.gold_worst_routes_by_period(hourly).write.mode("overwrite").parquet(w.worst)
         gold.gold_network_summary(hourly).write.mode("overwrite").parquet(w.network)
     else:
-        table = _reports(spark, args.root, args.as_of, args.history_hours)
+        table = _reports(spark, args)
         if args.name not in table:
             ap.error(f"unknown report {args.name!r}; one of {sorted(table)}")
         table[args.name]().write.mode("overwrite").parquet(args.out)

@@ -16,6 +16,12 @@ def test_refresh_stream_and_report(spark):
     main(["refresh", "--landing", landing, "--root", f"{base}/wh"])
     main(["report", "delays", "--root", f"{base}/wh", "--as-of", catalog.AS_OF, "--out", f"{base}/delays"])
     assert spark.read.parquet(f"{base}/delays").count() == 75
+    main(["report", "trip_history", "--trip", "7_view", "--root", f"{base}/wh", "--as-of", catalog.AS_OF,
+          "--out", f"{base}/trip"])
+    assert 0 < spark.read.parquet(f"{base}/trip").count() <= 20
+    main(["report", "worst_routes", "--day", "1", "--limit", "3", "--root", f"{base}/wh", "--as-of", catalog.AS_OF,
+          "--out", f"{base}/worst"])
+    assert spark.read.parquet(f"{base}/worst").count() <= 3
     main(["report", "network_health", "--root", f"{base}/wh", "--as-of", catalog.AS_OF, "--out", f"{base}/net"])
     assert spark.read.parquet(f"{base}/net").count() == spark.read.parquet(jobs.Warehouse(f"{base}/wh").network).count()
 
