@@ -87,3 +87,15 @@ def test_history_window_prunes_date_partitions(spark):
     expect = reports.delay_trend(t.silver_trip_updates.where(
         F.col("loaded_at") >= F.lit("2024-01-08 00:00:00").cast("timestamp_ntz")), "2024-01-10 00:00:00")
     assert sorted(map(tuple, d.collect())) == sorted(map(tuple, expect.collect()))
+
+
+def test_trend_and_positions_join_reuses_their_partitioning(spark):
+    t = catalog.Tables(spark, SF_SMALL)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        p = plan(reports.delays(t.silver_trip_updates, t.silver_vehicle_positions, catalog.AS_OF, limit=None))
+        # one exchange per input (trend aggregate, latest-position window); the join adds none
+        assert p.count("Exchange hashpartitioning") == 2 and "SortMergeJoin" in p
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
