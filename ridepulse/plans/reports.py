@@ -20,6 +20,7 @@ from ridepulse.sources.dims import delay_bands
 
 MAX_DELAYS_LIMIT = 10000
 
+
 # Deterministic orders for "latest" (the published queries leave ties open).
 def update_order() -> list[Column]:
     return [F.col("loaded_at").desc_nulls_first(), F.col("delay_seconds").desc_nulls_last(),
@@ -167,8 +168,8 @@ def delays_summary(updates: DataFrame, positions: DataFrame, as_of, keep_empty:
     ``keep_empty=True`` lists all six bands.
     """
     t = delay_trend(updates, as_of, lookback_minutes, history_hours=history_hours)
-    gps = recent(positions, as_of, history_hours).select("trip_id").where(F.col("trip_id").isNotNull()).distinct() \
-        .withColumn("has_gps", F.lit(1))
+    gps = (recent(positions, as_of, history_hours).select("trip_id").where(F.col("trip_id").isNotNull())
+           .distinct().withColumn("has_gps", F.lit(1)))
     cur = (t.join(gps, "trip_id", "left")
            .groupBy("delay_category")
            .agg(F.count(F.lit(1)).cast("long").alias("count"),
