@@ -16,7 +16,6 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -88,14 +87,14 @@ def refresh_fact(silver_batch: DataFrame, fact_path: str) -> list:
     so the cost follows the batch, not the table.
     """
     spark = silver_batch.sparkSession
-    # Used twice (touched hours, then the append): kept in executor storage. It is deterministic (full
-    # tie-break in the dedup), so a lost block is recomputed to the same rows.
-    new = dedup_observations(fact_historical_delays(silver_batch)).persist(StorageLevel.MEMORY_AND_DISK)
+    # Used twice (touched hours, then the append): materialized once in the shared checkpoint folder. A
+    # checkpoint keeps the partitioning AQE chose (a cached plan may not coalesce its shuffle partitions,
+    # which would append one tiny file per shuffle partition and date).
+    new = stable(dedup_observations(fact_historical_delays(silver_batch)))
     # One small job: the touched hours (at most 24 per day in the batch) with their time range.
     hours = (new.groupBy("record_date", "record_hour")
              .agg(F.min("recorded_at").alias("lo"), F.max("recorded_at").alias("hi")).collect())
     if not hours:
-        new.unpersist()
         return []
     touched = [(r["record_date"], r["record_hour"]) for r in hours]
     dates = sorted({d for d, _ in touched})
@@ -107,7 +106,6 @@ def refresh_fact(silver_batch: DataFrame, fact_path: str) -> list:
                 .select("delay_record_id"))
         new = new.join(seen, "delay_record_id", "left_anti")
     append(new.select(*FACT_COLUMNS), fact_path, ["record_date"])
-    new.unpersist()
     return touched
 
 
