@@ -28,16 +28,36 @@ from ridepulse.session import shared_dir
 _EPOCH_DATE = _dt.date(1970, 1, 1)
 
 
-def table_exists(spark: SparkSession, path: str) -> bool:
+def _fs_path(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
     p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(conf)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def table_exists(spark: SparkSession, path: str) -> bool:
+    p, fs = _fs_path(spark, path)
     if not fs.exists(p):
         return False
     return any(not s.getPath().getName().startswith(("_", ".")) for s in fs.listStatus(p))
 
 
+def read_partitions(spark: SparkSession, path: str, col: str, values: Sequence) -> DataFrame | None:
+    """Read only the ``col=value`` partition folders of a table (None when none of them exists).
+
+    Listing just the touched folders keeps a refresh's file listing proportional to the batch, not to a table
+    with months of partitions.
+    """
+    dirs = []
+    for v in values:
+        d = f"{path.rstrip('/')}/{col}={v}"
+        p, fs = _fs_path(spark, d)
+        if fs.exists(p):
+            dirs.append(d)
+    if not dirs:
+        return None
+    return spark.read.option("basePath", path).parquet(*dirs)
+
+
 def read_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """The table at ``path``, or an empty frame of ``schema`` when it does not exist yet."""
     if table_exists(spark, path):
@@ -99,10 +119,9 @@ def refresh_fact(silver_batch: DataFrame, fact_path: str) -> list:
     touched = [(r["record_date"], r["record_hour"]) for r in hours]
     dates = sorted({d for d, _ in touched})
     lo, hi = min(r["lo"] for r in hours), max(r["hi"] for r in hours)
-    if table_exists(spark, fact_path):
-        seen = (spark.read.parquet(fact_path)
-                .where(F.col("record_date").isin(dates))
-                .where(F.col("recorded_at").between(ntz_literal(lo), ntz_literal(hi)))
+    stored = read_partitions(spark, fact_path, "record_date", dates)
+    if stored is not None:
+        seen = (stored.where(F.col("recorded_at").between(ntz_literal(lo), ntz_literal(hi)))
                 .select("delay_record_id"))
         new = new.join(seen, "delay_record_id", "left_anti")
     append(new.select(*FACT_COLUMNS), fact_path, ["record_date"])
@@ -134,10 +153,11 @@ def refresh_hourly(fact_path: str, hourly_path: str, touched: list, spark: Spark
         return
     dates = sorted({d for d, _ in touched})
     hit = _hours_filter(touched)
-    fact = spark.read.parquet(fact_path).where(F.col("record_date").isin(dates)).where(hit)
+    fact = read_partitions(spark, fact_path, "record_date", dates).where(hit)
     fresh = gold_route_performance_hourly(fact)
-    if table_exists(spark, hourly_path):
-        kept = spark.read.parquet(hourly_path).where(F.col("record_date").isin(dates)).where(~hit)
+    stored = read_partitions(spark, hourly_path, "record_date", dates)
+    if stored is not None:
+        kept = stored.where(~hit)
         fresh = kept.unionByName(fresh.select(*kept.columns))
     overwrite_partitions(stable(fresh), hourly_path, ["record_date"])
 
@@ -151,35 +171,59 @@ def incremental_fact_batch(silver: DataFrame, fact_path: str, lateness: str = "1
     return incremental_since(silver, "loaded_at", mark, lateness)
 
 
+def partition_values(spark: SparkSession, path: str, col: str) -> list[str]:
+    """The ``col=value`` folder values of a partitioned table, from one directory listing (no data read)."""
+    p, fs = _fs_path(spark, path)
+    if not fs.exists(p):
+        return []
+    prefix = f"{col}="
+    return sorted(st.getPath().getName()[len(prefix):] for st in fs.listStatus(p)
+                  if st.isDirectory() and st.getPath().getName().startswith(prefix))
+
+
+def _as_date(value: str):
+    try:
+        return _dt.date.fromisoformat(value)
+    except ValueError:          # e.g. the null partition: never expired
+        return None
+
+
 def prune_table(path: str, ts_col: str, as_of, hours: int = 24, partition_col: str | None = None,
                 spark: SparkSession | None = None) -> tuple[int, int]:
     """Retention on disk: rewrite the table without rows older than ``as_of - hours``.
 
-    With a date ``partition_col`` only partitions that hold expired rows are rewritten (whole expired dates
-    become empty and disappear). Returns ``(kept, pruned)`` for the rewritten partitions.
+    With ``partition_col`` holding the date of ``ts_col``, the folders are classified from one directory
+    listing: dates before the cut-off date are wholly expired and deleted (their rows are only counted), and
+    only the cut-off date itself is read and, if it holds expired rows, rewritten. Returns ``(kept, pruned)``:
+    rows kept in rewritten partitions and rows removed.
     """
-    df = spark.read.parquet(path)
-    cutoff = ntz_literal(as_of) - F.expr(f"INTERVAL {int(hours)} HOURS")
-    if partition_col:
-        old_parts = touched_values(df.where(F.col(ts_col) < cutoff), partition_col)
-        if not old_parts:
-            return 0, 0
-        df = df.where(F.col(partition_col).isin(old_parts))
-    kept, counts = prune_old(df, ts_col, as_of, hours)
-    c = counts.first()
-    kept = stable(kept)
-    if partition_col:
-        emptied = [p for p in old_parts if p not in set(touched_values(kept, partition_col))]
-        overwrite_partitions(kept, path, [partition_col])
-        _drop_partitions(spark, path, partition_col, emptied)
-    else:
-        overwrite(kept, path)
-    return int(c["kept"]), int(c["pruned"])
+    cutoff_day = (_dt.datetime.fromisoformat(str(as_of)) - _dt.timedelta(hours=int(hours))).date()
+    if not partition_col:
+        kept, counts = prune_old(spark.read.parquet(path), ts_col, as_of, hours)
+        c = counts.first()
+        if int(c["pruned"]):
+            overwrite(stable(kept), path)
+        return int(c["kept"]), int(c["pruned"])
+    values = [(v, _as_date(v)) for v in partition_values(spark, path, partition_col)]
+    expired = [v for v, d in values if d is not None and d < cutoff_day]
+    boundary = [v for v, d in values if d == cutoff_day]
+    pruned = read_partitions(spark, path, partition_col, expired).count() if expired else 0
+    kept_rows = 0
+    edge = read_partitions(spark, path, partition_col, boundary) if boundary else None
+    if edge is not None:
+        kept, counts = prune_old(edge, ts_col, as_of, hours)
+        c = counts.first()
+        if int(c["pruned"]):
+            kept_rows, pruned = int(c["kept"]), pruned + int(c["pruned"])
+            if kept_rows:
+                overwrite_partitions(stable(kept), path, [partition_col])
+            else:
+                expired += boundary
+    _drop_partitions(spark, path, partition_col, expired)
+    return kept_rows, pruned
 
 
 def _drop_partitions(spark: SparkSession, path: str, col: str, values: list) -> None:
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
     for v in values:
-        p = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{col}={v}")
-        p.getFileSystem(conf).delete(p, True)
+        p, fs = _fs_path(spark, f"{path.rstrip('/')}/{col}={v}")
+        fs.delete(p, True)

@@ -86,3 +86,16 @@ def test_warehouse_runs_equal_full_build_and_prune(spark):
     assert pruned_v > 0
     left = spark.read.parquet(w.bronze_trips)
     assert left.where(F.col("ingestion_timestamp") < ntz_literal("2024-01-28 00:00:00")).count() == 0
+
+
+def test_prune_table_rewrites_the_boundary_date(spark):
+    base = tempfile.mkdtemp(prefix="rp-prune-edge-")
+    path = f"{base}/t"
+    df = spark.createDataFrame([(D(2024, 1, 8, 23),), (D(2024, 1, 9, 1),), (D(2024, 1, 9, 12),),
+                                (D(2024, 1, 9, 18),)], "ts timestamp_ntz").withColumn("d", F.to_date("ts"))
+    tables.overwrite(df, path, ["d"])
+    kept, pruned = tables.prune_table(path, "ts", "2024-01-10 00:00:00", 12, partition_col="d", spark=spark)
+    assert (kept, pruned) == (2, 2)                 # cut-off 2024-01-09 12:00: the 12:00 row is kept
+    left = sorted(r.ts for r in spark.read.parquet(path).collect())
+    assert left == [D(2024, 1, 9, 12), D(2024, 1, 9, 18)]
+    assert tables.partition_values(spark, path, "d") == ["2024-01-09"]
