@@ -162,12 +162,17 @@ def refresh_hourly(fact_path: str, hourly_path: str, touched: list, spark: Spark
     overwrite_partitions(stable(fresh), hourly_path, ["record_date"])
 
 
+def fact_high_water_mark(spark: SparkSession, fact_path: str):
+    """Latest ``recorded_at`` of the fact, read from its newest date folder only (None for no table)."""
+    dates = [v for v in partition_values(spark, fact_path, "record_date") if _as_date(v) is not None]
+    if not dates:
+        return None
+    return read_partitions(spark, fact_path, "record_date", dates[-1:]).agg(F.max("recorded_at")).first()[0]
+
+
 def incremental_fact_batch(silver: DataFrame, fact_path: str, lateness: str = "1 HOUR") -> DataFrame:
     """The silver rows a scheduled run has to merge: everything at or after the fact's mark - lateness."""
-    spark = silver.sparkSession
-    mark = None
-    if table_exists(spark, fact_path):
-        mark = spark.read.parquet(fact_path).agg(F.max("recorded_at")).first()[0]
+    mark = fact_high_water_mark(silver.sparkSession, fact_path)
     return incremental_since(silver, "loaded_at", mark, lateness)
 
 
