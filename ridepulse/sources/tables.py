@@ -41,6 +41,23 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return any(not s.getPath().getName().startswith(("_", ".")) for s in fs.listStatus(p))
 
 
+def partition_values(spark: SparkSession, path: str, col: str) -> list[str]:
+    """The ``col=value`` folder values of a partitioned table, from one directory listing (no data read)."""
+    p, fs = _fs_path(spark, path)
+    if not fs.exists(p):
+        return []
+    prefix = f"{col}="
+    return sorted(st.getPath().getName()[len(prefix):] for st in fs.listStatus(p)
+                  if st.isDirectory() and st.getPath().getName().startswith(prefix))
+
+
+def _as_date(value: str):
+    try:
+        return _dt.date.fromisoformat(value)
+    except ValueError:          # e.g. the null partition: never expired
+        return None
+
+
 def read_partitions(spark: SparkSession, path: str, col: str, values: Sequence) -> DataFrame | None:
     """Read only the ``col=value`` partition folders of a table (None when none of them exists).
 
@@ -58,6 +75,12 @@ def read_partitions(spark: SparkSession, path: str, col: str, values: Sequence)
     return spark.read.option("basePath", path).parquet(*dirs)
 
 
+def _drop_partitions(spark: SparkSession, path: str, col: str, values: list) -> None:
+    for v in values:
+        p, fs = _fs_path(spark, f"{path.rstrip('/')}/{col}={v}")
+        fs.delete(p, True)
+
+
 def read_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """The table at ``path``, or an empty frame of ``schema`` when it does not exist yet."""
     if table_exists(spark, path):
@@ -176,23 +199,6 @@ def incremental_fact_batch(silver: DataFrame, fact_path: str, lateness: str = "1
     return incremental_since(silver, "loaded_at", mark, lateness)
 
 
-def partition_values(spark: SparkSession, path: str, col: str) -> list[str]:
-    """The ``col=value`` folder values of a partitioned table, from one directory listing (no data read)."""
-    p, fs = _fs_path(spark, path)
-    if not fs.exists(p):
-        return []
-    prefix = f"{col}="
-    return sorted(st.getPath().getName()[len(prefix):] for st in fs.listStatus(p)
-                  if st.isDirectory() and st.getPath().getName().startswith(prefix))
-
-
-def _as_date(value: str):
-    try:
-        return _dt.date.fromisoformat(value)
-    except ValueError:          # e.g. the null partition: never expired
-        return None
-
-
 def prune_table(path: str, ts_col: str, as_of, hours: int = 24, partition_col: str | None = None,
                 spark: SparkSession | None = None) -> tuple[int, int]:
     """Retention on disk: rewrite the table without rows older than ``as_of - hours``.
@@ -226,9 +232,3 @@ def prune_table(path: str, ts_col: str, as_of, hours: int = 24, partition_col: s
                 expired += boundary
     _drop_partitions(spark, path, partition_col, expired)
     return kept_rows, pruned
-
-
-def _drop_partitions(spark: SparkSession, path: str, col: str, values: list) -> None:
-    for v in values:
-        p, fs = _fs_path(spark, f"{path.rstrip('/')}/{col}={v}")
-        fs.delete(p, True)
