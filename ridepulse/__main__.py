@@ -56,6 +56,7 @@ def main(argv=None) -> None:
     r.add_argument("--root", required=True)
     r.add_argument("--as-of")
     r.add_argument("--retention-hours", type=int)
+    r.add_argument("--run-id", help="makes a repeated run of the same batch replace its bronze/silver rows")
     s = sub.add_parser("stream", help="process newly landed snapshots (availableNow) into bronze and gold")
     s.add_argument("--landing", required=True)
     s.add_argument("--root", required=True)
@@ -79,7 +80,8 @@ def main(argv=None) -> None:
     spark = get_session(app_name=f"ridepulse-{args.cmd}")
     if args.cmd == "refresh":
         feed = spark.read.schema(schemas.FEED).parquet(args.landing)
-        print(jobs.refresh_warehouse(feed, args.root, as_of=args.as_of, retention_hours=args.retention_hours))
+        print(jobs.refresh_warehouse(feed, args.root, as_of=args.as_of, retention_hours=args.retention_hours,
+                                     run_id=args.run_id))
     elif args.cmd == "stream":
         w = jobs.Warehouse(args.root)
         stream.stream_bronze(spark, args.landing, w.bronze_trips, f"{args.checkpoint}/bronze_trips")

@@ -75,6 +75,19 @@ def read_partitions(spark: SparkSession, path: str, col: str, values: Sequence)
     return spark.read.option("basePath", path).parquet(*dirs)
 
 
+def nested_partition_columns(spark: SparkSession, folder: str) -> list[str]:
+    """Partition columns below ``folder`` (``name=value`` sub-folders, followed down the first branch)."""
+    cols = []
+    p, fs = _fs_path(spark, folder)
+    while fs.exists(p):
+        subs = [st.getPath() for st in fs.listStatus(p) if st.isDirectory() and "=" in st.getPath().getName()]
+        if not subs:
+            break
+        cols.append(subs[0].getName().split("=", 1)[0])
+        p = subs[0]
+    return cols
+
+
 def _drop_partitions(spark: SparkSession, path: str, col: str, values: list) -> None:
     for v in values:
         p, fs = _fs_path(spark, f"{path.rstrip('/')}/{col}={v}")
@@ -227,7 +240,9 @@ def prune_table(path: str, ts_col: str, as_of, hours: int = 24, partition_col: s
         if int(c["pruned"]):
             kept_rows, pruned = int(c["kept"]), pruned + int(c["pruned"])
             if kept_rows:
-                overwrite_partitions(stable(kept), path, [partition_col])
+                # keep the table's layout, including partition levels below the date (e.g. a run id)
+                inner = nested_partition_columns(spark, f"{path.rstrip('/')}/{partition_col}={boundary[0]}")
+                overwrite_partitions(stable(kept), path, [partition_col, *inner])
             else:
                 expired += boundary
     _drop_partitions(spark, path, partition_col, expired)

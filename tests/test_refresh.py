@@ -99,3 +99,33 @@ def test_prune_table_rewrites_the_boundary_date(spark):
     left = sorted(r.ts for r in spark.read.parquet(path).collect())
     assert left == [D(2024, 1, 9, 12), D(2024, 1, 9, 18)]
     assert tables.partition_values(spark, path, "d") == ["2024-01-09"]
+
+
+def test_rerun_with_run_id_is_idempotent(spark):
+    from conftest import SF_SMALL
+    from ridepulse.plans import catalog, jobs
+    t = catalog.Tables(spark, SF_SMALL)
+    root = tempfile.mkdtemp(prefix="rp-rerun-")
+    for _ in range(2):                               # the same run delivered twice (e.g. a retried job)
+        jobs.refresh_warehouse(t.feed, root, run_id="2024-01-31T00:00")
+    w = jobs.Warehouse(root)
+    assert spark.read.parquet(w.bronze_trips).count() == t.bronze_trip_updates.count()
+    assert spark.read.parquet(w.silver_trips).count() == t.silver_trip_updates.count()
+    assert spark.read.parquet(w.fact).count() == t.fact.count()
+    assert _sorted(spark.read.parquet(w.hourly)) == _sorted(t.hourly)
+
+
+def test_retention_keeps_run_id_layout(spark):
+    from conftest import SF_SMALL
+    from ridepulse.plans import catalog, jobs
+    t = catalog.Tables(spark, SF_SMALL)
+    root = tempfile.mkdtemp(prefix="rp-runid-prune-")
+    out = jobs.refresh_warehouse(t.feed, root, as_of="2024-01-20 06:00:00", retention_hours=24, run_id="r1")
+    w = jobs.Warehouse(root)
+    left = spark.read.parquet(w.bronze_trips)
+    assert out["pruned"]["bronze_trip_updates"][1] > 0
+    assert left.where(F.col("ingestion_timestamp") < F.lit("2024-01-19 06:00:00").cast("timestamp_ntz")).count() == 0
+    assert left.where(F.col("ingestion_timestamp") >= F.lit("2024-01-19 06:00:00").cast("timestamp_ntz")).count() \
+        == t.bronze_trip_updates.where(F.col("ingestion_timestamp") >= F.lit("2024-01-19 06:00:00")
+                                       .cast("timestamp_ntz")).count()
+    assert set(left.columns) >= {"ingest_date", "run_id"}
