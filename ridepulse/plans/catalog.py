@@ -230,14 +230,14 @@ def _stream_trend(t: Tables) -> DataFrame:
 
 
 def _warehouse_runs(t: Tables) -> str:
-    """Three scheduled runs over the events-derived feed: before the split, a replay of the day before it,
-    and everything after it. Returns the warehouse root."""
+    """Scheduled runs over the events-derived feed: before the split, a re-delivery of the day before it,
+    and everything after it, each under its own run id. Returns the warehouse root."""
     root = scratch_path(t.spark, "warehouse")
     f = t.feed
-    jobs.refresh_warehouse(_before(f, "obs_ts"), root)
+    jobs.refresh_warehouse(_before(f, "obs_ts"), root, run_id="r1")
     jobs.refresh_warehouse(f.where((F.col("obs_ts") >= silver.ntz_literal("2024-01-14 00:00:00"))
-                                   & (F.col("obs_ts") < silver.ntz_literal(SPLIT))), root)
-    jobs.refresh_warehouse(_from(f, "obs_ts"), root)
+                                   & (F.col("obs_ts") < silver.ntz_literal(SPLIT))), root, run_id="r2")
+    jobs.refresh_warehouse(_from(f, "obs_ts"), root, run_id="r3")
     return root
 
 
