@@ -27,14 +27,22 @@ def main() -> None:
                         extra={"spark.driver.memory": os.environ.get("BENCH_MEM", "6g"),
                                "ridepulse.spreadSmallInput": os.environ.get("BENCH_SPREAD", "false")})
     QUERIES["gold_route_performance_hourly"](spark, sf_dir).write.format("noop").mode("overwrite").save()
-    times: dict[str, float] = {}
+    times: dict[str, float | None] = {}
+    errors: dict[str, str] = {}
     for name in (only or list(QUERIES)):
         t0 = time.perf_counter()
-        QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-        times[name] = round(time.perf_counter() - t0, 3)
+        try:
+            QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+            times[name] = round(time.perf_counter() - t0, 3)
+        except Exception as e:  # noqa: BLE001 - one failing query must not hide the others' timings
+            times[name] = None
+            errors[name] = f"{type(e).__name__}: {str(e)[:200]}"
     m = re.search(r"sf([0-9.]+)", sf_dir)
-    print(json.dumps({"metric": "total_query_seconds", "value": round(sum(times.values()), 3), "unit": "sec",
-                      "queries": times, "sf": float(m.group(1)) if m else sf_dir, "cpus": cpus}))
+    out = {"metric": "total_query_seconds", "value": round(sum(v for v in times.values() if v is not None), 3),
+           "unit": "sec", "queries": times, "sf": float(m.group(1)) if m else sf_dir, "cpus": cpus}
+    if errors:
+        out["errors"] = errors
+    print(json.dumps(out))
     spark.stop()
 
 
