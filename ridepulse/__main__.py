@@ -62,6 +62,9 @@ def main(argv=None) -> None:
     s.add_argument("--root", required=True)
     s.add_argument("--checkpoint", required=True)
     s.add_argument("--max-files-per-trigger", type=int)
+    c = sub.add_parser("compact", help="compact the append-heavy tables for closed dates")
+    c.add_argument("--root", required=True)
+    c.add_argument("--date", action="append", required=True, help="YYYY-MM-DD (repeatable)")
     p = sub.add_parser("report", help="write one report as parquet")
     p.add_argument("name")
     p.add_argument("--root", required=True)
@@ -82,6 +85,8 @@ def main(argv=None) -> None:
         feed = spark.read.schema(schemas.FEED).parquet(args.landing)
         print(jobs.refresh_warehouse(feed, args.root, as_of=args.as_of, retention_hours=args.retention_hours,
                                      run_id=args.run_id))
+    elif args.cmd == "compact":
+        print(jobs.compact_warehouse(spark, args.root, args.date))
     elif args.cmd == "stream":
         w = jobs.Warehouse(args.root)
         stream.stream_bronze(spark, args.landing, w.bronze_trips, f"{args.checkpoint}/bronze_trips")

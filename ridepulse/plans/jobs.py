@@ -119,3 +119,19 @@ def refresh_warehouse(feed_batch: DataFrame, root: str, as_of=None, retention_ho
             pruned[name] = tables.prune_table(p, "ingestion_timestamp", as_of, retention_hours,
                                               partition_col="ingest_date", spark=spark)
     return {"touched_hours": len(touched), "pruned": pruned}
+
+
+def compact_warehouse(spark: SparkSession, root: str, dates: list[str], target_file_bytes: int = 256 << 20) -> dict:
+    """Compact the append-heavy tables (bronze, silver, fact) for closed dates, e.g. yesterday's: a
+    five-minute cadence leaves hundreds of small files per date folder."""
+    w = Warehouse(root)
+    out = {}
+    for name, path, col in (("bronze_vehicle_positions", w.bronze_vehicles, "ingest_date"),
+                            ("bronze_trip_updates", w.bronze_trips, "ingest_date"),
+                            ("silver_vehicle_positions", w.silver_vehicles, "loaded_date"),
+                            ("silver_trip_updates", w.silver_trips, "loaded_date"),
+                            ("fact_historical_delays", w.fact, "record_date")):
+        present = [d for d in dates if d in set(tables.partition_values(spark, path, col))]
+        if present:
+            out[name] = tables.compact_partitions(spark, path, col, present, target_file_bytes)
+    return out

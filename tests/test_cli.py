@@ -25,6 +25,10 @@ def test_refresh_stream_and_report(spark):
     main(["report", "network_health", "--root", f"{base}/wh", "--as-of", catalog.AS_OF, "--out", f"{base}/net"])
     assert spark.read.parquet(f"{base}/net").count() == spark.read.parquet(jobs.Warehouse(f"{base}/wh").network).count()
 
+    before = spark.read.parquet(jobs.Warehouse(f"{base}/wh").fact).count()
+    main(["compact", "--root", f"{base}/wh", "--date", "2024-01-02", "--date", "2024-01-03"])
+    assert spark.read.parquet(jobs.Warehouse(f"{base}/wh").fact).count() == before
+
     main(["stream", "--landing", landing, "--root", f"{base}/wh2", "--checkpoint", f"{base}/ckpt"])
     main(["stream", "--landing", landing, "--root", f"{base}/wh2", "--checkpoint", f"{base}/ckpt"])   # no new files
     w1, w2 = jobs.Warehouse(f"{base}/wh"), jobs.Warehouse(f"{base}/wh2")

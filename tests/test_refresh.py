@@ -129,3 +129,15 @@ def test_retention_keeps_run_id_layout(spark):
         == t.bronze_trip_updates.where(F.col("ingestion_timestamp") >= F.lit("2024-01-19 06:00:00")
                                        .cast("timestamp_ntz")).count()
     assert set(left.columns) >= {"ingest_date", "run_id"}
+
+
+def test_compaction_keeps_rows_and_reduces_files(spark):
+    base = tempfile.mkdtemp(prefix="rp-compact-")
+    path = f"{base}/fact"
+    u = _silver(spark, [(f"t{i}", "R1_0", i, "S1", D(2024, 1, 2, i % 24, i % 60)) for i in range(200)])
+    for i in range(5):                                     # five small appends to the same date
+        tables.refresh_fact(u.where(F.col("delay_seconds") % 5 == i), path)
+    rows_before = sorted(map(tuple, spark.read.parquet(path).collect()))
+    out = tables.compact_partitions(spark, path, "record_date", ["2024-01-02"])
+    assert out["files_after"] == 1 and out["files_before"] > 1
+    assert sorted(map(tuple, spark.read.parquet(path).collect())) == rows_before
