@@ -141,3 +141,14 @@ def test_compaction_keeps_rows_and_reduces_files(spark):
     out = tables.compact_partitions(spark, path, "record_date", ["2024-01-02"])
     assert out["files_after"] == 1 and out["files_before"] > 1
     assert sorted(map(tuple, spark.read.parquet(path).collect())) == rows_before
+
+
+def test_high_water_mark_reads_newest_date_folder(spark):
+    base = tempfile.mkdtemp(prefix="rp-hwm-")
+    path = f"{base}/fact"
+    assert tables.fact_high_water_mark(spark, path) is None
+    tables.refresh_fact(_silver(spark, [("t1", "R1_0", 1, "S1", D(2024, 1, 2, 10, 0)),
+                                        ("t2", "R1_0", 1, "S1", D(2024, 1, 3, 9, 0))]), path)
+    assert tables.fact_high_water_mark(spark, path) == D(2024, 1, 3, 9, 0)
+    assert tables.partition_values(spark, path, "record_date") == ["2024-01-02", "2024-01-03"]
+    assert tables.nested_partition_columns(spark, path) == ["record_date"]
