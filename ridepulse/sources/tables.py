@@ -229,9 +229,11 @@ def refresh_hourly(fact_path: str, hourly_path: str, touched: list, spark: Spark
     fact = read_partitions(spark, fact_path, "record_date", dates).where(hit)
     fresh = gold_route_performance_hourly(fact)
     stored = read_partitions(spark, hourly_path, "record_date", dates)
-    if stored is not None:
-        kept = stored.where(~hit)
-        fresh = kept.unionByName(fresh.select(*kept.columns))
+    if stored is None:                   # new dates only: nothing is read from the folders being written
+        overwrite_partitions(fresh, hourly_path, ["record_date"])
+        return
+    kept = stored.where(~hit)
+    fresh = kept.unionByName(fresh.select(*kept.columns))
     overwrite_partitions(stable(fresh), hourly_path, ["record_date"])
 
 
