@@ -180,18 +180,19 @@ def refresh_fact(silver_batch: DataFrame, fact_path: str) -> list:
     so the cost follows the batch, not the table.
     """
     spark = silver_batch.sparkSession
-    # Used twice (touched hours, then the append): materialized once in the shared checkpoint folder. A
-    # checkpoint keeps the partitioning AQE chose (a cached plan may not coalesce its shuffle partitions,
-    # which would append one tiny file per shuffle partition and date).
-    new = stable(dedup_observations(fact_historical_delays(silver_batch)))
-    # One small job: the touched hours (at most 24 per day in the batch) with their time range.
-    hours = (new.groupBy("record_date", "record_hour")
+    fact = fact_historical_delays(silver_batch)
+    # One small job: the touched hours (at most 24 per day in the batch) with their time range. Duplicates
+    # share their key (trip, second), hence their hour, so this can run before the dedup.
+    hours = (fact.groupBy("record_date", "record_hour")
              .agg(F.min("recorded_at").alias("lo"), F.max("recorded_at").alias("hi")).collect())
     if not hours:
         return []
     touched = [(r["record_date"], r["record_hour"]) for r in hours]
     dates = sorted({d for d, _ in touched})
     lo, hi = min(r["lo"] for r in hours), max(r["hi"] for r in hours)
+    # The batch is recomputed for the append (no cache: a cached plan keeps all shuffle partitions and would
+    # write one tiny file per partition and date; the dedup has a full tie-break, so it is deterministic).
+    new = dedup_observations(fact)
     stored = read_partitions(spark, fact_path, "record_date", dates)
     if stored is not None:
         seen = (stored.where(F.col("recorded_at").between(ntz_literal(lo), ntz_literal(hi)))
