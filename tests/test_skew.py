@@ -12,11 +12,8 @@ import __spark_entry__ as entry_mod
 from compare import compare
 from conftest import SF_SMALL
 
-HOT_QUERIES = ["silver_trip_updates", "upsert_trip_updates", "upsert_vehicle_positions", "latest_vehicles",
-               "latest_delay", "delay_trend", "delays", "delays_summary", "gold_route_performance_hourly",
-               "gold_worst_routes_by_period", "gold_network_summary", "dim_routes", "gold_route_performance",
-               "ghost_trips", "vehicle_delay_info", "selection_bounds", "worst_delay_by_route",
-               "insert_if_absent", "merge_by_key", "gps_delay_coverage", "silver_trip_updates_gps"]
+HOT_QUERIES = sorted(n for n in entry_mod.queries()
+                     if not n.startswith(("stream", "refresh", "warehouse")))
 
 
 @pytest.fixture(scope="module")
