@@ -165,11 +165,6 @@ def stable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def touched_values(df: DataFrame, col: str) -> list:
-    """Distinct values of a partition column in a batch (a handful of dates: bounded, safe to collect)."""
-    return [r[0] for r in df.select(col).distinct().collect()]
-
-
 def refresh_fact(silver_batch: DataFrame, fact_path: str) -> list:
     """Add a silver batch to the fact table (partitioned by ``record_date``); returns the touched
     ``(record_date, record_hour)`` pairs.
