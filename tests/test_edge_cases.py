@@ -86,3 +86,12 @@ def test_null_trip_and_route_in_live_matching(spark):
     assert (b.n_matches, b.mode, b.center_lat) == (1, "center", 1.0)
     info = {r.vehicle_id: r.matched_by for r in live.vehicle_delay_info(v, d).collect()}
     assert info == {"v1": "route", "v2": "default"}
+
+
+def test_history_window_on_frames_without_date_column(spark):
+    u = _updates(spark, [("t1", "R1_0", 30, "S1", D(2024, 1, 8, 23, 0)), ("t1", "R1_0", 500, "S1", D(2024, 1, 9, 23, 0)),
+                         ("t2", "R1_0", 10, "S1", D(2024, 1, 7, 0, 0))])
+    full = {r.trip_id: r.delay_seconds for r in reports.delay_trend(u, AS_OF).collect()}
+    recent = {r.trip_id: (r.delay_seconds, r.trend) for r in reports.delay_trend(u, AS_OF, history_hours=30).collect()}
+    assert full == {"t1": 500, "t2": 10}
+    assert recent == {"t1": (500, "worsening")}          # t2 has no row in the last 30 hours
