@@ -94,4 +94,5 @@ def test_history_window_on_frames_without_date_column(spark):
     full = {r.trip_id: r.delay_seconds for r in reports.delay_trend(u, AS_OF).collect()}
     recent = {r.trip_id: (r.delay_seconds, r.trend) for r in reports.delay_trend(u, AS_OF, history_hours=30).collect()}
     assert full == {"t1": 500, "t2": 10}
-    assert recent == {"t1": (500, "worsening")}          # t2 has no row in the last 30 hours
+    # t2 has no row in the last 30 hours; t1's latest row is also its latest row before the cut-off
+    assert recent == {"t1": (500, "stable")}
