@@ -89,7 +89,3 @@ def feed_snapshots(events: DataFrame) -> DataFrame:
                     'departure', CASE WHEN event_id % {NO_TIMES_MOD} <> 0 THEN {delay} END,
                     'stop_id', concat('S', CAST(event_id % {STOP_MOD} AS STRING)))) END))) AS entity"""
     return events_base(events).selectExpr("event_id", "obs_ts", entity)
-
-
-def feed_from_dir(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return feed_snapshots(read_table(spark, sf_dir, "events"))

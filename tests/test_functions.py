@@ -87,6 +87,8 @@ def test_epoch_round_trip_is_zone_free(spark):
         df = spark.createDataFrame([(1704164645,)], "s long").select(C.from_epoch_seconds("s").alias("t"))
         row = df.select(F.col("t").cast("string"), C.epoch_seconds("t")).first()
         assert row[0] == "2024-01-02 03:04:05" and row[1] == 1704164645
+        frac = spark.sql("select timestamp_ntz'2024-01-02 03:04:05.987' as t").select(C.truncate_to_second("t"))
+        assert str(frac.first()[0]) == "2024-01-02 03:04:05"
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
 
