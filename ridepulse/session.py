@@ -70,8 +70,14 @@ def shared_dir(spark: SparkSession) -> str:
     On a cluster this setting names a shared file system location and is used as is (and is required). Only
     in local mode, when it is unset (tests), is a fresh local folder created and registered.
     """
-    sc = spark.sparkContext
-    path = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    path = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - a remote (Connect) session has no local SparkContext
+        if path:
+            return path
+        raise RuntimeError("set spark.checkpoint.dir on the server to a folder on a shared file system")
+    path = path or sc.getConf().get("spark.checkpoint.dir", None)
     if path:
         return path
     current = sc.getCheckpointDir()
