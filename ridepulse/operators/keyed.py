@@ -51,9 +51,14 @@ def upsert(current: DataFrame, batch: DataFrame, keys: Sequence[str], order_by:
     """
     both = (current.withColumn("_src", F.lit(0))
             .unionByName(batch.withColumn("_src", F.lit(1)), allowMissingColumns=True))
-    seq = (F.struct(F.col("_src"), *_order(order_by)) if batch_wins
-           else F.struct(*_order(order_by), F.col("_src")))
     values = [c for c in both.columns if c not in keys and c != "_src"]
+    # Remaining atomic columns complete the order, so rows tied on ``order_by`` still resolve the same way
+    # on every run (no dependence on partitioning or task order).
+    named = {c for c in order_by if isinstance(c, str)}
+    simple = {f.name for f in both.schema.fields if f.dataType.typeName() not in ("map", "array", "struct")}
+    rest = [F.col(c) for c in values if c not in named and c in simple]
+    seq = (F.struct(F.col("_src"), *_order(order_by), *rest) if batch_wins
+           else F.struct(*_order(order_by), F.col("_src"), *rest))
     aggs = [F.max_by(F.struct(*values), seq).alias("_last")]
     aggs += [F.min_by(F.col(c), seq).alias(f"_first_{c}") for c in keep_first]
     out = both.groupBy(*keys).agg(*aggs)

@@ -53,3 +53,27 @@ def test_band_and_minutes_match_model(spark, secs):
     for s, (band, minutes, cents) in zip(secs, rows):
         exact = (Decimal(s) / Decimal(60)).quantize(Decimal("0.01"), rounding=ROUND_HALF_UP)
         assert band == band_model(s) and minutes == float(exact) and cents == int(exact * 100)
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from("abc"), st.integers(0, 5), st.sampled_from(["R1", "R2"]),
+                          st.integers(0, 1)), min_size=1, max_size=25))
+def test_upsert_matches_sequential_model(spark, rows):
+    """Applying a batch with ``upsert`` equals replaying it row by row into a dict (ON CONFLICT semantics)."""
+    import datetime as dt
+    from ridepulse.operators.keyed import upsert
+    base = dt.datetime(2024, 1, 1)
+    cur_rows = [(k, r, f"v{t}", base + dt.timedelta(minutes=t)) for k, t, r, b in rows if b == 0]
+    bat_rows = [(k, r, f"w{t}", base + dt.timedelta(minutes=10 + t)) for k, t, r, b in rows if b == 1]
+    schema = "trip_id string, route_id string, raw_data string, ingestion_timestamp timestamp_ntz"
+    # stored table: one row per key (latest of the current rows, first route kept)
+    model = {}
+    # full order: (time, payload, route), the route being the implicit tie-break of the operator
+    for k, r, v, ts in sorted(cur_rows, key=lambda x: (x[3], x[2], x[1])):
+        model[k] = (model[k][0] if k in model else r, v, ts)
+    current = upsert(spark.createDataFrame([], schema), spark.createDataFrame(cur_rows, schema), ["trip_id"],
+                     ["ingestion_timestamp", "raw_data"])
+    for k, r, v, ts in sorted(bat_rows, key=lambda x: (x[3], x[2], x[1])):
+        model[k] = (model[k][0] if k in model else r, v, ts)
+    got = upsert(current, spark.createDataFrame(bat_rows, schema), ["trip_id"], ["ingestion_timestamp", "raw_data"])
+    assert {r.trip_id: (r.route_id, r.raw_data, r.ingestion_timestamp) for r in got.collect()} == model
