@@ -7,8 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridepulse.llm import decontaminate
+from ridepulse.llm import decontaminate, packing, warc
 from ridepulse.llm.common import table
+from ridepulse.session import scratch_path
+
+
+def _tokenizer_path(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 1024 tokens."""
+    return packing.pack(table(spark, sf_dir, "documents", "doc_id", "text"),
+                        _tokenizer_path("byte_bpe_50k.json"), with_ids=False).drop("ids")
 
 
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,8 +34,51 @@ def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
         decontaminate.contaminated().alias("contaminated"))
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to WARC archives, and what reading the archives gives back."""
+    folder = scratch_path(spark, "warc")
+    warc.write_archive(table(spark, sf_dir, "pages", "page_id", "url", "html"), folder)
+    return warc.read_archive(spark, folder, payloads=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "intact")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op9_benchmark_decontamination,)
+    f.__name__: f for f in (op3_packing, op9_benchmark_decontamination, op10_warc)
 }
 
-ORACLE_SQL: dict[str, str] = {}
+#: Words of a text as the benchmark check takes them, and 13-word windows of a (key, text) relation.
+_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', " \
+         r"'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+ORACLE_SQL: dict[str, str] = {
+    "op9_benchmark_decontamination": f"""
+WITH b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+bw AS (SELECT DISTINCT item_id, array_to_string(w[i:i + 12], ' ') AS win, least(len(w), 13) AS n
+       FROM b, unnest(generate_series(1, greatest(1, len(w) - 12))) AS t(i) WHERE len(w) > 0),
+sizes AS (SELECT DISTINCT n FROM bw),
+d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+dw AS (SELECT doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') AS win
+       FROM d, sizes, unnest(generate_series(1, len(w) - n + 1)) AS t(i)),
+hits AS (SELECT doc_id, i, n, item_id FROM dw JOIN bw USING (win, n)),
+words_hit AS (SELECT doc_id, count(DISTINCT i + k) AS n_hit
+              FROM (SELECT DISTINCT doc_id, i, n FROM hits), unnest(generate_series(0, n - 1)) AS t(k) GROUP BY 1),
+items AS (SELECT doc_id, count(DISTINCT item_id) AS n_items,
+                 sha256(string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR))) AS sha
+          FROM hits GROUP BY 1)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, coalesce(sha, sha256('')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN words_hit USING (doc_id) LEFT JOIN items USING (doc_id)""",
+    "op10_warc": """
+WITH p AS (SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes, sha1(coalesce(html, '')) AS hex
+           FROM pages),
+b AS (SELECT *, max(page_id) OVER (PARTITION BY hex) AS keep,
+             list_transform(range(40), lambda i: position(hex[i + 1] IN '0123456789abcdef') - 1) AS nib FROM p)
+SELECT page_id, payload_bytes,
+       array_to_string(list_transform(range(32), lambda i: 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[
+           (((nib[5 * i // 4 + 1] * 16 + coalesce(nib[5 * i // 4 + 2], 0)) >> (3 - (5 * i) % 4)) & 31) + 1]), '')
+           AS payload_digest,
+       CASE WHEN page_id = keep THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> keep THEN keep END AS refers_to, true AS intact
+FROM b""",
+}
