@@ -15,7 +15,7 @@ from __future__ import annotations
 import os
 import zlib
 from dataclasses import dataclass, field
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ridepulse.llm.common import arrow_schema, bounded_batches, stored
+from ridepulse.llm.common import arrow_schema, bounded_batches, ranges, stored
 
 PIECE = [
     T.StructField("start", T.LongType()), T.StructField("length", T.LongType()),
@@ -31,71 +31,112 @@ PIECE = [
     T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType()),
     T.StructField("ids", T.BinaryType()),
 ]
-#: Distinct word chunks whose ids a task remembers; the memory is emptied when full.
-CACHE_CHUNKS = 400_000
+#: Distinct chunks, and distinct pre-tokens, whose ids a worker remembers; a full memory is emptied.
+CACHE = 1_000_000
+#: Fixed values of byte-level BPE: the published split pattern, and the characters that stand for the bytes.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+_PRINTED = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+BYTE_CHARS = {b: chr(b) for b in _PRINTED} | {
+    b: chr(256 + i) for i, b in enumerate(x for x in range(256) if x not in _PRINTED)}
+
+
+class _Codes(dict):
+    """Numbers its keys as they are first looked up."""
+
+    def __missing__(self, key):
+        code = self[key] = len(self)
+        return code
 
 
 class ChunkTokenizer:
-    """Token ids of whole texts, with the ids of word chunks remembered.
+    """Token ids of whole texts, with the ids of the word chunks remembered.
 
-    A byte-level pre-tokeniser never joins a non-blank character with a single blank after it, so a text can be cut
-    before each single blank between two non-blanks and the parts tokenised alone. Texts with other white space next
-    to a cut (double blanks, tabs, line ends beside blanks) are tokenised whole.
+    The split pattern never joins a non-blank with a single blank after it, so a text can be cut before each blank
+    between two non-blanks and the chunks tokenised alone: once each, by the tokenizer's own BPE model. Texts with
+    other white space beside a blank (double blanks, tabs, line ends) are tokenised whole.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs one task per core already
+        import regex
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.model, self.split = self.tokenizer.model, regex.compile(SPLIT).findall
+        self.parts: dict[str, list[int]] = {}
         self._reset()
 
     def _reset(self):
-        self.known: dict[str, int] = {}
+        self.codes = _Codes()
         self.flat = np.zeros(1 << 16, np.uint32)
         self.at = np.zeros(1, np.int64)  # ids of chunk k are flat[at[k]:at[k + 1]]
+        self.odd = np.zeros(0, bool)
+
+    def _ids(self, chunk: str) -> list[int]:
+        out: list[int] = []
+        for part in self.split(chunk):
+            got = self.parts.get(part)
+            if got is None:
+                if len(self.parts) >= CACHE:
+                    self.parts.clear()
+                got = self.parts[part] = self._part_ids(part)
+            out += got
+        return out
 
-    def _learn(self, chunks: list[str]):
-        got = self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)
-        ids = [x.ids for x in got]
+    def _part_ids(self, part: str) -> list[int]:
+        return [t.id for t in self.model.tokenize(part.encode().decode("latin-1").translate(BYTE_CHARS))]
+
+    def _learn(self):
+        """Ids of the words first seen since the last call, each with the blank before it."""
+        fresh = list(islice(self.codes, len(self.odd), None))
+        odd = [not w or w[0].isspace() or w[-1].isspace() for w in fresh]
+        blank, model = BYTE_CHARS[0x20], self.model.tokenize
+        ids = [[] if o else
+               ([t.id for t in model(blank + w)] if w.isascii() else self._part_ids(f" {w}")) if w.isalpha() else
+               self._ids(f" {w}")  # a blank with letters after it is one part
+               for w, o in zip(fresh, odd, strict=True)]
         sizes = np.fromiter(map(len, ids), np.int64, len(ids))
         end = int(self.at[-1])
-        new = np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum()))
-        while end + len(new) > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        self.flat[end:end + len(new)] = new
+        total = end + int(sizes.sum())
+        if total > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros(total, np.uint32)])
+        self.flat[end:total] = np.fromiter(chain.from_iterable(ids), np.uint32, total - end)
         self.at = np.concatenate([self.at, end + np.cumsum(sizes)])
-        for c in chunks:
-            self.known[c] = len(self.known)
+        self.odd = np.concatenate([self.odd, np.array(odd, bool)])
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.known) > CACHE_CHUNKS:
+        if len(self.codes) >= CACHE:
             self._reset()
-        parts: list[list[str] | None] = []
+        heads, coded = [], []
         for text in texts:
-            cut = text.split(" ")
-            head, cut = cut[0], [f" {x}" for x in cut[1:]]
-            cut.insert(0, head)
-            parts.append(cut if text else [])
-        fresh = {c for p in parts for c in p if c not in self.known}
-        odd = {c for c in fresh if c[-1:].isspace() or not c or c[1:2].isspace() or c[:1].isspace() and c[:1] != " "}
-        learn = sorted(fresh - odd)
-        if learn:
-            self._learn(learn)
+            found = text.split(" ")
+            heads.append(found[0])
+            coded.append(np.fromiter(map(self.codes.__getitem__, found[1:]), np.int64, len(found) - 1))
+        if len(self.codes) > len(self.odd):
+            self._learn()
         out: list[np.ndarray] = []
-        for text, cut in zip(texts, parts, strict=True):
-            if odd and not odd.isdisjoint(cut):
+        for text, head, codes in zip(texts, heads, coded, strict=True):
+            if head[-1:].isspace() or (len(codes) and not head) or self.odd[codes].any():
                 out.append(np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32))
                 continue
-            codes = np.fromiter(map(self.known.__getitem__, cut), np.int64, len(cut))
-            sizes = self.at[codes + 1] - self.at[codes]
-            total = int(sizes.sum())
-            first = np.cumsum(sizes) - sizes
-            out.append(self.flat[np.arange(total) + np.repeat(self.at[codes] - first, sizes)])
+            first = np.array(self._ids(head), np.uint32)
+            begin = self.at[codes]
+            sizes = self.at[codes + 1] - begin
+            out.append(np.concatenate([first, self.flat[ranges(begin, sizes)]]))
         return out
 
 
+_CODERS: dict[str, ChunkTokenizer] = {}
+
+
+def coder_of(path: str) -> ChunkTokenizer:
+    """The worker's tokenizer for a file: what one task has learnt serves the worker's next tasks."""
+    if path not in _CODERS:
+        _CODERS[path] = ChunkTokenizer(path)
+    return _CODERS[path]
+
+
 @dataclass(eq=False)
 class Window:
     pieces: list = field(default_factory=list)  # (document, start, ids)
@@ -222,7 +263,7 @@ def pack(docs: DataFrame, tokenizer_path: str, *, size: int = 1024, end_id: int
         yield columns(made)
 
     def tokenised(batches):
-        coder = ChunkTokenizer(tokenizer_path)
+        coder = coder_of(tokenizer_path)
 
         def read(batch):
             texts = ["" if x is None else x for x in batch.column(1).to_pylist()]
