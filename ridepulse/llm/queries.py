@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridepulse.llm import decontaminate, packing, warc
+from ridepulse.llm import decontaminate, packing, simhash, warc
 from ridepulse.llm.common import table
 from ridepulse.session import scratch_path
 
@@ -18,6 +18,12 @@ def _tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of every document (3-word shingles, 2 bits)."""
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"), shingle=3, radius=2)
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 1024 tokens."""
     return packing.pack(table(spark, sf_dir, "documents", "doc_id", "text"),
@@ -43,7 +49,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_packing, op9_benchmark_decontamination, op10_warc)
+    f.__name__: f for f in (op2_simhash_near_dedup, op3_packing, op9_benchmark_decontamination, op10_warc)
 }
 
 #: Words of a text as the benchmark check takes them, and 13-word windows of a (key, text) relation.
