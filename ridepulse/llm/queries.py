@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridepulse.llm import decontaminate, packing, simhash, warc
+from ridepulse.llm import decontaminate, packing, simhash, substrings, warc
 from ridepulse.llm.common import table
 from ridepulse.session import scratch_path
 
@@ -30,6 +30,12 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                         _tokenizer_path("byte_bpe_50k.json"), with_ids=False).drop("ids")
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that a repeated 20-word window covers, and what is kept."""
+    found = substrings.remove_repeats(table(spark, sf_dir, "documents", "doc_id", "text"), width=20)
+    return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What of every document occurs in the benchmark, and whether the document is contaminated."""
     found = decontaminate.matches(table(spark, sf_dir, "documents", "doc_id", "text"),
@@ -49,7 +55,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_simhash_near_dedup, op3_packing, op9_benchmark_decontamination, op10_warc)
+    f.__name__: f for f in (op2_simhash_near_dedup, op3_packing, op7_substring_dedup, op9_benchmark_decontamination, op10_warc)
 }
 
 #: Words of a text as the benchmark check takes them, and 13-word windows of a (key, text) relation.
@@ -57,6 +63,16 @@ _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRS
          r"'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 ORACLE_SQL: dict[str, str] = {
+    "op7_substring_dedup": r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (SELECT doc_id, i, array_to_string(w[i:i + 19], ' ') AS win
+        FROM d, unnest(generate_series(1, len(w) - 19)) AS t(i)),
+later AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY win ORDER BY doc_id, i) AS k FROM win)
+          WHERE k > 1),
+gone AS (SELECT doc_id, list(DISTINCT i + k) AS cut FROM later, unnest(generate_series(0, 19)) AS t(k) GROUP BY 1)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(cut), 0) AS BIGINT) AS n_removed,
+       sha256(array_to_string(list_filter(w, lambda x, i: NOT coalesce(list_contains(cut, i), false)), ' ')) AS kept_sha256
+FROM d LEFT JOIN gone USING (doc_id)""",
     "op9_benchmark_decontamination": f"""
 WITH b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
 bw AS (SELECT DISTINCT item_id, array_to_string(w[i:i + 12], ' ') AS win, least(len(w), 13) AS n
