@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridepulse.llm import decontaminate, packing, simhash, substrings, warc
-from ridepulse.llm.common import table
+from ridepulse.llm import decontaminate, langid, packing, simhash, substrings, warc
+from ridepulse.llm.common import remainder, table
 from ridepulse.session import scratch_path
 
 
@@ -18,6 +18,14 @@ def _tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learnt from the labelled documents that are not held out."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    train = docs.where((remainder(F.col("doc_id"), 3) != 1) & F.col("lang").isNotNull())
+    found = langid.predict(docs.select("doc_id", "text"), langid.fit(train))
+    return found.select("doc_id", (remainder(F.col("doc_id"), 3) == 1).alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document (3-word shingles, 2 bits)."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"), shingle=3, radius=2)
@@ -55,7 +63,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_simhash_near_dedup, op3_packing, op7_substring_dedup, op9_benchmark_decontamination, op10_warc)
+    f.__name__: f for f in (op1_language_id, op2_simhash_near_dedup, op3_packing, op7_substring_dedup, op9_benchmark_decontamination, op10_warc)
 }
 
 #: Words of a text as the benchmark check takes them, and 13-word windows of a (key, text) relation.
