@@ -7,6 +7,8 @@ from __future__ import annotations
 
 import numpy as np
 
+from ridepulse.llm.common import ranges
+
 
 def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
     """Start positions in the order of their next ``depth`` symbols (at least), by rank doubling.
@@ -32,21 +34,25 @@ def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
     return np.argsort(rank, kind="stable")
 
 
+#: Masks of the bits below each place of a word.
+_LOW_BITS = (np.uint64(1) << np.arange(64, dtype=np.uint64)) - np.uint64(1)
+
+
 class BitRank:
-    """Bits packed in 64-bit words with a running count per word: 1.5 bits for each bit of text."""
+    """Bits packed in 64-bit words with a running count per word: two bits for each bit of text."""
 
     def __init__(self, bits: np.ndarray):
         n = len(bits)
         packed = np.packbits(bits, bitorder="little")
         self.words = np.frombuffer(np.pad(packed, (0, -len(packed) % 8 + 8)).tobytes(), "<u8")
-        self.before = np.concatenate(([0], np.cumsum(np.bitwise_count(self.words), dtype=np.int64))).astype(np.uint32)
+        self.before = np.concatenate(([0], np.cumsum(np.bitwise_count(self.words), dtype=np.int64)))
         self.zeros = n - int(self.before[-1])
 
     def ones(self, at: np.ndarray) -> np.ndarray:
         """Set bits before each position."""
         word = at >> 6
-        mask = (np.uint64(1) << (at & 63).astype(np.uint64)) - np.uint64(1)
-        return self.before[word].astype(np.int64) + np.bitwise_count(self.words[word] & mask)
+        mask = _LOW_BITS[at & 63]
+        return self.before[word] + np.bitwise_count(self.words[word] & mask)
 
 
 class FMIndex:
@@ -84,18 +90,21 @@ class FMIndex:
     def extend(self, low: np.ndarray, high: np.ndarray, symbol: np.ndarray):
         """Intervals of symbol + pattern from the intervals of the patterns."""
         base = self.starts[symbol]
-        return base + self.rank(symbol, low), base + self.rank(symbol, high)
+        both = self.rank(np.concatenate([symbol, symbol]), np.concatenate([low, high]))
+        return base + both[:len(low)], base + both[len(low):]
 
     def repeats(self, text: np.ndarray, first: np.ndarray, last: np.ndarray, width: int):
         """Windows of ``width`` symbols that occur at least twice, with their intervals.
 
-        Streams the pieces of ``text``: piece i has the window starts ``first[i]`` .. ``last[i]``. Every window is
-        matched backwards from its last symbol. Where a suffix of k < width symbols already occurs once only, so does
+        Streams the pieces of ``text``: piece i has the window starts ``first[i]`` .. ``last[i]``; long pieces are
+        streamed from several places at once. Every window is matched backwards from its last symbol. Where a suffix of k < width symbols already occurs once only, so does
         every window that holds it, and the piece goes on behind the windows that do.
         Returns (window start, interval low, interval high).
         """
         out = [], [], []
-        at, stop = first.copy(), last
+        parts = (last - first) // 16 + 1
+        at = np.repeat(first, parts) + 16 * ranges(np.zeros(len(parts), np.int64), parts)
+        stop = np.minimum(at + 15, np.repeat(last, parts))
         while len(at):
             low, high = np.zeros(len(at), np.int64), np.full(len(at), len(self.order), np.int64)
             live, skip = np.arange(len(at)), np.ones(len(at), np.int64)

@@ -38,13 +38,17 @@ class _Hashes(dict):
     """64-bit hashes of words, each computed once."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 1_000_000:
+        if len(self) >= 400_000:
             self.clear()
         value = self[word] = xxhash.xxh64_intdigest(word)
         return value
 
 
 _HASHES = _Hashes()
+#: Compression of the segments: they are the largest part of the shuffle.
+LEVEL = 6
+#: Text that a task folds before it sends its segments on.
+FLUSH_BYTES = 20 << 20
 
 
 def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
@@ -91,13 +95,11 @@ def segments(words: list[bytes], width: int, group: int):
     yield from zip(cut.tolist(), (2 * count + several).tolist(), least[cut].tolist(), texts, strict=True)
 
 
-def _fold(found):
-    """Earliest occurrence of each segment text, and the windows of all the others.
+def _fold(found, first: dict[bytes, tuple], hits: list) -> None:
+    """Keep the earliest occurrence of each segment text in ``first``; the windows of all others go to ``hits``.
 
     ``found`` gives (text, (id, tie, start), windows as ``segments`` gives them, minimiser).
     """
-    first: dict[bytes, tuple] = {}
-    hits = []
     for text, key, n, least in found:
         have = first.setdefault(text, (key, n, least))
         if have[0] == key:
@@ -106,7 +108,6 @@ def _fold(found):
             first[text] = (key, n, least)
             key = have[0]
         hits.append((*key, n >> 1))
-    return first, hits
 
 
 def _emit(first: dict, hits: list, shards: int):
@@ -116,16 +117,14 @@ def _emit(first: dict, hits: list, shards: int):
         by.setdefault(least % shards, []).append((text, key, n, least))
     if hits and not by:
         by[0] = []
-    pack = zstandard.ZstdCompressor(level=3)
+    pack = zstandard.ZstdCompressor(level=LEVEL)
     for k, (shard, rows) in enumerate(by.items()):
-        # In the order of the minimisers equal words lie close together, which helps the compression.
-        rows.sort(key=lambda r: r[3])
         columns = {
             "text": b"\n".join(r[0] for r in rows),
             "sizes": np.array([len(r[0]) for r in rows], np.int32),
             "ids": np.array([r[1][0] for r in rows], np.int64), "ties": np.array([r[1][1] for r in rows], np.int64),
             "starts": np.array([r[1][2] for r in rows], np.int32), "n": np.array([r[2] for r in rows], np.int32),
-            "least": np.array([r[3] for r in rows], np.uint64),
+            "least": np.array([r[3] >> 32 for r in rows], np.uint32),  # equal minimisers stay equal
             "hits": np.array(hits if k == 0 else [], np.int64).reshape(-1, 4),
         }
         yield shard, pack.compress(pickle.dumps({c: v if isinstance(v, bytes) else (v.dtype.str, v.shape, v.tobytes())
@@ -160,8 +159,8 @@ def shard_hits(payloads: list[bytes], width: int) -> list[tuple[int, int, int, i
                     begin, ends, b["ids"], b["ties"], b["starts"], b["n"], b["least"])), strict=True):
                 yield b["text"][x:y], (d, t, s), w, m
 
-    first, more = _fold(rows())
-    hits += more
+    first: dict[bytes, tuple] = {}
+    _fold(rows(), first, hits)
     del blocks
     # What is left of a minimiser that has a single distinct segment has met nothing else.
     left: dict[int, int] = {}
@@ -218,23 +217,23 @@ def repeated_windows(docs: DataFrame, *, width: int = 20, group: int = 4, shard_
     target, hit_target = arrow_schema(blocks), arrow_schema(HITS)
 
     def cut(batches):
-        def flush(found):
-            rows = list(_emit(*_fold(found), shards))
+        def flush():
+            rows = list(_emit(first, hits, shards))
             return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()),
                                                pa.array([r[1] for r in rows], pa.binary())], schema=target)
 
-        held, size = [], 0
+        first, hits, size = {}, [], 0
         for batch in batches:
             for i, t, body in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 key = _NULL_ID if i is None else i
-                held.extend((text, (key, t, start), n, least)
-                            for start, n, least, text in segments((body or b"").split(), width, group))
+                _fold(((text, (key, t, start), n, least)
+                       for start, n, least, text in segments((body or b"").split(), width, group)), first, hits)
                 size += len(body or b"")
-                if size > 24 << 20:
-                    yield flush(held)
-                    held, size = [], 0
-        if held:
-            yield flush(held)
+                if size > FLUSH_BYTES:
+                    yield flush()
+                    first, hits, size = {}, [], 0
+        if first:
+            yield flush()
 
     def search(table: pa.Table) -> pa.Table:
         got = shard_hits(table.column("payload").to_pylist(), width)
