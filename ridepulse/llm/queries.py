@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridepulse.llm import decontaminate, langid, packing, simhash, substrings, warc
+from ridepulse.llm import decontaminate, fingerprints, langid, packing, simhash, substrings, warc
 from ridepulse.llm.common import remainder, table
 from ridepulse.session import scratch_path
 
@@ -38,6 +38,11 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                         _tokenizer_path("byte_bpe_50k.json"), with_ids=False).drop("ids")
 
 
+def op4_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint of every document and of its edit by the next one, with their likeness."""
+    return fingerprints.with_next_edit(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that a repeated 20-word window covers, and what is kept."""
     found = substrings.remove_repeats(table(spark, sf_dir, "documents", "doc_id", "text"), width=20)
@@ -63,7 +68,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_language_id, op2_simhash_near_dedup, op3_packing, op7_substring_dedup, op9_benchmark_decontamination, op10_warc)
+    f.__name__: f for f in (op1_language_id, op2_simhash_near_dedup, op3_packing, op4_document_fingerprints, op7_substring_dedup, op9_benchmark_decontamination, op10_warc)
 }
 
 #: Words of a text as the benchmark check takes them, and 13-word windows of a (key, text) relation.
