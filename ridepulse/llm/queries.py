@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridepulse.llm import decontaminate, fingerprints, langid, packing, simhash, substrings, warc
+from ridepulse.llm import decontaminate, fingerprints, langid, packing, quality, simhash, substrings, toxicity, warc
 from ridepulse.llm.common import remainder, table
+from ridepulse.llm.labelled import labelled_sample
 from ridepulse.session import scratch_path
 
 
@@ -43,6 +44,36 @@ def op4_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.with_next_edit(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+#: Labelled documents that the classifiers learn from, at most (a bounded sample; see ``labelled_sample``).
+QUALITY_SAMPLE, TOXICITY_SAMPLE = 5_000, 12_000
+
+
+def _held_out():
+    return remainder(F.col("doc_id"), 5) == 0
+
+
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document, learnt from labelled documents that are not held out."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    sample = labelled_sample(docs, table(spark, sf_dir, "labels", "doc_id", "quality"), "quality", ~_held_out(),
+                             QUALITY_SAMPLE)
+    model = quality.fit(sample, quality.document_frequencies(docs))
+    return quality.score(docs, model, threshold=0.3).select("doc_id", _held_out().alias("held_out"), "score", "predicted")
+
+
+def toxicity_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> dict:
+    """The toxicity model learnt from the labelled documents among ``docs`` that are not held out."""
+    return toxicity.fit(labelled_sample(docs, table(spark, sf_dir, "labels", "doc_id", "toxic"), "toxic", ~_held_out(),
+                                        TOXICITY_SAMPLE))
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learnt from labelled documents that are not held out."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return toxicity.score(docs, toxicity_model(spark, docs, sf_dir)).select(
+        "doc_id", _held_out().alias("held_out"), "score", "predicted")
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that a repeated 20-word window covers, and what is kept."""
     found = substrings.remove_repeats(table(spark, sf_dir, "documents", "doc_id", "text"), width=20)
@@ -68,7 +99,8 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_language_id, op2_simhash_near_dedup, op3_packing, op4_document_fingerprints, op7_substring_dedup, op9_benchmark_decontamination, op10_warc)
+    f.__name__: f for f in (op1_language_id, op2_simhash_near_dedup, op3_packing, op4_document_fingerprints, op5_quality, op7_substring_dedup,
+                                op8_toxicity, op9_benchmark_decontamination, op10_warc)
 }
 
 #: Words of a text as the benchmark check takes them, and 13-word windows of a (key, text) relation.
