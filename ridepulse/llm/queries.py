@@ -7,13 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridepulse.llm import decontaminate, fingerprints, langid, packing, quality, simhash, substrings, toxicity, warc
+from ridepulse.llm import decontaminate, fingerprints, langid, packing, pages, quality, simhash, substrings, toxicity, warc
 from ridepulse.llm.common import remainder, table
 from ridepulse.llm.labelled import labelled_sample
 from ridepulse.session import scratch_path
 
 
-def _tokenizer_path(name: str) -> str:
+def tokenizer_path(name: str) -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
@@ -36,7 +36,7 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 1024 tokens."""
     return packing.pack(table(spark, sf_dir, "documents", "doc_id", "text"),
-                        _tokenizer_path("byte_bpe_50k.json"), with_ids=False).drop("ids")
+                        tokenizer_path("byte_bpe_50k.json"), with_ids=False).drop("ids")
 
 
 def op4_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,6 +74,12 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", _held_out().alias("held_out"), "score", "predicted")
 
 
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return pages.extract(table(spark, sf_dir, "pages", "page_id", "url", "html")).withColumn(
+        "n_chars", F.char_length("text").cast("long"))
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that a repeated 20-word window covers, and what is kept."""
     found = substrings.remove_repeats(table(spark, sf_dir, "documents", "doc_id", "text"), width=20)
@@ -99,8 +105,9 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_language_id, op2_simhash_near_dedup, op3_packing, op4_document_fingerprints, op5_quality, op7_substring_dedup,
-                                op8_toxicity, op9_benchmark_decontamination, op10_warc)
+    f.__name__: f for f in (op1_language_id, op2_simhash_near_dedup, op3_packing, op4_document_fingerprints,
+                                op5_quality, op6_html_extraction, op7_substring_dedup, op8_toxicity,
+                                op9_benchmark_decontamination, op10_warc)
 }
 
 #: Words of a text as the benchmark check takes them, and 13-word windows of a (key, text) relation.

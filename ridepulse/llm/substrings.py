@@ -245,12 +245,13 @@ def repeated_windows(docs: DataFrame, *, width: int = 20, group: int = 4, shard_
 
 
 def remove_repeats(docs: DataFrame, *, width: int = 20, id_col: str = "doc_id", text_col: str = "text",
-                   **options) -> DataFrame:
+                   keep_untouched: bool = False, **options) -> DataFrame:
     """``docs`` with ``text_col`` replaced by its kept words, and ``n_words``, ``n_removed``, ``removed`` (spans).
 
     Words are runs of anything but the six ASCII blanks. A word goes if a window of ``width`` consecutive words that
     covers it has a word sequence that also starts earlier: in a document with a smaller id, or earlier in the same
-    one. Windows are judged on the input. Kept words are joined by one space. Texts of fewer words than a window, empty
+    one. Windows are judged on the input. Kept words are joined by one space (with
+    ``keep_untouched``, a text that loses nothing keeps its own white space, and a null stays null). Texts of fewer words than a window, empty
     ones and nulls lose nothing (a null text becomes the empty text). A null id sorts before all others. Rows with one
     id and different texts follow the order of a hash of their text; fully repeated rows are one document, so they get
     the same result. An empty table gives no rows. Columns of ``docs`` named like the added ones are replaced.
@@ -279,6 +280,9 @@ def remove_repeats(docs: DataFrame, *, width: int = 20, id_col: str = "doc_id",
             results = [kept_words(body or b"", r or [], width)
                        for body, r in zip(batch.column(text_col).cast(pa.binary()).to_pylist(), runs, strict=True)]
             columns = [batch.column(f.name).cast(target.field(f.name).type) for f in own]
+            if keep_untouched:
+                own_text = batch.column(text_col).cast(pa.binary()).to_pylist()
+                results = [r if r[2] else (t, *r[1:]) for t, r in zip(own_text, results, strict=True)]
             columns[at] = pa.array([r[0] for r in results], pa.binary()).cast(pa.string()).cast(target.field(at).type)
             columns += [pa.array([r[k] for r in results], target.field(names[k - 1]).type) for k in (1, 2, 3)]
             yield pa.RecordBatch.from_arrays(columns, schema=target)
