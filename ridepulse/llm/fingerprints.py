@@ -217,7 +217,7 @@ def with_next_edit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     lent = {top: tops[(k + 1) % len(tops)][0] for k, (_, top) in enumerate(tops)}  # to the range above; last to first
     to = F.lit(None).cast("int")
     if lent:
-        to = F.create_map(*[F.lit(x) for pair in lent.items() for x in pair])[F.col("key")].cast("int")
+        to = F.create_map(*[F.lit(x).cast("long") for pair in lent.items() for x in pair])[F.col("key")].cast("int")
     dealt = (rows.withColumn("key", F.coalesce("id", F.lit(least))).withColumn("shard", shard_of("key"))
              .withColumn("to", to)
              .withColumn("sent", F.explode(F.when(F.col("to").isNull(), F.array(F.struct("shard", F.lit(0).alias("lent"))))

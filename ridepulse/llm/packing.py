@@ -12,6 +12,7 @@ The ids are needed once, where they are made: only leftovers (less than one wind
 
 from __future__ import annotations
 
+import gc
 import os
 import zlib
 from dataclasses import dataclass, field
@@ -32,7 +33,7 @@ PIECE = [
     T.StructField("ids", T.BinaryType()),
 ]
 #: Distinct chunks, and distinct pre-tokens, whose ids a worker remembers; a full memory is emptied.
-CACHE = 1_000_000
+CACHE = 250_000
 #: Fixed values of byte-level BPE: the published split pattern, and the characters that stand for the bytes.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _PRINTED = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -84,6 +85,19 @@ class ChunkTokenizer:
             out += got
         return out
 
+    def _word_ids(self, word: str) -> list[int]:
+        """A blank with letters after it is one part."""
+        if word.isascii():
+            return [t.id for t in self.model.tokenize(BYTE_CHARS[0x20] + word)]
+        return self._part_ids(f" {word}")
+
+    def _stem_ids(self, word: str) -> list[int]:
+        """Ids of a word before its closing mark, which is a part of its own."""
+        code = self.codes.get(word)
+        if code is not None and code < len(self.odd):
+            return self.flat[self.at[code]:self.at[code + 1]].tolist()
+        return self._word_ids(word)
+
     def _part_ids(self, part: str) -> list[int]:
         return [t.id for t in self.model.tokenize(part.encode().decode("latin-1").translate(BYTE_CHARS))]
 
@@ -91,11 +105,9 @@ class ChunkTokenizer:
         """Ids of the words first seen since the last call, each with the blank before it."""
         fresh = list(islice(self.codes, len(self.odd), None))
         odd = [not w or w[0].isspace() or w[-1].isspace() for w in fresh]
-        blank, model = BYTE_CHARS[0x20], self.model.tokenize
-        ids = [[] if o else
-               ([t.id for t in model(blank + w)] if w.isascii() else self._part_ids(f" {w}")) if w.isalpha() else
-               self._ids(f" {w}")  # a blank with letters after it is one part
-               for w, o in zip(fresh, odd, strict=True)]
+        ids = [[] if o else self._word_ids(w) if w.isalpha() else
+               self._stem_ids(w[:-1]) + self._ids(w[-1]) if w[-1] in ".,!?;:" and w[:-1].isalpha() else
+               self._ids(f" {w}") for w, o in zip(fresh, odd, strict=True)]
         sizes = np.fromiter(map(len, ids), np.int64, len(ids))
         end = int(self.at[-1])
         total = end + int(sizes.sum())
@@ -264,6 +276,7 @@ def pack(docs: DataFrame, tokenizer_path: str, *, size: int = 1024, end_id: int
 
     def tokenised(batches):
         coder = coder_of(tokenizer_path)
+        gc.disable()  # the many small lists of a task hold no cycles; collecting would walk them again and again
 
         def read(batch):
             texts = ["" if x is None else x for x in batch.column(1).to_pylist()]
@@ -273,7 +286,10 @@ def pack(docs: DataFrame, tokenizer_path: str, *, size: int = 1024, end_id: int
                     ids = np.append(ids, np.uint32(end_id))
                     yield (doc_id, len(ids)), 0, ids
 
-        yield from stage(batches, 0, read)
+        try:
+            yield from stage(batches, 0, read)
+        finally:
+            gc.enable()
 
     def again(level: int):
         def run(batches):

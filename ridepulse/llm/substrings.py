@@ -38,7 +38,7 @@ class _Hashes(dict):
     """64-bit hashes of words, each computed once."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= 400_000:
+        if len(self) >= 200_000:
             self.clear()
         value = self[word] = xxhash.xxh64_intdigest(word)
         return value
@@ -48,7 +48,7 @@ _HASHES = _Hashes()
 #: Compression of the segments: they are the largest part of the shuffle.
 LEVEL = 6
 #: Text that a task folds before it sends its segments on.
-FLUSH_BYTES = 20 << 20
+FLUSH_BYTES = 10 << 20
 
 
 def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
@@ -234,6 +234,7 @@ def repeated_windows(docs: DataFrame, *, width: int = 20, group: int = 4, shard_
                     first, hits, size = {}, [], 0
         if first:
             yield flush()
+        _HASHES.clear()  # the worker may serve other operators next
 
     def search(table: pa.Table) -> pa.Table:
         got = shard_hits(table.column("payload").to_pylist(), width)

@@ -124,11 +124,11 @@ class Voters:
         return np.column_stack([self.votes(hits, n_words), np.log1p(hits), rate, np.log1p(lex), pat])
 
 
-def label_model(votes: np.ndarray, base: float, start: np.ndarray, rounds: int = 25, prior_weight: float = 20.0):
+def label_model(votes: np.ndarray, base: float, start: np.ndarray, rounds: int = 25, anchor: float = 4.0):
     """Accuracies, correlations and posterior labels from the votes.
 
-    ``start`` holds each voter's share of toxic texts among those it fires on, from the labelled sample; it enters with
-    the weight of ``prior_weight`` texts. Of the voters that fire on a text the strongest counts in full, and each
+    ``start`` holds each voter's share of toxic texts among those it fires on, from the labelled sample; it enters
+    with ``anchor`` times the weight of the posterior labels, which alone would drift to certainty. Of the voters that fire on a text the strongest counts in full, and each
     further one only by what is not correlated with the stronger ones given the label.
     """
     n = votes.shape[1]
@@ -140,7 +140,8 @@ def label_model(votes: np.ndarray, base: float, start: np.ndarray, rounds: int =
         rank = np.argsort(np.argsort(-np.abs(odds), kind="stable"), kind="stable")
         share = np.where(rank[:, None] < rank[None, :], np.log(1 - np.minimum(correlation, 0.999)), 0.0)
         post = 1 / (1 + np.exp(-np.clip(prior + (votes * np.exp(votes @ share)) @ odds, -30, 30)))
-        new = np.clip((votes.T @ post + prior_weight * start) / (votes.sum(axis=0) + prior_weight), 0.001, 0.999)
+        fired = votes.sum(axis=0)
+        new = np.clip((votes.T @ post + anchor * fired * start) / ((1 + anchor) * fired + 1e-9), 0.001, 0.999)
         # Residuals given the label: what two voters share beyond it.
         toxic = (votes * post[:, None]).sum(axis=0) / max(post.sum(), 1e-9)
         clean = (votes * (1 - post)[:, None]).sum(axis=0) / max((1 - post).sum(), 1e-9)
