@@ -43,15 +43,16 @@ def flatten_trip_feed(feed: DataFrame, missing_delay: str = "drop", ts_col: str
     """One bronze row per trip update, from its first stop-time update.
 
     The delay is the arrival delay when an arrival is present, else the departure delay when a departure is
-    present (presence, not value: a present arrival with delay 0 wins). With neither, ``missing_delay="drop"``
+    present (presence, not value: a present arrival with delay 0 wins; a present one that
+    states no delay has the feed's default, 0). With neither, ``missing_delay="drop"``
     drops the update and ``"zero"`` keeps it with delay 0. Updates without any stop-time update are dropped.
     """
     if missing_delay not in ("drop", "zero"):
         raise ValueError("missing_delay must be 'drop' or 'zero'")
     tu = F.col("e.trip_update")
     first = F.get(tu["stop_time_update"], 0)
-    delay = (F.when(first["arrival"].isNotNull(), first["arrival"]["delay"])
-             .when(first["departure"].isNotNull(), first["departure"]["delay"]))
+    delay = (F.when(first["arrival"].isNotNull(), F.coalesce(first["arrival"]["delay"], F.lit(0)))
+             .when(first["departure"].isNotNull(), F.coalesce(first["departure"]["delay"], F.lit(0))))
     if missing_delay == "zero":
         delay = delay.otherwise(F.lit(0))
     rows = (_entities(feed, ts_col)

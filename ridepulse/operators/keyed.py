@@ -60,7 +60,9 @@ def upsert(current: DataFrame, batch: DataFrame, keys: Sequence[str], order_by:
     seq = (F.struct(F.col("_src"), *_order(order_by), *rest) if batch_wins
            else F.struct(*_order(order_by), F.col("_src"), *rest))
     aggs = [F.max_by(F.struct(*values), seq).alias("_last")]
-    aggs += [F.min_by(F.col(c), seq).alias(f"_first_{c}") for c in keep_first]
+    # The stored row keeps its columns even against a late batch row with an earlier time.
+    stored_first = F.struct(F.col("_src"), *_order(order_by), *rest)
+    aggs += [F.min_by(F.col(c), stored_first).alias(f"_first_{c}") for c in keep_first]
     out = both.groupBy(*keys).agg(*aggs)
     cols = [F.col(f"_first_{c}").alias(c) if c in keep_first else F.col("_last")[c].alias(c) for c in values]
     return out.select(*[F.col(k) for k in keys], *cols).select(*current.columns)

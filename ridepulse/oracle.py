@@ -10,7 +10,7 @@ from __future__ import annotations
 import re
 
 AS_OF = "TIMESTAMP '2024-01-10 00:00:00'"
-CUT = f"({AS_OF} - INTERVAL 25 MINUTE)"
+CUT = f"({AS_OF} - INTERVAL 7200 MINUTE)"
 SPLIT = "TIMESTAMP '2024-01-15 00:00:00'"
 NULLKEY = "'_dbt_utils_surrogate_key_null_'"
 
@@ -65,7 +65,7 @@ CTES["base"] = """SELECT event_id, ts, event_type,
     CAST(dayofweek(ts) AS INTEGER) AS dow,
     date_trunc('second', ts) AS obs_ts
   FROM events"""
-CTES["based"] = "SELECT *, CAST((k * k * (2 + dow)) // 100 - 60 + greatest(k - 89, 0) * 120 AS INTEGER) AS d FROM base"
+CTES["based"] = "SELECT *, CASE WHEN event_id % 31 = 0 THEN 0 ELSE CAST((k * k * (2 + dow)) // 100 - 60 + greatest(k - 89, 0) * 120 AS INTEGER) END AS d\n  FROM base"
 CTES["bvp"] = f"""SELECT vehicle_id, trip_id, route_id,
     CASE WHEN event_id % 17 <> 0
       THEN '{{"lat":' || CAST({LAT} AS VARCHAR) || ',"lon":' || CAST({LON} AS VARCHAR) || ','
@@ -166,29 +166,36 @@ CTES["lat"] = "SELECT trip_id, route_id, delay_seconds, loaded_at FROM " + lates
     "(SELECT * FROM stu WHERE delay_seconds IS NOT NULL)", "trip_id", UPD_ORDER) + " AS x"
 CTES["prv"] = ("SELECT trip_id, delay_seconds AS prev_delay_seconds, loaded_at AS prev_loaded_at FROM " + latest(
     f"(SELECT * FROM stu WHERE delay_seconds IS NOT NULL AND loaded_at < {CUT})", "trip_id", UPD_ORDER) + " AS x")
+# What a report at AS_OF may see.
+CTES["stua"] = f"SELECT * FROM stu WHERE loaded_at <= {AS_OF}"
+CTES["svpa"] = f"SELECT * FROM svp WHERE loaded_at <= {AS_OF}"
+CTES["lata"] = CTES["lat"].replace("FROM stu", "FROM stua")
+CTES["lposa"] = ("SELECT trip_id, latitude, longitude, gps_timestamp FROM " + latest("svpa", "trip_id", POS_ORDER)
+                 + " AS x")
 CTES["trend"] = f"""SELECT l.trip_id, l.route_id, l.delay_seconds, {minutes('l.delay_seconds')} AS avg_delay_minutes,
     {band('l.delay_seconds')} AS delay_category, l.loaded_at, p.prev_delay_seconds,
     {minutes('p.prev_delay_seconds')} AS prev_delay_minutes,
     CASE WHEN p.prev_delay_seconds IS NULL THEN 'new' WHEN l.delay_seconds > p.prev_delay_seconds + 60 THEN 'worsening'
          WHEN l.delay_seconds < p.prev_delay_seconds - 60 THEN 'improving' ELSE 'stable' END AS trend,
     CAST({rr('(l.delay_seconds - p.prev_delay_seconds)', '6')} AS BIGINT) / 10.0 AS trend_change_minutes
-  FROM lat l LEFT JOIN prv p ON l.trip_id = p.trip_id"""
+  FROM lata l LEFT JOIN prv p ON l.trip_id = p.trip_id"""
 CTES["lpos"] = "SELECT trip_id, latitude, longitude, gps_timestamp FROM " + latest("svp", "trip_id", POS_ORDER) + " AS x"
 CTES["delays"] = """SELECT t.trip_id AS route_id, t.trip_id, t.avg_delay_minutes, t.delay_category, t.trend,
     t.trend_change_minutes, t.prev_delay_minutes, p.latitude AS last_lat, p.longitude AS last_lon,
     p.gps_timestamp AS last_seen, t.loaded_at
-  FROM trend t LEFT JOIN lpos p ON t.trip_id = p.trip_id
+  FROM trend t LEFT JOIN lposa p ON t.trip_id = p.trip_id
   ORDER BY t.loaded_at DESC NULLS FIRST, t.trip_id LIMIT 5000"""
 CTES["alld"] = """SELECT t.trip_id AS route_id, t.trip_id, t.avg_delay_minutes, t.delay_category, t.trend,
     t.trend_change_minutes, t.prev_delay_minutes, p.latitude AS last_lat, p.longitude AS last_lon,
     p.gps_timestamp AS last_seen, t.loaded_at
-  FROM trend t LEFT JOIN lpos p ON t.trip_id = p.trip_id"""
+  FROM trend t LEFT JOIN lposa p ON t.trip_id = p.trip_id"""
 CTES["veh"] = ("SELECT vehicle_id, trip_id, latitude, longitude, route_id, gps_timestamp FROM "
                + latest("svp", "vehicle_id", VEH_ORDER) + " AS x")
-CTES["vkeys"] = """SELECT DISTINCT k AS match_key FROM (SELECT route_id AS k FROM veh UNION ALL SELECT trip_id FROM veh)
+CTES["veha"] = CTES["veh"].replace("FROM svp)", "FROM svpa)")
+CTES["vkeys"] = """SELECT DISTINCT k AS match_key FROM (SELECT route_id AS k FROM veha UNION ALL SELECT trip_id FROM veha)
   WHERE k IS NOT NULL"""
-CTES["ghosts"] = "SELECT * FROM alld d WHERE NOT EXISTS (SELECT 1 FROM veh v WHERE v.route_id = d.route_id OR v.trip_id = d.route_id)"
-CTES["lives"] = "SELECT * FROM alld d WHERE EXISTS (SELECT 1 FROM veh v WHERE v.route_id = d.route_id OR v.trip_id = d.route_id)"
+CTES["ghosts"] = "SELECT * FROM alld d WHERE NOT EXISTS (SELECT 1 FROM veha v WHERE v.route_id = d.route_id OR v.trip_id = d.route_id)"
+CTES["lives"] = "SELECT * FROM alld d WHERE EXISTS (SELECT 1 FROM veha v WHERE v.route_id = d.route_id OR v.trip_id = d.route_id)"
 CTES["worstclean"] = (f"SELECT clean_route, route_id, avg_delay_minutes, delay_category, trend, trend_change_minutes, "
                       f"loaded_at FROM " + latest(
                           f"(SELECT {clean('route_id')} AS clean_route, * FROM alld)", "clean_route",
@@ -204,7 +211,7 @@ CTES["vinfo"] = f"""SELECT v.vehicle_id, v.trip_id, v.route_id, v.latitude, v.lo
          WHEN w.clean_route IS NOT NULL THEN w.trend_change_minutes END AS trend_change_minutes,
     CASE WHEN d1.route_id IS NOT NULL THEN 'trip' WHEN d2.route_id IS NOT NULL THEN 'route'
          WHEN w.clean_route IS NOT NULL THEN 'clean_route' ELSE 'default' END AS matched_by
-  FROM veh v LEFT JOIN alld d1 ON d1.route_id = v.trip_id
+  FROM veha v LEFT JOIN alld d1 ON d1.route_id = v.trip_id
              LEFT JOIN alld d2 ON d2.route_id = v.route_id
              LEFT JOIN worstclean w ON w.clean_route = {clean('v.route_id')}"""
 CTES["rdesc"] = """SELECT 'R' || CAST(i AS VARCHAR) AS route_code,
@@ -214,7 +221,7 @@ CTES["summ"] = """SELECT c.delay_category, c.count, c.mappable_count, coalesce(p
     c.count - coalesce(p.prev_count, 0) AS change
   FROM (SELECT t.delay_category, CAST(count(*) AS BIGINT) AS count,
                CAST(sum(CASE WHEN g.trip_id IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT) AS mappable_count
-        FROM trend t LEFT JOIN (SELECT DISTINCT trip_id FROM svp) g ON t.trip_id = g.trip_id
+        FROM trend t LEFT JOIN (SELECT DISTINCT trip_id FROM svpa) g ON t.trip_id = g.trip_id
         GROUP BY t.delay_category) c
   LEFT JOIN (SELECT delay_category, CAST(count(*) AS BIGINT) AS prev_count FROM
                (SELECT """ + band("prev_delay_seconds") + """ AS delay_category FROM prv) GROUP BY delay_category) p
@@ -254,7 +261,7 @@ DELAY_COLS = ("route_id, trip_id, avg_delay_minutes, delay_category, trend, tren
 
 def _delays_variant(where_src: str = "", where_out: str = "") -> str:
     """The delays report with a route prefix on the sources and/or a category filter on the output."""
-    lat = latest(f"(SELECT * FROM stu WHERE delay_seconds IS NOT NULL {where_src})", "trip_id", UPD_ORDER)
+    lat = latest(f"(SELECT * FROM stua WHERE delay_seconds IS NOT NULL {where_src})", "trip_id", UPD_ORDER)
     prv = latest(f"(SELECT * FROM stu WHERE delay_seconds IS NOT NULL AND loaded_at < {CUT} {where_src})",
                  "trip_id", UPD_ORDER)
     return f"""SELECT l.trip_id AS route_id, l.trip_id, {minutes('l.delay_seconds')} AS avg_delay_minutes,
@@ -264,7 +271,7 @@ def _delays_variant(where_src: str = "", where_out: str = "") -> str:
     CAST({rr('(l.delay_seconds - p.delay_seconds)', '6')} AS BIGINT) / 10.0 AS trend_change_minutes,
     {minutes('p.delay_seconds')} AS prev_delay_minutes,
     q.latitude AS last_lat, q.longitude AS last_lon, q.gps_timestamp AS last_seen, l.loaded_at
-  FROM {lat} l LEFT JOIN {prv} p ON l.trip_id = p.trip_id LEFT JOIN lpos q ON l.trip_id = q.trip_id
+  FROM {lat} l LEFT JOIN {prv} p ON l.trip_id = p.trip_id LEFT JOIN lposa q ON l.trip_id = q.trip_id
   WHERE 1 = 1 {where_out}
   ORDER BY l.loaded_at DESC NULLS FIRST, l.trip_id LIMIT 5000"""
 
@@ -292,7 +299,9 @@ BODIES: dict[str, str] = {
       UNION ALL SELECT 'bronze_trip_updates',
         CAST(count(*) FILTER (WHERE ingestion_timestamp >= {AS_OF} - INTERVAL 24 HOUR) AS BIGINT),
         CAST(count(*) FILTER (WHERE ingestion_timestamp < {AS_OF} - INTERVAL 24 HOUR) AS BIGINT) FROM btu""",
-    "clean_nonfinite": f"SELECT {DELAY_COLS} FROM delays",
+    "clean_nonfinite": f"""SELECT {DELAY_COLS.replace('avg_delay_minutes', 'cleaned AS avg_delay_minutes')}
+      FROM (SELECT *, CASE WHEN CAST(round(abs(avg_delay_minutes) * 100) AS BIGINT) % 7 > 2 THEN avg_delay_minutes END AS cleaned
+            FROM alld)""",
     "silver_vehicle_positions": "SELECT * FROM svp",
     "silver_trip_updates": "SELECT * FROM stu",
     "silver_vehicle_positions_gps": "SELECT vehicle_id, trip_id, latitude, longitude, route_id, gps_timestamp, gps_timestamp AS loaded_at FROM svp",
@@ -414,7 +423,7 @@ BODIES: dict[str, str] = {
         CASE WHEN count(v.vehicle_id) > 1 THEN min(v.longitude) END AS min_lon,
         CASE WHEN count(v.vehicle_id) > 1 THEN max(v.latitude) END AS max_lat,
         CASE WHEN count(v.vehicle_id) > 1 THEN max(v.longitude) END AS max_lon
-      FROM alld d LEFT JOIN veh v ON v.route_id = d.route_id OR v.trip_id = d.route_id
+      FROM alld d LEFT JOIN veha v ON v.route_id = d.route_id OR v.trip_id = d.route_id
       GROUP BY d.route_id""",
     "live_dots": "SELECT * FROM vinfo WHERE delay_category = 'on_time'",
     "live_dots_selected": """SELECT * FROM vinfo WHERE clean_route = 'R3' AND (

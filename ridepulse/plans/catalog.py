@@ -8,7 +8,7 @@ a query name to ``fn(spark, sf_dir) -> DataFrame``.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import cached_property
+from functools import cached_property, partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +22,7 @@ from ridepulse.streaming import stream
 
 # Parameters of the registered queries (fixed, documented; the data spans 2024-01-01 .. 2024-01-30).
 AS_OF = "2024-01-10 00:00:00"          # "now" for trends, GPS fallback and retention
-LOOKBACK_MINUTES = 25
+LOOKBACK_MINUTES = 5 * 24 * 60  # the events are sparse: within 25 minutes hardly a trip has two of them
 SPLIT = "2024-01-15 00:00:00"          # current/batch boundary for upsert, merge and incremental queries
 LATENESS = "1 HOUR"
 TRIP = "7_view"                        # trip looked up by the trip-history report
@@ -31,6 +31,9 @@ CATEGORY = "severe"
 DAY, PERIOD = 1, "morning_rush"
 LIVE_ROUTE, SELECTED = "R3", "3_click"
 
+_delays = partial(reports.delays, lookback_minutes=LOOKBACK_MINUTES)
+_delays_summary = partial(reports.delays_summary, lookback_minutes=LOOKBACK_MINUTES)
+
 
 class Tables:
     """Lazily derived tables of one scale-factor folder."""
@@ -82,15 +85,26 @@ class Tables:
     def vehicles(self) -> DataFrame:
         return reports.latest_vehicles(self.silver_vehicle_positions)
 
+    @cached_property
+    def live_vehicles(self) -> DataFrame:
+        """Latest GPS row of every vehicle at ``AS_OF``: what the live map shows beside the delays of that time."""
+        return reports.latest_vehicles(reports.recent(self.silver_vehicle_positions, AS_OF, None, "gps_timestamp"))
+
+    @cached_property
+    def trends(self) -> DataFrame:
+        """Every trip's trend row under the names of the delays report, for operators that need no position."""
+        t = reports.delay_trend(self.silver_trip_updates, AS_OF, LOOKBACK_MINUTES)
+        return t.withColumn("route_id", F.col("trip_id"))
+
     @cached_property
     def delays(self) -> DataFrame:
         """The delays report (newest 5,000 trips)."""
-        return reports.delays(self.silver_trip_updates, self.silver_vehicle_positions, AS_OF)
+        return _delays(self.silver_trip_updates, self.silver_vehicle_positions, AS_OF)
 
     @cached_property
     def all_delays(self) -> DataFrame:
         """Every trip's delay row, uncapped: what the live-map operators work on."""
-        return reports.delays(self.silver_trip_updates, self.silver_vehicle_positions, AS_OF, limit=None)
+        return _delays(self.silver_trip_updates, self.silver_vehicle_positions, AS_OF, limit=None)
 
 
 def _t(fn: Callable[[Tables], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -108,17 +122,22 @@ def _from(df: DataFrame, col: str) -> DataFrame:
     return df.where(F.col(col) >= silver.ntz_literal(SPLIT))
 
 
+def _none(df: DataFrame) -> DataFrame:
+    """An empty table of the same columns."""
+    return df.sparkSession.createDataFrame([], df.schema)
+
+
 def _upsert_vehicles(t: Tables) -> DataFrame:
     b = t.bronze_vehicle_positions
     order = ["ingestion_timestamp", "raw_data"]
-    current = keyed.upsert(b.limit(0), _before(b, "ingestion_timestamp"), ["vehicle_id", "trip_id"], order)
+    current = keyed.upsert(_none(b), _before(b, "ingestion_timestamp"), ["vehicle_id", "trip_id"], order)
     return keyed.upsert(current, _from(b, "ingestion_timestamp"), ["vehicle_id", "trip_id"], order)
 
 
 def _upsert_trips(t: Tables) -> DataFrame:
     b = t.bronze_trip_updates
     order = ["ingestion_timestamp", "raw_data"]
-    current = keyed.upsert(b.limit(0), _before(b, "ingestion_timestamp"), ["trip_id"], order)
+    current = keyed.upsert(_none(b), _before(b, "ingestion_timestamp"), ["trip_id"], order)
     return keyed.upsert(current, _from(b, "ingestion_timestamp"), ["trip_id"], order)
 
 
@@ -154,7 +173,11 @@ def _silver_gps(t: Tables) -> DataFrame:
 
 
 def _clean_nonfinite(t: Tables) -> DataFrame:
-    return clean_nonfinite(t.delays)
+    """Every trip's delay row, with NaN and both infinities put in for some of the minutes."""
+    kind = F.round(F.abs("avg_delay_minutes") * 100).cast("long") % 7
+    dirty = t.all_delays.withColumn("avg_delay_minutes", F.when(kind == 0, float("nan")).when(kind == 1, float("inf"))
+                                    .when(kind == 2, float("-inf")).otherwise(F.col("avg_delay_minutes")))
+    return clean_nonfinite(dirty)
 
 
 def _route_names(t: Tables) -> DataFrame:
@@ -168,13 +191,18 @@ def _route_names(t: Tables) -> DataFrame:
 STREAM_LATENESS = "2 hours"
 
 
-def _landed(t: Tables, name: str, n_files: int = 8) -> tuple[str, str]:
+def _landed(t: Tables, name: str) -> tuple[str, str]:
     base = scratch_path(t.spark, name)
     landing = f"{base}/landing"
-    stream.land_feed(t.feed, landing, n_files)
+    stream.land_feed(t.feed, landing)
     return base, landing
 
 
+def _files_per_trigger(t: Tables, batches: int) -> int:
+    """Landed files per micro-batch, so that a run takes about ``batches`` of them."""
+    return max(1, int(t.spark.conf.get("spark.sql.shuffle.partitions")) // batches)
+
+
 def _stream_bronze(t: Tables, entity: str) -> DataFrame:
     base, landing = _landed(t, f"stream-bronze-{entity}")
     stream.stream_bronze(t.spark, landing, f"{base}/bronze", f"{base}/ckpt", entity=entity)
@@ -202,9 +230,10 @@ def _stream_hourly(t: Tables) -> DataFrame:
 def _refresh_hourly(t: Tables) -> DataFrame:
     base, landing = _landed(t, "refresh-hourly")
     # A second delivery of the first five days overlaps the first files (replay / duplicate delivery).
-    stream.land_feed(t.feed.where(F.col("obs_ts") < silver.ntz_literal("2024-01-05 00:00:00")), landing, 2)
+    stream.land_feed(t.feed.where(F.col("obs_ts") < silver.ntz_literal("2024-01-05 00:00:00")), landing,
+                     _files_per_trigger(t, 4))
     updates = silver.silver_trip_updates(ingest.flatten_trip_feed(
-        stream.read_feed_stream(t.spark, landing, max_files_per_trigger=2)))
+        stream.read_feed_stream(t.spark, landing, _files_per_trigger(t, 4))))
     stream.run_foreach_batch(updates, stream.hourly_refresher(f"{base}/fact", f"{base}/hourly"), f"{base}/ckpt")
     return t.spark.read.parquet(f"{base}/hourly").select(*gold.HOURLY_COLUMNS)
 
@@ -212,7 +241,7 @@ def _refresh_hourly(t: Tables) -> DataFrame:
 def _current_state_run(t: Tables, name: str) -> str:
     base, landing = _landed(t, name)
     updates = silver.silver_trip_updates(ingest.flatten_trip_feed(
-        stream.read_feed_stream(t.spark, landing, max_files_per_trigger=3)))
+        stream.read_feed_stream(t.spark, landing, _files_per_trigger(t, 3))))
     stream.run_foreach_batch(updates, stream.current_state_refresher(f"{base}/history", f"{base}/current"),
                              f"{base}/ckpt")
     return base
@@ -284,19 +313,19 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "latest_positions": _t(lambda t: reports.latest_positions(t.silver_vehicle_positions)),
     "delay_trend": _t(lambda t: reports.delay_trend(t.silver_trip_updates, AS_OF, LOOKBACK_MINUTES)),
     "delays": _t(lambda t: t.delays),
-    "delays_limit_100": _t(lambda t: reports.delays(t.silver_trip_updates, t.silver_vehicle_positions, AS_OF,
+    "delays_limit_100": _t(lambda t: _delays(t.silver_trip_updates, t.silver_vehicle_positions, AS_OF,
                                                     limit=100)),
-    "delays_route": _t(lambda t: reports.delays(t.silver_trip_updates, t.silver_vehicle_positions, AS_OF,
+    "delays_route": _t(lambda t: _delays(t.silver_trip_updates, t.silver_vehicle_positions, AS_OF,
                                                 route=ROUTE_PREFIX)),
-    "delays_category": _t(lambda t: reports.delays(t.silver_trip_updates, t.silver_vehicle_positions, AS_OF,
+    "delays_category": _t(lambda t: _delays(t.silver_trip_updates, t.silver_vehicle_positions, AS_OF,
                                                    category=CATEGORY.upper())),
-    "delays_summary": _t(lambda t: reports.delays_summary(t.silver_trip_updates, t.silver_vehicle_positions,
+    "delays_summary": _t(lambda t: _delays_summary(t.silver_trip_updates, t.silver_vehicle_positions,
                                                           AS_OF)),
-    "delays_summary_all_bands": _t(lambda t: reports.delays_summary(t.silver_trip_updates,
+    "delays_summary_all_bands": _t(lambda t: _delays_summary(t.silver_trip_updates,
                                                                     t.silver_vehicle_positions, AS_OF,
                                                                     keep_empty=True)),
     "total_trips": _t(lambda t: reports.total_trips(
-        reports.delays_summary(t.silver_trip_updates, t.silver_vehicle_positions, AS_OF))),
+        _delays_summary(t.silver_trip_updates, t.silver_vehicle_positions, AS_OF))),
     "routes": _t(lambda t: reports.routes(t.silver_trip_updates)),
     "route_names": _t(_route_names),
     "trip_history": _t(lambda t: reports.trip_history(t.silver_trip_updates, TRIP)),
@@ -309,22 +338,22 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "gps_delay_coverage": _t(lambda t: reports.gps_delay_coverage(t.bronze_vehicle_positions,
                                                                   t.bronze_trip_updates)),
     # live map
-    "ghost_trips": _t(lambda t: live.ghost_trips(t.all_delays, t.vehicles)),
-    "live_trips": _t(lambda t: live.live_trips(t.all_delays, t.vehicles)),
-    "ghost_count": _t(lambda t: live.ghost_count(t.all_delays, t.vehicles)),
-    "worst_delay_by_route": _t(lambda t: live.worst_delay_by_route(t.all_delays)),
-    "vehicle_delay_info": _t(lambda t: live.vehicle_delay_info(t.vehicles, t.all_delays)),
-    "incident_list": _t(lambda t: live.incident_list(t.all_delays, t.vehicles)),
-    "incident_list_all": _t(lambda t: live.incident_list(t.all_delays, t.vehicles, show_ghosts=True)),
+    "ghost_trips": _t(lambda t: live.ghost_trips(t.all_delays, t.live_vehicles)),
+    "live_trips": _t(lambda t: live.live_trips(t.all_delays, t.live_vehicles)),
+    "ghost_count": _t(lambda t: live.ghost_count(t.trends, t.live_vehicles)),
+    "worst_delay_by_route": _t(lambda t: live.worst_delay_by_route(t.trends)),
+    "vehicle_delay_info": _t(lambda t: live.vehicle_delay_info(t.live_vehicles, t.trends)),
+    "incident_list": _t(lambda t: live.incident_list(t.all_delays, t.live_vehicles)),
+    "incident_list_all": _t(lambda t: live.incident_list(t.all_delays, t.live_vehicles, show_ghosts=True)),
     "route_descriptions": _t(lambda t: live.with_route_description(
         t.vehicles, dims.fixture_route_descriptions(t.spark))),
     "route_menu": _t(lambda t: live.route_menu(t.vehicles, dims.fixture_route_descriptions(t.spark))),
-    "trend_counts": _t(lambda t: live.trend_counts(t.all_delays)),
-    "selection_bounds": _t(lambda t: live.selection_bounds(t.all_delays, t.vehicles)),
-    "live_dots": _t(lambda t: live.live_dots(t.vehicles, t.all_delays, category="ON_TIME")),
-    "live_dots_selected": _t(lambda t: live.live_dots(t.vehicles, t.all_delays, route=LIVE_ROUTE,
+    "trend_counts": _t(lambda t: live.trend_counts(t.trends)),
+    "selection_bounds": _t(lambda t: live.selection_bounds(t.all_delays, t.live_vehicles)),
+    "live_dots": _t(lambda t: live.live_dots(t.live_vehicles, t.trends, category="ON_TIME")),
+    "live_dots_selected": _t(lambda t: live.live_dots(t.live_vehicles, t.trends, route=LIVE_ROUTE,
                                                       selected=SELECTED)),
-    "ghost_dots": _t(lambda t: live.ghost_dots(t.all_delays, t.vehicles)),
+    "ghost_dots": _t(lambda t: live.ghost_dots(t.all_delays, t.live_vehicles)),
     # streaming
     "stream_bronze_trips": _t(lambda t: _stream_bronze(t, "trip_update")),
     "stream_bronze_vehicles": _t(lambda t: _stream_bronze(t, "vehicle")),

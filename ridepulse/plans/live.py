@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from ridepulse.functions.columns import TREND_LABELS, clean_route_name, numeric_prefix, severity_rank
 from ridepulse.operators.keyed import latest_per_key
-from ridepulse.operators.sizing import broadcast_if_small
 from ridepulse.sources.dims import trend_labels
 
 
@@ -87,10 +86,9 @@ def with_route_description(df: DataFrame, descriptions: DataFrame, route_col: st
                            out_col: str = "route_description") -> DataFrame:
     """Description of the clean route name of ``route_col``; empty string when unknown.
 
-    The description table is broadcast only after a bounded size check.
+    The planner and AQE broadcast the description table only if its bytes are under the session's threshold.
     """
-    d = broadcast_if_small(descriptions.select(F.col("route_code").alias("_rc"),
-                                               F.col("description").alias("_desc")))
+    d = descriptions.select(F.col("route_code").alias("_rc"), F.col("description").alias("_desc"))
     return (df.withColumn("_rc", clean_route_name(route_col))
             .join(d, "_rc", "left")
             .withColumn(out_col, F.coalesce(F.col("_desc"), F.lit("")))
@@ -102,7 +100,7 @@ def route_menu(vehicles: DataFrame, descriptions: DataFrame | None = None) -> Da
     r = vehicles.select(clean_route_name("route_id").alias("route")).distinct() \
         .withColumn("route_num", numeric_prefix("route"))
     if descriptions is not None:
-        d = broadcast_if_small(descriptions.select(F.col("route_code").alias("route"), "description"))
+        d = descriptions.select(F.col("route_code").alias("route"), "description")
         r = r.join(d, "route", "left").withColumn("description", F.coalesce("description", F.lit("")))
     # Text labels in case-insensitive order (as a locale comparison would), exact text as the tie-break.
     return r.orderBy(F.col("route_num").asc_nulls_last(), F.lower("route"), "route")

@@ -50,12 +50,18 @@ def _route_prefix(df: DataFrame, route: str | None) -> DataFrame:
 
 def recent(df: DataFrame, as_of, history_hours: int | None, ts_col: str = "loaded_at",
            date_col: str = "loaded_date") -> DataFrame:
-    """Rows of the last ``history_hours`` before ``as_of`` (all rows when None).
+    """Rows observed up to ``as_of`` (inclusive), of the last ``history_hours`` before it (None: all before it).
+
+    Rows without a time are kept: they cannot be placed after ``as_of``.
 
     On stored silver (partitioned by ``loaded_date``) the date filter prunes whole partitions before the
     scan; the time filter is pushed into the parquet reader. This is the retention window of the published
     service (24 h) applied at read time instead of by deleting rows.
     """
+    end = ntz_literal(as_of)
+    df = df.where(F.col(ts_col).isNull() | (F.col(ts_col) <= end))
+    if date_col in df.columns:
+        df = df.where(F.col(date_col).isNull() | (F.col(date_col) <= F.to_date(end)))
     if history_hours is None:
         return df
     start = ntz_literal(as_of) - F.make_dt_interval(F.lit(0), F.lit(int(history_hours)))

@@ -14,6 +14,7 @@ so the write never reads the files it replaces and a lost executor recomputes fr
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,6 +36,7 @@ def _fs_path(spark: SparkSession, path: str):
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
+    recover(spark, path)
     p, fs = _fs_path(spark, path)
     if not fs.exists(p):
         return False
@@ -145,12 +147,40 @@ def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     w.parquet(path)
 
 
+def recover(spark: SparkSession, path: str) -> None:
+    """Finish or undo a table swap that was cut short: a table that is missing beside its old copy comes back."""
+    p, fs = _fs_path(spark, path.rstrip("/"))
+    if fs.exists(p) or not fs.exists(p.getParent()):
+        return
+    old = sorted(st.getPath().getName() for st in fs.listStatus(p.getParent())
+                 if st.getPath().getName().startswith(f"{p.getName()}__old-"))
+    if old:
+        fs.rename(_fs_path(spark, f"{p.getParent()}/{old[-1]}")[0], p)
+
+
 def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Replace the whole table (full refresh). ``df`` must not read ``path``."""
-    w = df.write.mode("overwrite")
+    """Replace the whole table (full refresh).
+
+    The new table is written beside the old one and swapped in by two renames, so a write that fails half-way leaves
+    the old table as it was; a swap cut short between the renames is undone by the next read (``recover``).
+    """
+    spark, tag = df.sparkSession, uuid.uuid4().hex[:12]
+    path = path.rstrip("/")
+    recover(spark, path)
+    w = df.write.mode("errorifexists")
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.parquet(path)
+    w.parquet(f"{path}__new-{tag}")
+    p, fs = _fs_path(spark, path)
+    new, old = _fs_path(spark, f"{path}__new-{tag}")[0], _fs_path(spark, f"{path}__old-{tag}")[0]
+    had = fs.exists(p)
+    if had and not fs.rename(p, old):
+        raise OSError(f"could not move {path} aside")
+    if not fs.rename(new, p):
+        recover(spark, path)
+        raise OSError(f"could not move the new table to {path}")
+    if had:
+        fs.delete(old, True)
 
 
 def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
@@ -207,7 +237,9 @@ def dedup_observations(fact: DataFrame) -> DataFrame:
 def _hours_filter(touched: list):
     """Rows of the touched (date, hour) pairs, as one flat IN list over an hour number (no deep OR chain)."""
     keys = sorted({(d - _EPOCH_DATE).days * 24 + int(h) for d, h in touched})
-    return (F.unix_date(F.col("record_date")) * 24 + F.col("record_hour")).isin(keys)
+    # The plain filter on the hour reaches the parquet scan; the pair filter decides.
+    return (F.col("record_hour").isin(sorted({int(h) for _, h in touched}))
+            & (F.unix_date(F.col("record_date")) * 24 + F.col("record_hour")).isin(keys))
 
 
 def refresh_hourly(fact_path: str, hourly_path: str, touched: list, spark: SparkSession) -> None:

@@ -35,8 +35,12 @@ def event_time(ntz_col: str) -> F.Column:
     return F.timestamp_seconds(epoch_seconds(F.col(ntz_col)))
 
 
-def land_feed(feed: DataFrame, landing: str, n_files: int = 8) -> None:
-    """Write snapshots as ``n_files`` time-ordered parquet files, as a collector landing the feed would."""
+def land_feed(feed: DataFrame, landing: str, n_files: int | None = None) -> None:
+    """Write snapshots as time-ordered parquet files, as a collector landing the feed would.
+
+    By default as many as the session has shuffle partitions, which follow the size of the input.
+    """
+    n_files = n_files or int(feed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     feed.repartitionByRange(n_files, "obs_ts").write.mode("append").parquet(landing)
 
 
@@ -56,10 +60,11 @@ def run_available_now(writer, checkpoint: str) -> None:
 
 
 def stream_bronze(spark: SparkSession, landing: str, out_dir: str, checkpoint: str,
-                  entity: str = "trip_update", **flatten_options) -> None:
+                  entity: str = "trip_update", max_files_per_trigger: int | None = None,
+                  **flatten_options) -> None:
     """Flatten every landed snapshot not yet processed into the bronze table at ``out_dir`` (partitioned by
     ``ingest_date``)."""
-    feed = read_feed_stream(spark, landing)
+    feed = read_feed_stream(spark, landing, max_files_per_trigger)
     rows = (flatten_trip_feed(feed, **flatten_options) if entity == "trip_update"
             else flatten_vehicle_feed(feed, **flatten_options))
     rows = rows.withColumn("ingest_date", F.to_date("ingestion_timestamp"))

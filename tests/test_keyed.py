@@ -80,17 +80,9 @@ def test_prune_old_counts(spark):
     assert (c.kept, c.pruned) == (3, 1)
 
 
-def test_broadcast_only_below_the_checked_size(spark):
-    from ridepulse.operators.sizing import broadcast_if_small
-    small = spark.range(10).withColumnRenamed("id", "k")
-    big = spark.range(1000).withColumnRenamed("id", "k")
-    facts = spark.range(5000).withColumn("k", F.col("id") % 1000)
-    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    try:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-        p1 = facts.join(broadcast_if_small(small, max_rows=100), "k")._jdf.queryExecution().executedPlan().toString()
-        p2 = facts.join(broadcast_if_small(big, max_rows=100), "k")._jdf.queryExecution().executedPlan().toString()
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
-    assert "BroadcastHashJoin" in p1
-    assert "BroadcastHashJoin" not in p2 and "SortMergeJoin" in p2
+def test_time_ordered_upsert_keeps_the_stored_route(spark):
+    cols = "trip_id string, route_id string, loaded_at string, delay_seconds int"
+    stored = spark.createDataFrame([("t", "rA", "03:00", 5)], cols)
+    late = spark.createDataFrame([("t", "rC", "02:00", 9), ("u", "rB", "01:00", 1), ("u", "rD", "02:00", 2)], cols)
+    out = {r.trip_id: tuple(r) for r in keyed.upsert(stored, late, ["trip_id"], ["loaded_at"], batch_wins=False).collect()}
+    assert out == {"t": ("t", "rA", "03:00", 5), "u": ("u", "rB", "02:00", 2)}
