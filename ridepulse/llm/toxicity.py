@@ -124,7 +124,7 @@ class Voters:
         return np.column_stack([self.votes(hits, n_words), np.log1p(hits), rate, np.log1p(lex), pat])
 
 
-def label_model(votes: np.ndarray, base: float, start: np.ndarray, rounds: int = 25, anchor: float = 4.0):
+def label_model(votes: np.ndarray, base: float, start: np.ndarray, rounds: int = 25, anchor: float = 8.0):
     """Accuracies, correlations and posterior labels from the votes.
 
     ``start`` holds each voter's share of toxic texts among those it fires on, from the labelled sample; it enters
