@@ -32,9 +32,10 @@ PIECE = [
     T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType()),
     T.StructField("ids", T.BinaryType()),
 ]
-#: Distinct chunks, and distinct pre-tokens, whose ids a worker remembers; a full memory is emptied.
+#: Distinct chunks, and distinct pre-tokens, whose ids a worker remembers. A full memory keeps the repeated chunks only.
 CACHE = 250_000
 #: Fixed values of byte-level BPE: the published split pattern, and the characters that stand for the bytes.
+LINE = "\n"
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _PRINTED = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 BYTE_CHARS = {b: chr(b) for b in _PRINTED} | {
@@ -53,8 +54,9 @@ class ChunkTokenizer:
     """Token ids of whole texts, with the ids of the word chunks remembered.
 
     The split pattern never joins a non-blank with a single blank after it, so a text can be cut before each blank
-    between two non-blanks and the chunks tokenised alone: once each, by the tokenizer's own BPE model. Texts with
-    other white space beside a blank (double blanks, tabs, line ends) are tokenised whole.
+    between two non-blanks and the chunks tokenised alone: once each, by the tokenizer's own BPE model. A line end
+    between two non-blanks is a part of its own, so the text is cut before it too, and its chunk has the line end in
+    place of the blank. Texts with more white space beside a blank or line end are tokenised whole.
     """
 
     def __init__(self, path: str):
@@ -73,6 +75,20 @@ class ChunkTokenizer:
         self.flat = np.zeros(1 << 16, np.uint32)
         self.at = np.zeros(1, np.int64)  # ids of chunk k are flat[at[k]:at[k + 1]]
         self.odd = np.zeros(0, bool)
+        self.uses = np.zeros(0, np.int64)
+
+    def _keep_repeated(self):
+        """Forget the chunks seen once; of the others the most used, so that half of the memory is free at least."""
+        keep = np.flatnonzero(self.uses > 1)
+        if len(keep) > CACHE // 2:
+            keep = np.sort(keep[np.argpartition(-self.uses[keep], CACHE // 2)[:CACHE // 2]])
+        words = list(self.codes)
+        begin, sizes, odd = self.at[keep], self.at[keep + 1] - self.at[keep], self.odd[keep]
+        flat = self.flat[ranges(begin, sizes)]
+        self._reset()
+        self.codes.update((words[k], i) for i, k in enumerate(keep.tolist()))
+        self.flat, self.odd, self.uses = flat, odd, np.ones(len(keep), np.int64)
+        self.at = np.concatenate([self.at, np.cumsum(sizes)])
 
     def _ids(self, chunk: str) -> list[int]:
         out: list[int] = []
@@ -102,12 +118,12 @@ class ChunkTokenizer:
         return [t.id for t in self.model.tokenize(part.encode().decode("latin-1").translate(BYTE_CHARS))]
 
     def _learn(self):
-        """Ids of the words first seen since the last call, each with the blank before it."""
+        """Ids of the words first seen since the last call, each with the blank or line end before it."""
         fresh = list(islice(self.codes, len(self.odd), None))
-        odd = [not w or w[0].isspace() or w[-1].isspace() for w in fresh]
+        odd = [not w or w[-1].isspace() or w[w[0] == LINE].isspace() for w in fresh]
         ids = [[] if o else self._word_ids(w) if w.isalpha() else
                self._stem_ids(w[:-1]) + self._ids(w[-1]) if w[-1] in ".,!?;:" and w[:-1].isalpha() else
-               self._ids(f" {w}") for w, o in zip(fresh, odd, strict=True)]
+               self._ids(w if w[0] == LINE else f" {w}") for w, o in zip(fresh, odd, strict=True)]
         sizes = np.fromiter(map(len, ids), np.int64, len(ids))
         end = int(self.at[-1])
         total = end + int(sizes.sum())
@@ -116,17 +132,19 @@ class ChunkTokenizer:
         self.flat[end:total] = np.fromiter(chain.from_iterable(ids), np.uint32, total - end)
         self.at = np.concatenate([self.at, end + np.cumsum(sizes)])
         self.odd = np.concatenate([self.odd, np.array(odd, bool)])
+        self.uses = np.concatenate([self.uses, np.zeros(len(fresh), np.int64)])
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.codes) >= CACHE:
-            self._reset()
+            self._keep_repeated()
         heads, coded = [], []
         for text in texts:
-            found = text.split(" ")
+            found = text.replace(LINE, f" {LINE}").split(" ")
             heads.append(found[0])
             coded.append(np.fromiter(map(self.codes.__getitem__, found[1:]), np.int64, len(found) - 1))
         if len(self.codes) > len(self.odd):
             self._learn()
+        self.uses += np.bincount(np.concatenate([np.zeros(0, np.int64), *coded]), minlength=len(self.uses))
         out: list[np.ndarray] = []
         for text, head, codes in zip(texts, heads, coded, strict=True):
             if head[-1:].isspace() or (len(codes) and not head) or self.odd[codes].any():

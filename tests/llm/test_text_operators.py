@@ -357,3 +357,21 @@ def test_label_model_recovers_accuracies():
     assert np.abs(accuracy - real).max() < 0.12 and correlation[0, 3] > 0.9 and correlation[0, 1] < 0.3
     # Abstentions carry no weight, so a single vote decides; that still beats the base rate of 0.8.
     assert ((post > 0.5) == truth).mean() > 0.85
+
+
+def test_word_memory_does_not_change_the_ids(monkeypatch):
+    """Chunk by chunk with a memory that is emptied again and again, against whole texts."""
+    import random
+
+    import public_tokenizers
+
+    from ridepulse.llm import packing
+
+    monkeypatch.setattr(packing, "CACHE", 60)
+    pick = random.Random(7)
+    signs = [*"ab'.,\n\n \t\r é9<|", *" " * 6, "<|endoftext|>", "the ", "it's", "un.\nDeux "]
+    coder = packing.ChunkTokenizer(public_tokenizers.path("byte_bpe_50k.json"))
+    for _ in range(400):
+        texts = ["".join(pick.choice(signs) for _ in range(pick.randrange(30))) for _ in range(5)]
+        whole = [coder.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+        assert [ids.tolist() for ids in coder.encode(texts)] == whole
