@@ -33,21 +33,25 @@ def _reports(spark, args):
     return {
         "vehicles": lambda: vehicles,
         "delays": lambda: reports.delays(updates, positions, as_of, category=args.category, route=args.route,
-                                         limit=args.limit or 5000, history_hours=hours),
+                                         limit=_or(args.limit, 5000), history_hours=hours),
         "delays_summary": lambda: reports.delays_summary(updates, positions, as_of, history_hours=hours),
         "routes": lambda: reports.routes(updates),
         "worst_routes": lambda: reports.worst_routes(spark.read.parquet(w.worst), day=args.day, period=args.period,
-                                                     limit=args.limit or 20),
+                                                     limit=_or(args.limit, 20)),
         "network_health": lambda: reports.network_health(spark.read.parquet(w.network)),
-        "trip_history": lambda: reports.trip_history(updates, args.trip, limit=args.limit or 20),
-        "dim_routes": lambda: gold.dim_routes(updates),
-        "route_performance": lambda: gold.gold_route_performance(updates),
+        "trip_history": lambda: reports.trip_history(updates, args.trip, limit=_or(args.limit, 20)),
+        "dim_routes": lambda: spark.read.parquet(w.routes),
+        "route_performance": lambda: spark.read.parquet(w.performance),
         "ghost_trips": lambda: live.ghost_trips(delays, vehicles),
         "incidents": lambda: live.incident_list(delays, vehicles, show_ghosts=args.show_ghosts),
         "vehicle_delay_info": lambda: live.vehicle_delay_info(vehicles, delays),
     }
 
 
+def _or(value, default):
+    return default if value is None else value
+
+
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(prog="ridepulse")
     sub = ap.add_subparsers(dest="cmd", required=True)
@@ -85,24 +89,26 @@ def main(argv=None) -> None:
         feed = spark.read.schema(schemas.FEED).parquet(args.landing)
         print(jobs.refresh_warehouse(feed, args.root, as_of=args.as_of, retention_hours=args.retention_hours,
                                      run_id=args.run_id))
+        jobs.rebuild_route_tables(spark, args.root)
     elif args.cmd == "compact":
         print(jobs.compact_warehouse(spark, args.root, args.date))
     elif args.cmd == "stream":
         w = jobs.Warehouse(args.root)
-        stream.stream_bronze(spark, args.landing, w.bronze_trips, f"{args.checkpoint}/bronze_trips")
-        stream.stream_bronze(spark, args.landing, w.bronze_vehicles, f"{args.checkpoint}/bronze_vehicles",
-                             entity="vehicle")
-        stream.stream_silver(spark, args.landing, w.silver_trips, f"{args.checkpoint}/silver_trips")
-        stream.stream_silver(spark, args.landing, w.silver_vehicles, f"{args.checkpoint}/silver_vehicles",
-                             entity="vehicle")
+        rate = args.max_files_per_trigger
+        for name, run, path, entity in (("bronze_trips", stream.stream_bronze, w.bronze_trips, "trip_update"),
+                                        ("bronze_vehicles", stream.stream_bronze, w.bronze_vehicles, "vehicle"),
+                                        ("silver_trips", stream.stream_silver, w.silver_trips, "trip_update"),
+                                        ("silver_vehicles", stream.stream_silver, w.silver_vehicles, "vehicle")):
+            run(spark, args.landing, path, f"{args.checkpoint}/{name}", entity=entity, max_files_per_trigger=rate)
         updates = silver.silver_trip_updates(ingest.flatten_trip_feed(
-            stream.read_feed_stream(spark, args.landing, args.max_files_per_trigger)))
+            stream.read_feed_stream(spark, args.landing, rate)))
         stream.run_foreach_batch(updates, stream.hourly_refresher(w.fact, w.hourly), f"{args.checkpoint}/gold")
         if not tables.table_exists(spark, w.hourly):
             return
         hourly = spark.read.parquet(w.hourly)
-        gold.gold_worst_routes_by_period(hourly).write.mode("overwrite").parquet(w.worst)
-        gold.gold_network_summary(hourly).write.mode("overwrite").parquet(w.network)
+        tables.overwrite(gold.gold_worst_routes_by_period(hourly), w.worst)
+        tables.overwrite(gold.gold_network_summary(hourly), w.network)
+        jobs.rebuild_route_tables(spark, args.root)
     else:
         table = _reports(spark, args)
         if args.name not in table:

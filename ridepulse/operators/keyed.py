@@ -45,6 +45,7 @@ def upsert(current: DataFrame, batch: DataFrame, keys: Sequence[str], order_by:
     row under ``order_by`` wins across stored and batch rows (a replayed or late batch cannot move a key
     back in time; ties go to the batch). Columns in ``keep_first`` keep the value
     of the earliest row (the stored row when there was one), as an upsert that does not update them.
+    Columns that only the batch has come last, null in rows it does not touch.
     Both sides are unioned and reduced by one aggregate on the key (``max_by`` / ``min_by`` over the
     sequence): partial aggregation combines map-side, so a key updated millions of times still ships one row
     per map task.
@@ -65,7 +66,8 @@ def upsert(current: DataFrame, batch: DataFrame, keys: Sequence[str], order_by:
     aggs += [F.min_by(F.col(c), stored_first).alias(f"_first_{c}") for c in keep_first]
     out = both.groupBy(*keys).agg(*aggs)
     cols = [F.col(f"_first_{c}").alias(c) if c in keep_first else F.col("_last")[c].alias(c) for c in values]
-    return out.select(*[F.col(k) for k in keys], *cols).select(*current.columns)
+    added = [c for c in batch.columns if c not in current.columns]
+    return out.select(*[F.col(k) for k in keys], *cols).select(*current.columns, *added)
 
 
 def merge_by_key(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:

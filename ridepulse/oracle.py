@@ -276,6 +276,14 @@ def _delays_variant(where_src: str = "", where_out: str = "") -> str:
   ORDER BY l.loaded_at DESC NULLS FIRST, l.trip_id LIMIT 5000"""
 
 
+STREAM_HOURLY = """SELECT route_code, record_date, record_hour, day_of_week, day_name, time_period,
+        total_observations, avg_delay_minutes, max_delay_minutes, min_delay_minutes, stddev_delay_minutes,
+        early_count, on_time_count, minor_count, moderate_count, severe_count, critical_count,
+        on_time_percentage, last_updated
+      FROM hourly
+      WHERE CAST(record_date AS TIMESTAMP) + to_hours(record_hour + 1)
+            <= (SELECT max(recorded_at) FROM fact) - INTERVAL 2 HOUR"""
+
 BODIES: dict[str, str] = {
     "flatten_vehicle_feed": "SELECT vehicle_id, trip_id, route_id, raw_data, ingestion_timestamp FROM bvp",
     "flatten_trip_feed": "SELECT trip_id, route_id, raw_data, ingestion_timestamp FROM btu",
@@ -433,13 +441,8 @@ BODIES: dict[str, str] = {
     "stream_bronze_trips": "SELECT trip_id, route_id, raw_data, ingestion_timestamp FROM btu",
     "stream_bronze_vehicles": "SELECT vehicle_id, trip_id, route_id, raw_data, ingestion_timestamp FROM bvp",
     "stream_fact_dedup": f"SELECT {FACT_COLS} FROM fact",
-    "stream_hourly_windows": """SELECT route_code, record_date, record_hour, day_of_week, day_name, time_period,
-        total_observations, avg_delay_minutes, max_delay_minutes, min_delay_minutes, stddev_delay_minutes,
-        early_count, on_time_count, minor_count, moderate_count, severe_count, critical_count,
-        on_time_percentage, last_updated
-      FROM hourly
-      WHERE CAST(record_date AS TIMESTAMP) + to_hours(record_hour + 1)
-            <= (SELECT max(recorded_at) FROM fact) - INTERVAL 2 HOUR""",
+    "stream_hourly_windows": STREAM_HOURLY,
+    "stream_late_rows": STREAM_HOURLY,
     "refresh_hourly_incremental": f"SELECT {HOURLY_COLS} FROM hourly",
     "refresh_current_state": "SELECT trip_id, route_id, delay_seconds, stop_id, loaded_at FROM " + latest(
         "stu", "trip_id", "loaded_at DESC, delay_seconds DESC, stop_id DESC") + " AS x",

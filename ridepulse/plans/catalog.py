@@ -209,22 +209,43 @@ def _stream_bronze(t: Tables, entity: str) -> DataFrame:
     return t.spark.read.parquet(f"{base}/bronze").drop("ingest_date")
 
 
+#: The streaming queries deliver the feed in three parts; state and watermark carry over between their runs.
+PARTS = ("2024-01-11 00:00:00", "2024-01-21 00:00:00")
+
+
+def _between(start, end) -> F.Column:
+    return ((F.lit(True) if start is None else F.col("obs_ts") >= silver.ntz_literal(start))
+            & (F.lit(True) if end is None else F.col("obs_ts") < silver.ntz_literal(end)))
+
+
+def _stream_parts(t: Tables, name: str, parts: list, transform) -> DataFrame:
+    """Land each part and process it in a run of its own over one checkpoint; returns what was written."""
+    base = scratch_path(t.spark, name)
+    for rows in parts:
+        stream.land_feed(t.feed.where(rows), f"{base}/landing", _files_per_trigger(t, len(parts)))
+        fact = stream.silver_fact_stream(stream.read_feed_stream(t.spark, f"{base}/landing"))
+        writer = transform(fact).writeStream.format("parquet").option("path", f"{base}/out").outputMode("append")
+        stream.run_available_now(writer, f"{base}/ckpt")
+    return t.spark.read.parquet(f"{base}/out")
+
+
 def _stream_fact_dedup(t: Tables) -> DataFrame:
-    base, landing = _landed(t, "stream-dedup")
-    fact = stream.silver_fact_stream(stream.read_feed_stream(t.spark, landing))
-    deduped = stream.stream_dedup(fact.unionByName(fact), STREAM_LATENESS)   # every observation delivered twice
-    writer = deduped.writeStream.format("parquet").option("path", f"{base}/fact")
-    stream.run_available_now(writer, f"{base}/ckpt")
-    return t.spark.read.parquet(f"{base}/fact")
+    """Every observation twice in one run, the last day of a part again in the next, and old days at the end."""
+    parts = [_between(None, PARTS[0]), _between("2024-01-10 00:00:00", PARTS[1]),
+             _between(PARTS[1], None) | _between(None, "2024-01-05 00:00:00")]
+    return _stream_parts(t, "stream-dedup", parts,
+                         lambda fact: stream.stream_dedup(fact.unionByName(fact), STREAM_LATENESS))
 
 
-def _stream_hourly(t: Tables) -> DataFrame:
-    base, landing = _landed(t, "stream-hourly")
-    fact = stream.silver_fact_stream(stream.read_feed_stream(t.spark, landing))
-    hourly = stream.stream_hourly(fact, STREAM_LATENESS)
-    writer = hourly.writeStream.format("parquet").option("path", f"{base}/hourly").outputMode("append")
-    stream.run_available_now(writer, f"{base}/ckpt")
-    return t.spark.read.parquet(f"{base}/hourly").select(*stream.STREAM_HOURLY_COLUMNS)
+def _stream_hourly(t: Tables, replay: bool) -> DataFrame:
+    """Every second event of a part's last hour comes late, with the next part, inside the allowed lateness;
+    ``replay`` also sends old days again at the end, far behind the watermark, which must change nothing."""
+    late = _between("2024-01-10 23:00:00", PARTS[0]) & (F.col("event_id") % 2 == 1)
+    last = _between(PARTS[1], None)
+    parts = [_between(None, PARTS[0]) & ~late, _between(PARTS[0], PARTS[1]) | late,
+             last | _between(None, "2024-01-05 00:00:00") if replay else last]
+    return _stream_parts(t, "stream-hourly", parts, lambda fact: stream.stream_hourly(fact, STREAM_LATENESS)) \
+        .select(*stream.STREAM_HOURLY_COLUMNS)
 
 
 def _refresh_hourly(t: Tables) -> DataFrame:
@@ -358,7 +379,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_bronze_trips": _t(lambda t: _stream_bronze(t, "trip_update")),
     "stream_bronze_vehicles": _t(lambda t: _stream_bronze(t, "vehicle")),
     "stream_fact_dedup": _t(_stream_fact_dedup),
-    "stream_hourly_windows": _t(_stream_hourly),
+    "stream_hourly_windows": _t(lambda t: _stream_hourly(t, replay=False)),
+    "stream_late_rows": _t(lambda t: _stream_hourly(t, replay=True)),
     "refresh_hourly_incremental": _t(_refresh_hourly),
     "refresh_current_state": _t(_refresh_current),
     "stream_delay_trend": _t(_stream_trend),

@@ -18,6 +18,9 @@ FACT_COLUMNS = ("delay_record_id", "trip_id", "route_id", "route_code", "delay_s
                 "delay_category", "stop_id", "recorded_at", "record_date", "record_hour", "day_of_week",
                 "day_name", "time_period")
 
+#: Silver columns that the fact renames or that only say where a row is stored.
+_NOT_CARRIED = ("loaded_at", "loaded_date", "run_id", "batch_id")
+
 HOURLY_KEYS = ("route_code", "record_date", "record_hour", "day_of_week", "day_name", "time_period")
 
 HOURLY_COLUMNS = ("performance_id", *HOURLY_KEYS, "total_observations", "unique_trips", "avg_delay_minutes",
@@ -29,8 +32,10 @@ HOURLY_COLUMNS = ("performance_id", *HOURLY_KEYS, "total_observations", "unique_
 def fact_historical_delays(silver_updates: DataFrame) -> DataFrame:
     """One row per delay observation with its surrogate key, route code, band and time dimensions.
 
-    Narrow (no shuffle). Stored partitioned by ``record_date`` so refreshes and reads prune by date.
+    Narrow (no shuffle). Stored partitioned by ``record_date`` so refreshes and reads prune by date. Columns that
+    the silver table gained later are carried over at the end.
     """
+    added = [c for c in silver_updates.columns if c not in FACT_COLUMNS and c not in _NOT_CARRIED]
     ts = F.col("loaded_at")
     hour = F.hour(ts).cast("int")
     return (silver_updates.where(F.col("delay_seconds").isNotNull())
@@ -46,7 +51,8 @@ def fact_historical_delays(silver_updates: DataFrame) -> DataFrame:
                     hour.alias("record_hour"),
                     day_of_week(ts).alias("day_of_week"),
                     day_name(ts).alias("day_name"),
-                    time_period(hour).alias("time_period")))
+                    time_period(hour).alias("time_period"),
+                    *added))
 
 
 def gold_route_performance_hourly(fact: DataFrame) -> DataFrame:

@@ -4,7 +4,8 @@ gold tables up to date incrementally (the cron + transform flow, re-expressed as
 Layout under ``root``: ``bronze/{vehicle_positions,trip_updates}`` (partitioned by ``ingest_date``),
 ``silver/{vehicle_positions,trip_updates}`` (by ``loaded_date``), ``fact/historical_delays`` and
 ``gold/route_performance_hourly`` (by ``record_date``), ``gold/worst_routes_by_period`` and
-``gold/network_summary`` (small, rebuilt from the hourly table each run).
+``gold/network_summary`` (small, rebuilt from the hourly table each run), ``gold/dim_routes`` and
+``gold/route_performance`` (rebuilt from all silver updates by ``rebuild_route_tables``).
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ridepulse.operators.ingest import flatten_trip_feed, flatten_vehicle_feed
 from ridepulse.operators.silver import silver_trip_updates, silver_vehicle_positions
+from ridepulse.plans import gold
 from ridepulse.plans.gold import gold_network_summary, gold_worst_routes_by_period
 from ridepulse.sources import tables
 
@@ -60,6 +62,14 @@ class Warehouse:
     def network(self) -> str:
         return self.path("gold", "network_summary")
 
+    @property
+    def routes(self) -> str:
+        return self.path("gold", "dim_routes")
+
+    @property
+    def performance(self) -> str:
+        return self.path("gold", "route_performance")
+
 
 def _add(rows: DataFrame, path: str, date_col: str, ts_col: str, run_id: str | None,
          cluster_by: tuple[str, ...] = ()) -> None:
@@ -97,9 +107,8 @@ def refresh_warehouse(feed_batch: DataFrame, root: str, as_of=None, retention_ho
     """
     spark: SparkSession = feed_batch.sparkSession
     w = Warehouse(root)
-    # The landed batch is read by four writes: materialize it once in the shared checkpoint folder. The
-    # flattening and typing downstream are narrow and cheap to recompute from it.
-    feed = tables.stable(feed_batch)
+    # The landed batch is read by each write with only the columns it needs; flattening and typing are narrow.
+    feed = feed_batch
     append_bronze(flatten_vehicle_feed(feed), w.bronze_vehicles, run_id)
     trips = flatten_trip_feed(feed)
     append_bronze(trips, w.bronze_trips, run_id)
@@ -121,17 +130,26 @@ def refresh_warehouse(feed_batch: DataFrame, root: str, as_of=None, retention_ho
     return {"touched_hours": len(touched), "pruned": pruned}
 
 
+def rebuild_route_tables(spark: SparkSession, root: str) -> None:
+    """Write the route dimension and the route performance table from all stored silver updates."""
+    w = Warehouse(root)
+    if tables.table_exists(spark, w.silver_trips):
+        updates = spark.read.parquet(w.silver_trips)
+        tables.overwrite(gold.dim_routes(updates), w.routes)
+        tables.overwrite(gold.gold_route_performance(updates), w.performance)
+
+
 def compact_warehouse(spark: SparkSession, root: str, dates: list[str], target_file_bytes: int = 256 << 20) -> dict:
     """Compact the append-heavy tables (bronze, silver, fact) for closed dates, e.g. yesterday's: a
     five-minute cadence leaves hundreds of small files per date folder."""
     w = Warehouse(root)
     out = {}
-    for name, path, col in (("bronze_vehicle_positions", w.bronze_vehicles, "ingest_date"),
-                            ("bronze_trip_updates", w.bronze_trips, "ingest_date"),
-                            ("silver_vehicle_positions", w.silver_vehicles, "loaded_date"),
-                            ("silver_trip_updates", w.silver_trips, "loaded_date"),
-                            ("fact_historical_delays", w.fact, "record_date")):
+    for name, path, col, ts in (("bronze_vehicle_positions", w.bronze_vehicles, "ingest_date", "ingestion_timestamp"),
+                                ("bronze_trip_updates", w.bronze_trips, "ingest_date", "ingestion_timestamp"),
+                                ("silver_vehicle_positions", w.silver_vehicles, "loaded_date", "loaded_at"),
+                                ("silver_trip_updates", w.silver_trips, "loaded_date", "loaded_at"),
+                                ("fact_historical_delays", w.fact, "record_date", "recorded_at")):
         present = [d for d in dates if d in set(tables.partition_values(spark, path, col))]
         if present:
-            out[name] = tables.compact_partitions(spark, path, col, present, target_file_bytes)
+            out[name] = tables.compact_partitions(spark, path, col, present, target_file_bytes, ("trip_id", ts))
     return out

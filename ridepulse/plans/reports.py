@@ -176,23 +176,25 @@ def delays_summary(updates: DataFrame, positions: DataFrame, as_of, keep_empty:
     t = delay_trend(updates, as_of, lookback_minutes, history_hours=history_hours)
     gps = (recent(positions, as_of, history_hours).select("trip_id").where(F.col("trip_id").isNotNull())
            .distinct().withColumn("has_gps", F.lit(1)))
-    cur = (t.join(gps, "trip_id", "left")
-           .groupBy("delay_category")
-           .agg(F.count(F.lit(1)).cast("long").alias("count"),
-                F.sum(F.coalesce(F.col("has_gps"), F.lit(0))).cast("long").alias("mappable_count")))
-    prev = (t.where(F.col("prev_delay_seconds").isNotNull())
-            .groupBy(delay_category("prev_delay_seconds").alias("delay_category"))
-            .agg(F.count(F.lit(1)).cast("long").alias("prev_count")))
-    # Both sides have at most six rows (one per band): broadcasting them is bounded by construction.
+    # Each trip counts once in its band now and once in its band before: one pass over the trend.
+    none, one = F.lit(0), F.lit(1)
+    now = F.struct("delay_category", one.alias("count"), F.coalesce("has_gps", none).alias("mappable_count"),
+                   none.alias("prev_count"))
+    before = F.struct(delay_category("prev_delay_seconds").alias("delay_category"), none.alias("count"),
+                      none.alias("mappable_count"), one.alias("prev_count"))
+    counts = ("count", "mappable_count", "prev_count")
+    bands = (t.join(gps, "trip_id", "left")
+             .select(F.explode(F.array(now, F.when(F.col("prev_delay_seconds").isNotNull(), before))).alias("b"))
+             .where(F.col("b").isNotNull()).select("b.*").groupBy("delay_category")
+             .agg(*[F.sum(c).cast("long").alias(c) for c in counts]))
     if keep_empty:
-        bands = delay_bands(updates.sparkSession).select(F.col("category").alias("delay_category"))
-        cur = F.broadcast(bands).join(F.broadcast(cur), "delay_category", "left").select(
-            "delay_category", F.coalesce("count", F.lit(0)).cast("long").alias("count"),
-            F.coalesce("mappable_count", F.lit(0)).cast("long").alias("mappable_count"))
-    out = cur.join(F.broadcast(prev), "delay_category", "left").select(
-        "delay_category", "count", "mappable_count",
-        F.coalesce("prev_count", F.lit(0)).cast("long").alias("prev_count"),
-        (F.col("count") - F.coalesce("prev_count", F.lit(0))).cast("long").alias("change"))
+        # At most six rows on either side (one per band).
+        names = delay_bands(updates.sparkSession).select(F.col("category").alias("delay_category"))
+        bands = F.broadcast(names).join(F.broadcast(bands), "delay_category", "left") \
+            .select("delay_category", *[F.coalesce(c, none).cast("long").alias(c) for c in counts])
+    else:
+        bands = bands.where(F.col("count") > 0)
+    out = bands.select("delay_category", *counts, (F.col("count") - F.col("prev_count")).alias("change"))
     return out.orderBy(display_order("delay_category"))
 
 

@@ -2,8 +2,8 @@
 and hourly-gold refresh.
 
 Refresh rules (they differ from the published incremental models on purpose):
-* the fact is append-only with dedup on the surrogate key, so replayed, late and equal-time rows are neither
-  lost nor duplicated; ``incremental_fact_batch`` selects the rows a scheduled run takes (at or after the
+* the fact holds one row per surrogate key, chosen by one rule over stored and new rows, so replayed, late and
+  equal-time rows are neither lost nor duplicated and the table does not depend on how rows fall into batches; ``incremental_fact_batch`` selects the rows a scheduled run takes (at or after the
   high-water mark minus a lateness allowance);
 * the hourly gold recomputes every *touched* hour in full from the fact and replaces the affected date
   partitions, so an hour delivered in two batches equals a full rebuild.
@@ -23,7 +23,7 @@ from pyspark.sql.types import StructType
 
 from ridepulse.operators.keyed import incremental_since, latest_per_key, prune_old
 from ridepulse.operators.silver import ntz_literal
-from ridepulse.plans.gold import FACT_COLUMNS, fact_historical_delays, gold_route_performance_hourly
+from ridepulse.plans.gold import fact_historical_delays, gold_route_performance_hourly
 from ridepulse.session import shared_dir
 
 _EPOCH_DATE = _dt.date(1970, 1, 1)
@@ -60,9 +60,12 @@ def _as_date(value: str):
         return None
 
 
-def read_partitions(spark: SparkSession, path: str, col: str, values: Sequence) -> DataFrame | None:
+def read_partitions(spark: SparkSession, path: str, col: str, values: Sequence,
+                    all_columns: bool = False) -> DataFrame | None:
     """Read only the ``col=value`` partition folders of a table (None when none of them exists).
 
+    ``all_columns`` merges the files' schemas: rewrites need it, or columns added later would be lost.
+
     Listing just the touched folders keeps a refresh's file listing proportional to the batch, not to a table
     with months of partitions.
     """
@@ -74,7 +77,7 @@ def read_partitions(spark: SparkSession, path: str, col: str, values: Sequence)
             dirs.append(d)
     if not dirs:
         return None
-    return spark.read.option("basePath", path).parquet(*dirs)
+    return spark.read.option("basePath", path).option("mergeSchema", all_columns).parquet(*dirs)
 
 
 def nested_partition_columns(spark: SparkSession, folder: str) -> list[str]:
@@ -111,33 +114,52 @@ def folder_bytes(spark: SparkSession, folder: str) -> tuple[int, int]:
     return files, size
 
 
+def leaf_folders(spark: SparkSession, folder: str) -> int:
+    """Number of folders below ``folder`` that hold data files."""
+    p, fs = _fs_path(spark, folder)
+    found = set()
+    it = fs.listFiles(p, True) if fs.exists(p) else None
+    while it is not None and it.hasNext():
+        file = it.next().getPath()
+        if not file.getName().startswith(("_", ".")):
+            found.add(file.getParent().toString())
+    return len(found)
+
+
 def compact_partitions(spark: SparkSession, path: str, col: str, values: Sequence,
-                       target_file_bytes: int = 256 << 20) -> dict:
+                       target_file_bytes: int = 256 << 20, sort_by: Sequence[str] = ()) -> dict:
     """Rewrite the given partitions of an append-heavy table into about ``size / target_file_bytes`` files.
 
     Frequent small appends (one per micro-batch) leave many small files per date; this reads only the named
-    folders, spreads their rows over the target number of files (hash on all columns: deterministic on
-    retry), materializes them in the shared checkpoint folder and replaces the partitions. Rows are
-    unchanged. Returns the file counts before and after.
+    folders, deals their rows by range of (partition columns, ``sort_by``) so that each task writes few folders and
+    each file a narrow range of ``sort_by``, materializes them in the shared checkpoint folder and replaces the
+    partitions. A range cut adds at most one file, so there are never more files than before. Rows are unchanged.
+    Returns the file counts before and after.
     """
     before = sum(folder_bytes(spark, f"{path.rstrip('/')}/{col}={v}")[0] for v in values)
     total = sum(folder_bytes(spark, f"{path.rstrip('/')}/{col}={v}")[1] for v in values)
-    df = read_partitions(spark, path, col, values)
+    df = read_partitions(spark, path, col, values, all_columns=True)
     if df is None:
         return {"files_before": 0, "files_after": 0}
     inner = nested_partition_columns(spark, f"{path.rstrip('/')}/{col}={values[0]}")
-    n = max(1, -(-total // int(target_file_bytes)))
-    compacted = stable(df.repartition(n, *df.columns))
+    folders = sum(leaf_folders(spark, f"{path.rstrip('/')}/{col}={v}") for v in values)
+    n = min(max(1, -(-total // int(target_file_bytes))), before - folders + 1)
+    keys = [col, *inner, *sort_by]
+    compacted = stable(df.repartitionByRange(n, *keys).sortWithinPartitions(*keys))
     overwrite_partitions(compacted, path, [col, *inner])
     after = sum(folder_bytes(spark, f"{path.rstrip('/')}/{col}={v}")[0] for v in values)
     return {"files_before": before, "files_after": after}
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """The table at ``path``, or an empty frame of ``schema`` when it does not exist yet."""
+    """The table at ``path``, or an empty frame of ``schema`` when it does not exist yet.
+
+    Columns the table gained later come after those of ``schema``; files without them read as null.
+    """
+    empty = spark.createDataFrame([], schema)
     if table_exists(spark, path):
-        return spark.read.schema(schema).option("mergeSchema", "true").parquet(path)
-    return spark.createDataFrame([], schema)
+        return empty.unionByName(spark.read.option("mergeSchema", "true").parquet(path), allowMissingColumns=True)
+    return empty
 
 
 def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
@@ -199,10 +221,11 @@ def refresh_fact(silver_batch: DataFrame, fact_path: str) -> list:
     """Add a silver batch to the fact table (partitioned by ``record_date``); returns the touched
     ``(record_date, record_hour)`` pairs.
 
-    Append-only with dedup on ``delay_record_id`` (trip and second): a replayed or overlapping batch adds
-    nothing twice, and late rows are accepted whatever the high-water mark. The existing keys are looked up
-    only in the touched dates and inside the batch's time range (parquet min/max statistics skip the rest),
-    so the cost follows the batch, not the table.
+    One row per ``delay_record_id`` (trip and second): a replayed or overlapping batch adds nothing twice, and late
+    rows are accepted whatever the high-water mark. Of several rows with one key the greatest by ``OBSERVATION_RANK``
+    stays, stored or new, so the table is the same however the rows fall into batches. The existing keys are looked
+    up only in the touched dates and inside the batch's time range (parquet min/max statistics skip the rest). New
+    keys are appended; only dates where a new row replaces a stored one are rewritten.
     """
     spark = silver_batch.sparkSession
     fact = fact_historical_delays(silver_batch)
@@ -219,19 +242,30 @@ def refresh_fact(silver_batch: DataFrame, fact_path: str) -> list:
     # write one tiny file per partition and date; the dedup has a full tie-break, so it is deterministic).
     new = dedup_observations(fact)
     stored = read_partitions(spark, fact_path, "record_date", dates)
-    if stored is not None:
-        seen = (stored.where(F.col("recorded_at").between(ntz_literal(lo), ntz_literal(hi)))
-                .select("delay_record_id"))
-        new = new.join(seen, "delay_record_id", "left_anti")
-    append(new.select(*FACT_COLUMNS), fact_path, ["record_date"])
+    if stored is None:
+        append(new, fact_path, ["record_date"])
+        return touched
+    seen = (stored.where(F.col("recorded_at").between(ntz_literal(lo), ntz_literal(hi)))
+            .select("delay_record_id", F.struct(*OBSERVATION_RANK).alias("_stored")))
+    replaced = [r["record_date"] for r in
+                new.join(seen, "delay_record_id").where(F.struct(*OBSERVATION_RANK) > F.col("_stored"))
+                .select("record_date").distinct().collect()]
+    rewritten = F.col("record_date").isin(replaced)
+    append(new.where(~rewritten).join(seen, "delay_record_id", "left_anti"), fact_path, ["record_date"])
+    if replaced:
+        both = read_partitions(spark, fact_path, "record_date", replaced, all_columns=True) \
+            .unionByName(new.where(rewritten), allowMissingColumns=True)
+        overwrite_partitions(stable(dedup_observations(both)), fact_path, ["record_date"])
     return touched
 
 
+#: Of several observations with one key the greatest stays (nulls are smallest).
+OBSERVATION_RANK = ("delay_seconds", "stop_id", "route_id")
+
+
 def dedup_observations(fact: DataFrame) -> DataFrame:
     """One fact row per ``delay_record_id`` (same trip and second), deterministically chosen."""
-    return latest_per_key(fact, ["delay_record_id"], [F.col("delay_seconds").desc_nulls_last(),
-                                                      F.col("stop_id").desc_nulls_last(),
-                                                      F.col("route_id").desc_nulls_last()])
+    return latest_per_key(fact, ["delay_record_id"], [F.col(c).desc_nulls_last() for c in OBSERVATION_RANK])
 
 
 def _hours_filter(touched: list):
@@ -290,7 +324,7 @@ def prune_table(path: str, ts_col: str, as_of, hours: int = 24, partition_col: s
     """
     cutoff_day = (_dt.datetime.fromisoformat(str(as_of)) - _dt.timedelta(hours=int(hours))).date()
     if not partition_col:
-        kept, counts = prune_old(spark.read.parquet(path), ts_col, as_of, hours)
+        kept, counts = prune_old(spark.read.option("mergeSchema", "true").parquet(path), ts_col, as_of, hours)
         c = counts.first()
         if int(c["pruned"]):
             overwrite(stable(kept), path)
@@ -300,7 +334,7 @@ def prune_table(path: str, ts_col: str, as_of, hours: int = 24, partition_col: s
     boundary = [v for v, d in values if d == cutoff_day]
     pruned = read_partitions(spark, path, partition_col, expired).count() if expired else 0
     kept_rows = 0
-    edge = read_partitions(spark, path, partition_col, boundary) if boundary else None
+    edge = read_partitions(spark, path, partition_col, boundary, all_columns=True) if boundary else None
     if edge is not None:
         kept, counts = prune_old(edge, ts_col, as_of, hours)
         c = counts.first()

@@ -154,8 +154,7 @@ def current_state_refresher(history_path: str, current_path: str):
         tables.overwrite_partitions(batch.withColumn("batch_id", F.lit(int(batch_id))), history_path,
                                     ["batch_id"])
         current = tables.read_or_empty(spark, current_path, schemas.SILVER_TRIP_UPDATES)
-        nxt = upsert(current, batch.select(*current.columns), ["trip_id"], list(UPDATE_SEQUENCE),
-                     batch_wins=False)
+        nxt = upsert(current, batch, ["trip_id"], list(UPDATE_SEQUENCE), batch_wins=False)
         tables.overwrite(tables.stable(nxt), current_path)
     return refresh
 

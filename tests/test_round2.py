@@ -1,12 +1,18 @@
 """Swapped table writes, as-of bounds and the default delay of a present arrival."""
 
+import datetime as dt
+import glob
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
+from conftest import SF_SMALL
 from ridepulse import schemas
 from ridepulse.operators.ingest import flatten_trip_feed
-from ridepulse.plans import reports
+from ridepulse.plans import catalog, reports
 from ridepulse.sources import tables
+from ridepulse.streaming import stream
 
 
 def test_failed_overwrite_keeps_the_table(spark, tmp_path):
@@ -64,3 +70,70 @@ def test_present_arrival_without_delay_is_zero(spark, mode):
     assert schemas.FEED is not None
     rows = flatten_trip_feed(feed, missing_delay=mode).collect()
     assert [r.raw_data for r in rows] == ['{"delay":0,"stop_id":"s"}']
+
+
+SILVER = "trip_id string, route_id string, delay_seconds int, stop_id string, loaded_at timestamp_ntz"
+
+
+def _at(day, hour, minute=0):
+    return dt.datetime(2024, 1, day, hour, minute)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_fact_and_state_do_not_depend_on_the_batches(spark, tmp_path, seed):
+    """Repeated keys with other values, late rows and changed routes, in one batch and in random batches."""
+    pick = random.Random(seed)
+    rows = [(f"t{pick.randrange(4)}", f"R{pick.randrange(3)}_0", pick.choice([None, 10, 90, 500]),
+             pick.choice([None, "S1", "S2"]), _at(pick.randrange(2, 4), pick.randrange(2))) for _ in range(40)]
+    rows += rows[:5]
+    cuts = sorted(pick.sample(range(1, len(rows)), 3))
+    split = [rows[a:b] for a, b in zip([0, *cuts], [*cuts, len(rows)])]
+
+    def run(name, batches):
+        fact, hourly = f"{tmp_path}/{name}/fact", f"{tmp_path}/{name}/hourly"
+        refresh = stream.hourly_refresher(fact, hourly)
+        for i, b in enumerate(batches):
+            refresh(spark.createDataFrame(b, SILVER), i)
+        return [sorted(map(repr, spark.read.parquet(p).collect())) for p in (fact, hourly)]
+
+    assert run("once", [rows]) == run("split", split)
+
+
+def test_columns_added_later_are_kept(spark, tmp_path):
+    first = spark.createDataFrame([("t1", "R1_0", 60, "S1", _at(2, 8)), ("t2", "R1_0", 70, "S1", _at(2, 9))], SILVER)
+    second = spark.createDataFrame([("t1", "R1_0", 90, "S1", _at(2, 8), "full"), ("t3", "R1_0", 5, "S1", _at(3, 8), "empty")],
+                                   SILVER + ", load string")
+    fact, current = f"{tmp_path}/fact", f"{tmp_path}/current"
+    state = stream.current_state_refresher(f"{tmp_path}/history", current)
+    for i, b in enumerate((first, second)):
+        tables.refresh_fact(b, fact)
+        state(b, i)
+    for path in (fact, current):
+        got = spark.read.option("mergeSchema", "true").parquet(path).select("trip_id", "delay_seconds", "load").collect()
+        assert sorted(map(tuple, got)) == [("t1", 90, "full"), ("t2", 70, None), ("t3", 5, "empty")]
+    state(first, 2)  # a batch without the column leaves it in place
+    assert "load" in tables.read_or_empty(spark, current, schemas.SILVER_TRIP_UPDATES).columns
+    tables.compact_partitions(spark, fact, "record_date", ["2024-01-02", "2024-01-03"])
+    assert "load" in spark.read.option("mergeSchema", "true").parquet(fact).columns
+
+
+def test_compaction_of_run_folders_adds_no_files_and_sorts(spark, tmp_path):
+    path = f"{tmp_path}/silver"
+    for run in range(4):
+        rows = spark.range(200).selectExpr("concat('t', id % 50) AS trip_id", "date'2024-01-02' AS d",
+                                           f"'r{run}' AS run_id", "id AS x").repartition(3)
+        tables.append(rows, path, ["d", "run_id"])
+    before = sorted(map(repr, spark.read.parquet(path).collect()))
+    out = tables.compact_partitions(spark, path, "d", ["2024-01-02"], target_file_bytes=512, sort_by=["trip_id"])
+    assert out["files_after"] <= out["files_before"] == 12
+    assert sorted(map(repr, spark.read.parquet(path).collect())) == before
+    for f in glob.glob(f"{path}/d=2024-01-02/*/*.parquet"):
+        trips = [r.trip_id for r in spark.read.parquet(f).collect()]
+        assert trips == sorted(trips)
+
+
+def test_summary_reads_the_updates_once(spark):
+    t = catalog.Tables(spark, SF_SMALL)
+    plan = reports.delays_summary(t.silver_trip_updates, t.silver_vehicle_positions, catalog.AS_OF, True) \
+        ._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 2  # updates and positions
