@@ -5,6 +5,12 @@ function of the window's words alone, so equal windows have equal minimisers. Ea
 of windows with one minimiser, with the words they cover. The minimiser's hash picks the shard, so every window meets
 all its equals in one shard and the work grows with the text, not with shards times text.
 
+A first pass weighs the segments: their bytes are summed on Spark per bin of minimisers (16 bins to ``shard_bytes``). Where a
+bin weighs more than a quarter of a shard - a phrase that stands in ever different contexts - its segments are taken
+apart into windows, dealt by the hash of the whole window: also a function of its words alone, so equal windows still
+meet, but different contexts no longer do. A shard thus holds about ``shard_bytes`` and no minimiser more than a
+quarter of that, however often a phrase occurs.
+
 Before anything is shuffled, equal segments of a task are folded into their earliest (what a map-side combine does for
 sums): a passage that a third of all documents share reaches its shard once per task. In the shard, segments whose
 minimiser occurs nowhere else are dropped, equal ones are folded again, and the words of the rest are indexed: the
@@ -71,6 +77,15 @@ def group_hashes(hashes: np.ndarray, group: int) -> np.ndarray:
     return mixed ^ mixed >> np.uint64(32)
 
 
+def _cuts(words: list[bytes], width: int, group: int):
+    """Group hashes, and first window, windows and minimiser of every segment of a document of ``width`` words or more."""
+    hashes = np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
+    mixed = group_hashes(hashes, group)
+    least = sliding_min(mixed, width - group + 1)
+    cut = np.flatnonzero(np.concatenate(([True], least[1:] != least[:-1])))
+    return mixed, cut, np.diff(np.concatenate((cut, [len(least)]))), least[cut]
+
+
 def segments(words: list[bytes], width: int, group: int):
     """(first window, windows, minimiser, text of the words) of every segment of a document.
 
@@ -79,20 +94,16 @@ def segments(words: list[bytes], width: int, group: int):
     """
     if len(words) < width:
         return
-    hashes = np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
-    mixed = group_hashes(hashes, group)
-    least = sliding_min(mixed, width - group + 1)
-    cut = np.flatnonzero(np.concatenate(([True], least[1:] != least[:-1])))
-    count = np.diff(np.concatenate((cut, [len(least)])))
+    mixed, cut, count, least = _cuts(words, width, group)
     spread = count + width - group
-    equal = mixed[ranges(cut, spread)] == np.repeat(least[cut], spread)
+    equal = mixed[ranges(cut, spread)] == np.repeat(least, spread)
     several = np.add.reduceat(equal, np.cumsum(spread) - spread) > 1
     joined = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
     begin = (ends - np.fromiter(map(len, words), np.int64, len(words)) - 1)[cut]
     stop = ends[cut + count + width - 2] - 1
     texts = map(joined.__getitem__, map(slice, begin.tolist(), stop.tolist()))
-    yield from zip(cut.tolist(), (2 * count + several).tolist(), least[cut].tolist(), texts, strict=True)
+    yield from zip(cut.tolist(), (2 * count + several).tolist(), least.tolist(), texts, strict=True)
 
 
 def _fold(found, first: dict[bytes, tuple], hits: list) -> None:
@@ -110,6 +121,27 @@ def _fold(found, first: dict[bytes, tuple], hits: list) -> None:
         hits.append((*key, n >> 1))
 
 
+def _windows(first: dict, hot: frozenset, bins: int, width: int):
+    """Take the segments of hot bins out of ``first``, in parts: each window as a segment of its own, keyed by its hash.
+
+    Yields (windows, folded as in ``first``; hits of the fold); no part holds much more than ``FLUSH_BYTES`` of text.
+    """
+    found = [text for text, (_, _, least) in first.items() if least % bins in hot] if hot else []
+    part, hits, size = {}, [], 0
+    for text in found:
+        (d, t, start), n, _ = first.pop(text)
+        words = text.split()
+        for k in range(n >> 1):
+            window = b" ".join(words[k:k + width])
+            size += len(window)
+            _fold([(window, (d, t, start + k), 2, xxhash.xxh64_intdigest(window))], part, hits)
+            if size > FLUSH_BYTES:
+                yield part, hits
+                part, hits, size = {}, [], 0
+    if part:
+        yield part, hits
+
+
 def _emit(first: dict, hits: list, shards: int):
     """A row for every shard that the segments fall into; the hits ride along with the first."""
     by: dict[int, list] = {}
@@ -203,21 +235,67 @@ def _search(rest: list, width: int) -> list[tuple[int, int, int, int]]:
     return out
 
 
+def segment_weights(docs: DataFrame, *, width: int, group: int, bins: int) -> DataFrame:
+    """``bin`` and ``bytes``: the text of the segments of every bin of minimisers, before any fold."""
+    schema = T.StructType([T.StructField("bin", T.LongType()), T.StructField("bytes", T.LongType())])
+    target = arrow_schema(schema)
+
+    def weigh(batches):
+        def flush():
+            number, inverse = np.unique(np.concatenate(least) % np.uint64(bins), return_inverse=True)
+            total = np.bincount(inverse, np.concatenate(weight)).astype(np.int64)
+            return pa.RecordBatch.from_arrays([pa.array(number.astype(np.int64)), pa.array(total)], schema=target)
+
+        least, weight, size = [], [], 0
+        for batch in batches:
+            for body in batch.column(0).to_pylist():
+                words = (body or b"").split()
+                if len(words) < width:
+                    continue
+                _, _, count, have = _cuts(words, width, group)
+                ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
+                first = np.cumsum(count) - count
+                least.append(have)
+                weight.append(ends[first + count + width - 2] - np.where(first > 0, ends[first - 1], 0))
+                size += len(body)
+                if size > FLUSH_BYTES:
+                    yield flush()
+                    least, weight, size = [], [], 0
+        if least:
+            yield flush()
+        _HASHES.clear()
+
+    return docs.select("body").mapInArrow(weigh, schema).groupBy("bin").agg(F.sum("bytes").alias("bytes"))
+
+
 def repeated_windows(docs: DataFrame, *, width: int = 20, group: int = 4, shard_bytes: int = 64 << 20) -> DataFrame:
     """Runs of windows that also start earlier: ``hit_id``, ``hit_tie``, ``start`` and ``windows`` (how many).
 
-    ``docs`` has ``id`` (long), ``tie`` (long) and ``body`` (binary).
+    ``docs`` has ``id`` (long), ``tie`` (long) and ``body`` (binary). The bins that come to the driver are those of
+    more than ``shard_bytes / 4``: at most about twelve times the text over ``shard_bytes``.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
     total = docs.agg(F.sum(F.octet_length("body"))).first()[0] or 0
     # A segment covers about half a window of new words, so the segments hold about three times the text.
-    shards = max(shuffle_partitions(spark), int(3 * total) // shard_bytes + 1)
+    least_shards = int(3 * total) // shard_bytes + 1
+    shards = max(shuffle_partitions(spark), least_shards)
+    bins = 16 * least_shards  # of a sixteenth of a shard each, unless a minimiser is hot
+    heavy = (segment_weights(docs, width=width, group=group, bins=bins).where(F.col("bytes") > shard_bytes // 4)
+             .collect())
+    hot = frozenset(r["bin"] for r in heavy)
+    # A word of a segment stands in at most ``width`` of its windows.
+    shards += width * sum(r["bytes"] for r in heavy) // shard_bytes
     blocks = T.StructType([T.StructField("shard", T.LongType()), T.StructField("payload", T.BinaryType())])
     target, hit_target = arrow_schema(blocks), arrow_schema(HITS)
 
     def cut(batches):
         def flush():
+            for part, more in _windows(first, hot, bins, width):
+                yield packed(part, more)
+            yield packed(first, hits)
+
+        def packed(first, hits):
             rows = list(_emit(first, hits, shards))
             return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()),
                                                pa.array([r[1] for r in rows], pa.binary())], schema=target)
@@ -230,10 +308,10 @@ def repeated_windows(docs: DataFrame, *, width: int = 20, group: int = 4, shard_
                        for start, n, least, text in segments((body or b"").split(), width, group)), first, hits)
                 size += len(body or b"")
                 if size > FLUSH_BYTES:
-                    yield flush()
+                    yield from flush()
                     first, hits, size = {}, [], 0
         if first:
-            yield flush()
+            yield from flush()
         _HASHES.clear()  # the worker may serve other operators next
 
     def search(table: pa.Table) -> pa.Table:

@@ -228,6 +228,52 @@ def test_substrings_against_brute_force(spark):
     assert substrings.remove_repeats(frame(spark, [])).count() == 0
 
 
+def phrase_in_contexts(n=400):
+    """Documents that share one 4-word phrase in ever different contexts; every tenth repeats a window of the first."""
+    rng = np.random.default_rng(3)
+    other = lambda k: [f"u{x}" for x in rng.integers(0, 1 << 40, k)]
+    first = other(18)
+    rows = []
+    for i in range(n):
+        around = first if i % 10 == 0 else other(18)
+        rows.append((i, " ".join([*other(3), *around[:9], "all", "rights", "reserved", "here", *around[9:], *other(3)])))
+    return rows
+
+
+def test_hot_phrase_is_dealt_over_shards(spark, monkeypatch):
+    rows = phrase_in_contexts()
+    # The phrase is the least group of every window that holds it.
+    hashes = {w: substrings._HASHES[w] for w in (b"all", b"rights", b"reserved", b"here")}
+    phrase = substrings.group_hashes(np.array(list(hashes.values()), np.uint64), 4)[0]
+    real = substrings.group_hashes
+    monkeypatch.setattr(substrings, "group_hashes", lambda h, g: (lambda m: np.where(m == phrase, np.uint64(5), m))(real(h, g)))
+    hot = frozenset({5 % 640})
+    loads, texts = defaultdict(int), {}
+    for i, text in rows:
+        substrings._fold(((t, (i, 0, s), n, m) for s, n, m, t in substrings.segments(text.encode().split(), 20, 4)), texts, [])
+    assert sum(len(t) for t, (_, _, m) in texts.items() if m == 5) > 20_000  # one minimiser holds what a shard may not
+    parts = list(substrings._windows(texts, hot, 640, 20))
+    assert not any(m == 5 for _, _, m in texts.values())
+    for part, _ in parts:
+        assert all(len(t.split()) == 20 for t in part)
+        for t, (_, _, m) in part.items():
+            loads[m % 64] += len(t)
+    assert len(loads) == 64 and max(loads.values()) < 3 * sum(loads.values()) / 64
+
+
+def test_hot_phrases_against_brute_force(spark):
+    rows = phrase_in_contexts()
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    gone = brute_removed([(i, t, 0) for i, t in rows], 20)
+    plain = docs.selectExpr("doc_id AS id", "0L AS tie", "CAST(text AS binary) AS body")
+    weights = substrings.segment_weights(plain, width=20, group=4, bins=64).collect()
+    assert max(r["bytes"] for r in weights) > 1000  # with shards of 4000 bytes such bins are hot
+    for size in (400, 4000, 64 << 20):  # all bins hot, some, none
+        got = {r.doc_id: r.text.split() for r in substrings.remove_repeats(docs, shard_bytes=size).collect()}
+        assert got == {i: gone[(i, 0)][0] for i, _ in rows}
+        assert sum(len(t.split()) for _, t in rows) > sum(map(len, got.values()))
+
+
 def test_backward_search_counts():
     rng = np.random.default_rng(0)
     pieces = [rng.integers(1, 5, 60) for _ in range(6)]
