@@ -16,7 +16,7 @@ import itertools
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -46,19 +46,26 @@ def fingerprint(text: bytes | None, shingle: int = 3, seed: int = 42) -> int:
     return sum(1 << int(b) for b in np.flatnonzero(2 * counts > len(hashes)))
 
 
-def fingerprints(docs: DataFrame, *, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id`` and ``fp`` (the fingerprint as a signed long) of every row. Null and empty texts have 0."""
+def fingerprints(docs: DataFrame, *, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text",
+                 row: Column | None = None) -> DataFrame:
+    """``doc_id`` and ``fp`` (the fingerprint as a signed long) of every row. Null and empty texts have 0.
+
+    With ``row`` (a long), that column of every row comes along as ``row``.
+    """
     bounded_batches(docs.sparkSession)
-    schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("fp", T.LongType())])
+    names = ["doc_id", "fp"] if row is None else ["doc_id", "fp", "row"]
+    schema = T.StructType([T.StructField(n, T.LongType()) for n in names])
     target = arrow_schema(schema)
 
     def run(batches):
         for batch in batches:
             fps = np.fromiter((fingerprint(t, shingle) for t in batch.column(1).to_pylist()), np.uint64,
                               batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], schema=target)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64)), *batch.columns[2:]],
+                                             schema=target)
 
-    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("t"))
+    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("t"),
+                         *([] if row is None else [row.alias("row")]))
     return source.mapInArrow(run, schema)
 
 
@@ -201,32 +208,50 @@ def components(edges: DataFrame, rank: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, *, shingle: int = 3, radius: int = 2, id_col: str = "doc_id",
-                    text_col: str = "text") -> DataFrame:
+                    text_col: str = "text", row: Column | None = None) -> DataFrame:
     """``doc_id``, ``fp`` and ``component_id`` (the smallest id reachable over links) of every row of ``docs``.
 
+    ``group_fp`` is unique to the component; with ``row`` (a long), that column of every row comes along.
+
     Texts without words have fingerprint 0 and are linked like any other. Rows with one id more than once each keep
     their own fingerprint and may lie in different components; rows with a null id get one but do not count as the
     smallest id (a component of null ids alone has a null ``component_id``). An empty table gives no rows.
     """
-    fps = stored(fingerprints(docs, shingle=shingle, id_col=id_col, text_col=text_col), "simhash")
+    fps = stored(fingerprints(docs, shingle=shingle, id_col=id_col, text_col=text_col, row=row), "simhash")
     # A fingerprint's place in the order is its smallest document; the second part makes it unique where ids repeat.
     distinct = stored(fps.groupBy("fp").agg(F.min("doc_id").alias("first"))
                       .select("fp", F.struct(F.col("first").isNull().alias("none"), F.col("first"),
                                              F.col("fp").alias("tie")).alias("low")), "simhash-distinct")
     found = components(links(distinct.select("fp"), radius=radius), distinct)
     return (fps.join(found, "fp")
-            .select("doc_id", "fp", F.col("low.first").alias("component_id"), F.col("low.tie").alias("group_fp")))
+            .select("doc_id", "fp", F.col("low.first").alias("component_id"), F.col("low.tie").alias("group_fp"),
+                    *([] if row is None else ["row"])))
 
 
 def deduplicate(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``docs`` with one row of each near-duplicate group: its smallest id (ties: the row with the least content).
-
-    Rows with a null id are kept as they are. Columns are those of ``docs``.
+    """``docs`` with one row of each near-duplicate group: its smallest id; ties go by fingerprint, then by a hash of the
+    row's content. Rows with a null id are deduplicated among themselves: one of each group stays by the same order, also
+    beside a row with an id. Columns are those of ``docs``.
     """
-    found = near_duplicates(docs, id_col=id_col, text_col=text_col, **options)
-    keep = found.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("keep__id")).distinct()
-    kept = docs.join(keep, F.col(f"`{id_col}`") == F.col("keep__id"), "left_semi")
-    if docs.groupBy(F.col(id_col)).count().where(F.col(id_col).isNotNull() & (F.col("count") > 1)).isEmpty():
-        return kept.unionByName(docs.where(F.col(id_col).isNull()))
-    first = kept.dropDuplicates([id_col])
-    return first.unionByName(docs.where(F.col(id_col).isNull()))
+    # Columns that cannot be hashed (maps) count by their JSON text.
+    content = F.xxhash64(*[F.to_json(F.struct(F.col(f"`{f.name}`"))) if "map<" in f.dataType.simpleString()
+                           else F.col(f"`{f.name}`") for f in docs.schema.fields])
+    key = F.struct(F.col(f"`{id_col}`").cast("long").alias("id"), content.alias("tie"))
+    found = near_duplicates(docs, id_col=id_col, text_col=text_col, row=content, **options)
+    # Fully repeated rows share a key; ``n`` counts them.
+    rows = found.groupBy("group_fp", "doc_id", "fp", "row").agg(F.count(F.lit(1)).alias("n"))
+    keep = stored(rows.groupBy("group_fp", F.col("doc_id").isNull())
+                  .agg(F.min(F.struct("doc_id", "fp", "row", "n")).alias("r"))
+                  .select(F.struct(F.col("r.doc_id").alias("id"), F.col("r.row").alias("tie")).alias("keep__key"),
+                          F.col("r.n").alias("keep__n")), "simhash-keep")
+
+    def of(part):
+        own, other = key, F.col("keep__key")
+        return docs.join(part, own["id"].eqNullSafe(other["id"]) & (own["tie"] == other["tie"]), "left_semi")
+
+    if keep.where("keep__n > 1").isEmpty():
+        return of(keep)
+    again = of(keep.where("keep__n > 1"))
+    names = again.columns
+    again = again.groupBy(key.alias("keep__key")).agg(F.first(F.struct(*[F.col(f"`{c}`") for c in names])).alias("r"))
+    return of(keep.where("keep__n = 1")).unionByName(again.select(*[F.col("r")[c].alias(c) for c in names]))

@@ -1,13 +1,14 @@
 """Each operator against a brute-force version on small tables with awkward rows, and on empty tables."""
 
 import hashlib
+import random
 import re
 import zlib
 from collections import defaultdict
 
 import numpy as np
 import xxhash
-from helpers import DOCS, awkward, frame
+from helpers import DOCS, awkward, frame, prose
 
 from ridepulse.llm import decontaminate, fingerprints, langid, packing, quality, simhash, substrings, toxicity
 from ridepulse.llm.fmindex import FMIndex
@@ -107,6 +108,19 @@ def test_simhash_deduplicate_keeps_one(spark):
     assert simhash.deduplicate(frame(spark, [])).count() == 0
 
 
+def test_simhash_deduplicate_keeps_a_row_of_every_group(spark):
+    base = [prose(random.Random(k), 60, 5000) for k in range(4)]
+    rows = [(5, base[0]), (5, base[1]), (6, base[0]), (None, base[1]), (None, base[2]), (None, base[2]), (9, base[3]),
+            (9, base[3]), (None, base[3])]
+    docs = spark.createDataFrame([(*r, {"k": 1}) for r in rows], "doc_id long, text string, extra map<string,int>")
+    for n in (1, 4):
+        got = simhash.deduplicate(docs.repartition(n))
+        assert got.columns == docs.columns
+        # Both texts of id 5 (two groups) and id 9 once; of the null ids, one row of each group.
+        assert sorted(((r.doc_id or 0, r.text) for r in got.collect())) == sorted(
+            [(5, base[0]), (5, base[1]), (0, base[1]), (0, base[2]), (9, base[3]), (0, base[3])])
+
+
 # --- packing
 
 
