@@ -46,6 +46,18 @@ def test_blocks_drop_the_frame():
     assert pages.main_text(pages.blocks("<p>a<p class=ad>b<p>c"), []) == "a c"
 
 
+def test_names_drop_only_the_frame():
+    text = lambda source: pages.main_text(pages.blocks(source), [])
+    for kept in ('<article class="post comments-open"><p>a</p></article>', '<article class="no-sidebar">a</article>',
+                 '<div class="content with-sidebar"><p>a</p></div>', '<section class="related-work">a</section>',
+                 '<p>a</p><div class="with-sidebar"></div>', '<article><span class="search-term">a</span></article>',
+                 '<div class="notice"><p>a</p></div>', '<article class="related">a</article>'):
+        assert text(kept) == "a", kept
+    for gone in ("ad", "ad-box", "cookie-notice", "main-nav", "post-comments", "related-posts", "share_buttons", "nav-2"):
+        assert text(f'<article><p>a</p><div class="{gone}">b</div></article>') == "a", gone
+    assert text('<article><p>a</p></article><article class="comment">b</article>') == "a"
+
+
 def test_differencing_without_marks(spark):
     frame_top, frame_end = "<div>Daily News of Town</div>", "<div>All rights with us</div>"
     rows = [(i, f"http://h.example/{'abc'[i % 3]}/{i}", f"{frame_top}<p>Story {i} tells of number {i} and "
