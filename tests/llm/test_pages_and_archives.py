@@ -76,6 +76,18 @@ def test_differencing_without_marks(spark):
     assert pages.extract(frame(spark, [])).count() == 0
 
 
+def test_differencing_inside_articles_and_under_long_frames():
+    page = lambda body: pages.blocks(f"<article><h2>Town news</h2><p>Write to us for the letter</p>{body}</article>")
+    one, two = page("<p>The mayor of the town spoke</p>"), page("<p>A bridge was built in May</p>")
+    assert pages.main_text(one, [two]) == "Town news The mayor of the town spoke"
+    again = page("<p>The mayor of the town spoke</p><p>5 May</p>")
+    assert pages.main_text(one, [again]) == "Town news Write to us for the letter The mayor of the town spoke"
+    assert pages.main_text(one, [again, two]) == "Town news The mayor of the town spoke"
+    frame_text = "<p>" + "All the rights of this site are with its owner. " * 9 + "</p>"
+    one, two = (pages.blocks(f"{frame_text}<p>{x} is the whole of the news</p>") for x in ("Rain", "Snow"))
+    assert pages.main_text(one, [two]) == "Rain is the whole of the news"
+
+
 def test_extraction_does_not_depend_on_ranges(spark):
     rows = [(i, f"http://h.example/{i:03d}", f"<div>Top {i // 7}</div><p>Text of page number {i} is here to stay</p>")
             for i in range(60)]
