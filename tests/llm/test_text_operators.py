@@ -339,6 +339,21 @@ def test_decontamination_against_brute_force(spark):
     assert decontaminate.matches(frame(spark, []), bench).count() == 0
 
 
+def test_longest_match_is_of_one_item(spark):
+    a, b = ([f"{x}{k}" for k in range(25)] for x in "ab")
+    items = [(1, " ".join(a)), (2, " ".join(b)), (3, " ".join(["z"] * 5 + a[2:16])), (4, "y y"), (None, None)]
+    texts = [" ".join(["x", *a[3:23], *b[1:21], "x", *b[2:24]]), " ".join(["x", *a[:20], *b[:20]]), " ".join(a[:14]),
+             "x y y y x", "nothing", None]
+    expected = [(22, 42, "2", 2), (20, 1, "1", 0), (14, 0, "1", 0), (2, 1, "4", 0), (0, None, None, None),
+                (0, None, None, None)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    for size in (8 << 20, 60):
+        got = decontaminate.matches(docs, bench, block_bytes=size).collect()
+        assert [(r.longest_match, r.longest_at, r.longest_item, r.longest_item_at)
+                for r in sorted(got, key=lambda r: r.doc_id)] == expected
+
+
 # --- classifiers
 
 
