@@ -6,6 +6,9 @@ import datetime as dt
 import decimal
 import math
 
+#: The table folder of the small tests.
+SF_SMALL = "/root/testdata/sf0.001"
+
 
 def canon(v):
     if v is None:

@@ -2,7 +2,7 @@
 
 import tempfile
 
-from conftest import SF_SMALL
+from compare import SF_SMALL
 from ridepulse.__main__ import main
 from ridepulse.plans import catalog, jobs
 from ridepulse.streaming import stream

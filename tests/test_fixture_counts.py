@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from compare import SF_SMALL
 from ridepulse.plans import catalog, live
 
 

@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry_mod
-from conftest import SF_SMALL
+from compare import SF_SMALL
 from compare import compare, register_views
 from ridepulse.plans.catalog import QUERIES  # the text operators have their own tests
 

@@ -2,7 +2,7 @@
 
 import tempfile
 
-from conftest import SF_SMALL
+from compare import SF_SMALL
 from ridepulse.plans import catalog, live, reports
 from ridepulse.operators import keyed
 

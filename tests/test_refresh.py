@@ -68,7 +68,7 @@ def test_read_or_empty(spark):
 
 
 def test_warehouse_runs_equal_full_build_and_prune(spark):
-    from conftest import SF_SMALL
+    from compare import SF_SMALL
     from ridepulse.plans import catalog, jobs
     from ridepulse.operators.silver import ntz_literal
     t = catalog.Tables(spark, SF_SMALL)
@@ -102,7 +102,7 @@ def test_prune_table_rewrites_the_boundary_date(spark):
 
 
 def test_rerun_with_run_id_is_idempotent(spark):
-    from conftest import SF_SMALL
+    from compare import SF_SMALL
     from ridepulse.plans import catalog, jobs
     t = catalog.Tables(spark, SF_SMALL)
     root = tempfile.mkdtemp(prefix="rp-rerun-")
@@ -116,7 +116,7 @@ def test_rerun_with_run_id_is_idempotent(spark):
 
 
 def test_retention_keeps_run_id_layout(spark):
-    from conftest import SF_SMALL
+    from compare import SF_SMALL
     from ridepulse.plans import catalog, jobs
     t = catalog.Tables(spark, SF_SMALL)
     root = tempfile.mkdtemp(prefix="rp-runid-prune-")

@@ -7,7 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from compare import SF_SMALL
 from ridepulse import schemas
 from ridepulse.operators.ingest import flatten_trip_feed
 from ridepulse.plans import catalog, reports

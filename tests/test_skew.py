@@ -11,7 +11,7 @@ import pytest
 import __spark_entry__ as entry_mod
 from ridepulse.plans.catalog import QUERIES as CORE
 from compare import compare
-from conftest import SF_SMALL
+from compare import SF_SMALL
 
 HOT_QUERIES = sorted(n for n in CORE
                      if not n.startswith(("stream", "refresh", "warehouse")))
