@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridepulse.llm import decontaminate, fingerprints, langid, packing, pages, quality, simhash, substrings, toxicity, warc
+from ridepulse.llm import (
+    decontaminate, fingerprints, langid, licenses, packing, pages, quality, runs, simhash, substrings, toxicity, warc)
 from ridepulse.llm.common import remainder, table
 from ridepulse.llm.labelled import labelled_sample
 from ridepulse.session import scratch_path
@@ -104,12 +105,123 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "intact")
 
 
+#: Phrases of the base labels, and notices of the method's own; fixed values.
+LICENSES = [
+    licenses.phrase("cc-by", "cc by"),
+    licenses.phrase("gpl", "general public license"),
+    licenses.phrase("reserved", "all rights reserved"),
+    licenses.notice("agpl", "GNU Affero General Public License", "affero general public license"),
+    licenses.notice("apache-2.0", "Licensed under the Apache License, Version 2.0", "apache license", "2 0"),
+    licenses.notice("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted "
+                           "provided that the following conditions are met", "source and binary forms", "conditions are met"),
+    licenses.notice("cc-by-nc", "Licensed under CC BY-NC 4.0", "cc by nc"),
+    licenses.notice("cc-by-nd", "Licensed under CC BY-ND 4.0", "cc by nd"),
+    licenses.notice("cc-by-sa", "Licensed under CC BY-SA 4.0", "cc by sa"),
+    licenses.notice("cc-by", "Creative Commons Attribution 4.0 International License", "creative commons attribution"),
+    licenses.notice("cc0", "CC0 1.0 Universal Public Domain Dedication", "cc0"),
+    licenses.notice("gpl-2.0", "GNU General Public License, version 2", "general public license", "version 2"),
+    licenses.notice("gpl-3.0", "GNU General Public License, version 3", "general public license", "version 3"),
+    licenses.notice("lgpl", "GNU Lesser General Public License", "lesser general public license"),
+    licenses.notice("mit", "Released under the MIT License", "mit license"),
+    licenses.notice("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software "
+                           "and associated documentation files", "hereby granted", "free of charge"),
+    licenses.notice("mpl-2.0", "subject to the terms of the Mozilla Public License, v. 2.0", "mozilla public license"),
+    licenses.notice("unlicense", "This is free and unencumbered software released into the public domain",
+                    "unencumbered software", "public domain"),
+]
+#: Rare words kept of a notice, and how many of them must stand in place.
+LICENSE_ANCHORS, LICENSE_AGREE, LICENSE_SLACK = 4, 3, 2
+
+
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases and notices in every document."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    entries = licenses.index(LICENSES, licenses.frequencies(docs, LICENSES), anchors=LICENSE_ANCHORS, agree=LICENSE_AGREE)
+    found = licenses.scan(docs, entries, slack=LICENSE_SLACK)
+
+    def labels(matches):
+        return F.array_join(F.array_sort(F.array_distinct(F.transform(matches, lambda m: m["label"]))), ",")
+
+    base = F.filter("matches", lambda m: m["exact"])
+    share = F.transform("matches", lambda m: m["in_place"] / m["anchors"])
+    return found.select(
+        "doc_id", "n_words", F.size(base).cast("long").alias("n_base"),
+        F.array_min(F.transform(base, lambda m: m["start"])).cast("long").alias("first_word"),
+        F.array_max(F.transform(base, lambda m: m["start"])).cast("long").alias("last_word"),
+        labels(base).alias("base_labels"), labels(F.col("matches")).alias("labels"),
+        F.coalesce(F.array_max(share), F.lit(0.0)).alias("score"))
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """``docs`` with the texts of every tenth document (by its id's hash) made periodic from some word on.
+
+    With h the crc32 of the id and g = h div 10, the n words of a text with h mod 10 = 0 repeat with period
+    p = 1 + floor((n - a) / (3 + g mod 8)) from word a = g mod n on. A document with a null id stays as it is.
+    """
+    h, n = F.crc32(F.col("doc_id").cast("string").cast("binary")), F.size("w").cast("long")
+    words = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    docs = docs.select("doc_id", "text", F.when((h % 10 == 0) & F.col("text").isNotNull(), words).alias("w"),
+                       F.floor(h / 10).alias("g"))
+    docs = docs.withColumn("a", F.when(n > 0, F.col("g") % n))
+    docs = docs.withColumn("p", 1 + F.floor((n - F.col("a")) / (3 + F.col("g") % 8)))
+    a, p = F.col("a"), F.col("p")
+    looped = F.transform("w", lambda w, i: F.when(i < a, w).otherwise(F.get("w", (a + (i - a) % p).cast("int"))))
+    return docs.select("doc_id", F.when(a.isNotNull(), F.array_join(looped, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of repeated words in every document (four periods and six words at least), and its text without them."""
+    docs = with_planted_runs(table(spark, sf_dir, "documents", "doc_id", "text"))
+    found = runs.collapse(docs, least=4, shortest=6)
+    lines = F.transform("runs", lambda r: F.concat_ws(",", *[r[c].cast("string") for c in ("start", "length", "period")]))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("best.start").alias("start"),
+        F.col("best.length").alias("length"), F.col("best.period").alias("period"),
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), "").cast("binary"), 256)
+        .alias("runs_sha256"), F.sha2(F.col("text").cast("binary"), 256).alias("collapsed_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_language_id, op2_simhash_near_dedup, op3_packing, op4_document_fingerprints,
                                 op5_quality, op6_html_extraction, op7_substring_dedup, op8_toxicity,
-                                op9_benchmark_decontamination, op10_warc)
+                                op9_benchmark_decontamination, op10_warc, op11_license_scan, op12_periodic_runs)
 }
 
+def _licenses_sql() -> str:
+    """The licence scan over the same templates: rare words by document frequency, then places that agree on a start."""
+    def text(x: str) -> str:
+        return "'" + x + "'"
+
+    rows = ", ".join(f"({t}, {text(x.label)}, {str(x.exact).lower()}, [{', '.join(map(text, x.words))}], "
+                     f"[{', '.join(text(' '.join(k)) for k in x.keys)}]::VARCHAR[])" for t, x in enumerate(LICENSES))
+    return f"""
+WITH t(t, label, exact, words, keys) AS (VALUES {rows}),
+d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+dw AS (SELECT doc_id, i - 1 AS i, w[i] AS word FROM d, unnest(generate_series(1, len(w))) AS s(i)),
+tw AS (SELECT t, label, exact, len(words) AS size, i - 1 AS rel, words[i] AS word
+       FROM t, unnest(generate_series(1, len(words))) AS s(i)),
+df AS (SELECT word, count(DISTINCT doc_id) AS n FROM dw WHERE word IN (SELECT word FROM tw) GROUP BY 1),
+a AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY t ORDER BY n, word, rel) AS k FROM tw JOIN df USING (word))
+      WHERE exact OR k <= {LICENSE_ANCHORS}),
+need AS (SELECT t, CASE WHEN exact THEN size ELSE least({LICENSE_AGREE}, size) END AS need, count(*) AS anchors
+         FROM a GROUP BY t, exact, size),
+c AS (SELECT doc_id, t, i - rel AS start, count(*) AS hits, any_value(need) AS need, any_value(anchors) AS anchors
+      FROM dw JOIN a USING (word) JOIN need USING (t) GROUP BY 1, 2, 3 HAVING count(*) >= any_value(need)),
+m AS (SELECT c.*, label, exact FROM c JOIN t USING (t) JOIN d USING (doc_id)
+      WHERE exact OR len(list_filter(keys, lambda k: len(list_filter(
+          generate_series(start - {LICENSE_SLACK}, start + len(words) - 1 + {LICENSE_SLACK}),
+          lambda s: s >= 0 AND array_to_string(w[s + 1:s + len(string_split(k, ' '))], ' ') = k)) > 0)) = len(keys)),
+g AS (SELECT doc_id, count(*) FILTER (WHERE exact) AS n_base, min(start) FILTER (WHERE exact) AS first_word,
+             max(start) FILTER (WHERE exact) AS last_word,
+             string_agg(DISTINCT label, ',' ORDER BY label) FILTER (WHERE exact) AS base_labels,
+             string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(hits / anchors) AS score FROM m GROUP BY 1)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BIGINT) AS n_base,
+       CAST(first_word AS BIGINT) AS first_word, CAST(last_word AS BIGINT) AS last_word,
+       coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0.0::DOUBLE) AS score
+FROM d LEFT JOIN g USING (doc_id)"""
+
+
 #: Words of a text as the benchmark check takes them, and 13-word windows of a (key, text) relation.
 _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', " \
          r"'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
@@ -155,4 +267,5 @@ SELECT page_id, payload_bytes,
        CASE WHEN page_id = keep THEN 'response' ELSE 'revisit' END AS record_type,
        CASE WHEN page_id <> keep THEN keep END AS refers_to, true AS intact
 FROM b""",
+    "op11_license_scan": _licenses_sql(),
 }
