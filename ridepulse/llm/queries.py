@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ridepulse.llm import (
-    decontaminate, fingerprints, langid, licenses, packing, pages, quality, runs, simhash, substrings, toxicity, warc)
+    decontaminate, fingerprints, langid, licenses, negatives, packing, pages, quality, runs, simhash, substrings, toxicity, warc)
 from ridepulse.llm.common import remainder, table
 from ridepulse.llm.labelled import labelled_sample
 from ridepulse.session import scratch_path
@@ -182,10 +182,20 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("runs_sha256"), F.sha2(F.col("text").cast("binary"), 256).alias("collapsed_sha256"))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth embedding, against all of them."""
+    rows = table(spark, sf_dir, "embeddings", "vec_id", "label", "embedding")
+    noisy = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = negatives.whole_vectors(rows.withColumn("label", noisy), id_col="vec_id", label_col="label",
+                                   vector_col="embedding", scale=256.0)
+    return negatives.mine(rows, F.col("vec_id") % 100 == 0, positives=5, negatives=5, low=80, high=100)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_language_id, op2_simhash_near_dedup, op3_packing, op4_document_fingerprints,
                                 op5_quality, op6_html_extraction, op7_substring_dedup, op8_toxicity,
-                                op9_benchmark_decontamination, op10_warc, op11_license_scan, op12_periodic_runs)
+                                op9_benchmark_decontamination, op10_warc, op11_license_scan, op12_periodic_runs,
+                                op13_hard_negatives)
 }
 
 def _licenses_sql() -> str:
@@ -268,4 +278,19 @@ SELECT page_id, payload_bytes,
        CASE WHEN page_id <> keep THEN keep END AS refers_to, true AS intact
 FROM b""",
     "op11_license_scan": _licenses_sql(),
+    "op13_hard_negatives": """
+WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+           FROM embeddings
+           WHERE label IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+             CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+      FROM e a, e b WHERE a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+p AS (SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+SELECT anchor_id, positive_id, other_id AS negative_id, positive_score, score AS negative_score,
+       CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id) AS INTEGER) AS rank
+FROM p JOIN s USING (anchor_id) WHERE NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score
+QUALIFY rank <= 5""",
 }
