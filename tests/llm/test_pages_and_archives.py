@@ -2,13 +2,15 @@
 
 import base64
 import hashlib
+import html as entities
 import itertools
 import os
 import random
+import re
 
 import pytest
 
-from ridepulse.llm import pages, warc
+from ridepulse.llm import pages, queries, warc
 
 PAGES = "page_id long, url string, html string, key string, at int"
 
@@ -143,3 +145,44 @@ def test_archive_is_deterministic_and_checked(spark, tmp_path):
         warc.read_archive(spark, f"file://{tmp_path}/d1").count()
     none = f"file://{tmp_path}/none"
     assert warc.write_archive(frame(spark, []), none).count() == 0 and warc.read_archive(spark, none).count() == 0
+
+
+def test_articles_of_the_tables_equal_their_documents(spark):
+    folder = "/root/testdata/sf0.001"
+    whole = {" ".join((r.text or "").split()) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    sources = {r.page_id: r.html for r in spark.read.parquet(f"{folder}/pages.parquet").collect()}
+    for r in queries.op6_html_extraction(spark, folder).collect():
+        head = re.search(r"<h1[^>]*>(.*?)</h1>", sources[r.page_id], re.S)
+        head = " ".join(entities.unescape(re.sub("<[^>]+>", "", head.group(1))).split()) if head else ""
+        assert r.text.startswith(head) and r.text[len(head):].strip() in whole
+
+
+def test_shared_sentences_of_articles_stay_and_their_frame_goes(spark):
+    def page(k, frame_line, sentence=""):
+        return f"<article><h1>T{k}</h1><p>Own words of page number {k} come here</p>{sentence}{frame_line}</article>"
+
+    rows = [(i, f"http://few.example/{i}", page(i, "", "<p>Released to all</p>" if i in (2, 3) else "")) for i in range(6)]
+    rows += [(100 + i, f"http://many.example/{i:02d}", page(i, "<p>Read more of this</p>")) for i in range(12)]
+    rows += [(200 + i, "http://copies.example/a", "<p>Top</p><p>the very same text of a copy</p>") for i in range(9)]
+    rows += [(300, "http://copies.example/b", "<p>Top</p><p>but here is quite another text</p>")]
+    got = {r.page_id: r.text for r in pages.extract(frame(spark, rows)).collect()}
+    assert got[2] == "T2 Own words of page number 2 come here Released to all"
+    assert got[0] == "T0 Own words of page number 0 come here"
+    assert all(got[100 + i] == f"T{i} Own words of page number {i} come here" for i in range(12))
+    # Copies are passed over: the next distinct page of the host shows the frame.
+    assert all(got[200 + i] == "the very same text of a copy" for i in range(9))
+    assert got[300] == "but here is quite another text"
+
+
+def test_neighbours_do_not_depend_on_ranges_among_copies(spark):
+    rows = [(i, f"http://h.example/{i:03d}", f"<div>Top {i // 9}</div><p>Text {i % 5} of some pages is here to stay</p>")
+            for i in range(90)] + [(None, None, None)] * 3
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    got = []
+    try:
+        for n in ("1", "4", "40"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            got.append(sorted(map(str, pages.extract(frame(spark, rows)).collect())))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert len(got[0]) == 93 and got[0] == got[1] == got[2]
