@@ -51,6 +51,14 @@ def arrow_schema(schema: T.StructType) -> pa.Schema:
     return to_arrow_schema(schema)
 
 
+def free_name(taken: list[str], name: str) -> str:
+    """``name``, lengthened until no column of ``taken`` has it (names are told apart as Spark does by default)."""
+    used = {t.lower() for t in taken}
+    while name.lower() in used:
+        name += "_"
+    return name
+
+
 def texts(column: pa.Array) -> list[bytes | None]:
     """Python values of an Arrow column (binary columns give bytes, without decoding)."""
     return column.to_pylist()
@@ -70,9 +78,10 @@ def split_points(df: DataFrame, key: str, n: int, sample: int = 20_000) -> np.nd
     """At most ``n - 1`` sorted cut points of an integer key, equal on every run over the same rows.
 
     The points are quantiles of the rows whose key hash falls under a threshold that leaves about ``sample`` of
-    them; only those keys (bounded by the parameter) come to the driver. They steer how rows are dealt out and
-    never decide a result.
+    them, or 20 for each range if that is more; only those keys come to the driver. They steer how rows are dealt out
+    and never decide a result.
     """
+    sample = max(sample, 20 * n)
     keys = df.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("k"))
     total = keys.count()
     rate = min(1.0, sample / max(1, total))

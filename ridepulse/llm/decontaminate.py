@@ -210,7 +210,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, *, window: int = 13, text_col
     spark = docs.sparkSession
     bounded_batches(spark)
     items = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("null")).alias("item"),
-                             F.col(item_text_col).cast("binary").alias("body"))
+                             F.col(item_text_col).cast("binary").alias("body")).distinct()
     total = items.agg(F.sum(F.octet_length("body"))).first()[0] or 0
     n_blocks = -(-int(total) // block_bytes) or 1
     names = [f.name for f in ADDED]
@@ -263,8 +263,9 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *, share: int = 20, **o
     Columns are those of ``docs``; see ``matches`` for null, empty and repeated rows (a document without words
     is kept).
     """
-    found = matches(docs.withColumns({"text__in": F.col(options.pop("text_col", "text"))}), benchmark,
-                    text_col="text__in", **options)
-    return found.where(~contaminated(share)).select(*[F.col(f"`{c}`") for c in docs.columns])
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                        F.col(f"`{options.pop('text_col', 'text')}`").alias("body"))  # no name of docs meets one of ours
+    found = matches(whole, benchmark, text_col="body", **options)
+    return found.where(~contaminated(share)).select(*[F.col("row")[c].alias(c) for c in docs.columns])
 
 

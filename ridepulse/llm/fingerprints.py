@@ -215,15 +215,14 @@ def with_next_edit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     keyed = rows.select("id", F.coalesce("id", F.lit(least)).alias("key")).withColumn("shard", shard_of("key"))
     tops = sorted((r.shard, r.top) for r in keyed.groupBy("shard").agg(F.max("key").alias("top")).collect())
     lent = {top: tops[(k + 1) % len(tops)][0] for k, (_, top) in enumerate(tops)}  # to the range above; last to first
-    to = F.lit(None).cast("int")
-    if lent:
-        to = F.create_map(*[F.lit(x).cast("long") for pair in lent.items() for x in pair])[F.col("key")].cast("int")
-    dealt = (rows.withColumn("key", F.coalesce("id", F.lit(least))).withColumn("shard", shard_of("key"))
-             .withColumn("to", to)
-             .withColumn("sent", F.explode(F.when(F.col("to").isNull(), F.array(F.struct("shard", F.lit(0).alias("lent"))))
-                                           .otherwise(F.array(F.struct("shard", F.lit(0).alias("lent")),
-                                                              F.struct(F.col("to").alias("shard"), F.lit(1).alias("lent"))))))
-             .select("id", "text", F.col("sent.shard").alias("at"), F.col("sent.lent").alias("lent"), "key")
+
+    @F.pandas_udf("array<int>")
+    def dealt_to(ids: pd.Series) -> pd.Series:
+        own = np.searchsorted(points, ids.to_numpy(np.int64), "right").tolist()
+        return pd.Series([[k, lent[i]] if i in lent else [k] for k, i in zip(own, ids.tolist())])
+
+    dealt = (rows.withColumn("key", F.coalesce("id", F.lit(least)))
+             .select("id", "text", "key", F.posexplode(dealt_to("key")).alias("lent", "at"))
              .repartitionById(len(points) + 1, "at")
              .sortWithinPartitions("lent", F.desc("key"), F.xxhash64("text"), "text").select("id", "text", "lent"))
     schema = T.StructType([

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ridepulse.llm.common import arrow_schema, bounded_batches
+from ridepulse.llm.common import arrow_schema, bounded_batches, free_name
 
 #: Buckets of hashed n-grams.
 BUCKETS = 1 << 12
@@ -157,13 +157,14 @@ def predict(docs: DataFrame, model: dict, *, text_col: str = "text") -> DataFram
     schema = T.StructType([*own, *added])
     target = arrow_schema(schema)
     # Added only here, so that an input column of one of these names can also be the text.
-    source = docs.select(*[F.col(f"`{f.name}`") for f in own], F.col(f"`{text_col}`").cast("string").alias("text__in"))
+    body_name = free_name(schema.names, "text_in")
+    source = docs.select(*[F.col(f"`{f.name}`") for f in own], F.col(f"`{text_col}`").cast("string").alias(body_name))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
         m = shared.value
         for batch in batches:
-            body = batch.column("text__in").to_pylist()
+            body = batch.column(body_name).to_pylist()
             lang, score, far = [], [], []
             for i in range(0, len(body), 250):
                 found = [counts(t) for t in body[i:i + 250]]

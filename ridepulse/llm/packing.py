@@ -56,7 +56,8 @@ class ChunkTokenizer:
     The split pattern never joins a non-blank with a single blank after it, so a text can be cut before each blank
     between two non-blanks and the chunks tokenised alone: once each, by the tokenizer's own BPE model. A line end
     between two non-blanks is a part of its own, so the text is cut before it too, and its chunk has the line end in
-    place of the blank. Texts with more white space beside a blank or line end are tokenised whole.
+    place of the blank. Texts with more white space beside a blank or line end, and those that hold the string of a
+    special token (it becomes that token's id), are tokenised whole.
     """
 
     def __init__(self, path: str):
@@ -65,7 +66,7 @@ class ChunkTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.model, self.split = self.tokenizer.model, regex.compile(SPLIT).findall
         self.parts: dict[str, list[int]] = {}
         self._reset()
@@ -147,7 +148,8 @@ class ChunkTokenizer:
         self.uses += np.bincount(np.concatenate([np.zeros(0, np.int64), *coded]), minlength=len(self.uses))
         out: list[np.ndarray] = []
         for text, head, codes in zip(texts, heads, coded, strict=True):
-            if head[-1:].isspace() or (len(codes) and not head) or self.odd[codes].any():
+            if (head[-1:].isspace() or (len(codes) and not head) or self.odd[codes].any()
+                    or any(s in text for s in self.special)):
                 out.append(np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32))
                 continue
             first = np.array(self._ids(head), np.uint32)

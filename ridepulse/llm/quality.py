@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ridepulse.llm.common import arrow_schema, bounded_batches
+from ridepulse.llm.common import arrow_schema, bounded_batches, free_name
 
 TERMS = 1024
 #: Lower-case letters and all non-ASCII bytes become a, upper-case A, digits 0; the rest stays.
@@ -143,13 +143,14 @@ def score(docs: DataFrame, model: dict, *, text_col: str = "text", threshold: fl
     own = [f for f in docs.schema.fields if f.name not in ("score", "predicted")]
     schema = T.StructType([*own, *added])
     target = arrow_schema(schema)
-    source = docs.select(*[F.col(f"`{f.name}`") for f in own], F.col(f"`{text_col}`").cast("binary").alias("text__in"))
+    body_name = free_name(schema.names, "text_in")
+    source = docs.select(*[F.col(f"`{f.name}`") for f in own], F.col(f"`{text_col}`").cast("binary").alias(body_name))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
         m = shared.value
         for batch in batches:
-            body = batch.column("text__in").to_pylist()
+            body = batch.column(body_name).to_pylist()
             got = [vote(latent(matrix([terms(t or b"") for t in body[i:i + 500]], m["idf"]), m["axes"]), m, neighbours,
                         sharpness) for i in range(0, len(body), 500)]
             values = np.clip(np.concatenate(got) if got else np.zeros(0), 0.0, 1.0)

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ridepulse.llm.common import arrow_schema, bounded_batches, ranges, shuffle_partitions, stored
+from ridepulse.llm.common import arrow_schema, bounded_batches, free_name, ranges, shuffle_partitions, stored
 
 BLOCKS, BLOCK_BITS = 4, 16
 
@@ -236,22 +236,23 @@ def deduplicate(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     # Columns that cannot be hashed (maps) count by their JSON text.
     content = F.xxhash64(*[F.to_json(F.struct(F.col(f"`{f.name}`"))) if "map<" in f.dataType.simpleString()
                            else F.col(f"`{f.name}`") for f in docs.schema.fields])
+    key_name, count_name = free_name(docs.columns, "keep_key"), free_name(docs.columns, "keep_n")
     key = F.struct(F.col(f"`{id_col}`").cast("long").alias("id"), content.alias("tie"))
     found = near_duplicates(docs, id_col=id_col, text_col=text_col, row=content, **options)
     # Fully repeated rows share a key; ``n`` counts them.
     rows = found.groupBy("group_fp", "doc_id", "fp", "row").agg(F.count(F.lit(1)).alias("n"))
     keep = stored(rows.groupBy("group_fp", F.col("doc_id").isNull())
                   .agg(F.min(F.struct("doc_id", "fp", "row", "n")).alias("r"))
-                  .select(F.struct(F.col("r.doc_id").alias("id"), F.col("r.row").alias("tie")).alias("keep__key"),
-                          F.col("r.n").alias("keep__n")), "simhash-keep")
+                  .select(F.struct(F.col("r.doc_id").alias("id"), F.col("r.row").alias("tie")).alias(key_name),
+                          F.col("r.n").alias(count_name)), "simhash-keep")
 
     def of(part):
-        own, other = key, F.col("keep__key")
+        own, other = key, F.col(key_name)
         return docs.join(part, own["id"].eqNullSafe(other["id"]) & (own["tie"] == other["tie"]), "left_semi")
 
-    if keep.where("keep__n > 1").isEmpty():
+    if keep.where(F.col(count_name) > 1).isEmpty():
         return of(keep)
-    again = of(keep.where("keep__n > 1"))
+    again = of(keep.where(F.col(count_name) > 1))
     names = again.columns
-    again = again.groupBy(key.alias("keep__key")).agg(F.first(F.struct(*[F.col(f"`{c}`") for c in names])).alias("r"))
-    return of(keep.where("keep__n = 1")).unionByName(again.select(*[F.col("r")[c].alias(c) for c in names]))
+    again = again.groupBy(key.alias(key_name)).agg(F.first(F.struct(*[F.col(f"`{c}`") for c in names])).alias("r"))
+    return of(keep.where(F.col(count_name) == 1)).unionByName(again.select(*[F.col("r")[c].alias(c) for c in names]))

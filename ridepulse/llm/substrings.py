@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ridepulse.llm.common import arrow_schema, bounded_batches, ranges, shuffle_partitions
+from ridepulse.llm.common import arrow_schema, bounded_batches, free_name, ranges, shuffle_partitions
 from ridepulse.llm.fmindex import FMIndex
 
 _NULL_ID = -(1 << 63)  # a null id sorts before every other
@@ -345,17 +345,19 @@ def remove_repeats(docs: DataFrame, *, width: int = 20, id_col: str = "doc_id",
             .agg(F.collect_list(F.struct("start", "windows")).alias("hit_runs")))
     names = [f.name for f in added]
     own = [f for f in docs.schema.fields if f.name not in names]
+    keys = [free_name(docs.columns, c) for c in ("hit_id", "hit_tie")]
+    runs_name = free_name(docs.columns, "hit_runs")
     left = docs.select(*[F.col(f"`{f.name}`") for f in own],
-                       F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(_NULL_ID)).alias("hit_id"),
-                       F.xxhash64(F.col(f"`{text_col}`")).alias("hit_tie"))
-    joined = left.join(hits, ["hit_id", "hit_tie"], "left").drop("hit_id", "hit_tie")
+                       F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(_NULL_ID)).alias(keys[0]),
+                       F.xxhash64(F.col(f"`{text_col}`")).alias(keys[1]))
+    joined = left.join(hits.toDF(*keys, runs_name), keys, "left").drop(*keys)
     schema = T.StructType([*own, *added])
     target = arrow_schema(schema)
     at = target.get_field_index(text_col)
 
     def apply(batches):
         for batch in batches:
-            runs = batch.column("hit_runs").to_pylist()
+            runs = batch.column(runs_name).to_pylist()
             results = [kept_words(body or b"", r or [], width)
                        for body, r in zip(batch.column(text_col).cast(pa.binary()).to_pylist(), runs, strict=True)]
             columns = [batch.column(f.name).cast(target.field(f.name).type) for f in own]

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ridepulse.llm.common import arrow_schema, bounded_batches
+from ridepulse.llm.common import arrow_schema, bounded_batches, free_name
 
 _WORD = re.compile(r"[^\W\d_]+")
 #: Lengths of the word beginnings that pattern voters look for, and the share of words that makes one dense.
@@ -214,14 +214,15 @@ def score(docs: DataFrame, model: dict, *, text_col: str = "text", threshold: fl
     own = [f for f in docs.schema.fields if f.name not in ("score", "predicted")]
     schema = T.StructType([*own, *added])
     target = arrow_schema(schema)
-    source = docs.select(*[F.col(f"`{f.name}`") for f in own], F.col(f"`{text_col}`").cast("string").alias("text__in"))
+    body_name = free_name(schema.names, "text_in")
+    source = docs.select(*[F.col(f"`{f.name}`") for f in own], F.col(f"`{text_col}`").cast("string").alias(body_name))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
         m = shared.value
         voters: Voters = m["voters"]
         for batch in batches:
-            got = [voters.read(t) for t in batch.column("text__in").to_pylist()]
+            got = [voters.read(t) for t in batch.column(body_name).to_pylist()]
             linear = np.full(len(got), m["bias"])
             if m["weights"] is not None and got:
                 linear = linear + voters.features(np.array([g[0] for g in got]), np.array([g[1] for g in got])) @ m["weights"]

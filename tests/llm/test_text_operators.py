@@ -130,7 +130,6 @@ def test_packing_holds_every_id_once(spark, tokenizer):
     rows = awkward()
     out = packing.pack(frame(spark, rows).repartition(5), tokenizer, size=64, open_windows=3, fan_in=2).collect()
     plain = Tokenizer.from_file(tokenizer)
-    plain.encode_special_tokens = True
     ids = {r[0]: plain.encode(r[1] or "", add_special_tokens=False).ids + [0] for r in rows}
     times = defaultdict(int)
     for r in rows:
@@ -161,7 +160,6 @@ def test_chunked_tokenising_equals_whole(tokenizer):
     from tokenizers import Tokenizer
 
     plain = Tokenizer.from_file(tokenizer)
-    plain.encode_special_tokens = True
     coder = packing.ChunkTokenizer(tokenizer)
     texts = ["", " ", "  a", "a  b", "a\tb", "a \n b", "\n", " lead", "tail ", "it's we're I'll", "²x ½ y", "日本 語",
              "a<|endoftext|>b", "don't  stop\r\n ok", "x\x1c y", "  a b\u0085c", "é é", "1234 5,6.7", "'s 's"]
