@@ -18,7 +18,7 @@ from ridepulse import schemas
 from ridepulse.operators import ingest, silver
 from ridepulse.plans import gold, jobs, live, reports
 from ridepulse.session import get_session
-from ridepulse.sources import tables
+from ridepulse.sources import dims, tables
 from ridepulse.streaming import stream
 
 
@@ -29,7 +29,9 @@ def _reports(spark, args):
     updates = spark.read.parquet(w.silver_trips)
     as_of, hours = args.as_of, args.history_hours
     delays = reports.delays(updates, positions, as_of, limit=None, history_hours=hours)
-    vehicles = reports.latest_vehicles(positions)
+    # What the map shows at ``as_of``: no vehicle is seen later than the delays beside it.
+    vehicles = reports.latest_vehicles(reports.recent(positions, as_of, hours, "gps_timestamp"))
+    descriptions = dims.route_descriptions(spark, args.descriptions)
     return {
         "vehicles": lambda: vehicles,
         "delays": lambda: reports.delays(updates, positions, as_of, category=args.category, route=args.route,
@@ -39,12 +41,20 @@ def _reports(spark, args):
         "worst_routes": lambda: reports.worst_routes(spark.read.parquet(w.worst), day=args.day, period=args.period,
                                                      limit=_or(args.limit, 20)),
         "network_health": lambda: reports.network_health(spark.read.parquet(w.network)),
-        "trip_history": lambda: reports.trip_history(updates, args.trip, limit=_or(args.limit, 20)),
+        "trip_history": lambda: reports.trip_history(jobs.observations(updates), args.trip, limit=_or(args.limit, 20)),
         "dim_routes": lambda: spark.read.parquet(w.routes),
         "route_performance": lambda: spark.read.parquet(w.performance),
         "ghost_trips": lambda: live.ghost_trips(delays, vehicles),
         "incidents": lambda: live.incident_list(delays, vehicles, show_ghosts=args.show_ghosts),
         "vehicle_delay_info": lambda: live.vehicle_delay_info(vehicles, delays),
+        "live_dots": lambda: live.live_dots(vehicles, delays, route=args.route, category=args.category,
+                                            selected=args.trip),
+        "ghost_dots": lambda: live.ghost_dots(delays, vehicles, route=args.route),
+        "selection_bounds": lambda: live.selection_bounds(delays, vehicles),
+        "trend_counts": lambda: live.trend_counts(delays),
+        "route_menu": lambda: live.route_menu(vehicles, descriptions),
+        "vehicles_described": lambda: live.with_route_description(vehicles, descriptions),
+        "current": lambda: tables.read_current(spark, w.current, schemas.SILVER_TRIP_UPDATES),
     }
 
 
@@ -76,7 +86,8 @@ def main(argv=None) -> None:
     p.add_argument("--history-hours", type=int)
     p.add_argument("--out", required=True)
     p.add_argument("--category")
-    p.add_argument("--route", help="route id prefix (delays)")
+    p.add_argument("--route", help="route id prefix (delays) or clean route name (map layers)")
+    p.add_argument("--descriptions", help="route description table (default: the published one)")
     p.add_argument("--limit", type=int)
     p.add_argument("--day", type=int, help="weekday, 0 = Sunday (worst_routes)")
     p.add_argument("--period", help="time period (worst_routes)")
@@ -102,7 +113,8 @@ def main(argv=None) -> None:
             run(spark, args.landing, path, f"{args.checkpoint}/{name}", entity=entity, max_files_per_trigger=rate)
         updates = silver.silver_trip_updates(ingest.flatten_trip_feed(
             stream.read_feed_stream(spark, args.landing, rate)))
-        stream.run_foreach_batch(updates, stream.hourly_refresher(w.fact, w.hourly), f"{args.checkpoint}/gold")
+        stream.run_foreach_batch(updates, stream.hourly_refresher(w.fact, w.hourly, w.parts), f"{args.checkpoint}/gold")
+        stream.run_foreach_batch(updates, stream.current_state_refresher(None, w.current), f"{args.checkpoint}/current")
         if not tables.table_exists(spark, w.hourly):
             return
         hourly = spark.read.parquet(w.hourly)

@@ -277,8 +277,8 @@ def _delays_variant(where_src: str = "", where_out: str = "") -> str:
 
 
 STREAM_HOURLY = """SELECT route_code, record_date, record_hour, day_of_week, day_name, time_period,
-        total_observations, avg_delay_minutes, max_delay_minutes, min_delay_minutes, stddev_delay_minutes,
-        early_count, on_time_count, minor_count, moderate_count, severe_count, critical_count,
+        total_observations, unique_trips, avg_delay_minutes, max_delay_minutes, min_delay_minutes,
+        stddev_delay_minutes, early_count, on_time_count, minor_count, moderate_count, severe_count, critical_count,
         on_time_percentage, last_updated
       FROM hourly
       WHERE CAST(record_date AS TIMESTAMP) + to_hours(record_hour + 1)
@@ -443,6 +443,13 @@ BODIES: dict[str, str] = {
     "stream_fact_dedup": f"SELECT {FACT_COLS} FROM fact",
     "stream_hourly_windows": STREAM_HOURLY,
     "stream_late_rows": STREAM_HOURLY,
+    "stream_period_trips": """SELECT route_code, day_of_week, day_name, time_period,
+        CAST(count(DISTINCT (record_date, record_hour)) AS BIGINT) AS observation_hours,
+        CAST(count(*) AS BIGINT) AS total_observations, CAST(count(DISTINCT trip_id) AS BIGINT) AS unique_trips
+      FROM fact
+      WHERE CAST(record_date AS TIMESTAMP) + to_hours(record_hour + 1)
+            <= (SELECT max(recorded_at) FROM fact) - INTERVAL 2 HOUR
+      GROUP BY route_code, day_of_week, day_name, time_period""",
     "refresh_hourly_incremental": f"SELECT {HOURLY_COLS} FROM hourly",
     "refresh_current_state": "SELECT trip_id, route_id, delay_seconds, stop_id, loaded_at FROM " + latest(
         "stu", "trip_id", "loaded_at DESC, delay_seconds DESC, stop_id DESC") + " AS x",
@@ -453,5 +460,11 @@ BODIES: dict[str, str] = {
 }
 
 
+# The stored tables hold what the plans compute, so their reports have the same SQL.
+BODIES |= {"warehouse_hourly": BODIES["refresh_hourly_incremental"], "warehouse_current": BODIES["refresh_current_state"],
+           "warehouse_dim_routes": BODIES["dim_routes"], "warehouse_route_performance": BODIES["gold_route_performance"],
+           "warehouse_trip_history": BODIES["trip_history"], "warehouse_delays": BODIES["delays"]}
+
+
 def oracle_sql() -> dict[str, str]:
     return {name: with_ctes(body) for name, body in BODIES.items()}

@@ -13,11 +13,12 @@ from functools import cached_property, partial
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ridepulse import schemas
 from ridepulse.functions.columns import clean_nonfinite, clean_route_name, route_code
 from ridepulse.operators import ingest, keyed, silver
 from ridepulse.plans import gold, jobs, live, reports
 from ridepulse.session import scratch_path
-from ridepulse.sources import dims, fixtures
+from ridepulse.sources import dims, fixtures, tables
 from ridepulse.streaming import stream
 
 # Parameters of the registered queries (fixed, documented; the data spans 2024-01-01 .. 2024-01-30).
@@ -93,7 +94,7 @@ class Tables:
     @cached_property
     def trends(self) -> DataFrame:
         """Every trip's trend row under the names of the delays report, for operators that need no position."""
-        t = reports.delay_trend(self.silver_trip_updates, AS_OF, LOOKBACK_MINUTES)
+        t = reports.delay_trend(self.silver_trip_updates, AS_OF, LOOKBACK_MINUTES, with_route=False)
         return t.withColumn("route_id", F.col("trip_id"))
 
     @cached_property
@@ -237,6 +238,17 @@ def _stream_fact_dedup(t: Tables) -> DataFrame:
                          lambda fact: stream.stream_dedup(fact.unionByName(fact), STREAM_LATENESS))
 
 
+#: What a query of this session has already built for a table folder, so that several reports read one warehouse.
+_BUILT: dict[tuple, str] = {}
+
+
+def _built(t: Tables, name: str, build: Callable[[Tables], str]) -> str:
+    key = (name, t.sf_dir, t.spark.conf.get("spark.app.id", ""), t.spark.conf.get("spark.sql.shuffle.partitions"))
+    if key not in _BUILT:
+        _BUILT[key] = build(t)
+    return _BUILT[key]
+
+
 def _stream_hourly(t: Tables, replay: bool) -> DataFrame:
     """Every second event of a part's last hour comes late, with the next part, inside the allowed lateness;
     ``replay`` also sends old days again at the end, far behind the watermark, which must change nothing."""
@@ -244,8 +256,20 @@ def _stream_hourly(t: Tables, replay: bool) -> DataFrame:
     last = _between(PARTS[1], None)
     parts = [_between(None, PARTS[0]) & ~late, _between(PARTS[0], PARTS[1]) | late,
              last | _between(None, "2024-01-05 00:00:00") if replay else last]
-    return _stream_parts(t, "stream-hourly", parts, lambda fact: stream.stream_hourly(fact, STREAM_LATENESS)) \
-        .select(*stream.STREAM_HOURLY_COLUMNS)
+    return _stream_parts(t, "stream-hourly", parts, lambda fact: stream.stream_hourly(fact, STREAM_LATENESS))
+
+
+def _stream_windows(t: Tables) -> DataFrame:
+    """The closed windows of a streamed run, with their sketches."""
+    def build(t: Tables) -> str:
+        path = scratch_path(t.spark, "stream-windows")
+        _stream_hourly(t, replay=False).write.parquet(path)
+        return path
+    return t.spark.read.parquet(_built(t, "stream-windows", build))
+
+
+def _stream_period_trips(t: Tables) -> DataFrame:
+    return stream.period_trips(_stream_windows(t)).drop("trip_sketch")
 
 
 def _refresh_hourly(t: Tables) -> DataFrame:
@@ -270,7 +294,7 @@ def _current_state_run(t: Tables, name: str) -> str:
 
 def _refresh_current(t: Tables) -> DataFrame:
     base = _current_state_run(t, "refresh-current")
-    return t.spark.read.parquet(f"{base}/current")
+    return tables.read_current(t.spark, f"{base}/current", schemas.SILVER_TRIP_UPDATES)
 
 
 def _stream_trend(t: Tables) -> DataFrame:
@@ -288,11 +312,20 @@ def _warehouse_runs(t: Tables) -> str:
     jobs.refresh_warehouse(f.where((F.col("obs_ts") >= silver.ntz_literal("2024-01-14 00:00:00"))
                                    & (F.col("obs_ts") < silver.ntz_literal(SPLIT))), root, run_id="r2")
     jobs.refresh_warehouse(_from(f, "obs_ts"), root, run_id="r3")
+    jobs.rebuild_route_tables(t.spark, root)
     return root
 
 
-def _warehouse_network(t: Tables) -> DataFrame:
-    return t.spark.read.parquet(jobs.Warehouse(_warehouse_runs(t)).network)
+def _warehouse(t: Tables) -> jobs.Warehouse:
+    return jobs.Warehouse(_built(t, "warehouse", _warehouse_runs))
+
+
+def _stored(t: Tables, name: str) -> DataFrame:
+    return t.spark.read.parquet(getattr(_warehouse(t), name))
+
+
+def _warehouse_current(t: Tables) -> DataFrame:
+    return tables.read_current(t.spark, _warehouse(t).current, schemas.SILVER_TRIP_UPDATES)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -379,11 +412,19 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_bronze_trips": _t(lambda t: _stream_bronze(t, "trip_update")),
     "stream_bronze_vehicles": _t(lambda t: _stream_bronze(t, "vehicle")),
     "stream_fact_dedup": _t(_stream_fact_dedup),
-    "stream_hourly_windows": _t(lambda t: _stream_hourly(t, replay=False)),
-    "stream_late_rows": _t(lambda t: _stream_hourly(t, replay=True)),
+    "stream_hourly_windows": _t(lambda t: _stream_windows(t).select(*stream.STREAM_HOURLY_COLUMNS)),
+    "stream_late_rows": _t(lambda t: _stream_hourly(t, replay=True).select(*stream.STREAM_HOURLY_COLUMNS)),
+    "stream_period_trips": _t(_stream_period_trips),
     "refresh_hourly_incremental": _t(_refresh_hourly),
     "refresh_current_state": _t(_refresh_current),
     "stream_delay_trend": _t(_stream_trend),
     # scheduled batch refresh on disk
-    "warehouse_network_summary": _t(_warehouse_network),
+    "warehouse_network_summary": _t(lambda t: _stored(t, "network")),
+    # reports over the stored tables of those runs
+    "warehouse_hourly": _t(lambda t: _stored(t, "hourly").select(*gold.HOURLY_COLUMNS)),
+    "warehouse_current": _t(_warehouse_current),
+    "warehouse_dim_routes": _t(lambda t: _stored(t, "routes")),
+    "warehouse_route_performance": _t(lambda t: _stored(t, "performance")),
+    "warehouse_trip_history": _t(lambda t: reports.trip_history(jobs.observations(_stored(t, "silver_trips")), TRIP)),
+    "warehouse_delays": _t(lambda t: _delays(_stored(t, "silver_trips"), _stored(t, "silver_vehicles"), AS_OF)),
 }

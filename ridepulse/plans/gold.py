@@ -21,7 +21,7 @@ FACT_COLUMNS = ("delay_record_id", "trip_id", "route_id", "route_code", "delay_s
 #: Silver columns that the fact renames or that only say where a row is stored.
 _NOT_CARRIED = ("loaded_at", "loaded_date", "run_id", "batch_id")
 
-HOURLY_KEYS = ("route_code", "record_date", "record_hour", "day_of_week", "day_name", "time_period")
+HOURLY_KEYS = ("route_code", "record_date", "record_hour", "day_of_week", "day_name", "time_period")  # the first three decide
 
 HOURLY_COLUMNS = ("performance_id", *HOURLY_KEYS, "total_observations", "unique_trips", "avg_delay_minutes",
                   "median_delay_minutes", "max_delay_minutes", "min_delay_minutes", "stddev_delay_minutes",
@@ -55,34 +55,71 @@ def fact_historical_delays(silver_updates: DataFrame) -> DataFrame:
                     *added))
 
 
-def gold_route_performance_hourly(fact: DataFrame) -> DataFrame:
-    """Per route code and hour: volume, delay statistics, band counts and on-time share.
+#: What an hour's statistics are made of: a row for each delay and one for each trip seen in it, and how often.
+PART_KEYS = ("route_code", "record_date", "record_hour", "delay_seconds", "trip_id")
+PART_COLUMNS = (*PART_KEYS, "n", "last_updated")
+
 
-    Median is the exact ``percentile_cont(0.5)`` of the delay in hundredths of a minute: its partial buffer is
-    a value->count map whose size is bounded by the number of distinct delays, not by rows, so a hot route
-    hour still aggregates map-side.
+def hour_parts(fact: DataFrame) -> DataFrame:
+    """Partial hourly statistics: per route code and hour, the rows of each delay and of each trip (``PART_COLUMNS``).
+
+    A row of the fact counts once under its delay (``trip_id`` is null there) and once under its trip, if it has one
+    (``delay_seconds`` is null there). Parts of disjoint sets of rows add up (``merge_parts``), so they can be stored and
+    brought up to date by the new rows alone. One hash aggregate with fixed-size buffers; its keys are fine enough that a
+    route with a third of all rows spreads over all tasks.
     """
-    cents = F.col("_cents")
-    cat = F.col("delay_category")
-    g = (fact.select(*HOURLY_KEYS, "trip_id", "delay_category", "recorded_at",
-                     delay_cents("delay_seconds").alias("_cents"))
-         .groupBy(*HOURLY_KEYS)
-         .agg(F.count(F.lit(1)).alias("n"),
-              F.count_distinct("trip_id").alias("unique_trips"),
-              F.sum(cents).alias("sum_cents"),
-              F.percentile(cents, F.lit(0.5)).alias("median2"),
-              F.max(cents).alias("max_cents"),
-              F.min(cents).alias("min_cents"),
-              F.stddev_samp(cents).alias("sd_cents"),
-              *[F.count_if(cat == c).alias(f"{c}_count") for c in
-                ("early", "on_time", "minor", "moderate", "severe", "critical")],
-              F.count_if(cat.isin("early", "on_time")).alias("ok"),
-              F.max("recorded_at").alias("last_updated")))
+    none_int, none_str = F.lit(None).cast("int"), F.lit(None).cast("string")
+    of_delay = F.struct(F.col("delay_seconds").cast("int").alias("delay_seconds"), none_str.alias("trip_id"))
+    of_trip = F.when(F.col("trip_id").isNotNull(), F.struct(none_int.alias("delay_seconds"), F.col("trip_id")))
+    rows = fact.select("route_code", "record_date", "record_hour", "recorded_at",
+                       F.explode(F.array(of_delay, of_trip)).alias("part")).where(F.col("part").isNotNull())
+    return (rows.select("route_code", "record_date", "record_hour", "part.delay_seconds", "part.trip_id", "recorded_at")
+            .groupBy(*PART_KEYS)
+            .agg(F.count(F.lit(1)).alias("n"), F.max("recorded_at").alias("last_updated")))
+
+
+def merge_parts(*parts: DataFrame) -> DataFrame:
+    """The parts of all rows, given those of disjoint sets of rows."""
+    both = parts[0].select(*PART_COLUMNS)
+    for more in parts[1:]:
+        both = both.unionByName(more.select(*PART_COLUMNS))
+    return both.groupBy(*PART_KEYS).agg(F.sum("n").alias("n"), F.max("last_updated").alias("last_updated"))
+
+
+def hourly_from_parts(parts: DataFrame) -> DataFrame:
+    """The hourly statistics (``HOURLY_COLUMNS``) of merged parts.
+
+    Grouped by route code and hour only; weekday and period follow from them. The median is the exact
+    ``percentile_cont(0.5)`` of the delays in hundredths of a minute, each counted with its frequency, and the deviation
+    comes from whole-number sums, so both cost one buffer entry per distinct delay, whatever the number of rows.
+    """
+    cents = delay_cents("delay_seconds")
+    wide = "decimal(38,0)"
+    p = parts.select("route_code", "record_date", "record_hour", "trip_id", "last_updated", "n", cents.alias("_c"),
+                     F.when(F.col("delay_seconds").isNotNull(), delay_category("delay_seconds")).alias("_band"),
+                     F.when(F.col("delay_seconds").isNotNull(), F.col("n")).alias("_n"))
+    bands = ("early", "on_time", "minor", "moderate", "severe", "critical")
+    g = (p.groupBy("route_code", "record_date", "record_hour")
+         .agg(F.sum("_n").alias("n"),
+              F.count("trip_id").alias("unique_trips"),
+              F.sum(F.col("_c") * F.col("_n")).alias("sum_cents"),
+              F.sum(F.col("_c").cast(wide) * F.col("_c") * F.col("_n")).alias("sum_squares"),
+              F.percentile(F.col("_c"), F.lit(0.5), F.col("n")).alias("median2"),
+              F.max("_c").alias("max_cents"),
+              F.min("_c").alias("min_cents"),
+              *[F.sum(F.when(F.col("_band") == b, F.col("_n")).otherwise(0)).alias(f"{b}_count") for b in bands],
+              F.max(F.when(F.col("_n").isNotNull(), F.col("last_updated"))).alias("last_updated")))
+    n, total = F.col("n").cast("decimal(18,0)"), F.col("sum_cents").cast("decimal(18,0)")
+    spread = (F.col("sum_squares") * n).cast(wide) - (total * total).cast(wide)
+    sd_cents = F.sqrt(spread.cast("double") / (F.col("n").cast("double") * (F.col("n") - 1).cast("double")))
     median_cents = F.round(F.col("median2")).cast("long")
-    stddev = F.round((F.coalesce(F.col("sd_cents"), F.lit(0.0)) / F.lit(100.0)).cast("decimal(18,6)"), 2)
+    stddev = F.round((F.coalesce(F.when(F.col("n") > 1, sd_cents), F.lit(0.0)) / F.lit(100.0)).cast("decimal(18,6)"), 2)
     return g.select(
         surrogate_key("route_code", "record_date", "record_hour").alias("performance_id"),
-        *HOURLY_KEYS,
+        "route_code", "record_date", "record_hour",
+        day_of_week("record_date").alias("day_of_week"),
+        day_name("record_date").alias("day_name"),
+        time_period("record_hour").alias("time_period"),
         F.col("n").cast("long").alias("total_observations"),
         F.col("unique_trips").cast("long").alias("unique_trips"),
         cents_to_minutes(round_ratio("sum_cents", "n")).alias("avg_delay_minutes"),
@@ -90,12 +127,18 @@ def gold_route_performance_hourly(fact: DataFrame) -> DataFrame:
         cents_to_minutes("max_cents").alias("max_delay_minutes"),
         cents_to_minutes("min_cents").alias("min_delay_minutes"),
         stddev.cast("double").alias("stddev_delay_minutes"),
-        *[F.col(f"{c}_count").cast("long").alias(f"{c}_count") for c in
-          ("early", "on_time", "minor", "moderate", "severe", "critical")],
-        cents_to_minutes(round_ratio(F.col("ok") * 10000, "n")).alias("on_time_percentage"),
+        *[F.col(f"{b}_count").cast("long").alias(f"{b}_count") for b in bands],
+        cents_to_minutes(round_ratio((F.col("early_count") + F.col("on_time_count")) * 10000, "n"))
+        .alias("on_time_percentage"),
         "last_updated")
 
 
+def gold_route_performance_hourly(fact: DataFrame) -> DataFrame:
+    """Per route code and hour: volume, delay statistics, band counts and on-time share, in two aggregates: the parts
+    of each hour (a row per delay and per trip), then the hour from its parts."""
+    return hourly_from_parts(hour_parts(fact))
+
+
 def _cents(col) -> F.Column:
     """Recover the exact hundredths from a two-place double."""
     return F.round(F.col(col) * F.lit(100.0)).cast("long")

@@ -3,7 +3,8 @@ gold tables up to date incrementally (the cron + transform flow, re-expressed as
 
 Layout under ``root``: ``bronze/{vehicle_positions,trip_updates}`` (partitioned by ``ingest_date``),
 ``silver/{vehicle_positions,trip_updates}`` (by ``loaded_date``), ``fact/historical_delays`` and
-``gold/route_performance_hourly`` (by ``record_date``), ``gold/worst_routes_by_period`` and
+``gold/route_performance_hourly`` (by ``record_date``), ``gold/hour_parts`` (by ``record_date``, ``record_hour``),
+``gold/current_trips`` (by hash bucket of the trip), ``gold/worst_routes_by_period`` and
 ``gold/network_summary`` (small, rebuilt from the hourly table each run), ``gold/dim_routes`` and
 ``gold/route_performance`` (rebuilt from all silver updates by ``rebuild_route_tables``).
 """
@@ -54,6 +55,14 @@ class Warehouse:
     def hourly(self) -> str:
         return self.path("gold", "route_performance_hourly")
 
+    @property
+    def parts(self) -> str:
+        return self.path("gold", "hour_parts")
+
+    @property
+    def current(self) -> str:
+        return self.path("gold", "current_trips")
+
     @property
     def worst(self) -> str:
         return self.path("gold", "worst_routes_by_period")
@@ -98,8 +107,9 @@ def refresh_warehouse(feed_batch: DataFrame, root: str, as_of=None, retention_ho
     """Run one scheduled refresh for a batch of landed snapshots; returns what was touched.
 
     Each step reads only what the batch touches: bronze and silver are appended, the fact takes the batch
-    with key dedup, the hourly gold recomputes the touched hours, and the two small period tables are rebuilt
-    from the hourly gold. With ``retention_hours`` the bronze tables are pruned relative to ``as_of``.
+    with key dedup, the hourly gold adds the batch's parts to the touched hours, the current state rewrites the buckets
+    of the batch's trips, and the two small period tables are rebuilt from the hourly gold. With ``retention_hours``
+    the bronze tables are pruned, and ended trips leave the current state, relative to ``as_of``.
 
     Re-running a failed or repeated run is safe: the fact dedups on its key and the gold tables are
     recomputed; passing a ``run_id`` (e.g. the landing folder's name) makes the bronze and silver appends
@@ -116,8 +126,8 @@ def refresh_warehouse(feed_batch: DataFrame, root: str, as_of=None, retention_ho
          cluster_by=("trip_id", "loaded_at"))
     updates = silver_trip_updates(trips)
     _add(updates, w.silver_trips, "loaded_date", "loaded_at", run_id, cluster_by=("trip_id", "loaded_at"))
-    touched = tables.refresh_fact(updates, w.fact)
-    tables.refresh_hourly(w.fact, w.hourly, touched, spark)
+    touched = tables.refresh_hours(updates, w.fact, w.parts, w.hourly)["touched"]
+    tables.refresh_current(updates, w.current)
     hourly = spark.read.parquet(w.hourly)
     # Both outputs are small (routes x 35 periods): full rebuilds, written to their own paths.
     tables.overwrite(gold_worst_routes_by_period(hourly), w.worst)
@@ -127,14 +137,21 @@ def refresh_warehouse(feed_batch: DataFrame, root: str, as_of=None, retention_ho
         for name, p in (("bronze_vehicle_positions", w.bronze_vehicles), ("bronze_trip_updates", w.bronze_trips)):
             pruned[name] = tables.prune_table(p, "ingestion_timestamp", as_of, retention_hours,
                                               partition_col="ingest_date", spark=spark)
+        pruned["current_trips"] = tables.expire_current(spark, w.current, as_of, retention_hours)
     return {"touched_hours": len(touched), "pruned": pruned}
 
 
+def observations(silver: DataFrame) -> DataFrame:
+    """Stored silver rows without the columns that say how they came, each once: a day delivered again under another run
+    id stands in silver twice. Filters on the row's own columns reach the scan."""
+    return silver.drop("run_id", "batch_id", "loaded_date").distinct()
+
+
 def rebuild_route_tables(spark: SparkSession, root: str) -> None:
     """Write the route dimension and the route performance table from all stored silver updates."""
     w = Warehouse(root)
     if tables.table_exists(spark, w.silver_trips):
-        updates = spark.read.parquet(w.silver_trips)
+        updates = observations(spark.read.parquet(w.silver_trips))
         tables.overwrite(gold.dim_routes(updates), w.routes)
         tables.overwrite(gold.gold_route_performance(updates), w.performance)
 

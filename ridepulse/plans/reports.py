@@ -1,17 +1,16 @@
 """Report queries over silver and gold tables (one function per question an operator asks).
 
-Latest-per-key reads use ``row_number() = 1`` (partial WindowGroupLimit before the shuffle) or ``max_by``
-(partial aggregate); the trend pass computes the latest and the previous delay of every trip in one
+Latest-per-key reads use ``row_number() = 1`` (partial WindowGroupLimit before the shuffle); the trend pass computes the latest and the previous delay of every trip in one
 aggregate, so the updates table is scanned and shuffled once.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ridepulse.functions.columns import (
-    CATEGORIES, delay_category, display_order, period_order, route_code, to_minutes, trend,
+    CATEGORIES, EPOCH_NTZ, delay_category, display_order, period_order, route_code, to_minutes, trend,
     trend_change_minutes,
 )
 from ridepulse.operators.keyed import latest_per_key
@@ -37,10 +36,23 @@ def vehicle_order() -> list[Column]:
             F.col("latitude").desc_nulls_last(), F.col("longitude").desc_nulls_last()]
 
 
-def _update_rank() -> Column:
-    """A struct whose maximum is the latest update under ``update_order()``."""
-    return F.struct(F.col("loaded_at").isNull(), F.col("loaded_at"), F.col("delay_seconds"),
-                    F.col("stop_id"), F.col("route_id"))
+#: A delay fits below this factor; the time stands above it.
+_DELAY_SPAN = 1 << 32
+
+
+def _update_number() -> Column:
+    """Time and delay of an update as one whole number, so that the latest update has the greatest (nulls are latest).
+
+    A number of fixed size lets the latest value of a key come out of a hash aggregate: no sort of the history, and one
+    entry per key and task before the shuffle.
+    """
+    micros = F.timestamp_diff("MICROSECOND", F.expr(EPOCH_NTZ), F.col("loaded_at"))
+    time = F.coalesce(micros, F.lit(1 << 60)).cast("decimal(19,0)")
+    return time * F.lit(_DELAY_SPAN).cast("decimal(10,0)") + (F.col("delay_seconds").cast("long") + (_DELAY_SPAN >> 1))
+
+
+def _delay_of(number: Column) -> Column:
+    return (F.pmod(number, F.lit(_DELAY_SPAN).cast("decimal(10,0)")).cast("long") - (_DELAY_SPAN >> 1)).cast("int")
 
 
 def _route_prefix(df: DataFrame, route: str | None) -> DataFrame:
@@ -109,27 +121,33 @@ def latest_positions(positions: DataFrame) -> DataFrame:
 # --- trend ------------------------------------------------------------------------------------------------
 
 def delay_trend(updates: DataFrame, as_of, lookback_minutes: int = 25, route: str | None = None,
-                history_hours: int | None = None) -> DataFrame:
+                history_hours: int | None = None, with_route: bool = True) -> DataFrame:
     """Latest delay per trip against the latest one before ``as_of - lookback``: band, trend and change.
 
-    One ``groupBy(trip_id)`` computes both with ``max_by`` (the previous one over a conditional ordering
-    key that is null outside the window): one scan, one shuffle, map-side partial aggregation.
+    One hash aggregate computes both as greatest numbers of time and delay (the previous one over the rows before the
+    cut-off): one scan, and one shuffle of one row per trip and task. The latest update's route is found in a second
+    step over one row per trip and route; without ``with_route`` that step and the column fall away and the result is
+    partitioned by trip. Of updates with equal time the larger delay counts, then the greater route id.
     ``history_hours`` limits the scan to recent rows (see ``recent``); None reads the whole history.
     """
     src = _route_prefix(recent(updates, as_of, history_hours).where(F.col("delay_seconds").isNotNull()), route)
     before = F.col("loaded_at") < _cutoff(as_of, lookback_minutes)
-    value = F.struct("route_id", "delay_seconds", "loaded_at")
-    rank = _update_rank()
-    g = src.groupBy("trip_id").agg(F.max_by(value, rank).alias("cur"),
-                                   F.max_by(F.when(before, value), F.when(before, rank)).alias("prev"))
-    cur, prev = F.col("cur.delay_seconds"), F.col("prev.delay_seconds")
+    keys = ["trip_id", "route_id"] if with_route else ["trip_id"]
+    g = src.groupBy(*keys).agg(F.max(_update_number()).alias("_cur"),
+                               F.max(F.when(before, _update_number())).alias("_prev"),
+                               F.max("loaded_at").alias("_at"), F.max(F.col("loaded_at").isNull()).alias("_timeless"))
+    if with_route:
+        of_trip = Window.partitionBy("trip_id")
+        g = (g.withColumn("_prev", F.max("_prev").over(of_trip))
+             .withColumn("_rn", F.row_number().over(of_trip.orderBy(F.desc("_cur"), F.col("route_id").desc_nulls_last())))
+             .where("_rn = 1"))
+    cur, prev = _delay_of(F.col("_cur")), _delay_of(F.col("_prev"))
     return g.select(
-        "trip_id",
-        F.col("cur.route_id").alias("route_id"),
+        *keys,
         cur.alias("delay_seconds"),
         to_minutes(cur).alias("avg_delay_minutes"),
         delay_category(cur).alias("delay_category"),
-        F.col("cur.loaded_at").alias("loaded_at"),
+        F.when(~F.col("_timeless"), F.col("_at")).alias("loaded_at"),
         prev.alias("prev_delay_seconds"),
         to_minutes(prev).alias("prev_delay_minutes"),
         trend(cur, prev).alias("trend"),
@@ -150,7 +168,7 @@ def delays(updates: DataFrame, positions: DataFrame, as_of, category: str | None
         limit = int(limit)
         if limit < 0 or limit > MAX_DELAYS_LIMIT:
             raise ValueError(f"limit must be between 0 and {MAX_DELAYS_LIMIT}")
-    t = delay_trend(updates, as_of, lookback_minutes, route, history_hours)
+    t = delay_trend(updates, as_of, lookback_minutes, route, history_hours, with_route=False)
     if category and category.lower() in CATEGORIES:
         t = t.where(F.col("delay_category") == F.lit(category.lower()))
     lp = latest_positions(recent(positions, as_of, history_hours))
@@ -173,7 +191,7 @@ def delays_summary(updates: DataFrame, positions: DataFrame, as_of, keep_empty:
     ``keep_empty=False`` lists only bands present now (bands present only before are dropped, as published);
     ``keep_empty=True`` lists all six bands.
     """
-    t = delay_trend(updates, as_of, lookback_minutes, history_hours=history_hours)
+    t = delay_trend(updates, as_of, lookback_minutes, history_hours=history_hours, with_route=False)
     gps = (recent(positions, as_of, history_hours).select("trip_id").where(F.col("trip_id").isNotNull())
            .distinct().withColumn("has_gps", F.lit(1)))
     # Each trip counts once in its band now and once in its band before: one pass over the trend.

@@ -5,10 +5,16 @@ Refresh rules (they differ from the published incremental models on purpose):
 * the fact holds one row per surrogate key, chosen by one rule over stored and new rows, so replayed, late and
   equal-time rows are neither lost nor duplicated and the table does not depend on how rows fall into batches; ``incremental_fact_batch`` selects the rows a scheduled run takes (at or after the
   high-water mark minus a lateness allowance);
-* the hourly gold recomputes every *touched* hour in full from the fact and replaces the affected date
-  partitions, so an hour delivered in two batches equals a full rebuild.
-Partitions that are read and rewritten in one job are first checkpointed into the shared checkpoint folder,
-so the write never reads the files it replaces and a lost executor recomputes from the checkpoint.
+* the hourly gold keeps the parts of each hour (a row per delay and per trip); a batch adds the parts of its new rows to
+  the touched hours, so an hour delivered in two batches equals a full rebuild without reading the fact again
+  (``refresh_hours``). Hours in which a stored row was replaced, and those that a run cut short has left, are built anew
+  from the fact;
+* the current state is kept in hash buckets of trips, of which a batch rewrites those it touches (``refresh_current``).
+What several steps of a job read (the typed batch, its difference to the fact, the merged parts) is checkpointed into the
+shared checkpoint folder. New partitions are written beside the table, so a write never replaces the files it reads, and
+swapped in by renames, one folder at a time; a swap cut short is undone by the next ``recover``, which every function
+here runs first. The renames must be atomic on the file system, and a reader that lists
+a folder between its two renames does not see it; there is one writer at a time.
 """
 
 from __future__ import annotations
@@ -16,14 +22,18 @@ from __future__ import annotations
 import datetime as _dt
 import uuid
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ridepulse.operators.keyed import incremental_since, latest_per_key, prune_old
+from ridepulse.operators.keyed import incremental_since, latest_per_key, prune_old, upsert
 from ridepulse.operators.silver import ntz_literal
-from ridepulse.plans.gold import fact_historical_delays, gold_route_performance_hourly
+from ridepulse.plans.gold import (
+    HOURLY_COLUMNS, PART_COLUMNS, fact_historical_delays, gold_route_performance_hourly, hour_parts, hourly_from_parts,
+    merge_parts,
+)
 from ridepulse.session import shared_dir
 
 _EPOCH_DATE = _dt.date(1970, 1, 1)
@@ -69,9 +79,15 @@ def read_partitions(spark: SparkSession, path: str, col: str, values: Sequence,
     Listing just the touched folders keeps a refresh's file listing proportional to the batch, not to a table
     with months of partitions.
     """
+    return read_folders(spark, path, [f"{col}={v}" for v in values], all_columns)
+
+
+def read_folders(spark: SparkSession, path: str, folders: Sequence[str], all_columns: bool = False) -> DataFrame | None:
+    """Read only the given partition folders (``a=1/b=2``) of a table (None when none of them exists)."""
+    recover(spark, path)
     dirs = []
-    for v in values:
-        d = f"{path.rstrip('/')}/{col}={v}"
+    for folder in folders:
+        d = f"{path.rstrip('/')}/{folder}"
         p, fs = _fs_path(spark, d)
         if fs.exists(p):
             dirs.append(d)
@@ -169,15 +185,48 @@ def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     w.parquet(path)
 
 
+def _children(spark: SparkSession, folder: str, prefix: str = "") -> list[str]:
+    p, fs = _fs_path(spark, folder)
+    if not fs.exists(p):
+        return []
+    return sorted(n for n in (st.getPath().getName() for st in fs.listStatus(p)) if n.startswith(prefix))
+
+
+def _leaves(spark: SparkSession, root: str) -> list[str]:
+    """Partition folders (``a=1/b=2``) below ``root`` that hold no further partition folders."""
+    out, todo = [], [""]
+    while todo:
+        at = todo.pop()
+        subs = [n for n in _children(spark, f"{root}/{at}".rstrip("/")) if "=" in n]
+        todo += [f"{at}/{n}".lstrip("/") for n in subs]
+        if at and not subs:
+            out.append(at)
+    return sorted(out)
+
+
+def _move(spark: SparkSession, source: str, target: str) -> None:
+    (a, fs), (b, _) = _fs_path(spark, source), _fs_path(spark, target)
+    fs.mkdirs(b.getParent())
+    if not fs.rename(a, b):
+        raise OSError(f"could not move {source} to {target}")
+
+
 def recover(spark: SparkSession, path: str) -> None:
-    """Finish or undo a table swap that was cut short: a table that is missing beside its old copy comes back."""
-    p, fs = _fs_path(spark, path.rstrip("/"))
-    if fs.exists(p) or not fs.exists(p.getParent()):
+    """Undo a swap that was cut short: a table or partition that is missing beside its old copy comes back."""
+    path = path.rstrip("/")
+    p, fs = _fs_path(spark, path)
+    if not fs.exists(p.getParent()):
         return
-    old = sorted(st.getPath().getName() for st in fs.listStatus(p.getParent())
-                 if st.getPath().getName().startswith(f"{p.getName()}__old-"))
-    if old:
-        fs.rename(_fs_path(spark, f"{p.getParent()}/{old[-1]}")[0], p)
+    if not fs.exists(p):
+        old = _children(spark, str(p.getParent()), f"{p.getName()}__old-")
+        if old:
+            _move(spark, f"{p.getParent()}/{old[-1]}", path)
+    for name in _children(spark, str(p.getParent()), f"{p.getName()}__partold-"):
+        aside = f"{p.getParent()}/{name}"
+        for leaf in _leaves(spark, aside):
+            if not fs.exists(_fs_path(spark, f"{path}/{leaf}")[0]):
+                _move(spark, f"{aside}/{leaf}", f"{path}/{leaf}")
+        fs.delete(_fs_path(spark, aside)[0], True)
 
 
 def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
@@ -205,10 +254,25 @@ def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> Non
         fs.delete(old, True)
 
 
-def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
-    """Replace only the partitions present in ``df`` (dynamic partition overwrite)."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*partition_by).parquet(path))
+def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str], emptied: Sequence[str] = ()) -> None:
+    """Replace the partitions present in ``df``, and drop the folders ``emptied`` unless ``df`` has them again.
+
+    The new partitions are written beside the table; then, folder by folder, the old one is moved aside and the new one
+    moved in. A write that fails leaves the table as it was, and a swap cut short loses no partition (see ``recover``).
+    """
+    spark, tag, path = df.sparkSession, uuid.uuid4().hex[:12], path.rstrip("/")
+    recover(spark, path)
+    new, aside = f"{path}__partnew-{tag}", f"{path}__partold-{tag}"
+    df.write.mode("errorifexists").partitionBy(*partition_by).parquet(new)
+    written = _leaves(spark, new)
+    _, fs = _fs_path(spark, path)
+    for leaf in [*written, *(e for e in emptied if e not in set(written))]:
+        if fs.exists(_fs_path(spark, f"{path}/{leaf}")[0]):
+            _move(spark, f"{path}/{leaf}", f"{aside}/{leaf}")
+        if leaf in set(written):
+            _move(spark, f"{new}/{leaf}", f"{path}/{leaf}")
+    for done in (aside, new):
+        fs.delete(_fs_path(spark, done)[0], True)
 
 
 def stable(df: DataFrame) -> DataFrame:
@@ -217,46 +281,61 @@ def stable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def refresh_fact(silver_batch: DataFrame, fact_path: str) -> list:
-    """Add a silver batch to the fact table (partitioned by ``record_date``); returns the touched
-    ``(record_date, record_hour)`` pairs.
+class Merged(NamedTuple):
+    """What ``merge_fact`` did: all hours of the batch, the rows that the fact gained, the hours with replaced rows."""
+
+    touched: list
+    added: DataFrame | None
+    replaced: list
+
+
+def merge_fact(silver_batch: DataFrame, fact_path: str, before=None) -> Merged:
+    """Add a silver batch to the fact table (partitioned by ``record_date``).
 
     One row per ``delay_record_id`` (trip and second): a replayed or overlapping batch adds nothing twice, and late
     rows are accepted whatever the high-water mark. Of several rows with one key the greatest by ``OBSERVATION_RANK``
     stays, stored or new, so the table is the same however the rows fall into batches. The existing keys are looked
     up only in the touched dates and inside the batch's time range (parquet min/max statistics skip the rest). New
-    keys are appended; only dates where a new row replaces a stored one are rewritten.
+    keys are appended; only dates where a new row replaces a stored one are rewritten. The batch is typed and deduplicated
+    once, and so is the join with the stored keys: both are kept in the shared checkpoint folder. ``before`` is called
+    with the touched hours before anything is written.
     """
     spark = silver_batch.sparkSession
-    fact = fact_historical_delays(silver_batch)
-    # One small job: the touched hours (at most 24 per day in the batch) with their time range. Duplicates
-    # share their key (trip, second), hence their hour, so this can run before the dedup.
-    hours = (fact.groupBy("record_date", "record_hour")
+    new = stable(dedup_observations(fact_historical_delays(silver_batch)))
+    # The touched hours (at most 24 per day in the batch) with their time range.
+    hours = (new.groupBy("record_date", "record_hour")
              .agg(F.min("recorded_at").alias("lo"), F.max("recorded_at").alias("hi")).collect())
     if not hours:
-        return []
-    touched = [(r["record_date"], r["record_hour"]) for r in hours]
+        return Merged([], None, [])
+    touched = sorted((r["record_date"], r["record_hour"]) for r in hours)
+    if before is not None:
+        before(touched)
     dates = sorted({d for d, _ in touched})
     lo, hi = min(r["lo"] for r in hours), max(r["hi"] for r in hours)
-    # The batch is recomputed for the append (no cache: a cached plan keeps all shuffle partitions and would
-    # write one tiny file per partition and date; the dedup has a full tie-break, so it is deterministic).
-    new = dedup_observations(fact)
     stored = read_partitions(spark, fact_path, "record_date", dates)
     if stored is None:
         append(new, fact_path, ["record_date"])
-        return touched
+        return Merged(touched, new, [])
     seen = (stored.where(F.col("recorded_at").between(ntz_literal(lo), ntz_literal(hi)))
-            .select("delay_record_id", F.struct(*OBSERVATION_RANK).alias("_stored")))
-    replaced = [r["record_date"] for r in
-                new.join(seen, "delay_record_id").where(F.struct(*OBSERVATION_RANK) > F.col("_stored"))
-                .select("record_date").distinct().collect()]
-    rewritten = F.col("record_date").isin(replaced)
-    append(new.where(~rewritten).join(seen, "delay_record_id", "left_anti"), fact_path, ["record_date"])
+            .select("delay_record_id", F.struct(*OBSERVATION_RANK).alias("_stored"), F.lit(True).alias("_known")))
+    known = F.coalesce("_known", F.lit(False))
+    changed = stable(new.join(seen, "delay_record_id", "left")
+                     .where(~known | (F.struct(*OBSERVATION_RANK) > F.col("_stored")))
+                     .select(*new.columns, known.alias("_known")))
+    replaced = sorted((r["record_date"], r["record_hour"]) for r in changed.where("_known")
+                      .select("record_date", "record_hour").distinct().collect())
+    rewritten = F.col("record_date").isin(sorted({d for d, _ in replaced}))
+    append(changed.where(~rewritten).drop("_known"), fact_path, ["record_date"])
     if replaced:
-        both = read_partitions(spark, fact_path, "record_date", replaced, all_columns=True) \
-            .unionByName(new.where(rewritten), allowMissingColumns=True)
-        overwrite_partitions(stable(dedup_observations(both)), fact_path, ["record_date"])
-    return touched
+        both = read_partitions(spark, fact_path, "record_date", sorted({d for d, _ in replaced}), all_columns=True) \
+            .unionByName(changed.where(rewritten).drop("_known"), allowMissingColumns=True)
+        overwrite_partitions(_by_date(dedup_observations(both)), fact_path, ["record_date"])
+    return Merged(touched, changed.where(~F.col("_known")).drop("_known"), replaced)
+
+
+def refresh_fact(silver_batch: DataFrame, fact_path: str) -> list:
+    """``merge_fact`` without the hourly tables; returns the touched ``(record_date, record_hour)`` pairs."""
+    return merge_fact(silver_batch, fact_path).touched
 
 
 #: Of several observations with one key the greatest stays (nulls are smallest).
@@ -271,9 +350,12 @@ def dedup_observations(fact: DataFrame) -> DataFrame:
 def _hours_filter(touched: list):
     """Rows of the touched (date, hour) pairs, as one flat IN list over an hour number (no deep OR chain)."""
     keys = sorted({(d - _EPOCH_DATE).days * 24 + int(h) for d, h in touched})
-    # The plain filter on the hour reaches the parquet scan; the pair filter decides.
-    return (F.col("record_hour").isin(sorted({int(h) for _, h in touched}))
-            & (F.unix_date(F.col("record_date")) * 24 + F.col("record_hour")).isin(keys))
+    if not keys:
+        return F.lit(False)
+    # One parsed text: a column per hour would cost a call each. The plain filter on the hour reaches the parquet scan;
+    # the pair filter decides.
+    return F.expr(f"record_hour IN ({', '.join(map(str, sorted({k % 24 for k in keys})))}) AND "
+                  f"unix_date(record_date) * 24 + record_hour IN ({', '.join(map(str, keys))})")
 
 
 def refresh_hourly(fact_path: str, hourly_path: str, touched: list, spark: SparkSession) -> None:
@@ -291,12 +373,149 @@ def refresh_hourly(fact_path: str, hourly_path: str, touched: list, spark: Spark
     fact = read_partitions(spark, fact_path, "record_date", dates).where(hit)
     fresh = gold_route_performance_hourly(fact)
     stored = read_partitions(spark, hourly_path, "record_date", dates)
-    if stored is None:                   # new dates only: nothing is read from the folders being written
-        overwrite_partitions(fresh, hourly_path, ["record_date"])
-        return
-    kept = stored.where(~hit)
-    fresh = kept.unionByName(fresh.select(*kept.columns))
-    overwrite_partitions(stable(fresh), hourly_path, ["record_date"])
+    if stored is not None:
+        kept = stored.where(~hit)
+        fresh = kept.unionByName(fresh.select(*kept.columns))
+    overwrite_partitions(_by_date(fresh), hourly_path, ["record_date"])
+
+
+def _by_date(df: DataFrame) -> DataFrame:
+    """``df`` dealt so that a date's rows are in few files of a good size (adaptive execution splits a large date)."""
+    return df.hint("rebalance", F.col("record_date"))
+
+
+def _pending(spark: SparkSession, parts_path: str) -> tuple[list[str], list]:
+    """Notes of runs that were cut short, and the hours they were about to write."""
+    p, _ = _fs_path(spark, parts_path.rstrip("/"))
+    notes = [f"{p.getParent()}/{n}" for n in _children(spark, str(p.getParent()), f"{p.getName()}__pending-")]
+    # A note without its success mark was not finished, so its run had not written anything yet.
+    whole = [n for n in notes if "_SUCCESS" in _children(spark, n)]
+    hours = [(r["record_date"], r["record_hour"]) for r in spark.read.parquet(*whole).distinct().collect()] if whole else []
+    return notes, hours
+
+
+def refresh_hours(silver_batch: DataFrame, fact_path: str, parts_path: str, hourly_path: str) -> dict:
+    """Add a silver batch to the fact, to the stored parts of its hours and to the hourly gold.
+
+    The parts of the new rows are merged with the stored parts of the touched hours, and those hours' statistics are made
+    from the sum; the fact is read for its keys only. Hours with replaced rows are built anew from the fact. The touched
+    hours are noted beside the parts before the fact is written and the note goes when all is done; a run that finds a
+    note builds its hours anew too, so a run cut short anywhere is made good by the next one, whatever its batch. Parts
+    are built from the whole fact once, if the table is older than they. Returns the touched and the rebuilt hours.
+    """
+    spark = silver_batch.sparkSession
+    parts_path = parts_path.rstrip("/")
+    notes, broken = _pending(spark, parts_path)
+    old_fact = table_exists(spark, fact_path) and not table_exists(spark, parts_path)
+
+    def note(touched: list) -> None:
+        path = f"{parts_path}__pending-{uuid.uuid4().hex[:12]}"
+        spark.createDataFrame(touched, "record_date date, record_hour int").coalesce(1).write.parquet(path)
+        notes.append(path)
+
+    merged = merge_fact(silver_batch, fact_path, before=note)
+    if old_fact:
+        overwrite(_by_date(hour_parts(spark.read.parquet(fact_path))), parts_path, ["record_date"])
+    rebuilt = sorted({*broken, *merged.replaced, *(merged.touched if old_fact else ())})
+    hours = sorted({*merged.touched, *rebuilt})
+    if hours:
+        _write_hours(spark, merged, hours, rebuilt, fact_path, parts_path, hourly_path)
+    for path in notes:
+        p, fs = _fs_path(spark, path)
+        fs.delete(p, True)
+    return {"touched": merged.touched, "rebuilt": rebuilt}
+
+
+def _write_hours(spark: SparkSession, merged: Merged, hours: list, rebuilt: list, fact_path: str, parts_path: str,
+                 hourly_path: str) -> None:
+    dates = sorted({d for d, _ in hours})
+    stored = read_partitions(spark, parts_path, "record_date", dates)
+    kept = sorted(set(hours) - set(rebuilt))
+    parts, carried = [], []
+    if stored is not None:
+        stored = stored.select(*PART_COLUMNS)
+        parts += [stored.where(_hours_filter(kept))] if kept else []
+        carried = [stored.where(~_hours_filter(hours))]  # other hours of the dates, whose folders are replaced
+    if kept and merged.added is not None:
+        parts.append(hour_parts(merged.added.where(_hours_filter(kept))))
+    if rebuilt:
+        fact = read_partitions(spark, fact_path, "record_date", sorted({d for d, _ in rebuilt}))
+        parts += [] if fact is None else [hour_parts(fact.where(_hours_filter(rebuilt)))]
+    whole = stable(merge_parts(*parts))
+    out = whole.unionByName(carried[0]) if carried else whole
+    overwrite_partitions(_by_date(out), parts_path, ["record_date"])
+    fresh = hourly_from_parts(whole)
+    stored = read_partitions(spark, hourly_path, "record_date", dates)
+    if stored is not None:
+        fresh = stored.where(~_hours_filter(hours)).select(*HOURLY_COLUMNS).unionByName(fresh)
+    overwrite_partitions(_by_date(fresh), hourly_path, ["record_date"])
+
+
+# --- current state ----------------------------------------------------------------------------------------
+
+UPDATE_SEQUENCE = ("loaded_at", "delay_seconds", "stop_id")
+
+
+def read_current(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The current state at ``path`` (empty if there is none yet), without the columns it is stored by."""
+    return read_or_empty(spark, path, schema).drop("buckets", "bucket")
+
+
+def refresh_current(batch: DataFrame, path: str, buckets: int | None = None,
+                    expire_hours: int | None = None) -> list[int]:
+    """Bring the current state (latest update per trip, first route id kept) up to date; returns the rewritten buckets.
+
+    The first write fixes the number of buckets (by default the session's shuffle partitions). Trips are stored by hash bucket and only the buckets of the batch's trips are read and rewritten. A replayed or late
+    batch cannot move a trip back in time. With ``expire_hours``, trips whose last update lies that much before the latest
+    one of the batch leave the rewritten buckets (``expire_current`` sees to the others).
+    """
+    spark, path = batch.sparkSession, path.rstrip("/")
+    recover(spark, path)
+    existing = partition_values(spark, path, "buckets")
+    buckets = int(existing[0]) if existing else int(buckets or spark.conf.get("spark.sql.shuffle.partitions"))
+    columns = batch.columns
+    # One row per trip of the batch, typed and reduced once.
+    none = spark.createDataFrame([], batch.schema)
+    rows = stable(upsert(none, batch, ["trip_id"], list(UPDATE_SEQUENCE), batch_wins=False)
+                  .withColumn("bucket", F.pmod(F.xxhash64("trip_id"), F.lit(buckets)).cast("int")))
+    touched = sorted(r["bucket"] for r in rows.select("bucket").distinct().collect())
+    if not touched:
+        return []
+    folders = [f"buckets={buckets}/bucket={b}" for b in touched]
+    stored = read_folders(spark, path, folders, all_columns=True)
+    current = none if stored is None else stored.drop("buckets", "bucket")
+    nxt = upsert(current, rows.select(*columns), ["trip_id"], list(UPDATE_SEQUENCE), batch_wins=False)
+    if expire_hours is not None:
+        latest = rows.agg(F.max("loaded_at")).first()[0]
+        if latest is not None:
+            nxt = nxt.where(F.col("loaded_at").isNull()
+                            | (F.col("loaded_at") >= ntz_literal(latest - _dt.timedelta(hours=int(expire_hours)))))
+    _write_current(nxt, path, buckets, folders)
+    return touched
+
+
+def expire_current(spark: SparkSession, path: str, as_of, hours: int) -> int:
+    """Remove trips not updated in the ``hours`` before ``as_of``; buckets without any stay as they are."""
+    path = path.rstrip("/")
+    if not table_exists(spark, path):
+        return 0
+    buckets = int(partition_values(spark, path, "buckets")[0])
+    old = F.col("loaded_at") < ntz_literal(as_of) - F.make_dt_interval(F.lit(0), F.lit(int(hours)))
+    found = spark.read.option("mergeSchema", "true").parquet(path).where(old).groupBy("bucket") \
+        .agg(F.count(F.lit(1)).alias("n")).collect()
+    folders = [f"buckets={buckets}/bucket={r['bucket']}" for r in found]
+    if folders:
+        left = read_folders(spark, path, folders, all_columns=True).where(~old | F.col("loaded_at").isNull())
+        _write_current(left.drop("buckets", "bucket"), path, buckets, folders)
+    return sum(r["n"] for r in found)
+
+
+def _write_current(rows: DataFrame, path: str, buckets: int, folders: list[str]) -> None:
+    bucket = F.pmod(F.xxhash64("trip_id"), F.lit(buckets)).cast("int")
+    out = rows.withColumn("buckets", F.lit(buckets)).withColumn("bucket", bucket)
+    # Each bucket in one task, so one file; there are no more of them than buckets.
+    out = out.repartition(min(buckets, len(folders)), "bucket")
+    overwrite_partitions(out, path, ["buckets", "bucket"], emptied=folders)
 
 
 def fact_high_water_mark(spark: SparkSession, fact_path: str):

@@ -5,8 +5,8 @@ incremental refreshes through ``foreachBatch``.
   sink's commit log and the checkpoint), ``trigger(availableNow=True)`` in place of a cron schedule.
 * ``stream_dedup``: repeated observations dropped with ``dropDuplicatesWithinWatermark`` on the fact key.
 * ``stream_hourly``: tumbling one-hour windows per route code with a watermark, append mode; only mergeable
-  aggregates (counts, sums, extremes, sample deviation); exact median and distinct trips come from the
-  ``refresh_hourly`` tier.
+  aggregates (counts, sums, extremes, sample deviation, a sketch of the trips); the exact median and the exact distinct
+  trips come from the ``refresh_hours`` tier. ``period_trips`` merges the windows' sketches.
 * ``hourly_refresher`` / ``current_state_refresher``: ``foreachBatch`` functions that are idempotent on
   replay (dedup on the surrogate key; per-batch partition overwrite; upsert by latest time).
 
@@ -25,7 +25,6 @@ from ridepulse.functions.columns import (
     time_period,
 )
 from ridepulse.operators.ingest import flatten_trip_feed, flatten_vehicle_feed
-from ridepulse.operators.keyed import upsert
 from ridepulse.operators.silver import silver_trip_updates, silver_vehicle_positions
 from ridepulse.plans.gold import fact_historical_delays
 from ridepulse.sources import tables
@@ -94,22 +93,31 @@ def stream_dedup(fact_stream: DataFrame, lateness: str = "2 hours") -> DataFrame
 
 
 STREAM_HOURLY_COLUMNS = ("route_code", "record_date", "record_hour", "day_of_week", "day_name", "time_period",
-                         "total_observations", "avg_delay_minutes", "max_delay_minutes", "min_delay_minutes",
-                         "stddev_delay_minutes", "early_count", "on_time_count", "minor_count", "moderate_count",
+                         "total_observations", "unique_trips", "avg_delay_minutes", "max_delay_minutes",
+                         "min_delay_minutes", "stddev_delay_minutes", "early_count", "on_time_count", "minor_count", "moderate_count",
                          "severe_count", "critical_count", "on_time_percentage", "last_updated")
 
 
+#: Size of the trip sketches as a power of two: a relative error of about 1 % and at most 16 KB of state per window;
+#: a window of few trips keeps them as a list, so its count is exact.
+SKETCH_BITS = 14
+
+
 def stream_hourly(fact_stream: DataFrame, lateness: str = "2 hours") -> DataFrame:
-    """Hourly route statistics over event-time windows; a window is emitted once the watermark passes it."""
+    """Hourly route statistics over event-time windows; a window is emitted once the watermark passes it.
+
+    ``unique_trips`` is the estimate of ``trip_sketch``, a mergeable sketch of the window's trips (HyperLogLog).
+    """
     cents = F.col("_c")
     cat = F.col("delay_category")
     bands = ("early", "on_time", "minor", "moderate", "severe", "critical")
-    g = (fact_stream.select("route_code", "delay_category", "recorded_at",
+    g = (fact_stream.select("route_code", "delay_category", "recorded_at", "trip_id",
                             delay_cents("delay_seconds").alias("_c"), event_time("recorded_at").alias("_et"))
          .withWatermark("_et", lateness)
          .groupBy(F.window("_et", "1 hour"), "route_code")
          .agg(F.count(F.lit(1)).alias("n"), F.sum(cents).alias("s"), F.max(cents).alias("mx"),
               F.min(cents).alias("mn"), F.stddev_samp(cents).alias("sd"),
+              F.hll_sketch_agg("trip_id", F.lit(SKETCH_BITS)).alias("trip_sketch"),
               *[F.count_if(cat == b).alias(f"{b}_count") for b in bands],
               F.count_if(cat.isin("early", "on_time")).alias("ok"),
               F.max("recorded_at").alias("last_updated")))
@@ -120,6 +128,7 @@ def stream_hourly(fact_stream: DataFrame, lateness: str = "2 hours") -> DataFram
         day_of_week(start).alias("day_of_week"), day_name(start).alias("day_name"),
         time_period(hour).alias("time_period"),
         F.col("n").cast("long").alias("total_observations"),
+        F.hll_sketch_estimate("trip_sketch").alias("unique_trips"),
         cents_to_minutes(round_ratio("s", "n")).alias("avg_delay_minutes"),
         cents_to_minutes("mx").alias("max_delay_minutes"),
         cents_to_minutes("mn").alias("min_delay_minutes"),
@@ -127,35 +136,43 @@ def stream_hourly(fact_stream: DataFrame, lateness: str = "2 hours") -> DataFram
         .cast("double").alias("stddev_delay_minutes"),
         *[F.col(f"{b}_count").cast("long").alias(f"{b}_count") for b in bands],
         cents_to_minutes(round_ratio(F.col("ok") * 10000, "n")).alias("on_time_percentage"),
-        "last_updated")
+        "last_updated", "trip_sketch")
     return out
 
 
+def period_trips(windows: DataFrame) -> DataFrame:
+    """Distinct trips per route code, weekday and period over streamed windows, from their merged sketches: a trip
+    seen in several hours of a period counts once, which adding up the windows' counts would not give."""
+    g = windows.groupBy("route_code", "day_of_week", "day_name", "time_period").agg(
+        F.count(F.lit(1)).alias("observation_hours"),
+        F.sum("total_observations").alias("total_observations"),
+        F.hll_union_agg("trip_sketch").alias("trip_sketch"))
+    return g.select("route_code", "day_of_week", "day_name", "time_period", "observation_hours", "total_observations",
+                    F.hll_sketch_estimate("trip_sketch").alias("unique_trips"), "trip_sketch")
+
+
 def silver_fact_stream(feed_stream: DataFrame) -> DataFrame:
     return fact_historical_delays(silver_trip_updates(flatten_trip_feed(feed_stream)))
 
 
-def hourly_refresher(fact_path: str, hourly_path: str):
-    """``foreachBatch`` function: add a silver batch to the fact, then recompute its touched hours."""
+def hourly_refresher(fact_path: str, hourly_path: str, parts_path: str | None = None):
+    """``foreachBatch`` function: add a silver batch to the fact, the parts of its hours and the hourly gold."""
+    parts = parts_path or f"{hourly_path.rstrip('/')}_parts"
+
     def refresh(batch: DataFrame, batch_id: int) -> None:
-        touched = tables.refresh_fact(batch, fact_path)
-        tables.refresh_hourly(fact_path, hourly_path, touched, batch.sparkSession)
+        tables.refresh_hours(batch, fact_path, parts, hourly_path)
     return refresh
 
 
-UPDATE_SEQUENCE = ("loaded_at", "delay_seconds", "stop_id")
-
-
-def current_state_refresher(history_path: str, current_path: str):
-    """``foreachBatch`` function: keep the update history (one partition per batch id, overwritten on replay)
-    and the current state (latest update per trip, first route id kept)."""
+def current_state_refresher(history_path: str | None, current_path: str, expire_hours: int | None = None):
+    """``foreachBatch`` function: keep the update history (one partition per batch id, overwritten on replay; none
+    without a ``history_path``) and the current state (latest update per trip, first route id kept), of which only the
+    buckets of the batch's trips are rewritten."""
     def refresh(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        tables.overwrite_partitions(batch.withColumn("batch_id", F.lit(int(batch_id))), history_path,
-                                    ["batch_id"])
-        current = tables.read_or_empty(spark, current_path, schemas.SILVER_TRIP_UPDATES)
-        nxt = upsert(current, batch, ["trip_id"], list(UPDATE_SEQUENCE), batch_wins=False)
-        tables.overwrite(tables.stable(nxt), current_path)
+        if history_path:
+            tables.overwrite_partitions(batch.withColumn("batch_id", F.lit(int(batch_id))), history_path,
+                                        ["batch_id"])
+        tables.refresh_current(batch, current_path, expire_hours=expire_hours)
     return refresh
 
 

@@ -16,11 +16,25 @@ def final_plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_trend_is_one_shuffle_with_partial_aggregation(spark):
+def test_trend_is_a_hash_aggregate_over_one_shuffle_of_the_history(spark):
     t = catalog.Tables(spark, SF_SMALL)
-    p = plan(reports.delay_trend(t.silver_trip_updates, catalog.AS_OF))
+    p = plan(reports.delay_trend(t.silver_trip_updates, catalog.AS_OF, with_route=False))
     assert p.count("Exchange hashpartitioning") == 1
-    assert "partial_max_by" in p
+    assert "partial_max" in p and "SortAggregate" not in p and "Sort [" not in p
+    p = plan(reports.delay_trend(t.silver_trip_updates, catalog.AS_OF))
+    # The second exchange carries one row per trip and route.
+    assert p.count("Exchange hashpartitioning") == 2 and p.rfind("partial_max") > p.rfind("Exchange hashpartitioning")
+    assert "SortAggregate" not in p and p.count("HashAggregate") == 2
+
+
+def test_hourly_statistics_group_by_route_and_hour_after_their_parts(spark):
+    t = catalog.Tables(spark, SF_SMALL)
+    p = plan(t.hourly)
+    assert p.count("Exchange hashpartitioning") == 2 and p.count("Scan parquet") == 1 and "SortAggregate" not in p
+    # The history meets hash aggregates with fixed buffers only; the median's buffers see one row per distinct delay.
+    lines = [line for line in p.splitlines() if "HashAggregate(" in line]
+    kinds = ["ObjectHashAggregate" in line for line in lines]  # from the result down to the scan
+    assert kinds == [True, True, False, False] and all("day_of_week" not in line.split("functions")[0] for line in lines)
 
 
 def test_latest_per_key_limits_before_the_shuffle(spark):
