@@ -244,7 +244,7 @@ _BUILT: dict[tuple, str] = {}
 
 def _built(t: Tables, name: str, build: Callable[[Tables], str]) -> str:
     key = (name, t.sf_dir, t.spark.conf.get("spark.app.id", ""), t.spark.conf.get("spark.sql.shuffle.partitions"))
-    if key not in _BUILT:
+    if key not in _BUILT or not tables.table_exists(t.spark, _BUILT[key]):  # a scratch folder may have been cleared
         _BUILT[key] = build(t)
     return _BUILT[key]
 
