@@ -9,7 +9,7 @@ distinct key set and matched with a single hash join (semi for live, anti for gh
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ridepulse.functions.columns import TREND_LABELS, clean_route_name, numeric_prefix, severity_rank
@@ -50,28 +50,53 @@ def worst_delay_by_route(delays: DataFrame) -> DataFrame:
 _INFO = ("avg_delay_minutes", "delay_category", "trend", "trend_change_minutes")
 
 
+_VEHICLE = ("vehicle_id", "trip_id", "route_id", "latitude", "longitude", "gps_timestamp")
+_MATCHES = ("trip", "route", "clean_route")
+
+
 def vehicle_delay_info(vehicles: DataFrame, delays: DataFrame) -> DataFrame:
     """Delay shown for each vehicle: by its trip id, else by its route id used as an id, else the worst
-    delay of its clean route name, else (0, on_time, stable, null)."""
-    by_id = delays.select(F.col("route_id").alias("_k"),
-                          F.struct(*[F.col(c) for c in _INFO]).alias("_info"))
-    by_clean = worst_delay_by_route(delays).select(F.col("clean_route").alias("_k"),
-                                                   F.struct(*[F.col(c) for c in _INFO]).alias("_info"))
-    v = vehicles.withColumn("_clean", clean_route_name("route_id"))
-    v = (v.join(by_id.withColumnsRenamed({"_k": "trip_id", "_info": "_i1"}), "trip_id", "left")
-         .join(by_id.withColumnsRenamed({"_k": "_rk", "_info": "_i2"}), F.col("route_id") == F.col("_rk"), "left")
-         .join(by_clean.withColumnsRenamed({"_k": "_ck", "_info": "_i3"}), F.col("_clean") == F.col("_ck"), "left"))
-    info = F.coalesce("_i1", "_i2", "_i3")
-    match = (F.when(F.col("_i1").isNotNull(), F.lit("trip")).when(F.col("_i2").isNotNull(), F.lit("route"))
-             .when(F.col("_i3").isNotNull(), F.lit("clean_route")).otherwise(F.lit("default")))
-    return v.select(
-        "vehicle_id", "trip_id", "route_id", "latitude", "longitude", "gps_timestamp",
-        F.col("_clean").alias("clean_route"),
-        F.coalesce(info["avg_delay_minutes"], F.lit(0.0)).alias("delay_minutes"),
-        F.coalesce(info["delay_category"], F.lit("on_time")).alias("delay_category"),
-        F.coalesce(info["trend"], F.lit("stable")).alias("trend"),
-        info["trend_change_minutes"].alias("trend_change_minutes"),
-        match.alias("matched_by"))
+    delay of its clean route name, else (0, on_time, stable, null).
+
+    One pass: each delay row offers itself under its id and under its clean route name, each vehicle asks under its
+    three keys, and both meet in one window per key whose first row is the offer that counts; a second window keeps the
+    answer of the best key. Two exchanges beside those of the inputs, of one small row per offer and question; the
+    windows stream over sorted rows and spill, so a key that many vehicles ask under needs no memory of its size.
+    Equal vehicle rows count once (``latest_vehicles`` gives one row per vehicle).
+    """
+    info = F.struct(*_INFO)
+    by_id, by_clean = F.lit("id"), F.lit("clean_route")
+    clean = clean_route_name("route_id")
+    vehicle = F.struct(*_VEHICLE)
+    offer = (F.struct(by_id.alias("kind"), F.col("route_id").alias("key")),
+             F.struct(by_clean.alias("kind"), clean.alias("key")))
+    asked = [F.struct(kind.alias("kind"), key.alias("key"), F.lit(rank).alias("rank"))
+             for rank, (kind, key) in enumerate(((by_id, F.col("trip_id")), (by_id, F.col("route_id")),
+                                                 (by_clean, clean)))]
+    offers = delays.select(info.alias("info"), F.abs(F.col("avg_delay_minutes")).alias("size"), "loaded_at",
+                           F.col("route_id").alias("tie"), F.explode(F.array(*offer)).alias("k")) \
+        .select("k.kind", "k.key", F.lit(-1).alias("rank"), "info", "size", "loaded_at", "tie")
+    questions = vehicles.select(vehicle.alias("vehicle"), F.explode(F.array(*asked)).alias("k")) \
+        .select("k.*", "vehicle")
+    rows = offers.unionByName(questions, allowMissingColumns=True).where(F.col("key").isNotNull())
+    # Offers stand before questions: the row with the largest absolute delay first, then the newest, then by id.
+    per_key = (Window.partitionBy("kind", "key")
+               .orderBy(F.col("rank") >= 0, F.col("size").desc_nulls_last(), F.col("loaded_at").desc_nulls_first(), "tie")
+               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    last = len(asked) - 1  # never null, and kept without an answer
+    answers = (rows.select("rank", "vehicle", F.first("info").over(per_key).alias("info"))
+               .where((F.col("rank") >= 0) & (F.col("info").isNotNull() | (F.col("rank") == last))))
+    best = latest_per_key(answers, ["vehicle"], ["rank"])
+    found = F.col("info")
+    match = F.when(found.isNotNull(), F.element_at(F.array(*[F.lit(m) for m in _MATCHES]), F.col("rank") + 1))
+    return best.select(
+        *[F.col("vehicle")[c].alias(c) for c in _VEHICLE],
+        clean_route_name(F.col("vehicle")["route_id"]).alias("clean_route"),
+        F.coalesce(found["avg_delay_minutes"], F.lit(0.0)).alias("delay_minutes"),
+        F.coalesce(found["delay_category"], F.lit("on_time")).alias("delay_category"),
+        F.coalesce(found["trend"], F.lit("stable")).alias("trend"),
+        found["trend_change_minutes"].alias("trend_change_minutes"),
+        F.coalesce(match, F.lit("default")).alias("matched_by"))
 
 
 def incident_list(delays: DataFrame, vehicles: DataFrame, show_ghosts: bool = False) -> DataFrame:
@@ -146,17 +171,24 @@ def selection_bounds(delays: DataFrame, vehicles: DataFrame) -> DataFrame:
 def live_dots(vehicles: DataFrame, delays: DataFrame, route: str | None = None, category: str | None = None,
               selected: str | None = None) -> DataFrame:
     """Vehicles on the live map: by clean route name, by looked-up delay band, then by selection; a selection
-    matching none of them falls back to the unselected set (decided by a scalar subquery, not a join)."""
-    v = vehicle_delay_info(vehicles, delays)
+    matching none of them falls back to the unselected set (decided by a scalar subquery, not a join).
+
+    Route and selection are the vehicle's own, so they are applied before the lookup; the subquery looks delays up only
+    for the selected vehicles, and not at all without a ``category``.
+    """
     if route:
-        v = v.where(F.col("clean_route") == F.lit(route))
-    if category:
-        v = v.where(F.col("delay_category") == F.lit(category.lower()))
-    if selected:
-        hit = (F.col("route_id") == F.lit(selected)) | (F.col("trip_id") == F.lit(selected))
-        any_hit = v.agg(F.max(hit.cast("int"))).scalar()
-        v = v.where(hit | (F.coalesce(any_hit, F.lit(0)) == 0))
-    return v
+        vehicles = vehicles.where(clean_route_name("route_id") == F.lit(route))
+
+    def looked_up(v: DataFrame) -> DataFrame:
+        v = vehicle_delay_info(v, delays)
+        return v.where(F.col("delay_category") == F.lit(category.lower())) if category else v
+
+    if not selected:
+        return looked_up(vehicles)
+    hit = (F.col("route_id") == F.lit(selected)) | (F.col("trip_id") == F.lit(selected))
+    among = looked_up(vehicles.where(hit)) if category else vehicles.where(hit)
+    any_hit = among.agg(F.count(F.lit(1))).scalar()
+    return looked_up(vehicles.where(hit | (any_hit == 0)))
 
 
 def ghost_dots(delays: DataFrame, vehicles: DataFrame, route: str | None = None) -> DataFrame:

@@ -88,6 +88,27 @@ def test_null_trip_and_route_in_live_matching(spark):
     assert info == {"v1": "route", "v2": "default"}
 
 
+def test_vehicle_lookup_prefers_trip_then_route_then_worst_of_the_clean_route(spark):
+    d = spark.createDataFrame(
+        [("t1", 1.0, "on_time", D(2024, 1, 1)), ("R1_0", 2.0, "minor", D(2024, 1, 1)), ("R1_9", -9.0, "early", D(2024, 1, 1)),
+         ("R2_a", 3.0, "minor", D(2024, 1, 1)), ("R2_b", -3.0, "early", D(2024, 1, 2)), ("R2_c", -3.0, "early", D(2024, 1, 2)),
+         ("R3_a", None, "unknown", D(2024, 1, 1)), (None, 7.0, "moderate", D(2024, 1, 1))],
+        "route_id string, avg_delay_minutes double, delay_category string, loaded_at timestamp_ntz") \
+        .selectExpr("*", "route_id AS trend", "CAST(NULL AS DOUBLE) AS trend_change_minutes")
+    asked = [("v1", "t1", "R1_0"), ("v2", "t9", "R1_0"), ("v3", None, "R1_5"), ("v4", "t9", "R2_x"), ("v5", "R2_a", None),
+             ("v6", "t9", "R3_b"), ("v7", None, None), ("v8", "t9", "R8_0"), (None, "t1", None)]
+    v = spark.createDataFrame(asked, "vehicle_id string, trip_id string, route_id string").selectExpr(
+        "*", "1.0D AS latitude", "2.0D AS longitude", "TIMESTAMP_NTZ'2024-01-01 00:00:00' AS gps_timestamp")
+    got = {r.vehicle_id: (r.matched_by, r.trend, r.delay_minutes) for r in live.vehicle_delay_info(v, d).collect()}
+    assert got == {"v1": ("trip", "t1", 1.0), "v2": ("route", "R1_0", 2.0), "v3": ("clean_route", "R1_9", -9.0),
+                   "v4": ("clean_route", "R2_b", -3.0), "v5": ("trip", "R2_a", 3.0),
+                   "v6": ("clean_route", "R3_a", 0.0), "v7": ("clean_route", "stable", 7.0),
+                   "v8": ("default", "stable", 0.0), None: ("trip", "t1", 1.0)}
+    # A selection that no vehicle of the band has falls back to all of the band.
+    assert {r.vehicle_id for r in live.live_dots(v, d, category="Minor", selected="t1").collect()} == {"v2", "v5"}
+    assert {r.vehicle_id for r in live.live_dots(v, d, category="on_time", selected="t1").collect()} == {"v1", None}
+
+
 def test_history_window_on_frames_without_date_column(spark):
     u = _updates(spark, [("t1", "R1_0", 30, "S1", D(2024, 1, 8, 23, 0)), ("t1", "R1_0", 500, "S1", D(2024, 1, 9, 23, 0)),
                          ("t2", "R1_0", 10, "S1", D(2024, 1, 7, 0, 0))])

@@ -113,3 +113,13 @@ def test_trend_and_positions_join_reuses_their_partitioning(spark):
         assert p.count("Exchange hashpartitioning") == 2 and "SortMergeJoin" in p
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_vehicle_lookup_is_one_pass(spark):
+    t = catalog.Tables(spark, SF_SMALL)
+    p = plan(live.vehicle_delay_info(t.live_vehicles, t.trends))
+    assert p.count("Scan parquet") == 2 and p.count("Exchange hashpartitioning") == 4
+    assert "Join" not in p and "SortAggregate" not in p
+    # A selection looks at the vehicles once more, not at the delays.
+    p = plan(catalog.QUERIES["live_dots_selected"](spark, SF_SMALL))
+    assert p.count("Scan parquet") == 3 and p.count("Exchange hashpartitioning") == 5
