@@ -4,7 +4,8 @@
     python -m ridepulse stream --landing DIR --root DIR --checkpoint DIR
     python -m ridepulse report delays --root DIR --as-of "2024-01-10 00:00:00" --out DIR
 
-``refresh`` processes the landed snapshot files given (a batch job, like one cron tick); ``stream`` processes
+``refresh`` processes the landed snapshots after the mark of the run before (a batch job, like one cron tick), or with
+``--run-id`` all those of the folder; ``stream`` processes
 every snapshot landed since the last run through Structured Streaming with ``availableNow`` and exactly-once
 checkpoints; ``report`` writes one report as parquet. Paths may be on any file system the session can reach
 (the same module runs under ``spark-submit``).
@@ -70,7 +71,8 @@ def main(argv=None) -> None:
     r.add_argument("--root", required=True)
     r.add_argument("--as-of")
     r.add_argument("--retention-hours", type=int)
-    r.add_argument("--run-id", help="makes a repeated run of the same batch replace its bronze/silver rows")
+    r.add_argument("--run-id", help="take all of the landing folder; a repeated run replaces its bronze/silver rows "
+                                    "(without: only snapshots that no earlier run has taken)")
     s = sub.add_parser("stream", help="process newly landed snapshots (availableNow) into bronze and gold")
     s.add_argument("--landing", required=True)
     s.add_argument("--root", required=True)
@@ -98,8 +100,8 @@ def main(argv=None) -> None:
     spark = get_session(app_name=f"ridepulse-{args.cmd}")
     if args.cmd == "refresh":
         feed = spark.read.schema(schemas.FEED).parquet(args.landing)
-        print(jobs.refresh_warehouse(feed, args.root, as_of=args.as_of, retention_hours=args.retention_hours,
-                                     run_id=args.run_id))
+        refresh = jobs.refresh_warehouse if args.run_id else jobs.refresh_since_mark
+        print(refresh(feed, args.root, as_of=args.as_of, retention_hours=args.retention_hours, run_id=args.run_id))
         jobs.rebuild_route_tables(spark, args.root)
     elif args.cmd == "compact":
         print(jobs.compact_warehouse(spark, args.root, args.date))

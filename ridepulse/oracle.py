@@ -284,6 +284,15 @@ STREAM_HOURLY = """SELECT route_code, record_date, record_hour, day_of_week, day
       WHERE CAST(record_date AS TIMESTAMP) + to_hours(record_hour + 1)
             <= (SELECT max(recorded_at) FROM fact) - INTERVAL 2 HOUR"""
 
+#: The last delivery of the split stream sends the days before the fifth again, behind the watermark of the one before.
+LATE_ROWS = f"""SELECT {FACT_COLS}, 2 AS batch_id, w.watermark,
+        CAST(date_diff('second', recorded_at, w.watermark) AS BIGINT) AS age_seconds
+      FROM fact, (SELECT max(recorded_at) - INTERVAL 2 HOUR AS watermark FROM fact
+                  WHERE recorded_at < TIMESTAMP '2024-01-21') w
+      WHERE recorded_at < TIMESTAMP '2024-01-05'"""
+LATE_HOUR = ("recorded_at >= TIMESTAMP '2024-01-10 23:00:00' AND recorded_at < TIMESTAMP '2024-01-11' "
+             "AND event_id % 2 = 1")
+
 BODIES: dict[str, str] = {
     "flatten_vehicle_feed": "SELECT vehicle_id, trip_id, route_id, raw_data, ingestion_timestamp FROM bvp",
     "flatten_trip_feed": "SELECT trip_id, route_id, raw_data, ingestion_timestamp FROM btu",
@@ -443,6 +452,14 @@ BODIES: dict[str, str] = {
     "stream_fact_dedup": f"SELECT {FACT_COLS} FROM fact",
     "stream_hourly_windows": STREAM_HOURLY,
     "stream_late_rows": STREAM_HOURLY,
+    "stream_late_table": LATE_ROWS,
+    "stream_split_counts": f"""SELECT CAST(batch_id AS INTEGER) AS batch_id, CAST(sum(on_time) AS BIGINT) AS on_time_rows,
+        CAST(sum(late) AS BIGINT) AS late_rows, max(age) AS max_age_seconds, CAST(round(avg(age)) AS BIGINT) AS avg_age_seconds
+      FROM (SELECT CASE WHEN {LATE_HOUR} THEN 1 WHEN recorded_at < TIMESTAMP '2024-01-11' THEN 0
+                        WHEN recorded_at < TIMESTAMP '2024-01-21' THEN 1 ELSE 2 END AS batch_id,
+              1 AS on_time, 0 AS late, CAST(NULL AS BIGINT) AS age
+            FROM (SELECT event_id, obs_ts AS recorded_at FROM based WHERE event_id % 23 <> 0 AND event_id % 29 <> 0)
+            UNION ALL SELECT batch_id, 0, 1, age_seconds FROM ({LATE_ROWS})) GROUP BY batch_id""",
     "stream_period_trips": """SELECT route_code, day_of_week, day_name, time_period,
         CAST(count(DISTINCT (record_date, record_hour)) AS BIGINT) AS observation_hours,
         CAST(count(*) AS BIGINT) AS total_observations, CAST(count(DISTINCT trip_id) AS BIGINT) AS unique_trips
@@ -463,7 +480,7 @@ BODIES: dict[str, str] = {
 # The stored tables hold what the plans compute, so their reports have the same SQL.
 BODIES |= {"warehouse_hourly": BODIES["refresh_hourly_incremental"], "warehouse_current": BODIES["refresh_current_state"],
            "warehouse_dim_routes": BODIES["dim_routes"], "warehouse_route_performance": BODIES["gold_route_performance"],
-           "warehouse_trip_history": BODIES["trip_history"], "warehouse_delays": BODIES["delays"]}
+           "warehouse_since_mark": BODIES["silver_trip_updates"], "warehouse_trip_history": BODIES["trip_history"], "warehouse_delays": BODIES["delays"]}
 
 
 def oracle_sql() -> dict[str, str]:

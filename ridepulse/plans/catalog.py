@@ -268,6 +268,29 @@ def _stream_windows(t: Tables) -> DataFrame:
     return t.spark.read.parquet(_built(t, "stream-windows", build))
 
 
+def _late_split(t: Tables) -> DataFrame:
+    """Three deliveries split into rows in time and late rows: the second has rows late inside the bound, the third
+    sends old days again."""
+    def build(t: Tables) -> str:
+        base = scratch_path(t.spark, "late-split")
+        late = _between("2024-01-10 23:00:00", PARTS[0]) & (F.col("event_id") % 2 == 1)
+        for rows in (_between(None, PARTS[0]) & ~late, _between(PARTS[0], PARTS[1]) | late,
+                     _between(PARTS[1], None) | _between(None, "2024-01-05 00:00:00")):
+            stream.land_feed(t.feed.where(rows), f"{base}/landing", _files_per_trigger(t, 3))
+            fact = stream.silver_fact_stream(stream.read_feed_stream(t.spark, f"{base}/landing"))
+            stream.run_foreach_batch(fact, stream.late_splitter(f"{base}/split", STREAM_LATENESS), f"{base}/ckpt")
+        return f"{base}/split"
+    return stream.split_rows(t.spark, _built(t, "late-split", build))
+
+
+def _since_mark(t: Tables) -> DataFrame:
+    """Silver updates after three runs over a growing landing folder, the last of which finds nothing new."""
+    root = scratch_path(t.spark, "since-mark")
+    for run, landed in enumerate((_before(t.feed, "obs_ts"), t.feed, t.feed)):
+        jobs.refresh_since_mark(landed, root, run_id=f"r{run}")
+    return t.spark.read.parquet(jobs.Warehouse(root).silver_trips).drop("run_id", "loaded_date")
+
+
 def _stream_period_trips(t: Tables) -> DataFrame:
     return stream.period_trips(_stream_windows(t)).drop("trip_sketch")
 
@@ -414,12 +437,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_fact_dedup": _t(_stream_fact_dedup),
     "stream_hourly_windows": _t(lambda t: _stream_windows(t).select(*stream.STREAM_HOURLY_COLUMNS)),
     "stream_late_rows": _t(lambda t: _stream_hourly(t, replay=True).select(*stream.STREAM_HOURLY_COLUMNS)),
+    "stream_late_table": _t(lambda t: _late_split(t).where("late").drop("late")),
+    "stream_split_counts": _t(lambda t: stream.split_counts(_late_split(t))),
     "stream_period_trips": _t(_stream_period_trips),
     "refresh_hourly_incremental": _t(_refresh_hourly),
     "refresh_current_state": _t(_refresh_current),
     "stream_delay_trend": _t(_stream_trend),
     # scheduled batch refresh on disk
     "warehouse_network_summary": _t(lambda t: _stored(t, "network")),
+    "warehouse_since_mark": _t(_since_mark),
     # reports over the stored tables of those runs
     "warehouse_hourly": _t(lambda t: _stored(t, "hourly").select(*gold.HOURLY_COLUMNS)),
     "warehouse_current": _t(_warehouse_current),

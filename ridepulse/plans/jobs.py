@@ -6,7 +6,8 @@ Layout under ``root``: ``bronze/{vehicle_positions,trip_updates}`` (partitioned
 ``gold/route_performance_hourly`` (by ``record_date``), ``gold/hour_parts`` (by ``record_date``, ``record_hour``),
 ``gold/current_trips`` (by hash bucket of the trip), ``gold/worst_routes_by_period`` and
 ``gold/network_summary`` (small, rebuilt from the hourly table each run), ``gold/dim_routes`` and
-``gold/route_performance`` (rebuilt from all silver updates by ``rebuild_route_tables``).
+``gold/route_performance`` (rebuilt from all silver updates by ``rebuild_route_tables``), ``marks/feed`` (how far
+``refresh_since_mark`` has read).
 """
 
 from __future__ import annotations
@@ -18,7 +19,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ridepulse.operators.ingest import flatten_trip_feed, flatten_vehicle_feed
-from ridepulse.operators.silver import silver_trip_updates, silver_vehicle_positions
+from ridepulse.operators.keyed import incremental_since
+from ridepulse.operators.silver import ntz_literal, silver_trip_updates, silver_vehicle_positions
 from ridepulse.plans import gold
 from ridepulse.plans.gold import gold_network_summary, gold_worst_routes_by_period
 from ridepulse.sources import tables
@@ -71,6 +73,10 @@ class Warehouse:
     def network(self) -> str:
         return self.path("gold", "network_summary")
 
+    @property
+    def marks(self) -> str:
+        return self.path("marks", "feed")
+
     @property
     def routes(self) -> str:
         return self.path("gold", "dim_routes")
@@ -141,6 +147,41 @@ def refresh_warehouse(feed_batch: DataFrame, root: str, as_of=None, retention_ho
     return {"touched_hours": len(touched), "pruned": pruned}
 
 
+def refresh_since_mark(feed: DataFrame, root: str, lateness: str = "1 HOUR", **options) -> dict:
+    """One scheduled refresh that takes from the landed snapshots only what no earlier run of this kind has taken.
+
+    The mark is the greatest snapshot time so far, kept in ``marks/feed`` with the digests of the snapshots no older
+    than ``lateness`` before it. A run reads from ``mark - lateness`` on (a literal, pushed into the scan of the
+    landing folder), leaves out the snapshots whose digest is kept, refreshes the warehouse with the rest, and writes
+    the new mark last. So the same folder again adds nothing, and a snapshot landed late inside the bound is taken once.
+    Snapshots older than that, or without a time, are taken by the first run only (give them to ``refresh_warehouse``).
+    The kept digests follow the bound, not the history. A run that was cut short leaves the old mark and is repeated in
+    full: pass the same ``run_id`` again, or bronze and silver keep what it had appended (fact and gold do not).
+    """
+    spark = feed.sparkSession
+    path = Warehouse(root).marks
+    digest = F.sha2(F.to_json(F.struct(*[F.col(c) for c in feed.columns])), 256)
+    kept = spark.read.parquet(path) if tables.table_exists(spark, path) else None
+    mark = kept.agg(F.max("mark")).first()[0] if kept is not None else None
+    new = incremental_since(feed, "obs_ts", mark, lateness)
+    if mark is not None:
+        new = (new.withColumn("_digest", digest).join(kept.select(F.col("digest").alias("_digest")), "_digest", "left_anti")
+               .select(*feed.columns))
+        new = tables.stable(new)  # read by every step of the run
+    found = new.agg(F.count(F.lit(1)), F.max("obs_ts")).first()
+    if not found[0]:
+        return {"snapshots": 0, "touched_hours": 0, "pruned": {}}
+    done = refresh_warehouse(new, root, **options)
+    top = max((t for t in (mark, found[1]) if t is not None), default=None)
+    if top is not None:
+        # Of the snapshots inside the new bound, those of this run and those kept before.
+        inside = incremental_since(new, "obs_ts", top, lateness).select("obs_ts", digest.alias("digest"))
+        if mark is not None:
+            inside = inside.unionByName(incremental_since(kept, "obs_ts", top, lateness).select("obs_ts", "digest"))
+        tables.overwrite(inside.distinct().select(ntz_literal(top).alias("mark"), "obs_ts", "digest"), path)
+    return {"snapshots": found[0], **done}
+
+
 def observations(silver: DataFrame) -> DataFrame:
     """Stored silver rows without the columns that say how they came, each once: a day delivered again under another run
     id stands in silver twice. Filters on the row's own columns reach the scan."""

@@ -109,7 +109,8 @@ def nested_partition_columns(spark: SparkSession, folder: str) -> list[str]:
     return cols
 
 
-def _drop_partitions(spark: SparkSession, path: str, col: str, values: list) -> None:
+def drop_partitions(spark: SparkSession, path: str, col: str, values: list) -> None:
+    """Delete the ``col=value`` folders of a table."""
     for v in values:
         p, fs = _fs_path(spark, f"{path.rstrip('/')}/{col}={v}")
         fs.delete(p, True)
@@ -565,5 +566,5 @@ def prune_table(path: str, ts_col: str, as_of, hours: int = 24, partition_col: s
                 overwrite_partitions(stable(kept), path, [partition_col, *inner])
             else:
                 expired += boundary
-    _drop_partitions(spark, path, partition_col, expired)
+    drop_partitions(spark, path, partition_col, expired)
     return kept_rows, pruned

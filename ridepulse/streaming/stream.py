@@ -7,6 +7,8 @@ incremental refreshes through ``foreachBatch``.
 * ``stream_hourly``: tumbling one-hour windows per route code with a watermark, append mode; only mergeable
   aggregates (counts, sums, extremes, sample deviation, a sketch of the trips); the exact median and the exact distinct
   trips come from the ``refresh_hours`` tier. ``period_trips`` merges the windows' sketches.
+* ``late_splitter``: every row of a stream goes to one table, those behind the watermark in a part of their own, so
+  that what windows leave out is kept and counted.
 * ``hourly_refresher`` / ``current_state_refresher``: ``foreachBatch`` functions that are idempotent on
   replay (dedup on the surrogate key; per-batch partition overwrite; upsert by latest time).
 
@@ -25,7 +27,7 @@ from ridepulse.functions.columns import (
     time_period,
 )
 from ridepulse.operators.ingest import flatten_trip_feed, flatten_vehicle_feed
-from ridepulse.operators.silver import silver_trip_updates, silver_vehicle_positions
+from ridepulse.operators.silver import ntz_literal, silver_trip_updates, silver_vehicle_positions
 from ridepulse.plans.gold import fact_historical_delays
 from ridepulse.sources import tables
 
@@ -178,3 +180,59 @@ def current_state_refresher(history_path: str | None, current_path: str, expire_
 
 def run_foreach_batch(stream: DataFrame, fn, checkpoint: str) -> None:
     run_available_now(stream.writeStream.foreachBatch(fn), checkpoint)
+
+
+def _mark_before(spark: SparkSession, marks: str, batch_id: int):
+    """The greatest event time of the batches before ``batch_id``; marks older than the one before are dropped."""
+    before = sorted(b for b in (int(v) for v in tables.partition_values(spark, marks, "batch_id")) if b < batch_id)
+    if not before:
+        return None
+    mark = tables.read_partitions(spark, marks, "batch_id", before[-1:]).first()["mark"]
+    tables.drop_partitions(spark, marks, "batch_id", before[:-1])
+    return mark
+
+
+def late_splitter(out_path: str, lateness: str = "2 hours", ts_col: str = "recorded_at"):
+    """``foreachBatch`` function: write a stream to ``out_path/rows``, the rows behind the watermark under ``late=true``.
+
+    A row is late if it lies before the greatest time of the batches before its own minus ``lateness``: the rule of the
+    windows, but of the row's own time, and the row is kept. ``watermark`` is what it missed (null before the second
+    batch) and ``age_seconds`` by how much (null for rows in time). Rows without a time cannot be late. Each batch is
+    computed once and written under its batch id; its greatest time is read back from what was written and stored as
+    one row. A replayed batch meets the same mark and replaces its own folders.
+    """
+    rows, marks = f"{out_path}/rows", f"{out_path}/marks"
+
+    def split(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        mark = _mark_before(spark, marks, batch_id)
+        watermark = (F.lit(None).cast("timestamp_ntz") if mark is None
+                     else ntz_literal(mark) - F.expr(f"INTERVAL {lateness}"))
+        at = F.col(ts_col)
+        late = F.coalesce(at < watermark, F.lit(False))
+        out = batch.select("*", watermark.alias("watermark"),
+                           F.when(late, F.timestamp_diff("SECOND", at, watermark)).alias("age_seconds"),
+                           late.alias("late"), F.lit(int(batch_id)).alias("batch_id"))
+        known = [f"late={v}/batch_id={batch_id}" for v in ("false", "true")]
+        tables.overwrite_partitions(out, rows, ["late", "batch_id"],
+                                    emptied=[k for k in known if tables.table_exists(spark, f"{rows}/{k}")])
+        written = tables.read_folders(spark, rows, known)
+        top = written.agg(F.max(ts_col)).first()[0] if written is not None else None
+        top = max((t for t in (mark, top) if t is not None), default=None)
+        if top is not None:
+            one = spark.range(1).select(ntz_literal(top).alias("mark"), F.lit(int(batch_id)).alias("batch_id"))
+            tables.overwrite_partitions(one, marks, ["batch_id"])
+    return split
+
+
+def split_rows(spark: SparkSession, out_path: str) -> DataFrame:
+    """What ``late_splitter`` wrote: all rows, with ``late`` and ``batch_id`` (a filter on either prunes folders)."""
+    return spark.read.parquet(f"{out_path}/rows").withColumn("late", F.col("late").cast("boolean"))
+
+
+def split_counts(rows: DataFrame) -> DataFrame:
+    """Rows in time and late rows of each batch, and the greatest and the mean age of the late ones."""
+    return rows.groupBy("batch_id").agg(
+        F.count_if(~F.col("late")).alias("on_time_rows"), F.count_if("late").alias("late_rows"),
+        F.max("age_seconds").alias("max_age_seconds"),
+        round_ratio(F.sum("age_seconds"), F.count("age_seconds")).cast("long").alias("avg_age_seconds"))
