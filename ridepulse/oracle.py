@@ -284,6 +284,21 @@ STREAM_HOURLY = """SELECT route_code, record_date, record_hour, day_of_week, day
       WHERE CAST(record_date AS TIMESTAMP) + to_hours(record_hour + 1)
             <= (SELECT max(recorded_at) FROM fact) - INTERVAL 2 HOUR"""
 
+TREND_SERIES = f"""WITH times AS (SELECT TIMESTAMP '2024-01-06' + i * INTERVAL 6 HOUR AS as_of FROM range(0, 17) r(i)),
+      cur AS (SELECT as_of, trip_id, delay_seconds, loaded_at FROM times JOIN stu ON loaded_at <= as_of
+              WHERE delay_seconds IS NOT NULL
+              QUALIFY row_number() OVER (PARTITION BY as_of, trip_id ORDER BY loaded_at DESC, delay_seconds DESC) = 1),
+      old AS (SELECT as_of, trip_id, delay_seconds FROM times JOIN stu ON loaded_at < as_of - INTERVAL 5 DAY
+              WHERE delay_seconds IS NOT NULL
+              QUALIFY row_number() OVER (PARTITION BY as_of, trip_id ORDER BY loaded_at DESC, delay_seconds DESC) = 1)
+      SELECT l.as_of, l.trip_id, l.delay_seconds, {minutes('l.delay_seconds')} AS avg_delay_minutes,
+        {band('l.delay_seconds')} AS delay_category, l.loaded_at, p.delay_seconds AS prev_delay_seconds,
+        {minutes('p.delay_seconds')} AS prev_delay_minutes,
+        CASE WHEN p.delay_seconds IS NULL THEN 'new' WHEN l.delay_seconds > p.delay_seconds + 60 THEN 'worsening'
+             WHEN l.delay_seconds < p.delay_seconds - 60 THEN 'improving' ELSE 'stable' END AS trend,
+        CAST({rr('(l.delay_seconds - p.delay_seconds)', '6')} AS BIGINT) / 10.0 AS trend_change_minutes
+      FROM cur l LEFT JOIN old p ON l.as_of = p.as_of AND l.trip_id = p.trip_id"""
+
 #: The last delivery of the split stream sends the days before the fifth again, behind the watermark of the one before.
 LATE_ROWS = f"""SELECT {FACT_COLS}, 2 AS batch_id, w.watermark,
         CAST(date_diff('second', recorded_at, w.watermark) AS BIGINT) AS age_seconds
@@ -364,6 +379,7 @@ BODIES: dict[str, str] = {
     "previous_delay": "SELECT * FROM prv",
     "latest_positions": "SELECT * FROM lpos",
     "delay_trend": "SELECT * FROM trend",
+    "delay_trend_series": f"SELECT * FROM ({TREND_SERIES})",
     "delays": f"SELECT {DELAY_COLS} FROM delays",
     "delays_limit_100": f"SELECT {DELAY_COLS} FROM alld ORDER BY loaded_at DESC NULLS FIRST, trip_id LIMIT 100",
     "delays_route": _delays_variant(where_src="AND starts_with(route_id, 'R1')"),

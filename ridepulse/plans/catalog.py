@@ -24,6 +24,7 @@ from ridepulse.streaming import stream
 # Parameters of the registered queries (fixed, documented; the data spans 2024-01-01 .. 2024-01-30).
 AS_OF = "2024-01-10 00:00:00"          # "now" for trends, GPS fallback and retention
 LOOKBACK_MINUTES = 5 * 24 * 60  # the events are sparse: within 25 minutes hardly a trip has two of them
+SERIES = ("2024-01-06 00:00:00", 6 * 3600, 17)  # start, step in seconds and number of the trend's times; ends at AS_OF
 SPLIT = "2024-01-15 00:00:00"          # current/batch boundary for upsert, merge and incremental queries
 LATENESS = "1 HOUR"
 TRIP = "7_view"                        # trip looked up by the trip-history report
@@ -389,6 +390,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "previous_delay": _t(lambda t: reports.previous_delay(t.silver_trip_updates, AS_OF, LOOKBACK_MINUTES)),
     "latest_positions": _t(lambda t: reports.latest_positions(t.silver_vehicle_positions)),
     "delay_trend": _t(lambda t: reports.delay_trend(t.silver_trip_updates, AS_OF, LOOKBACK_MINUTES)),
+    "delay_trend_series": _t(lambda t: reports.delay_trend_series(t.silver_trip_updates, *SERIES, LOOKBACK_MINUTES)),
     "delays": _t(lambda t: t.delays),
     "delays_limit_100": _t(lambda t: _delays(t.silver_trip_updates, t.silver_vehicle_positions, AS_OF,
                                                     limit=100)),

@@ -141,17 +141,63 @@ def delay_trend(updates: DataFrame, as_of, lookback_minutes: int = 25, route: st
         g = (g.withColumn("_prev", F.max("_prev").over(of_trip))
              .withColumn("_rn", F.row_number().over(of_trip.orderBy(F.desc("_cur"), F.col("route_id").desc_nulls_last())))
              .where("_rn = 1"))
+    return g.select(*keys, *_trend_columns())
+
+
+def _trend_columns() -> list[Column]:
+    """The trend report's values from ``_cur``, ``_prev`` (numbers of time and delay), ``_at`` and ``_timeless``."""
     cur, prev = _delay_of(F.col("_cur")), _delay_of(F.col("_prev"))
-    return g.select(
-        *keys,
-        cur.alias("delay_seconds"),
-        to_minutes(cur).alias("avg_delay_minutes"),
-        delay_category(cur).alias("delay_category"),
-        F.when(~F.col("_timeless"), F.col("_at")).alias("loaded_at"),
-        prev.alias("prev_delay_seconds"),
-        to_minutes(prev).alias("prev_delay_minutes"),
-        trend(cur, prev).alias("trend"),
-        trend_change_minutes(cur, prev).alias("trend_change_minutes"))
+    return [cur.alias("delay_seconds"),
+            to_minutes(cur).alias("avg_delay_minutes"),
+            delay_category(cur).alias("delay_category"),
+            F.when(~F.col("_timeless"), F.col("_at")).alias("loaded_at"),
+            prev.alias("prev_delay_seconds"),
+            to_minutes(prev).alias("prev_delay_minutes"),
+            trend(cur, prev).alias("trend"),
+            trend_change_minutes(cur, prev).alias("trend_change_minutes")]
+
+
+def delay_trend_series(updates: DataFrame, start, step_seconds: int, count: int, lookback_minutes: int = 25,
+                       route: str | None = None) -> DataFrame:
+    """``delay_trend`` (without route) at ``count`` times from ``start`` on, ``step_seconds`` apart: one row per time and
+    trip seen by then, with the time as ``as_of``; equal to one run per time over the whole history.
+
+    The history is read once, whatever the number of times. An update first counts as the latest at one time of the
+    series and as the previous one at another: a hash aggregate keeps the greatest number of time and delay per trip and
+    such time (combined before its shuffle, so a trip with a third of all rows ships at most ``count`` rows per task).
+    Then running maxima over the few entries of each trip, and each entry is written out for the times up to the next.
+    """
+    step, count = int(step_seconds), int(count)
+    if step <= 0 or count <= 0:
+        raise ValueError("step_seconds and count must be positive")
+    first = ntz_literal(start)
+    last = first + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(step * (count - 1)))
+    at = F.col("loaded_at")
+    src = _route_prefix(updates.where(F.col("delay_seconds").isNotNull() & (at.isNull() | (at <= last))), route)
+    micros = step * 1_000_000
+    since_start = F.timestamp_diff("MICROSECOND", first, at)
+    since_cutoff = since_start + int(lookback_minutes) * 60_000_000
+    # The first time not before the update (0 without a time), and the first whose cut-off lies after it (null without).
+    latest_from = F.coalesce(F.greatest(F.ceil(since_start / F.lit(micros).cast("decimal(20,0)")).cast("long"), F.lit(0)), F.lit(0))
+    previous_from = F.when(at.isNotNull(), F.greatest(
+        F.floor(since_cutoff / F.lit(micros).cast("decimal(20,0)")).cast("long") + 1, F.lit(0)))
+    number = _update_number()
+    latest = F.struct(latest_from.alias("slot"), number.alias("cur"), F.lit(None).cast("decimal(38,0)").alias("prev"),
+                      at.alias("at"), at.isNull().alias("timeless"))
+    previous = F.struct(previous_from.alias("slot"), F.lit(None).alias("cur"), number.alias("prev"),
+                        F.lit(None).alias("at"), F.lit(None).alias("timeless"))
+    g = (src.select("trip_id", F.explode(F.array(latest, previous)).alias("e")).select("trip_id", "e.*")
+         .where(F.col("slot") < count)
+         .groupBy("trip_id", "slot")
+         .agg(*[F.max(c).alias(c) for c in ("cur", "prev", "at", "timeless")]))
+    of_trip = Window.partitionBy("trip_id").orderBy("slot")
+    until = of_trip.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    run = g.select("trip_id", "slot", *[F.max(c).over(until).alias(f"_{c}") for c in ("cur", "prev", "at", "timeless")],
+                   F.lead("slot", 1, count).over(of_trip).alias("next")).where(F.col("_cur").isNotNull())
+    slots = F.sequence(F.col("slot"), F.col("next") - 1)
+    out = run.select("trip_id", *_trend_columns(), F.explode(slots).alias("slot"))
+    as_of = first + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.col("slot") * step)
+    return out.select(as_of.alias("as_of"), *[c for c in out.columns if c != "slot"])
 
 
 def delays(updates: DataFrame, positions: DataFrame, as_of, category: str | None = None,
