@@ -27,6 +27,6 @@ from ridepulse.plans.live import (  # noqa: E402
     trend_counts, vehicle_delay_info, with_route_description, worst_delay_by_route,
 )
 from ridepulse.plans.reports import (  # noqa: E402
-    delay_distribution, delay_trend, delays, delays_summary, gps_delay_coverage, latest_delay, latest_positions,
+    delay_distribution, delay_trend, delay_trend_series, delays, delays_summary, gps_delay_coverage, latest_delay, latest_positions,
     latest_vehicles, network_health, previous_delay, routes, total_trips, trip_history, worst_routes,
 )
