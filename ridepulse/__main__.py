@@ -29,15 +29,17 @@ def _reports(spark, args):
     positions = spark.read.parquet(w.silver_vehicles)
     updates = spark.read.parquet(w.silver_trips)
     as_of, hours = args.as_of, args.history_hours
-    delays = reports.delays(updates, positions, as_of, limit=None, history_hours=hours)
+    # The reports on delays read silver, or with --window what the last refresh kept of its last hours, bucketed by trip.
+    seen = jobs.trip_window(spark, args.root) if args.window else (updates, positions)
+    delays = reports.delays(*seen, as_of, limit=None, history_hours=hours)
     # What the map shows at ``as_of``: no vehicle is seen later than the delays beside it.
     vehicles = reports.latest_vehicles(reports.recent(positions, as_of, hours, "gps_timestamp"))
     descriptions = dims.route_descriptions(spark, args.descriptions)
     return {
         "vehicles": lambda: vehicles,
-        "delays": lambda: reports.delays(updates, positions, as_of, category=args.category, route=args.route,
+        "delays": lambda: reports.delays(*seen, as_of, category=args.category, route=args.route,
                                          limit=_or(args.limit, 5000), history_hours=hours),
-        "delays_summary": lambda: reports.delays_summary(updates, positions, as_of, history_hours=hours),
+        "delays_summary": lambda: reports.delays_summary(*seen, as_of, history_hours=hours),
         "routes": lambda: reports.routes(updates),
         "worst_routes": lambda: reports.worst_routes(spark.read.parquet(w.worst), day=args.day, period=args.period,
                                                      limit=_or(args.limit, 20)),
@@ -71,6 +73,7 @@ def main(argv=None) -> None:
     r.add_argument("--root", required=True)
     r.add_argument("--as-of")
     r.add_argument("--retention-hours", type=int)
+    r.add_argument("--window-hours", type=int, default=24, help="hours kept by trip for report --window")
     r.add_argument("--run-id", help="take all of the landing folder; a repeated run replaces its bronze/silver rows "
                                     "(without: only snapshots that no earlier run has taken)")
     s = sub.add_parser("stream", help="process newly landed snapshots (availableNow) into bronze and gold")
@@ -78,6 +81,7 @@ def main(argv=None) -> None:
     s.add_argument("--root", required=True)
     s.add_argument("--checkpoint", required=True)
     s.add_argument("--max-files-per-trigger", type=int)
+    s.add_argument("--window-hours", type=int, default=24)
     c = sub.add_parser("compact", help="compact the append-heavy tables for closed dates")
     c.add_argument("--root", required=True)
     c.add_argument("--date", action="append", required=True, help="YYYY-MM-DD (repeatable)")
@@ -86,6 +90,7 @@ def main(argv=None) -> None:
     p.add_argument("--root", required=True)
     p.add_argument("--as-of", required=True)
     p.add_argument("--history-hours", type=int)
+    p.add_argument("--window", action="store_true", help="read the stored window of the last refresh")
     p.add_argument("--out", required=True)
     p.add_argument("--category")
     p.add_argument("--route", help="route id prefix (delays) or clean route name (map layers)")
@@ -103,6 +108,7 @@ def main(argv=None) -> None:
         refresh = jobs.refresh_warehouse if args.run_id else jobs.refresh_since_mark
         print(refresh(feed, args.root, as_of=args.as_of, retention_hours=args.retention_hours, run_id=args.run_id))
         jobs.rebuild_route_tables(spark, args.root)
+        jobs.rebuild_trip_window(spark, args.root, args.as_of, args.window_hours)
     elif args.cmd == "compact":
         print(jobs.compact_warehouse(spark, args.root, args.date))
     elif args.cmd == "stream":
@@ -123,6 +129,7 @@ def main(argv=None) -> None:
         tables.overwrite(gold.gold_worst_routes_by_period(hourly), w.worst)
         tables.overwrite(gold.gold_network_summary(hourly), w.network)
         jobs.rebuild_route_tables(spark, args.root)
+        jobs.rebuild_trip_window(spark, args.root, hours=args.window_hours)
     else:
         table = _reports(spark, args)
         if args.name not in table:

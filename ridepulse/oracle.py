@@ -7,6 +7,8 @@ nested feed, so it also checks the flattening. Exact rounding uses integer arith
 
 from __future__ import annotations
 
+import csv
+import os
 import re
 
 AS_OF = "TIMESTAMP '2024-01-10 00:00:00'"
@@ -498,6 +500,25 @@ BODIES |= {"warehouse_hourly": BODIES["refresh_hourly_incremental"], "warehouse_
            "warehouse_dim_routes": BODIES["dim_routes"], "warehouse_route_performance": BODIES["gold_route_performance"],
            "warehouse_since_mark": BODIES["silver_trip_updates"], "warehouse_trip_history": BODIES["trip_history"], "warehouse_delays": BODIES["delays"]}
 
+BODIES |= {"window_delays": BODIES["delays"], "window_delays_summary": BODIES["delays_summary"], "window_delay_trend": BODIES["delay_trend"],
+           "window_latest_delay": BODIES["latest_delay"], "window_latest_positions": BODIES["latest_positions"]}
+
+
+def _published_menu() -> str:
+    with open(os.path.join(os.path.dirname(os.path.abspath(__file__)), "sources", "route_descriptions.csv"), encoding="utf-8") as fh:
+        rows = [(i, *(v.replace("'", "''") for v in row)) for i, row in enumerate(list(csv.reader(fh))[1:])]
+    values = ", ".join(f"({i}, '{code}', '{text}')" for i, code, text in rows)
+    number = "regexp_extract(m.route, '^\\s*([+-]?\\d+)', 1)"
+    at = f"CAST(v.vehicle_id AS BIGINT) % {len(rows) + 11}"
+    return f"""SELECT m.route, CASE WHEN {number} <> '' THEN TRY_CAST({number} AS BIGINT) END AS route_num,
+        coalesce(r.description, '') AS description
+      FROM (SELECT DISTINCT coalesce(p.code, 'U' || CAST({at} AS VARCHAR)) AS route
+            FROM veh v LEFT JOIN (VALUES {values}) p(i, code, text) ON p.i = {at}) m
+      LEFT JOIN (SELECT code, text AS description FROM (VALUES {values}) q(i, code, text)) r ON r.code = m.route"""
+
+
+BODIES["route_menu_published"] = _published_menu()
+
 
 def oracle_sql() -> dict[str, str]:
     return {name: with_ctes(body) for name, body in BODIES.items()}

@@ -340,6 +340,15 @@ def _warehouse_runs(t: Tables) -> str:
     return root
 
 
+def _window(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """The trip window of the stored warehouse over its whole history."""
+    def build(t: Tables) -> str:
+        jobs.rebuild_trip_window(t.spark, _warehouse(t).root, hours=None)
+        return _warehouse(t).window_updates
+    _built(t, "window", build)
+    return jobs.trip_window(t.spark, _warehouse(t).root)
+
+
 def _warehouse(t: Tables) -> jobs.Warehouse:
     return jobs.Warehouse(_built(t, "warehouse", _warehouse_runs))
 
@@ -352,6 +361,12 @@ def _warehouse_current(t: Tables) -> DataFrame:
     return tables.read_current(t.spark, _warehouse(t).current, schemas.SILVER_TRIP_UPDATES)
 
 
+def _published_menu(t: Tables) -> DataFrame:
+    """The menu over the published routes: vehicles on routes of the published codes, some of them unknown."""
+    published = dims.published_route_descriptions(t.spark)
+    return live.route_menu(fixtures.on_published_routes(t.vehicles, dims.published_route_codes()), published)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # sources / bronze
     "flatten_vehicle_feed": _t(lambda t: t.bronze_vehicle_positions),
@@ -426,6 +441,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "incident_list_all": _t(lambda t: live.incident_list(t.all_delays, t.live_vehicles, show_ghosts=True)),
     "route_descriptions": _t(lambda t: live.with_route_description(
         t.vehicles, dims.fixture_route_descriptions(t.spark))),
+    "route_menu_published": _t(_published_menu),
     "route_menu": _t(lambda t: live.route_menu(t.vehicles, dims.fixture_route_descriptions(t.spark))),
     "trend_counts": _t(lambda t: live.trend_counts(t.trends)),
     "selection_bounds": _t(lambda t: live.selection_bounds(t.all_delays, t.live_vehicles)),
@@ -454,5 +470,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "warehouse_dim_routes": _t(lambda t: _stored(t, "routes")),
     "warehouse_route_performance": _t(lambda t: _stored(t, "performance")),
     "warehouse_trip_history": _t(lambda t: reports.trip_history(jobs.observations(_stored(t, "silver_trips")), TRIP)),
+    "window_delays": _t(lambda t: _delays(*_window(t), AS_OF)),
+    "window_delays_summary": _t(lambda t: _delays_summary(*_window(t), AS_OF)),
+    "window_delay_trend": _t(lambda t: reports.delay_trend(_window(t)[0], AS_OF, LOOKBACK_MINUTES)),
+    "window_latest_delay": _t(lambda t: reports.latest_delay(_window(t)[0])),
+    "window_latest_positions": _t(lambda t: reports.latest_positions(_window(t)[1])),
     "warehouse_delays": _t(lambda t: _delays(_stored(t, "silver_trips"), _stored(t, "silver_vehicles"), AS_OF)),
 }

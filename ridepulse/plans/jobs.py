@@ -7,7 +7,8 @@ Layout under ``root``: ``bronze/{vehicle_positions,trip_updates}`` (partitioned
 ``gold/current_trips`` (by hash bucket of the trip), ``gold/worst_routes_by_period`` and
 ``gold/network_summary`` (small, rebuilt from the hourly table each run), ``gold/dim_routes`` and
 ``gold/route_performance`` (rebuilt from all silver updates by ``rebuild_route_tables``), ``marks/feed`` (how far
-``refresh_since_mark`` has read).
+``refresh_since_mark`` has read), ``window/{updates,positions}`` (what the trip reports need of the last hours, bucketed by
+trip; ``rebuild_trip_window``).
 """
 
 from __future__ import annotations
@@ -18,12 +19,13 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ridepulse import schemas
 from ridepulse.operators.ingest import flatten_trip_feed, flatten_vehicle_feed
-from ridepulse.operators.keyed import incremental_since
+from ridepulse.operators.keyed import incremental_since, latest_per_key
 from ridepulse.operators.silver import ntz_literal, silver_trip_updates, silver_vehicle_positions
-from ridepulse.plans import gold
+from ridepulse.plans import gold, reports
 from ridepulse.plans.gold import gold_network_summary, gold_worst_routes_by_period
-from ridepulse.sources import tables
+from ridepulse.sources import buckets, tables
 
 
 @dataclass(frozen=True)
@@ -77,6 +79,14 @@ class Warehouse:
     def marks(self) -> str:
         return self.path("marks", "feed")
 
+    @property
+    def window_updates(self) -> str:
+        return self.path("window", "updates")
+
+    @property
+    def window_positions(self) -> str:
+        return self.path("window", "positions")
+
     @property
     def routes(self) -> str:
         return self.path("gold", "dim_routes")
@@ -197,6 +207,55 @@ def rebuild_route_tables(spark: SparkSession, root: str) -> None:
         tables.overwrite(gold.gold_route_performance(updates), w.performance)
 
 
+def window_updates(updates: DataFrame) -> DataFrame:
+    """The updates that trip reports can need: of the rows of a trip, route and time, the one that counts.
+
+    Reports take the latest update of a trip, of those of equal time the one with the larger delay, whatever route prefix
+    or time they look at, so nothing else of a time can be their answer. Rows without a delay answer nothing. A trip so
+    keeps at most one row per route and snapshot time, however often it was delivered.
+    """
+    rows = updates.where(F.col("delay_seconds").isNotNull()).select(*schemas.WINDOW_UPDATES.names)
+    return latest_per_key(rows, ["trip_id", "route_id", "loaded_at"], reports.update_order())
+
+
+def window_positions(positions: DataFrame) -> DataFrame:
+    """The positions that trip reports can need: one per trip, GPS time and time of loading."""
+    return latest_per_key(positions.select(*schemas.WINDOW_POSITIONS.names), ["trip_id", "gps_timestamp", "loaded_at"],
+                          reports.position_order())
+
+
+def rebuild_trip_window(spark: SparkSession, root: str, as_of=None, hours: int | None = 24,
+                        n_buckets: int | None = None) -> None:
+    """Write the last ``hours`` before ``as_of`` (None: the time of the latest update) of stored silver, reduced to what the
+    trip reports need and bucketed by trip (``hours=None``: all of it).
+
+    The reports then group by trip and join updates with positions without an exchange. A run reads the date folders of
+    the window only. Both tables have the same number of buckets, by default the shuffle partitions, at most 2,048. The
+    reduction is dealt by trip, route and time, so a trip with most of the rows is reduced by many tasks.
+    """
+    w = Warehouse(root)
+    n = n_buckets or min(int(spark.conf.get("spark.sql.shuffle.partitions")), 2048)
+    stored = {p: spark.read.parquet(p) for p in (w.silver_trips, w.silver_vehicles) if tables.table_exists(spark, p)}
+    if hours is not None and as_of is None:
+        last = tables.partition_values(spark, w.silver_trips, "loaded_date")
+        last = [d for d in last if tables._as_date(d) is not None][-1:]  # only the latest date is read
+        as_of = (stored[w.silver_trips].where(F.col("loaded_date") == F.lit(last[0]).cast("date"))
+                 .agg(F.max("loaded_at")).first()[0] if last else None)
+    for source, target, reduce in ((w.silver_trips, w.window_updates, window_updates),
+                                   (w.silver_vehicles, w.window_positions, window_positions)):
+        if source in stored:
+            rows = stored[source] if as_of is None else reports.recent(stored[source], as_of, hours)
+            buckets.write_bucketed(reduce(rows), target, "trip_id", n)
+
+
+def trip_window(spark: SparkSession, root: str,
+                max_bucket_bytes: int = buckets.MAX_BUCKET_BYTES) -> tuple[DataFrame, DataFrame]:
+    """Updates and positions of the stored window, for ``reports.delays``, ``delay_trend`` and the like."""
+    w = Warehouse(root)
+    return (buckets.read_bucketed(spark, w.window_updates, schemas.WINDOW_UPDATES, max_bucket_bytes),
+            buckets.read_bucketed(spark, w.window_positions, schemas.WINDOW_POSITIONS, max_bucket_bytes))
+
+
 def compact_warehouse(spark: SparkSession, root: str, dates: list[str], target_file_bytes: int = 256 << 20) -> dict:
     """Compact the append-heavy tables (bronze, silver, fact) for closed dates, e.g. yesterday's: a
     five-minute cadence leaves hundreds of small files per date folder."""

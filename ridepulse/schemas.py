@@ -85,3 +85,20 @@ SILVER_TRIP_UPDATES = T.StructType([
     T.StructField("stop_id", T.StringType()),
     T.StructField("loaded_at", T.TimestampNTZType()),
 ])
+
+# What the trip reports need of the last hours (bucketed by trip).
+WINDOW_UPDATES = T.StructType([
+    T.StructField("trip_id", T.StringType()),
+    T.StructField("route_id", T.StringType()),
+    T.StructField("delay_seconds", T.IntegerType()),
+    T.StructField("stop_id", T.StringType()),
+    T.StructField("loaded_at", T.TimestampNTZType()),
+])
+
+WINDOW_POSITIONS = T.StructType([
+    T.StructField("trip_id", T.StringType()),
+    T.StructField("latitude", T.DoubleType()),
+    T.StructField("longitude", T.DoubleType()),
+    T.StructField("gps_timestamp", T.TimestampNTZType()),
+    T.StructField("loaded_at", T.TimestampNTZType()),
+])

@@ -38,12 +38,20 @@ def fixture_route_descriptions(spark: SparkSession, n_codes: int = 40, skip_mod:
 PUBLISHED_ROUTE_DESCRIPTIONS = os.path.join(os.path.dirname(os.path.abspath(__file__)), "route_descriptions.csv")
 
 
+def _published_rows() -> list[tuple[str, str]]:
+    with open(PUBLISHED_ROUTE_DESCRIPTIONS, encoding="utf-8", newline="") as fh:
+        return [(r["route_code"], r["description"]) for r in csv.DictReader(fh)]
+
+
 def published_route_descriptions(spark: SparkSession) -> DataFrame:
     """The published 119-row route description table (a fixed dimension read on the driver: it is bundled
     with the package, not stored on the cluster's file system)."""
-    with open(PUBLISHED_ROUTE_DESCRIPTIONS, encoding="utf-8", newline="") as fh:
-        rows = [(r["route_code"], r["description"]) for r in csv.DictReader(fh)]
-    return spark.createDataFrame(rows, "route_code string, description string")
+    return spark.createDataFrame(_published_rows(), "route_code string, description string")
+
+
+def published_route_codes() -> list[str]:
+    """The codes of the published table in their published order."""
+    return [code for code, _ in _published_rows()]
 
 
 def route_descriptions(spark: SparkSession, path: str | None = None) -> DataFrame:

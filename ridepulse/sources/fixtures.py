@@ -8,6 +8,7 @@ Everything here is a narrow projection of ``events``, so it scales with that tab
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ridepulse import schemas
 from ridepulse.functions.columns import EPOCH_NTZ
@@ -71,3 +72,12 @@ def feed_snapshots(events: DataFrame) -> DataFrame:
                     'departure', CASE WHEN event_id % {NO_TIMES_MOD} <> 0 THEN {delay} END,
                     'stop_id', concat('S', CAST(event_id % {STOP_MOD} AS STRING)))) END))) AS entity"""
     return events_base(events).selectExpr("event_id", "obs_ts", entity)
+
+
+def on_published_routes(vehicles: DataFrame, codes: list[str], unknown: int = 11) -> DataFrame:
+    """``vehicles`` with the route ids of real routes: vehicle ``v`` runs on the code at place ``v`` modulo the codes and
+    ``unknown`` more, the last of which are in no table."""
+    n = len(codes)
+    at = F.pmod(F.col("vehicle_id").cast("long"), F.lit(n + unknown)).cast("int")
+    code = F.coalesce(F.get(F.array(*[F.lit(c) for c in codes]), at), F.concat(F.lit("U"), at.cast("string")))
+    return vehicles.withColumn("route_id", F.concat(code, F.lit("_"), F.split_part("route_id", F.lit("_"), F.lit(2))))

@@ -243,8 +243,13 @@ def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> Non
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(f"{path}__new-{tag}")
+    swap_in(spark, f"{path}__new-{tag}", path)
+
+
+def swap_in(spark: SparkSession, folder: str, path: str) -> None:
+    """Put the finished ``folder`` in the place of the table at ``path`` by two renames (undone by ``recover`` if cut)."""
     p, fs = _fs_path(spark, path)
-    new, old = _fs_path(spark, f"{path}__new-{tag}")[0], _fs_path(spark, f"{path}__old-{tag}")[0]
+    new, old = _fs_path(spark, folder)[0], _fs_path(spark, f"{path}__old-{uuid.uuid4().hex[:12]}")[0]
     had = fs.exists(p)
     if had and not fs.rename(p, old):
         raise OSError(f"could not move {path} aside")
