@@ -97,25 +97,33 @@ class Warehouse:
 
 
 def _add(rows: DataFrame, path: str, date_col: str, ts_col: str, run_id: str | None,
-         cluster_by: tuple[str, ...] = ()) -> None:
+         cluster_by: tuple[str, ...] = ()) -> DataFrame:
     """Append a batch partitioned by date; with a ``run_id`` the batch lands in its own ``run_id`` folders and
     is written with dynamic partition overwrite, so re-running the same run replaces instead of duplicating.
 
     ``cluster_by`` sorts each task's output (no shuffle), so parquet row groups cover narrow key ranges and
     point lookups (one trip's history) skip most of them through min/max statistics.
+
+    Returns the batch for the steps that follow, so that none derives it again from the feed: read back from the folders
+    just written, which hold nothing else, or without a ``run_id`` from the shared checkpoint folder.
     """
-    rows = rows.withColumn(date_col, F.to_date(ts_col))
+    spark, columns = rows.sparkSession, rows.columns
+    if run_id is None:
+        rows = tables.stable(rows)
+    out = rows.withColumn(date_col, F.to_date(ts_col))
     if cluster_by:
-        rows = rows.sortWithinPartitions(date_col, *cluster_by)
+        out = out.sortWithinPartitions(date_col, *cluster_by)
     if run_id is None:
-        tables.append(rows, path, [date_col])
-    else:
-        tables.overwrite_partitions(rows.withColumn("run_id", F.lit(str(run_id))), path, [date_col, "run_id"])
+        tables.append(out, path, [date_col])
+        return rows
+    written = tables.overwrite_partitions(out.withColumn("run_id", F.lit(str(run_id))), path, [date_col, "run_id"])
+    stored = tables.read_folders(spark, path, written)
+    return spark.createDataFrame([], rows.schema) if stored is None else stored.select(*columns)
 
 
-def append_bronze(rows: DataFrame, path: str, run_id: str | None = None) -> None:
-    """Bronze is append-only history, partitioned by ingestion date."""
-    _add(rows, path, "ingest_date", "ingestion_timestamp", run_id)
+def append_bronze(rows: DataFrame, path: str, run_id: str | None = None) -> DataFrame:
+    """Bronze is append-only history, partitioned by ingestion date. Returns the batch as it landed."""
+    return _add(rows, path, "ingest_date", "ingestion_timestamp", run_id)
 
 
 def refresh_warehouse(feed_batch: DataFrame, root: str, as_of=None, retention_hours: int | None = None,
@@ -133,15 +141,13 @@ def refresh_warehouse(feed_batch: DataFrame, root: str, as_of=None, retention_ho
     """
     spark: SparkSession = feed_batch.sparkSession
     w = Warehouse(root)
-    # The landed batch is read by each write with only the columns it needs; flattening and typing are narrow.
-    feed = feed_batch
-    append_bronze(flatten_vehicle_feed(feed), w.bronze_vehicles, run_id)
-    trips = flatten_trip_feed(feed)
-    append_bronze(trips, w.bronze_trips, run_id)
-    _add(silver_vehicle_positions(flatten_vehicle_feed(feed)), w.silver_vehicles, "loaded_date", "loaded_at", run_id,
+    # Each layer is made from the one just landed: the feed is read twice, whatever the number of steps.
+    vehicles = append_bronze(flatten_vehicle_feed(feed_batch), w.bronze_vehicles, run_id)
+    trips = append_bronze(flatten_trip_feed(feed_batch), w.bronze_trips, run_id)
+    _add(silver_vehicle_positions(vehicles), w.silver_vehicles, "loaded_date", "loaded_at", run_id,
          cluster_by=("trip_id", "loaded_at"))
-    updates = silver_trip_updates(trips)
-    _add(updates, w.silver_trips, "loaded_date", "loaded_at", run_id, cluster_by=("trip_id", "loaded_at"))
+    updates = _add(silver_trip_updates(trips), w.silver_trips, "loaded_date", "loaded_at", run_id,
+                   cluster_by=("trip_id", "loaded_at"))
     touched = tables.refresh_hours(updates, w.fact, w.parts, w.hourly)["touched"]
     tables.refresh_current(updates, w.current)
     hourly = spark.read.parquet(w.hourly)

@@ -260,8 +260,10 @@ def swap_in(spark: SparkSession, folder: str, path: str) -> None:
         fs.delete(old, True)
 
 
-def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str], emptied: Sequence[str] = ()) -> None:
-    """Replace the partitions present in ``df``, and drop the folders ``emptied`` unless ``df`` has them again.
+def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str],
+                         emptied: Sequence[str] = ()) -> list[str]:
+    """Replace the partitions present in ``df``, and drop the folders ``emptied`` unless ``df`` has them again; returns the
+    folders written.
 
     The new partitions are written beside the table; then, folder by folder, the old one is moved aside and the new one
     moved in. A write that fails leaves the table as it was, and a swap cut short loses no partition (see ``recover``).
@@ -279,6 +281,7 @@ def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str],
             _move(spark, f"{new}/{leaf}", f"{path}/{leaf}")
     for done in (aside, new):
         fs.delete(_fs_path(spark, done)[0], True)
+    return written
 
 
 def stable(df: DataFrame) -> DataFrame:

@@ -69,6 +69,24 @@ def test_mark_reaches_the_scan(spark, monkeypatch):
     assert "GreaterThanOrEqual(obs_ts,2024-01-02T07:00" in plans[0]
 
 
+def test_steps_after_a_landing_read_what_landed(spark, monkeypatch):
+    """Fact, gold and current state are made from the silver rows just written, not from the feed once more."""
+    root = tempfile.mkdtemp(prefix="rp-mark-")
+    took = []
+    for step in ("refresh_hours", "refresh_current"):
+        monkeypatch.setattr(tables, step, lambda rows, *a, _run=getattr(tables, step), **k: took.append(rows) or _run(rows, *a, **k))
+    first = [snapshot(1, D(2024, 1, 2, 8, 0)), snapshot(2, D(2024, 1, 3, 8, 0), "t2")]
+    jobs.refresh_warehouse(feed(spark, first), root, run_id="r:1")
+    # The same run again with fewer days: what it took before of other days is not its batch.
+    jobs.refresh_warehouse(feed(spark, first[:1]), root, run_id="r:1")
+    jobs.refresh_warehouse(feed(spark, []), root, run_id="r2")
+    silver_trips = jobs.Warehouse(root).silver_trips
+    for rows in took[:4]:
+        assert rows.inputFiles() and all(silver_trips in f for f in rows.inputFiles())
+    assert [{r.trip_id for r in rows.collect()} for rows in took[2:]] == [{"t1"}, {"t1"}, set(), set()]
+    assert spark.read.parquet(silver_trips).count() == 2
+
+
 def test_empty_landing_and_lost_mark(spark):
     base = tempfile.mkdtemp(prefix="rp-mark-")
     root = f"{base}/wh"
