@@ -12,6 +12,7 @@ from __future__ import annotations
 import html as entities
 import itertools
 import re
+from collections import deque
 from collections.abc import Iterable
 
 import numpy as np
@@ -285,8 +286,6 @@ def url_parts(url: Column) -> tuple[Column, Column]:
 
 #: Distinct pages of the host that a page is compared with, on either side; those it takes to cut a marked article.
 NEIGHBOURS, EVIDENCE = 5, 5
-#: Pages that wait for pages behind them at once; where that many follow of fewer distinct htmls, the first wait no more.
-WAITING = 500
 
 
 def _cuts(keys: DataFrame, n: int) -> np.ndarray:
@@ -388,7 +387,7 @@ def extract(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url",
 
     def run(batches):
         before: dict[int, dict] = {}  # the last distinct pages, nearest last
-        waiting: list[dict] = []  # pages that still look for pages behind them
+        waiting: deque[dict] = deque()  # pages that still look for pages behind them, in order
 
         def settled(page):
             near = [p for pair in itertools.zip_longest(page["before"], page["after"]) for p in pair if p is not None]
@@ -396,16 +395,23 @@ def extract(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url",
             return page["id"], page["url"], main_text(page["blocks"], [p["blocks"] for p in near], evidence=EVIDENCE)
 
         def meet(page):
-            """Takes the next page in; gives the pages that need nothing further."""
-            done, still = [], []
-            for p in waiting:
-                if p["host"] == page["host"] and page["same"] != p["same"] and page["same"] not in p["seen"]:
-                    p["seen"].add(page["same"])
-                    p["after"].append(page)
-                (done if p["host"] != page["host"] or len(p["after"]) >= NEIGHBOURS else still).append(p)
-            long = max(0, len(still) - WAITING)
-            done += still[:long]
-            waiting[:] = still[long:]
+            """Takes the next page in; gives the pages that need nothing further.
+
+            Whatever page lies before the last one of the same html has met that html, so the search goes back only so
+            far, and a page takes part in as many steps as it finds others, however long a row of copies it waits in. Of
+            two waiting pages the first has met as many, so those that are done stand at the front.
+            """
+            done = []
+            if waiting and waiting[0]["host"] != page["host"]:
+                done += waiting
+                waiting.clear()
+            for p in reversed(waiting):
+                if page["same"] == p["same"] or page["same"] in p["seen"]:
+                    break
+                p["seen"].add(page["same"])
+                p["after"].append(page)
+            while waiting and len(waiting[0]["after"]) >= NEIGHBOURS:
+                done.append(waiting.popleft())
             if not page["lent"]:
                 page["before"] = [p for h, p in reversed(before.items())
                                   if h != page["same"] and p["host"] == page["host"]][:NEIGHBOURS]

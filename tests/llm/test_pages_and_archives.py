@@ -104,6 +104,24 @@ def test_extraction_does_not_depend_on_ranges(spark):
     assert got[0] == got[1] == got[2]
 
 
+def test_a_long_row_of_copies_hides_no_page_behind_it(spark):
+    """However many copies follow a page, the first other page behind them still tells its frame."""
+    top, end = "<div>Daily News of Town</div>", "<div>All rights with us</div>"
+    story = [f"{top}<p>The mayor spoke of the long way home{x}</p>{end}" for x in ("", " today")]
+    rows = [(i, f"http://h.example/a/{i:04d}", story[i % 2] if i < 40 else story[1]) for i in range(700)]
+    rows.append((900, "http://h.example/b", f"{top}<p>A bridge was built over the river in May</p>{end}"))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for n in ("1", "3"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            got = {r.page_id: r.text for r in pages.extract(frame(spark, rows)).collect()}
+            assert got.pop(900) == "A bridge was built over the river in May" and len(got) == 700
+            want = ["The mayor spoke of the long way home", "The mayor spoke of the long way home today"]
+            assert all(text == want[i % 2 if i < 40 else 1] for i, text in got.items())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 @pytest.mark.parametrize("min_bytes", [0, 4])
 def test_archive_round_trip(spark, tmp_path, min_bytes):
     rows = [(1, "http://a/1", "x" * 10), (2, "http://a/2", "x" * 10), (3, None, None), (4, "http://a/\r\nX: 4", ""),
