@@ -181,9 +181,11 @@ def refresh_since_mark(feed: DataFrame, root: str, lateness: str = "1 HOUR", **o
     mark = kept.agg(F.max("mark")).first()[0] if kept is not None else None
     new = incremental_since(feed, "obs_ts", mark, lateness)
     if mark is not None:
-        new = (new.withColumn("_digest", digest).join(kept.select(F.col("digest").alias("_digest")), "_digest", "left_anti")
-               .select(*feed.columns))
-        new = tables.stable(new)  # read by every step of the run
+        # No snapshot after the mark can be among those kept, so only the rows up to it need a digest.
+        after = F.col("obs_ts") > ntz_literal(mark)
+        known = kept.select(F.col("digest").alias("_digest"))
+        again = new.where(~after).withColumn("_digest", digest).join(known, "_digest", "left_anti")
+        new = tables.stable(new.where(after).unionByName(again.select(*feed.columns)))  # read by every step of the run
     found = new.agg(F.count(F.lit(1)), F.max("obs_ts")).first()
     if not found[0]:
         return {"snapshots": 0, "touched_hours": 0, "pruned": {}}

@@ -87,6 +87,21 @@ def test_steps_after_a_landing_read_what_landed(spark, monkeypatch):
     assert spark.read.parquet(silver_trips).count() == 2
 
 
+def test_only_snapshots_up_to_the_mark_get_a_digest(spark, monkeypatch):
+    root = tempfile.mkdtemp(prefix="rp-mark-")
+    first = [snapshot(1, D(2024, 1, 2, 8, 0)), snapshot(2, D(2024, 1, 2, 9, 0), "t2")]
+    more = [snapshot(3, D(2024, 1, 2, 9, 0), "t3"), snapshot(4, D(2024, 1, 2, 9, 30), "t4"), snapshot(5, None, "t5")]
+    jobs.refresh_since_mark(feed(spark, first), root, run_id="r0")
+    plans, stable = [], tables.stable
+    monkeypatch.setattr(tables, "stable", lambda df: plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+                        or stable(df))
+    # Whole rows twice after the mark stay twice; those up to it are told by their digests.
+    assert jobs.refresh_since_mark(feed(spark, first + more + more[1:2]), root, run_id="r1")["snapshots"] == 3
+    assert plans[0].lstrip().startswith("Union") and plans[0].count("sha2(") == 1
+    trips = spark.read.parquet(jobs.Warehouse(root).silver_trips)
+    assert sorted(r.trip_id for r in trips.collect()) == ["t1", "t2", "t3", "t4", "t4"]
+
+
 def test_empty_landing_and_lost_mark(spark):
     base = tempfile.mkdtemp(prefix="rp-mark-")
     root = f"{base}/wh"
