@@ -107,7 +107,7 @@ def test_extraction_does_not_depend_on_ranges(spark):
 def test_a_long_row_of_copies_hides_no_page_behind_it(spark):
     """However many copies follow a page, the first other page behind them still tells its frame."""
     top, end = "<div>Daily News of Town</div>", "<div>All rights with us</div>"
-    story = [f"{top}<p>The mayor spoke of the long way home{x}</p>{end}" for x in ("", " today")]
+    story = [f"{top}<p>The mayor spoke of the long way home</p>{x}{end}" for x in ("", "<p>today</p>")]  # near copies
     rows = [(i, f"http://h.example/a/{i:04d}", story[i % 2] if i < 40 else story[1]) for i in range(700)]
     rows.append((900, "http://h.example/b", f"{top}<p>A bridge was built over the river in May</p>{end}"))
     before = spark.conf.get("spark.sql.shuffle.partitions")
